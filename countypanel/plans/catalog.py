@@ -424,9 +424,7 @@ def tertile_match_count(t):
 
 @query
 def null_tokens(t):
-    texts = t.read("events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
-    odd = F.when(F.col("event_id") % 7 == 0, "N/A").when(F.col("event_id") % 11 == 0, "")
-    return clean_missing(texts.withColumn("k", F.coalesce(odd, "k")))
+    return clean_missing(t.event_texts())
 
 
 @query
