@@ -13,7 +13,8 @@ NULL_TOKENS = [
     "n/a", "nan", "null",
 ]
 
-PLAIN_NUMBER = r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$"
+# Signs that a plain decimal number can consist of; the cast judges their order.
+PLAIN_NUMBER = r"^\s*[-+]?\.?[0-9][0-9.eE+-]*\s*$"
 
 
 def text_or_null(col: Column) -> Column:

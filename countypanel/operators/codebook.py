@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.literal import literal_rows
+
 # Raw survey column -> readable name, in output order, for the columns the
 # four survey tables hold.
 KEY_COLUMNS = {
@@ -155,7 +157,7 @@ def read_name_map(spark: SparkSession, path: str) -> dict[str, str]:
 def codebook_table(spark: SparkSession) -> DataFrame:
     """(variable, category, label): one row per code of the codebook above."""
     rows = [(v, code, label) for v, codes in CODEBOOK.items() for code, label in codes.items()]
-    return spark.createDataFrame(rows, "variable string, category string, label string")
+    return literal_rows(spark, ["variable", "category", "label"], rows)
 
 
 def with_labels(shares: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.codes import PLACEHOLDER_COUNTY
+
 STATE_LEVEL = "040"
 COUNTY_LEVEL = "050"
 
@@ -20,3 +22,8 @@ def county_crosswalk(geocodes: DataFrame) -> DataFrame:
         "state_fips", F.col("area_name").alias("state_name")
     )
     return counties.join(states, "state_fips", "left").select("fips", "state_name", "county_name")
+
+
+def real_counties(crosswalk: DataFrame) -> DataFrame:
+    """The crosswalk without placeholder counties."""
+    return crosswalk.where(F.substring("fips", 3, 3) != PLACEHOLDER_COUNTY)

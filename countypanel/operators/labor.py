@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import month_of_period
-from ..functions.missing import to_number
+from ..functions.missing import ratio, to_number
 
 COUNTY_AREA = "F"
 ANNUAL = 13
@@ -37,48 +37,66 @@ def series_of(series: DataFrame, counties: DataFrame) -> DataFrame:
 def labor_star(data: DataFrame, series: DataFrame, counties: DataFrame) -> DataFrame:
     """Observations with their measure and county.
 
-    Each side is cut to its own columns first, so no two columns share a name. The join
-    order leaves the choice of broadcast to Spark's size check: the lookups are files of
-    a few megabytes and far below its limit in practice, and beyond it the joins sort
-    and merge.
+    The lookups are cut to their own columns first, so no two columns share a name. No
+    join is hinted: Spark broadcasts a lookup that it knows to be small, as lists of
+    series and areas are, and sorts and merges otherwise.
     """
-    facts = data.select("series_id", "year", "period", "value")
+    facts = data.drop("footnote_codes")
     lookup = series.select("series_id", "area_code", "measure_code")
     return facts.join(lookup, "series_id").join(counties, "area_code")
 
 
-def typed(star: DataFrame, annual_period: str = "keep") -> DataFrame:
-    """Year, month and value as numbers; unreadable values become NULL.
+def with_time(star: DataFrame) -> DataFrame:
+    """Year and month as numbers, the area's text as the county."""
+    return star.withColumns({
+        "county": F.col("area_text"),
+        "year": F.col("year").try_cast("int"),
+        "month": month_of_period(F.col("period")),
+    }).drop("area_text", "period", "series_id")
 
-    The annual average comes as month 13 and is kept unless `annual_period` is "drop".
+
+def typed(star: DataFrame) -> DataFrame:
+    """Observations with year, month and value as numbers; unreadable values become NULL."""
+    return with_time(star).withColumn("value", to_number(F.col("value")))
+
+
+def cell_sums(data: DataFrame) -> DataFrame:
+    """Sum and number of the readable values per series, year and period.
+
+    Combined map-side before anything is joined, so a series that holds a large part of
+    the data reaches the joins as one row per period.
     """
-    if annual_period not in ("keep", "drop"):
-        raise ValueError(f"annual_period is 'keep' or 'drop', not {annual_period!r}")
-    rows = star.select(
-        "state_fips", "area_code", F.col("area_text").alias("county"), "measure_code",
-        F.col("year").try_cast("int").alias("year"),
-        month_of_period(F.col("period")).alias("month"),
-        to_number(F.col("value")).alias("value"),
+    value = to_number(F.col("value"))
+    return data.groupBy("series_id", "year", "period").agg(
+        F.sum(value).alias("total"), F.count(value).alias("values")
     )
-    return rows if annual_period == "keep" else rows.where(F.col("month") != ANNUAL)
 
 
 def labor_wide(
-    rows: DataFrame, keys=("state_fips", "county", "year", "month"), measures=MEASURES
+    data: DataFrame, series: DataFrame, counties: DataFrame, annual_period: str = "keep",
+    measures=MEASURES, keys=("state_fips", "county", "year", "month"),
 ) -> DataFrame:
     """County-months with one column per measure, the mean where a cell occurs twice.
 
-    A month without any value is left out. The measures are conditional averages of one
-    aggregate, so there is a single shuffle after map-side combining. `measures` may
-    name further codes.
+    A month without any value is left out. The annual average comes as month 13 and is
+    kept unless `annual_period` is "drop". `measures` may name further codes.
+
+    Rows with an unreadable year or month lose their values and leave with the empty
+    months: a filter on these keys would be moved below the counting and parse the texts
+    of every observation.
     """
+    if annual_period not in ("keep", "drop"):
+        raise ValueError(f"annual_period is 'keep' or 'drop', not {annual_period!r}")
+    cells = with_time(labor_star(cell_sums(data), series, counties))
+    usable = F.col("month") != ANNUAL if annual_period == "drop" else F.lit(True)
     for key in keys:
-        rows = rows.where(F.col(key).isNotNull())
-    cells = [
-        F.avg(F.when(F.col("measure_code") == code, F.col("value"))).alias(name)
-        for code, name in measures.items()
-    ]
-    return rows.groupBy(*keys).agg(*cells).dropna(how="all", subset=list(measures.values()))
+        usable = usable & F.col(key).isNotNull()
+    means = []
+    for code, name in measures.items():
+        here = usable & (F.col("measure_code") == code)
+        total, values = F.sum(F.when(here, F.col("total"))), F.sum(F.when(here, F.col("values")))
+        means.append(ratio(total, values).alias(name))
+    return cells.groupBy(*keys).agg(*means).dropna(how="all", subset=list(measures.values()))
 
 
 def labor_yearly(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import PLACEHOLDER_COUNTY
 from ..functions.formats import matched_of_total
 from ..functions.missing import ratio, to_number
-from .survey import county_codes, known_counties, with_county_names
+from .survey import county_codes, with_county_names
 
 
 def code_counts(raw: DataFrame, by=("survey_year",)) -> DataFrame:
@@ -23,11 +23,13 @@ def code_counts(raw: DataFrame, by=("survey_year",)) -> DataFrame:
 
 def match_rate(raw: DataFrame, crosswalk: DataFrame, by=("survey_year",)) -> DataFrame:
     """Rows whose county is in the crosswalk, out of those with a county code."""
-    named = with_county_names(known_counties(code_counts(raw, by)), crosswalk)
-    found = F.when(F.col("county_name").isNotNull(), F.col("rows")).otherwise(0)
+    named = with_county_names(code_counts(raw, by), crosswalk)
+    coded = F.when(F.col("ctycode") != PLACEHOLDER_COUNTY, F.col("rows")).otherwise(0)
+    found = F.when(F.col("county_name").isNotNull(), coded).otherwise(0)
     return (
         named.groupBy(*by)
-        .agg(F.sum(found).alias("matched"), F.sum("rows").alias("total"))
+        .agg(F.sum(found).alias("matched"), F.sum(coded).alias("total"))
+        .where(F.col("total") > 0)
         .withColumn("match_rate", ratio(F.col("matched"), F.col("total")))
         .withColumn("match_text", matched_of_total(F.col("matched"), F.col("total")))
     )

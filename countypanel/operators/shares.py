@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.codes import answer_label
 from ..functions.missing import percent
 from .codebook import share_columns, with_labels
-from .survey import county_codes, known_counties, with_county_names, with_display_key
+from .geography import real_counties
+from .survey import county_codes, with_county_names, with_display_key
 
 KEYS = ("state_name", "county_name", "survey_year")
 ANSWERED = "answered_any"
@@ -92,14 +93,16 @@ def county_shares(
 
     Counts first by the codes as written, then cleans codes, looks names up and merges:
     the text work and the join run on counts, not on respondents. Adding counts is exact
-    whichever comes first. `present` are questions that only make a county-year appear,
-    see `with_answered`.
+    whichever comes first. The placeholder county leaves through the crosswalk, because
+    a filter on the cleaned codes would be moved below the counting and run per
+    respondent. `present` are questions that only make a county-year appear, see
+    `with_answered`.
     """
     if present:
         raw = with_answered(raw, variables, present)
         variables = [*variables, ANSWERED]
     counts = answer_counts(raw, variables, ("_state", "ctycode", "survey_year"), weight)
-    named = with_county_names(known_counties(county_codes(counts)), crosswalk)
+    named = with_county_names(county_codes(counts), real_counties(crosswalk))
     return shares_of_counts(with_display_key(named, style))
 
 

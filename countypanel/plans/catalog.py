@@ -80,7 +80,9 @@ def star(t: Tables) -> DataFrame:
 
 
 def months(t: Tables, annual_period: str = "keep") -> DataFrame:
-    return labor.labor_wide(labor.typed(star(t), annual_period))
+    counties = labor.county_areas(t.area())
+    series = labor.series_of(t.series(), counties)
+    return labor.labor_wide(t.la_data(), series, counties, annual_period)
 
 
 def yearly_labor(t: Tables) -> DataFrame:
@@ -537,9 +539,12 @@ def empty_partitions(t):
         .groupBy("state_name", "survey_year").agg(F.sum("rows").alias("rows"))
     )
     states = crosswalk(t).select("state_name", F.substring("fips", 1, 2).alias("state_fips"))
+    counties = labor.county_areas(t.area())
+    per_series = t.la_data().groupBy("series_id", "year").agg(F.count("*").alias("rows"))
     labor_rows = (
-        labor.typed(star(t)).groupBy("state_fips", F.col("year").alias("survey_year"))
-        .agg(F.count("*").alias("rows")).join(states.distinct(), "state_fips")
+        labor.labor_star(per_series, labor.series_of(t.series(), counties), counties)
+        .groupBy("state_fips", F.col("year").try_cast("int").alias("survey_year"))
+        .agg(F.sum("rows").alias("rows")).join(states.distinct(), "state_fips")
     )
     return quality.empty_partitions(states, survey_rows, labor_rows, FIRST_YEAR - 1, LAST_YEAR + 1)
 

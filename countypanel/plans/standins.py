@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.missing import zero_pad
 from ..functions.names import name_key
+from ..sources.delimited import GEOCODE_COLUMNS
+from ..sources.literal import literal_rows
 
 FIRST_YEAR, LAST_YEAR = 1995, 2001
 YEARS = list(range(FIRST_YEAR, LAST_YEAR + 1))
@@ -36,9 +38,13 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self.opened: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table; its footer is looked at once however many views use it."""
+        if name not in self.opened:
+            self.opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.opened[name]
 
     def counties(self) -> DataFrame:
         """Nations with their region: codes, names and the region's name."""
@@ -51,8 +57,9 @@ class Tables:
 
     def geocode_lines(self) -> DataFrame:
         """A geocode export with preamble and header: country, states, counties, places."""
-        line = "level string, state_fips string, county_fips string, area_name string"
-        top = self.spark.createDataFrame(
+        top = literal_rows(
+            self.spark,
+            GEOCODE_COLUMNS,
             [
                 ("Geography file", None, None, None),
                 ("Vintage 2017", None, None, None),
@@ -61,7 +68,6 @@ class Tables:
                 ("Summary Level", "State Code", "County Code", "Area Name"),
                 ("010", "00", "000", "United States"),
             ],
-            line,
         )
         nation, region, supplier = self.read("nation"), self.read("region"), self.read("supplier")
         states = region.select(
@@ -80,16 +86,18 @@ class Tables:
     def survey_raw(self) -> DataFrame:
         """One respondent per order, under raw survey column names."""
         orders, customer = self.read("orders"), self.read("customer")
-        nation = self.read("nation").select("n_nationkey", "n_regionkey")
-        rows = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
-            nation, F.col("c_nationkey") == F.col("n_nationkey")
+        place = self.read("nation").select(
+            "n_nationkey",
+            F.concat(F.col("n_regionkey").cast("string"), F.lit(".0")).alias("_state"),
+            F.concat(F.col("n_nationkey").cast("string"), F.lit(".0")).alias("county"),
         )
-        key = F.col("o_orderkey")
+        placed = customer.join(place, F.col("c_nationkey") == F.col("n_nationkey"))
+        rows = orders.join(placed, F.col("o_custkey") == F.col("c_custkey"))
+        key, county = F.col("o_orderkey"), F.col("county")
         year = F.year("o_orderdate")
-        county = F.concat(F.col("n_nationkey").cast("string"), F.lit(".0"))
         return rows.select(
             key.alias("respondent_id"),
-            F.concat(F.col("n_regionkey").cast("string"), F.lit(".0")).alias("_state"),
+            "_state",
             F.when(key % 50 == 0, None).when(key % 97 == 0, "777").otherwise(county)
             .alias("ctycode"),
             F.when(key % 61 == 0, "x").when(key % 67 == 0, "6.5").otherwise(county)
@@ -146,20 +154,21 @@ class Tables:
             F.concat(F.lit("LAU"), "area_code", "measure_code").alias("series_id"),
             "area_type_code", "area_code", "measure_code", F.lit("U").alias("seasonal"),
         )
-        header = self.spark.createDataFrame([tuple(listed.columns)], listed.schema)
+        header = literal_rows(self.spark, listed.columns, [tuple(listed.columns)])
         return listed.union(header)
 
     def la_data(self) -> DataFrame:
         """One labour observation per line item."""
         line, supplier = self.read("lineitem"), self.read("supplier")
-        nation = self.read("nation").select("n_nationkey", "n_regionkey")
-        rows = line.join(supplier, line.l_suppkey == supplier.s_suppkey).join(
-            nation, F.col("s_nationkey") == F.col("n_nationkey")
-        )
         fips = F.concat(
             zero_pad(F.col("n_regionkey").cast("string"), 2),
             zero_pad(F.col("n_nationkey").cast("string"), 3),
         )
+        place = self.read("nation").select(
+            "n_nationkey", F.concat(F.lit("LAUCN"), fips, F.lit("0000000")).alias("area_series")
+        )
+        placed = supplier.join(place, F.col("s_nationkey") == F.col("n_nationkey"))
+        rows = line.join(placed, F.col("l_suppkey") == F.col("s_suppkey"))
         measure = zero_pad((F.lit(3) + F.col("l_linenumber") % 4).cast("string"), 2)
         year, month = F.year("l_shipdate"), F.month("l_shipdate")
         annual = (F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R")
@@ -167,7 +176,7 @@ class Tables:
             (F.col("n_nationkey") == 3) & (year == 1996) & (month == 2)
         )
         return rows.select(
-            F.concat(F.lit("LAUCN"), fips, F.lit("0000000"), measure).alias("series_id"),
+            F.concat("area_series", measure).alias("series_id"),
             year.cast("string").alias("year"),
             F.concat(F.lit("M"), F.when(annual, "13").otherwise(
                 zero_pad(month.cast("string"), 2))).alias("period"),
