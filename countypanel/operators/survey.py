@@ -57,8 +57,11 @@ def rename_columns(
     df: DataFrame, further: dict[str, str | None] | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Raw names to readable ones; columns in `keep` stay as they are."""
-    names = readable_names(further)
-    return df.withColumnsRenamed({raw: name for raw, name in names.items() if raw not in keep})
+    return df.withColumnsRenamed({
+        raw: name
+        for raw, name in readable_names(further).items()
+        if raw not in keep and (raw == name or name not in df.columns)
+    })
 
 
 def present(df: DataFrame, columns: list[str]) -> list[str]:
