@@ -24,6 +24,11 @@ def county_crosswalk(geocodes: DataFrame) -> DataFrame:
     return counties.join(states, "state_fips", "left").select("fips", "state_name", "county_name")
 
 
-def real_counties(crosswalk: DataFrame) -> DataFrame:
-    """The crosswalk without placeholder counties."""
-    return crosswalk.where(F.substring("fips", 3, 3) != PLACEHOLDER_COUNTY)
+def without_placeholder_names(crosswalk: DataFrame) -> DataFrame:
+    """The crosswalk with the names of placeholder counties taken away.
+
+    A filter on the code would do the same, but Spark infers it for the other side of a
+    join on that code as well.
+    """
+    real = F.substring("fips", 3, 3) != PLACEHOLDER_COUNTY
+    return crosswalk.withColumn("county_name", F.when(real, F.col("county_name")))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import answer_label
 from ..functions.missing import percent
 from .codebook import share_columns, with_labels
-from .geography import real_counties
+from .geography import without_placeholder_names
 from .survey import county_codes, with_county_names, with_display_key
 
 KEYS = ("state_name", "county_name", "survey_year")
@@ -93,8 +93,8 @@ def county_shares(
 
     Counts first by the codes as written, then cleans codes, looks names up and merges:
     the text work and the join run on counts, not on respondents. Adding counts is exact
-    whichever comes first. The placeholder county leaves through the crosswalk, because
-    a filter on the cleaned codes would be moved below the counting and run per
+    whichever comes first. The placeholder county leaves for want of a name, because a
+    filter on the cleaned codes would be moved below the counting and run per
     respondent. `present` are questions that only make a county-year appear, see
     `with_answered`.
     """
@@ -102,7 +102,7 @@ def county_shares(
         raw = with_answered(raw, variables, present)
         variables = [*variables, ANSWERED]
     counts = answer_counts(raw, variables, ("_state", "ctycode", "survey_year"), weight)
-    named = with_county_names(county_codes(counts), real_counties(crosswalk))
+    named = with_county_names(county_codes(counts), without_placeholder_names(crosswalk))
     return shares_of_counts(with_display_key(named, style))
 
 
@@ -140,10 +140,12 @@ def share_wide(shares: DataFrame, variables=None, columns=None, keys=KEYS) -> Da
         *keys, F.concat_ws("_", "variable", "label").alias("name"), F.explode(both).alias("cell")
     )
     wanted = [name + suffix for suffix in ("_uw", "_w") for name in names]
-    return (
+    pivoted = (
         cells.select(*keys, F.concat("name", "cell.suffix").alias("name"), "cell.percent")
         .groupBy(*keys)
         .pivot("name", wanted)
         .agg(F.avg("percent"))
-        .na.fill(0.0, subset=wanted)
     )
+    # Names of unlabelled codes hold a dot ("..._8.0_w"), hence the quoting.
+    filled = [F.coalesce(F.col(f"`{name}`"), F.lit(0.0)).alias(name) for name in wanted]
+    return pivoted.select(*keys, *filled)
