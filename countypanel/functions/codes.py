@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .missing import to_number, zero_pad
 
 PLACEHOLDER_COUNTY = "000"
+# A text that cleans to the placeholder: its first digits are up to three zeros, or none.
+PLACEHOLDER_TEXT = r"(?s)^[^0-9]*0{0,3}([^0-9].*)?$"
 
 # Periods an answer-frequency code counts in, by its hundreds digit,
 # with the number of days each stands for (per day, per week, per month).

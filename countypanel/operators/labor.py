@@ -79,7 +79,8 @@ def labor_wide(
     """County-months with one column per measure, the mean where a cell occurs twice.
 
     A month without any value is left out. The annual average comes as month 13 and is
-    kept unless `annual_period` is "drop". `measures` may name further codes.
+    kept unless `annual_period` is "drop". `measures` may name further codes and `keys`
+    may add "fips".
 
     Rows with an unreadable year or month lose their values and leave with the empty
     months: a filter on these keys would be moved below the counting and parse the texts
@@ -87,7 +88,9 @@ def labor_wide(
     """
     if annual_period not in ("keep", "drop"):
         raise ValueError(f"annual_period is 'keep' or 'drop', not {annual_period!r}")
-    cells = with_time(labor_star(cell_sums(data), series, counties))
+    cells = with_time(labor_star(cell_sums(data), series, counties)).withColumn(
+        "fips", F.substring("area_code", 3, 5)
+    )
     usable = F.col("month") != ANNUAL if annual_period == "drop" else F.lit(True)
     for key in keys:
         usable = usable & F.col(key).isNotNull()

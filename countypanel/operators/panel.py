@@ -30,7 +30,8 @@ def merge_panel(shares: DataFrame, labor: DataFrame, on=PLACE_TIME) -> DataFrame
     By name and year as published panels do it; `on` takes ("fips", "survey_year") where
     both sides carry the code, which is the sounder key.
     """
-    return shares.join(labor, list(on), "inner")
+    twice = [c for c in labor.columns if c in shares.columns and c not in on]
+    return shares.join(labor.drop(*twice), list(on), "inner")
 
 
 def mean_by_year(panel: DataFrame, columns: list[str], by=BY_STATE_YEAR) -> DataFrame:

@@ -11,6 +11,11 @@ from ..functions.missing import ratio, to_number
 from .survey import county_codes, with_county_names
 
 
+def first_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:
+    """The first few different values of a column, in order; a look at the data."""
+    return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).limit(n)
+
+
 def code_counts(raw: DataFrame, by=("survey_year",)) -> DataFrame:
     """Rows per written state and county code, codes cleaned afterwards.
 

@@ -87,13 +87,13 @@ def share_long(df: DataFrame, variables: list[str], keys=KEYS, weight="final_wei
 
 def county_shares(
     raw: DataFrame, crosswalk: DataFrame, variables: list[str], weight="final_weight",
-    style: str = "prefix2", present: list[str] | None = None,
+    style: str = "prefix2", present: list[str] | None = None, keys=KEYS,
 ) -> DataFrame:
     """Shares from rows with raw county codes.
 
     Counts first by the codes as written, then cleans codes, looks names up and merges:
     the text work and the join run on counts, not on respondents. Adding counts is exact
-    whichever comes first. The placeholder county leaves for want of a name, because a
+    whichever comes first. `keys` may add "fips". The placeholder county leaves for want of a name, because a
     filter on the cleaned codes would be moved below the counting and run per
     respondent. `present` are questions that only make a county-year appear, see
     `with_answered`.
@@ -103,7 +103,7 @@ def county_shares(
         variables = [*variables, ANSWERED]
     counts = answer_counts(raw, variables, ("_state", "ctycode", "survey_year"), weight)
     named = with_county_names(county_codes(counts), without_placeholder_names(crosswalk))
-    return shares_of_counts(with_display_key(named, style))
+    return shares_of_counts(with_display_key(named, style), keys)
 
 
 def share_long_two_sided(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codes import PLACEHOLDER_COUNTY, digits_code, integer_code, join_codes
+from ..functions.codes import PLACEHOLDER_TEXT, digits_code, integer_code, join_codes
 from ..functions.names import display_key
 from .codebook import KEY_COLUMNS, SURVEY_TABLES, readable_names
 
@@ -39,8 +39,12 @@ def county_codes(df: DataFrame) -> DataFrame:
 
 
 def known_counties(df: DataFrame) -> DataFrame:
-    """Rows with a county; the placeholder code goes, "don't know" codes stay."""
-    return df.where(F.col("ctycode") != PLACEHOLDER_COUNTY)
+    """Rows with a county; the placeholder code goes, "don't know" codes stay.
+
+    One pattern on the code as written, which is cheaper than cleaning it for the
+    comparison; on cleaned codes it decides the same.
+    """
+    return df.where(~F.coalesce(F.col("ctycode").rlike(PLACEHOLDER_TEXT), F.lit(True)))
 
 
 def with_county_names(df: DataFrame, crosswalk: DataFrame) -> DataFrame:
@@ -81,7 +85,7 @@ def prepare(raw: DataFrame, crosswalk: DataFrame, further=None) -> DataFrame:
     One narrow stage plus the crosswalk join; the unused columns of the wide survey
     fall away when the table is selected.
     """
-    keyed = known_counties(county_codes(raw))
+    keyed = county_codes(known_counties(raw))
     return rename_columns(with_county_names(keyed, crosswalk), further)
 
 

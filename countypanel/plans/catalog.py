@@ -225,6 +225,19 @@ def county_year_panel(t):
     return merged(t)
 
 
+@query
+def county_year_panel_fips(t):
+    wide_keys = ("fips", *shares.KEYS)
+    long = shares.county_shares(respondents(t), crosswalk(t), VARIABLES, keys=wide_keys)
+    wide = shares.share_wide(long, VARIABLES, keys=wide_keys)
+    counties = labor.county_areas(t.area())
+    by_month = labor.labor_wide(
+        t.la_data(), labor.series_of(t.series(), counties), counties,
+        keys=("fips", "county", "year", "month"))
+    yearly = labor.labor_yearly(by_month, ("fips", "county_name", "survey_year"))
+    return panel.merge_panel(wide, yearly, ("fips", "survey_year"))
+
+
 @query
 def statewide_trend_uw(t):
     return panel.mean_by_year(health_panel(t), [X, *HEALTH_UW])
@@ -526,6 +539,11 @@ def match_rate(t):
     return quality.match_rate(respondents(t), crosswalk(t))
 
 
+@query
+def first_fips(t):
+    return quality.first_values(survey.county_codes(t.survey_raw()), "fips")
+
+
 @query
 def key_profile(t):
     return quality.key_profile(respondents(t))

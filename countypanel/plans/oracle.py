@@ -439,6 +439,9 @@ def _bodies() -> dict[str, str]:
 
     q["county_year_panel"] = (
         f"SELECT state_name, county_name, survey_year, {_rounded(WIDE_NAMES + YEARLY_NAMES)} FROM panel")
+    q["county_year_panel_fips"] = f"""SELECT fips, p.state_name, p.county_name, survey_year,
+      {_rounded(WIDE_NAMES + YEARLY_NAMES)} FROM panel p JOIN crosswalk c
+      ON p.county_name = c.county_name || ', ' || upper(left(c.state_name, 2))"""
     q["statewide_trend_uw"] = _trend([X, *HEALTH_UW])
     q["statewide_trend_w"] = _trend([X, *HEALTH_W])
     q["alcohol_trend"] = _trend([X, *ALCOHOL])
@@ -543,6 +546,7 @@ def _bodies() -> dict[str, str]:
     q["match_rate"] = f"""SELECT survey_year, count(county_name)::BIGINT AS matched, count(*)::BIGINT AS total,
       {r6("count(county_name) / count(*)", "match_rate")},
       {_matched_text("count(county_name)", "count(*)")} FROM named GROUP BY survey_year"""
+    q["first_fips"] = "SELECT DISTINCT fips FROM coded ORDER BY fips LIMIT 10"
     q["key_profile"] = """SELECT _state AS state_fips, count(*)::BIGINT AS rows,
       count(DISTINCT ctycode)::BIGINT AS county_codes,
       count(*) FILTER (WHERE ctycode = '000')::BIGINT AS placeholder_rows,

@@ -8,10 +8,11 @@ unreadable texts are put in by row expressions, because the given tables have no
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.missing import zero_pad
 from ..functions.names import name_key
@@ -28,23 +29,40 @@ SEGMENT_PROPERTY = {
 }
 
 
+# Schema by path of the given tables opened so far.
+SCHEMAS: dict[str, T.StructType] = {}
+
+
 def choose(col: Column, cases: dict) -> Column:
     return reduce(lambda c, kv: c.when(col == kv[0], kv[1]), cases.items(), F).otherwise(None)
 
 
+def pick(texts, index: Column) -> Column:
+    """The text at a position counted from 0."""
+    return F.array(*[F.lit(t) for t in texts])[index]
+
+
 class Tables:
-    """The given tables of one folder and the views on them."""
+    """The given tables of one folder and the views on them.
+
+    The large table of a view joins its lookups one by one, not a join of them: Spark
+    takes the size of a join for the product of its sides, so the large table would
+    pass for the smaller side and be broadcast.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        self.opened: dict[str, DataFrame] = {}
+        # Views that several others build on, made once.
+        self.counties = cache(self.counties)
+        self.area = cache(self.area)
 
     def read(self, name: str) -> DataFrame:
         """A given table; its footer is looked at once however many views use it."""
-        if name not in self.opened:
-            self.opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return self.opened[name]
+        path = f"{self.folder}/{name}.parquet"
+        if path not in SCHEMAS:
+            SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(SCHEMAS[path]).parquet(path)
 
     def counties(self) -> DataFrame:
         """Nations with their region: codes, names and the region's name."""
@@ -91,8 +109,9 @@ class Tables:
             F.concat(F.col("n_regionkey").cast("string"), F.lit(".0")).alias("_state"),
             F.concat(F.col("n_nationkey").cast("string"), F.lit(".0")).alias("county"),
         )
-        placed = customer.join(place, F.col("c_nationkey") == F.col("n_nationkey"))
-        rows = orders.join(placed, F.col("o_custkey") == F.col("c_custkey"))
+        rows = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
+            place, F.col("c_nationkey") == F.col("n_nationkey")
+        )
         key, county = F.col("o_orderkey"), F.col("county")
         year = F.year("o_orderdate")
         return rows.select(
@@ -126,7 +145,7 @@ class Tables:
 
     def area(self) -> DataFrame:
         """Labour areas: states, counties, and a city per supplier."""
-        counties = self.counties()
+        counties, nation = self.counties(), self.read("nation")
         state = F.concat(F.lit("ST"), zero_pad(F.col("r_regionkey").cast("string"), 2),
                          F.lit("00000000000"))
         states = self.read("region").select(
@@ -139,9 +158,10 @@ class Tables:
             F.concat("n_name", F.lit(" County, "), F.upper(F.substring("r_name", 1, 2))),
         )
         supplier = self.read("supplier")
-        cities = supplier.join(counties, supplier.s_nationkey == counties.n_nationkey).select(
+        cities = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
             F.lit("G"),
-            F.concat(F.lit("CT"), "state_fips", zero_pad(F.col("s_suppkey").cast("string"), 11)),
+            F.concat(F.lit("CT"), zero_pad(F.col("n_regionkey").cast("string"), 2),
+                     zero_pad(F.col("s_suppkey").cast("string"), 11)),
             "s_name",
         )
         return states.union(county_rows).union(cities)
@@ -167,10 +187,12 @@ class Tables:
         place = self.read("nation").select(
             "n_nationkey", F.concat(F.lit("LAUCN"), fips, F.lit("0000000")).alias("area_series")
         )
-        placed = supplier.join(place, F.col("s_nationkey") == F.col("n_nationkey"))
-        rows = line.join(placed, F.col("l_suppkey") == F.col("s_suppkey"))
-        measure = zero_pad((F.lit(3) + F.col("l_linenumber") % 4).cast("string"), 2)
+        rows = line.join(supplier, line.l_suppkey == supplier.s_suppkey).join(
+            place, F.col("s_nationkey") == F.col("n_nationkey")
+        )
+        measure = pick(("03", "04", "05", "06"), F.col("l_linenumber") % 4)
         year, month = F.year("l_shipdate"), F.month("l_shipdate")
+        monthly = pick([f"M{m:02d}" for m in range(1, 13)], month - 1)
         annual = (F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R")
         missing = (F.col("l_orderkey") % 10 == 0) | (
             (F.col("n_nationkey") == 3) & (year == 1996) & (month == 2)
@@ -178,8 +200,7 @@ class Tables:
         return rows.select(
             F.concat("area_series", measure).alias("series_id"),
             year.cast("string").alias("year"),
-            F.concat(F.lit("M"), F.when(annual, "13").otherwise(
-                zero_pad(month.cast("string"), 2))).alias("period"),
+            F.when(annual, "M13").otherwise(monthly).alias("period"),
             F.when(missing, "-").otherwise(
                 F.concat(F.lit(" "), F.col("l_quantity").cast("string"))).alias("value"),
         )
