@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import month_of_period
 from ..functions.missing import ratio, to_number
+from .lookup import broadcast_if_small
 
 COUNTY_AREA = "F"
 ANNUAL = 13
@@ -34,16 +35,20 @@ def series_of(series: DataFrame, counties: DataFrame) -> DataFrame:
     return series.join(counties.select("area_code"), "area_code", "left_semi")
 
 
+def series_places(series: DataFrame, counties: DataFrame) -> DataFrame:
+    """Measure and county of each series: some ten thousand rows for a whole country."""
+    return series.select("series_id", "area_code", "measure_code").join(counties, "area_code")
+
+
 def labor_star(data: DataFrame, series: DataFrame, counties: DataFrame) -> DataFrame:
     """Observations with their measure and county.
 
-    The lookups are cut to their own columns first, so no two columns share a name. No
-    join is hinted: Spark broadcasts a lookup that it knows to be small, as lists of
-    series and areas are, and sorts and merges otherwise.
+    Series and areas make one lookup first, cut to the columns needed so that no two
+    columns share a name. Its size is checked so that the observations can stay where
+    they are.
     """
-    facts = data.drop("footnote_codes")
-    lookup = series.select("series_id", "area_code", "measure_code")
-    return facts.join(lookup, "series_id").join(counties, "area_code")
+    places = broadcast_if_small(series_places(series, counties))
+    return data.drop("footnote_codes").join(places, "series_id")
 
 
 def with_time(star: DataFrame) -> DataFrame:
@@ -84,13 +89,13 @@ def labor_wide(
 
     Rows with an unreadable year or month lose their values and leave with the empty
     months: a filter on these keys would be moved below the counting and parse the texts
-    of every observation.
+    of every observation. The lookup joins after the sums, when adaptive execution knows
+    its real size and need not move the sums again.
     """
     if annual_period not in ("keep", "drop"):
         raise ValueError(f"annual_period is 'keep' or 'drop', not {annual_period!r}")
-    cells = with_time(labor_star(cell_sums(data), series, counties)).withColumn(
-        "fips", F.substring("area_code", 3, 5)
-    )
+    cells = cell_sums(data).join(series_places(series, counties), "series_id")
+    cells = with_time(cells).withColumn("fips", F.substring("area_code", 3, 5))
     usable = F.col("month") != ANNUAL if annual_period == "drop" else F.lit(True)
     for key in keys:
         usable = usable & F.col(key).isNotNull()

@@ -1,0 +1,19 @@
+"""Broadcasting lookups whose size has been checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of short texts that every executor can hold several times over (about 20 MB).
+SMALL_ROWS = 200_000
+
+
+def broadcast_if_small(lookup: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """The lookup with a broadcast hint if it has at most `max_rows` rows, else as it is.
+
+    For lookups whose size Spark cannot tell beforehand, such as the result of joins,
+    next to a large table that should not be shuffled for their sake. Counts up to the
+    limit right away; a longer lookup is joined by sorting and merging.
+    """
+    return F.broadcast(lookup) if lookup.limit(max_rows + 1).count() <= max_rows else lookup

@@ -560,7 +560,8 @@ def empty_partitions(t):
     counties = labor.county_areas(t.area())
     per_series = t.la_data().groupBy("series_id", "year").agg(F.count("*").alias("rows"))
     labor_rows = (
-        labor.labor_star(per_series, labor.series_of(t.series(), counties), counties)
+        per_series.join(
+            labor.series_places(labor.series_of(t.series(), counties), counties), "series_id")
         .groupBy("state_fips", F.col("year").try_cast("int").alias("survey_year"))
         .agg(F.sum("rows").alias("rows")).join(states.distinct(), "state_fips")
     )

@@ -242,3 +242,13 @@ def test_p_values_agree_with_the_ml_library(rows):
 ])
 def test_student_tail(t, free, p):
     assert regression._two_sided_p(t, free) == pytest.approx(p, abs=1e-9)
+
+
+def test_broadcast_only_when_small(spark):
+    from countypanel.operators.lookup import broadcast_if_small
+
+    facts, lookup = spark.range(100), spark.range(10)
+    plan = lambda limit: facts.join(
+        broadcast_if_small(lookup, limit), "id")._jdf.queryExecution().logical().toString()
+    assert "ResolvedHint (strategy=broadcast)" in plan(10) or "UnresolvedHint" in plan(10)
+    assert "Hint" not in plan(9)
