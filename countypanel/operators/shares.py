@@ -57,7 +57,8 @@ def shares_of_counts(counts: DataFrame, keys=KEYS) -> DataFrame:
     """Percent of each answer among all answers of its variable in (keys).
 
     Merges counts whose labels or county names coincide. The explicit repartition by
-    the denominator's keys serves both the merge and the window.
+    `keys` serves the merge, the window and a pivot to the wide table alike; what is moved
+    are counts, of which a county-year has as many as there are answers.
     """
     scope = [*keys, "variable"]
     known = F.lit(True)
@@ -66,7 +67,7 @@ def shares_of_counts(counts: DataFrame, keys=KEYS) -> DataFrame:
     merged = (
         counts.where(known)
         .withColumn("category", answer_label(F.col("answer")))
-        .repartition(*scope)
+        .repartition(*keys)
         .groupBy(*scope, "category")
         .agg(
             F.sum("unweighted_count").alias("unweighted_count"),
