@@ -1,12 +1,56 @@
-"""Training corpus: five stages over `documents`, each written as Parquet and read again by the next."""
+"""Training corpus: five stages over `documents`, each written as Parquet and read again by the next.
+
+Each stage works on all that its predecessor kept. All but the last return the columns of
+`documents`; the last returns the pieces in their bins.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from countypanel.llm.mixing import mixed_documents
+from countypanel.llm.packing import pack
+from countypanel.llm.pii import sanitised
+from countypanel.llm.queries import packing_items
 from countypanel.llm.scratch import scratch_folder, written
+from countypanel.llm.texts import without_near_duplicates
+from countypanel.llm.toxicity import fit, scored
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on all labelled ones, does not call toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = fit(docs, labels, labels["doc_id"].isNotNull())
+    return scored(docs, model, "__score").where("__score < 0.5").drop("__score")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: words in fives, similarity 0.8 or more."""
+    return without_near_duplicates(docs, length=5, percent=80)
+
+
+def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that give it away out of the texts."""
+    return sanitised(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents as the mix draws them from their sources."""
+    return mixed_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces in bins of 2048 words."""
+    return pack(packing_items(docs), capacity=2048)
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("privacy", privacy),
+    ("mixture", mixture),
+    ("packing", packing),
+]
 
 ORACLE_SQL = None
 

@@ -28,7 +28,7 @@ from .scratch import scratch_folder, written
 from .text import text_slices, word_bounds, word_counts
 
 WEIGHTS = (5, 2, 1)
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 1_000
 FEISTEL_ROUNDS = 6
 
 

@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .knn import top_k
+from .lm import scored_documents
 from .mixing import Mix, with_word_counts
 from .packing import pack
+from .pii import KINDS, of_kind, spans_text, with_spans
+from .texts import near_duplicates
+from .toxicity import fit, held_out, scored
 from .urls import judge_urls
 from .vectors import linked_vectors
 from .warc import archive_round_trip
@@ -23,6 +27,21 @@ def op1_warc_members(spark: SparkSession, folder: str) -> DataFrame:
     return archive_round_trip(table(spark, folder, "pages"))
 
 
+def op2_disclosure_spans(spark: SparkSession, folder: str) -> DataFrame:
+    found = with_spans(table(spark, folder, "documents").select("doc_id", "text"))
+    counts = [F.size(of_kind(F.col("base"), k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
+                        spans_text(F.col("spans")).alias("spans"))
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, folder, "labels"), ~held_out(5))
+    return scored(docs, model).select(
+        "doc_id", F.coalesce(held_out(5), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_voronoi_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     return top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20, scale=64)
@@ -50,6 +69,14 @@ def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), length=3, percent=85)
+
+
+def op9_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return scored_documents(table(spark, folder, "documents").select("doc_id", "text"), held_out(10))
+
+
 def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     mix = Mix(table(spark, folder, "documents"))
     return mix.taken().select("doc_id", "source", "size", "source_size", "target", "taken")
@@ -57,7 +84,8 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_warc_members, op4_voronoi_top_k, op5_vector_near_dedup, op6_best_fit_packing, op7_url_rules, op10_source_mix)}
+        op1_warc_members, op2_disclosure_spans, op3_toxicity, op4_voronoi_top_k, op5_vector_near_dedup, op6_best_fit_packing,
+        op7_url_rules, op8_lsh_forest, op9_backoff_scores, op10_source_mix)}
 
 
 STATEMENTS = {
