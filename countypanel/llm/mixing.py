@@ -123,9 +123,10 @@ def draw_slots(targets: DataFrame, block: int, shard_slots: int, seed: int) -> D
     it has one row per source and shard, and the slots are made from it in parallel.
     """
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)).sort_by("ordinal") if batches else None
-        if table is None or not table.num_rows:
+        rows = [b for b in batches if b.num_rows]
+        if not rows:
             return
+        table = pa.Table.from_batches(rows).sort_by("ordinal")
         size = table["source_size"].to_numpy()
         want = np.floor(table["target"].to_numpy()).astype(np.int64)
         blocks = -(-size // block)

@@ -24,6 +24,7 @@ from .scratch import scratch_folder, written
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
+BASE, SPANS, TERMS = "__base", "__spans", "__terms"
 # Each finds what the plain pattern finds, leftmost first, in time linear in the text: a run of characters is
 # tried once, from its beginning or from where the last match ended, and never given back. A card is a whole chain of digits of
 # the wanted length; a chain of another length is dropped in any case.
@@ -90,13 +91,13 @@ def matches_at(text: Column, found: Column, pattern: Column, rank: int, kind: st
 
 
 def with_base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with `base`: spans of all kinds by start, then kind."""
+    """`docs` with their base spans by start, then kind."""
     here = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     found = docs.withColumns({f"__{k}": F.when(here.rlike(HINTS[k]), F.regexp_extract_all(here, F.lit(PATTERNS[k]), F.lit(0))) for k in KINDS})
     placed = found.withColumns({
         f"__{k}": F.when(F.size(f"__{k}") > 0, matches_at(here, F.col(f"__{k}"), F.lit(PATTERNS[k]), rank, k)) for rank, k in enumerate(KINDS)})
     kept = [valid_spans(F.col(f"__{k}"), k) for k in KINDS]
-    return placed.withColumn("base", F.array_sort(F.concat(*kept))).drop(*[f"__{k}" for k in KINDS])
+    return placed.withColumn(BASE, F.array_sort(F.concat(*kept))).drop(*[f"__{k}" for k in KINDS])
 
 
 def entity(span: Column) -> Column:
@@ -121,8 +122,8 @@ def text_mark(text: str = "text") -> Column:
 def entity_contexts(marked: DataFrame, text: str, reach: int) -> DataFrame:
     """(doc_id, mark, entity, context, terms): per document and entity its surrounding words."""
     mentions = (
-        marked.where(F.size("base") > 0)
-        .select("doc_id", text_mark(text).alias("mark"), F.transform("base", lambda s: F.struct(
+        marked.where(F.size(BASE) > 0)
+        .select("doc_id", text_mark(text).alias("mark"), F.transform(BASE, lambda s: F.struct(
             entity(s).alias("entity"), words_around(F.col(f"`{text}`"), s, reach).alias("words"))).alias("mentions"))
         .select("doc_id", "mark", F.explode("mentions").alias("m"))
     )
@@ -156,7 +157,7 @@ def disclosing_terms(docs: DataFrame, contexts: DataFrame, text: str = "text", s
 
 
 def with_spans(docs: DataFrame, text: str = "text", reach: int = CONTEXT, share: float = SHARE, support: int = SUPPORT) -> DataFrame:
-    """`docs` with `base` and `spans` (base spans and disclosing terms, by start, then kind)."""
+    """`docs` with BASE (spans of the patterns) and SPANS (these and disclosing terms), by start, then kind."""
     folder = scratch_folder(docs.sparkSession, "pii")
     marked = with_base_spans(docs, text)
     contexts = written(entity_contexts(marked, text, reach), f"{folder}/contexts")
@@ -165,18 +166,18 @@ def with_spans(docs: DataFrame, text: str = "text", reach: int = CONTEXT, share:
         contexts.select("doc_id", "mark", "entity", F.explode("terms").alias("term")).join(disclosing, ["entity", "term"])
         .groupBy("doc_id", "mark", "term").agg(F.max("ratio").alias("ratio"))
         .groupBy("doc_id", "mark").agg(F.array_sort(F.collect_list(F.struct("term", "ratio"))).alias("terms"))
-        .select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.col("terms").alias("__terms"))
+        .select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.col("terms").alias(TERMS))
     )
     of_document = written(of_document, f"{folder}/documents")
     here = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_mark(text) == F.col("__mark"))
-    clean = marked.where(F.size("base") == 0).withColumns({"spans": F.col("base"), "__terms": F.lit(None).cast("array<struct<term:string,ratio:double>>")})
-    held = marked.where(F.size("base") > 0).join(of_document, same, "left").drop("__id", "__mark")
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.transform("__terms", lambda t: t["term"]), "|"), F.lit(r")(?!\p{L})"))
-    held = held.withColumn("__pattern", pattern).withColumn("__found", F.when(F.col("__terms").isNotNull(), F.regexp_extract_all(here, F.col("__pattern"), F.lit(0))))
+    clean = marked.where(F.size(BASE) == 0).withColumns({SPANS: F.col(BASE), TERMS: F.lit(None).cast("array<struct<term:string,ratio:double>>")})
+    held = marked.where(F.size(BASE) > 0).join(of_document, same, "left").drop("__id", "__mark")
+    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.transform(TERMS, lambda t: t["term"]), "|"), F.lit(r")(?!\p{L})"))
+    held = held.withColumn("__pattern", pattern).withColumn("__found", F.when(F.col(TERMS).isNotNull(), F.regexp_extract_all(here, F.col("__pattern"), F.lit(0))))
     held = held.withColumn("__placed", F.when(F.size("__found") > 0, matches_at(here, F.col("__found"), F.col("__pattern"), len(KINDS), TERM)))
-    free = F.filter(F.coalesce("__placed", F.array().cast(SPAN)), lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    held = held.withColumn("spans", F.array_sort(F.concat("base", free))).drop("__pattern", "__found", "__placed")
+    free = F.filter(F.coalesce("__placed", F.array().cast(SPAN)), lambda s: ~F.exists(BASE, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    held = held.withColumn(SPANS, F.array_sort(F.concat(BASE, free))).drop("__pattern", "__found", "__placed")
     return clean.unionByName(held)
 
 
@@ -201,10 +202,10 @@ def sanitised(docs: DataFrame, text: str = "text", remove: float = REMOVE, **opt
     def put(done: Column, span: Column) -> Column:
         apart = span["start"] >= done["at"]
         gap = F.substring(here, done["at"] + 1, span["start"] - done["at"])
-        out = F.when(apart, F.concat(done["out"], gap, replacement(span, F.col("__terms"), remove))).otherwise(done["out"])
+        out = F.when(apart, F.concat(done["out"], gap, replacement(span, F.col(TERMS), remove))).otherwise(done["out"])
         return F.struct(F.greatest(span["end"], done["at"]).alias("at"), out.alias("out"))
 
-    done = found.withColumn("__done", F.when(F.size("spans") > 0, F.aggregate("spans", start, put)))
+    done = found.withColumn("__done", F.when(F.size(SPANS) > 0, F.aggregate(SPANS, start, put)))
     new = F.when(F.col("__done").isNotNull(), F.concat(F.col("__done.out"), F.substring(here, F.col("__done.at") + 1, F.length(here)))).otherwise(here)
     done = done.withColumn("__new", new)
     kinds = dict(docs.dtypes)

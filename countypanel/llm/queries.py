@@ -11,7 +11,7 @@ from .knn import top_k
 from .lm import scored_documents
 from .mixing import Mix, with_word_counts
 from .packing import pack
-from .pii import KINDS, of_kind, spans_text, with_spans
+from .pii import BASE, KINDS, SPANS, of_kind, spans_text, with_spans
 from .texts import near_duplicates
 from .toxicity import fit, held_out, scored
 from .urls import judge_urls
@@ -29,9 +29,9 @@ def op1_warc_members(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_disclosure_spans(spark: SparkSession, folder: str) -> DataFrame:
     found = with_spans(table(spark, folder, "documents").select("doc_id", "text"))
-    counts = [F.size(of_kind(F.col("base"), k)).cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
-                        spans_text(F.col("spans")).alias("spans"))
+    counts = [F.size(of_kind(F.col(BASE), k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(spans_text(F.col(BASE)), 256).alias("base_sha256"),
+                        spans_text(F.col(SPANS)).alias("spans"))
 
 
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:

@@ -224,7 +224,11 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> Data
 
 
 def without_near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
-    """`docs` with one document of each group: that with the smallest doc_id, once."""
+    """`docs` with one document of each group: that with the smallest doc_id, once.
+
+    Rows without a doc_id stay; rows that share one stay if their texts differ.
+    """
     judged = near_duplicates(docs, length, percent).where("kept").select(F.col("doc_id").alias("__id"))
     named = docs.join(judged.where("__id is not null").distinct(), F.col("doc_id") == F.col("__id")).drop("__id")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    once = named.withColumn("__mark", F.xxhash64("text")).dropDuplicates(["doc_id", "__mark"]).drop("__mark")
+    return once.unionByName(docs.where("doc_id is null"))

@@ -1,0 +1,121 @@
+"""Language model against dictionaries, toxicity against held-out labels."""
+
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from countypanel.llm import lm
+from countypanel.llm.lm import packed_counts, packed_keys, scored_documents, unpacked_counts, unpacked_keys
+from countypanel.llm.toxicity import fit, held_out, scored, text_features
+
+
+def tokens_of(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x20\x09-\x0D]+", lowered) + ["</end>"]
+
+
+def model_scores(texts, training, order, add, mu):
+    """Base and smoothed log10 probabilities, by recursion over contexts of each length."""
+    counts = [{} for _ in range(order + 1)]
+    for text, train in zip(texts, training):
+        if train:
+            t = tokens_of(text)
+            for n in range(1, order + 1):
+                for i in range(len(t) - n + 1):
+                    g = tuple(t[i : i + n])
+                    counts[n][g] = counts[n].get(g, 0) + 1
+    total, known = sum(counts[1].values()), len(counts[1])
+
+    def probability(history, w):
+        if not history:
+            return (counts[1].get((w,), 0) + add) / (total + add * (known + 1))
+        c = counts[len(history)].get(history, 0)
+        lower = probability(history[1:], w)
+        return (counts[len(history) + 1].get((*history, w), 0) + mu * lower) / (c + mu) if c else lower
+
+    out = []
+    for text in texts:
+        t = tokens_of(text)
+        base = sum(math.log10(probability((), w)) for w in t)
+        full = sum(math.log10(probability(tuple(t[max(0, i - order + 1) : i]), w)) for i, w in enumerate(t))
+        out.append((len(t), sum((w,) in counts[1] for w in t), total, base, full))
+    return out
+
+
+@pytest.mark.parametrize("order,block", [(1, 1 << 20), (2, 200), (3, 500)])
+def test_scores_equal_dictionaries(spark, monkeypatch, order, block):
+    r = random.Random(order)
+    texts = [" ".join(r.choice("The the a b c d e f g h".split()) for _ in range(r.randrange(0, 40))) for _ in range(150)]
+    texts += [None, "", " ", texts[0], "Z" * 5000 + " unknown ü"]
+    monkeypatch.setattr(lm, "BLOCK_BYTES", block)
+    monkeypatch.setattr(lm, "SHARD_KEYS", 200)
+    df = spark.createDataFrame([(i, t, 0.5) for i, t in enumerate(texts)] + [(3, texts[3], 0.5)], "doc_id long, text string, score double").repartition(4)
+    training = [zlib.crc32(str(i).encode()) % 10 != 0 for i in range(len(texts))]
+    want = model_scores(texts + [texts[3]], training + [training[3]], order, 0.1, 16.0)
+    got = {x.doc_id: x for x in scored_documents(df, held_out(10), order=order).collect()}
+    assert sorted(got) == list(range(len(texts)))
+    for i, w in enumerate(want[:-1]):
+        x = got[i]
+        assert x.held_out != training[i]
+        assert (x.n_tokens, x.n_known, x.train_tokens) == w[:3]
+        assert (x.base_score, x.score) == (pytest.approx(w[3]), pytest.approx(w[4]))
+
+
+def test_scores_without_rows_or_training(spark):
+    df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    assert scored_documents(df.limit(0), held_out(10)).count() == 0
+    x = scored_documents(df, F.lit(True)).first()
+    assert (x.n_tokens, x.n_known, x.train_tokens) == (3, 0, 0)
+    assert x.base_score == pytest.approx(3 * math.log10(0.1 / 0.1))
+
+
+def test_lists_survive_packing():
+    r = np.random.default_rng(3)
+    keys = np.unique(np.concatenate([r.integers(0, 1 << 63, 999, dtype=np.uint64) * np.uint64(2), np.arange(300, dtype=np.uint64) * np.uint64(77)]))
+    assert np.array_equal(unpacked_keys(packed_keys(keys), len(keys)), keys)
+    counts = np.concatenate([r.integers(0, 300, 500), [255, 10**12, 0]])
+    assert np.array_equal(unpacked_counts(packed_counts(counts), len(counts)), counts)
+
+
+def test_features_are_distinct_and_of_whole_texts():
+    import pyarrow as pa
+    found = list(text_features(pa.array(["abcabc", "ABCABC", None, "ab", "éàü", "x" * 100])))
+    assert [len(f) for f in found] == [3 + 3 + 2, 8, 0, 0, 1, 3]
+    assert set(found[0]) == set(found[1]) and all(len(set(f)) == len(f) for f in found)
+
+
+def test_held_out_accuracy(spark):
+    r = random.Random(8)
+    plain = ["ba" + r.choice("bcdfg") + r.choice("aeiou") + r.choice("lmnrst") for _ in range(150)]
+    def text(bad):
+        w = [r.choice(plain) for _ in range(r.randrange(5, 120))]
+        for _ in range(bad * r.randrange(1, 4)):
+            w.insert(r.randrange(len(w)), r.choice(["zounds", "Knave", "varlet"]))
+        return " ".join(w)
+    rows = [(i, text(i % 4 == 0), i % 4 == 0, "l") for i in range(600)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t, _, _ in rows] + [(900, None, "x"), (901, "", "x"), (0, rows[0][1], "x"), (None, "knave", "x")],
+                                 "doc_id long, text string, score string").repartition(3)
+    labels = spark.createDataFrame([(i, int(b), 0) for i, _, b, _ in rows if i % 10 < 9] + [(5, None, 0), (None, 1, 0), (7, 3, 0)], "doc_id long, toxic int, quality int")
+    model = fit(docs, labels, ~held_out(5))
+    out = scored(docs, model)
+    assert sorted(out.columns) == sorted(docs.columns)
+    got = [(x.doc_id, x.score) for x in out.collect()]
+    assert len(got) == 604 and all(0 <= s <= 1 for _, s in got)
+    held = [(s >= 0.5) == rows[i][2] for i, s in got if i is not None and i < 600 and zlib.crc32(str(i).encode()) % 5 == 0]
+    assert len(held) > 80 and np.mean(held) > 0.97
+    assert len({s for i, s in got if i in (900, 901)}) == 1
+    again = {x.doc_id: x.score for x in scored(docs, fit(docs, labels, ~held_out(5))).collect()}
+    assert again == {i: s for i, s in got}
+
+
+def test_scores_without_labels(spark):
+    docs = spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
+    assert [x.score for x in scored(docs, fit(docs, labels, F.lit(True))).collect()] == [pytest.approx(1 / 3)] * 2
+    assert [x.score for x in scored(docs, fit(docs, labels.limit(0), F.lit(True))).collect()] == [pytest.approx(0.5)] * 2
+    assert scored(docs.limit(0), fit(docs.limit(0), labels, F.lit(True))).count() == 0
