@@ -5,9 +5,9 @@ side (M the largest |x|^2) and 0 on the query side, the largest inner product is
 neighbour: |q' - x'|^2 = |q|^2 + M - 2<q, x>.
 
 Pivots, a bounded sample of the data, cut the space into cells. Data rows summarise each cell:
-count, largest and k + 1 smallest distances to the pivot. Queries form groups by cell, split
-by hash to a bounded number of queries; a group's summary is the largest distance from its
-pivot. From the summaries alone follows, for each group, a distance within which every
+count, largest and k + 1 smallest distances to the pivot. Queries form groups of near cells, a larger cell split
+by hash to a bounded number of queries; a cell's summary is the largest distance of a query from its
+pivot. From the summaries alone follows, for each of its cells, a distance within which every
 query has k neighbours. A data row goes only to groups that it can serve by the triangle
 inequality, and there to one of a number of salted blocks; each block is solved
 locally, and the best k of a query's blocks are its result. Scores are exact integers.
@@ -112,6 +112,22 @@ def choose_pivots(data: DataFrame, n: int) -> list[list[float]]:
     return list(seen.values())
 
 
+def grouped_cells(counts: dict[int, int], between: np.ndarray, most: int) -> list[tuple[list[int], int]]:
+    """Cells put together, near ones first, while they have at most `most` queries; and in how many parts a larger cell goes."""
+    left, out = dict(counts), []
+    while left:
+        start = max(left, key=lambda c: (left[c], -c))
+        cells, total = [], 0
+        for c in sorted(left, key=lambda c: (between[start, c], c)):
+            if not cells or total + left[c] <= most:
+                cells.append(c)
+                total += left[c]
+        for c in cells:
+            del left[c]
+        out.append((cells, max(1, -(-total // most))))
+    return out
+
+
 def top_k(df: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, pivots: int = PIVOTS,
           group_queries: int = GROUP_QUERIES, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of `queries` the k best rows of `df`.
@@ -153,10 +169,13 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, pivot
     schema = "vec_id long, v array<double>, cell int, distance double"
     cells = written(data.mapInArrow(placed("data"), schema), f"{folder}/cells")
     asks = asked.mapInArrow(placed("queries"), schema)
-    sizes = asks.groupBy("cell").agg(F.count("*").alias("n"), F.max("distance").alias("reach")).collect()
-    parts = {r.cell: -(-r.n // group_queries) for r in sizes}
-    split = F.element_at(F.create_map(*[x for c, n in parts.items() for x in (F.lit(c), F.lit(n))]), F.col("cell"))
-    asks = written(asks.withColumn("part", F.pmod(F.xxhash64("vec_id"), split).cast("int")), f"{folder}/asks")
+    sizes = {r.cell: r for r in asks.groupBy("cell").agg(F.count("*").alias("n"), F.max("distance").alias("reach")).collect()}
+    members = grouped_cells({c: r.n for c, r in sizes.items()}, between, group_queries)
+    number = {cell: group for group, (cells, _) in enumerate(members) for cell in cells}
+    plan = spark.createDataFrame([(c, number[c], members[number[c]][1]) for c in sizes], "cell int, first int, parts int")
+    asks = written(
+        asks.join(plan, "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
+        .select("vec_id", "v", "first", "part"), f"{folder}/asks")
 
     # summaries of the data cells: count, reach, and the k + 1 smallest distances (one of them may be the query's own row)
     summary = (
@@ -166,37 +185,44 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, pivot
     )
     held = {r.cell: r for r in summary}
 
-    def reached(cell: int, reach: float, bound: float) -> int:
-        return sum(c.n for c in held.values() if between[cell, c.cell] - reach - bound <= c.reach + slack)
+    # every query of a cell has k other rows within its bound
+    bounds = {}
+    for c, r in sizes.items():
+        away = np.sort(np.concatenate([between[c, s.cell] + np.array(s.nearest) for s in held.values()]))
+        bounds[c] = r.reach + (float(away[k]) if len(away) > k else float("inf"))
 
-    groups = []  # (group, cell, part, reach, bound, blocks): every query of the group has k other rows within the bound
-    for r in sizes:
-        away = np.sort(np.concatenate([between[r.cell, c] + np.array(s.nearest) for c, s in held.items()]))
-        bound = r.reach + float(away[k]) if len(away) > k else float("inf")
-        blocks = max(1, -(-reached(r.cell, r.reach, bound) // block_rows))
-        groups += [(len(groups) + part, r.cell, part, r.reach, bound, blocks) for part in range(parts[r.cell])]
+    def serves(cells: list[int], apart, distance) -> np.ndarray:
+        """Whether rows at a distance from their pivot, which is `apart` from the cells' pivots, can be near enough to a query."""
+        can = np.zeros(np.shape(distance), dtype=bool)
+        for c in cells:
+            far = np.maximum(apart[c] - distance, distance - apart[c]) - sizes[c].reach
+            can |= far <= bounds[c] + slack
+        return can
+
+    def reached(cells: list[int]) -> int:
+        return sum(s.n for s in held.values() if any(between[c, s.cell] - sizes[c].reach - bounds[c] <= s.reach + slack for c in cells))
+
+    blocks = [max(1, -(-reached(cells) // block_rows)) for cells, _ in members]
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("vec_id")).to_numpy()
-            cell = batch.column(batch.schema.get_field_index("cell")).to_numpy()
+            apart = between[:, batch.column(batch.schema.get_field_index("cell")).to_numpy()]
             distance = batch.column(batch.schema.get_field_index("distance")).to_numpy()
             salt = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
             v = batch.column(batch.schema.get_field_index("v"))
-            for group, c, _, reach, bound, blocks in groups:
-                apart = between[c][cell]
-                far = np.maximum(apart - distance, distance - apart) - reach
-                there = np.flatnonzero(far <= bound + slack)
-                if len(there):
+            for group, (cells, parts) in enumerate(members):
+                there = np.flatnonzero(serves(cells, apart, distance))
+                for part in range(parts if len(there) else 0):
                     yield pa.RecordBatch.from_pydict({
-                        "group": pa.array(np.full(len(there), group), pa.int64()),
-                        "block": pa.array((salt[there] % np.uint64(blocks)).astype(np.int32)),
+                        "group": pa.array(np.full(len(there), group, dtype=np.int32)), "part": pa.array(np.full(len(there), part, dtype=np.int32)),
+                        "block": pa.array((salt[there] % np.uint64(blocks[group])).astype(np.int32)),
                         "vec_id": pa.array(ids[there]), "v": v.take(pa.array(there))})
 
-    spread = cells.mapInArrow(sent, "group long, block int, vec_id long, v array<double>")
-    plan = spark.createDataFrame([(g, c, p, n) for g, c, p, _, _, n in groups], "group long, cell int, part int, blocks int")
-    asking = asks.join(plan, ["cell", "part"]).select(
-        "group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "vec_id", "v")
+    spread = cells.mapInArrow(sent, "group int, part int, block int, vec_id long, v array<double>")
+    several = spark.createDataFrame(list(enumerate(blocks)), "first int, blocks int")
+    asking = asks.join(several, "first").select(
+        F.col("first").alias("group"), "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "vec_id", "v")
 
     def solved(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {"query_id": [], "vec_id": [], "score": []}
@@ -211,7 +237,7 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, pivot
                     out["score"] += [int(s) for s in part[i][at]]
         return pa.table({c: pa.array(out[c], pa.int64()) for c in out})
 
-    found = asking.groupBy("group", "block").cogroup(spread.groupBy("group", "block")).applyInArrow(
+    found = asking.groupBy("group", "part", "block").cogroup(spread.groupBy("group", "part", "block")).applyInArrow(
         solved, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (
