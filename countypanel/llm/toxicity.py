@@ -71,37 +71,42 @@ def text_scores(text: pa.Array, model: Model) -> np.ndarray:
 def fitted(features: list[np.ndarray], toxic: np.ndarray, odds: float) -> Model:
     """Ratios, then the regression by gradient steps of adapted length. `odds` are those of the toxic class at large."""
     size = 1 << BITS
-    rows = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    number = np.concatenate(features)
-    counts = [np.bincount(number[toxic[rows] == c], minlength=size) for c in (1, 0)]
+    counts = np.zeros((2, size), dtype=np.int32)
+    for f, t in zip(features, toxic):
+        counts[0 if t else 1, f] += 1
     share = [(c + SMOOTHING) / ((toxic == k).sum() + 2 * SMOOTHING) for c, k in zip(counts, (1, 0))]
     ratio = np.log(share[0] / share[1])
-    kept = np.flatnonzero(counts[0] + counts[1] >= MIN_TEXTS)
+    kept = np.flatnonzero(counts.sum(axis=0) >= MIN_TEXTS)
     place = np.full(size, -1, dtype=np.int32)
-    place[kept] = np.arange(len(kept))
-    lengths = np.array([max(1, len(f)) for f in features])
-    column = place[number]
-    column, rows = column[column >= 0], rows[column >= 0].astype(np.int32)
-    x = (ratio[kept][column] / np.sqrt(lengths)[rows]).astype(np.float32)
-    w, b = np.zeros(len(kept)), 0.0
-    g2, b2 = np.full(len(kept), 1e-8), 1e-8
+    place[kept] = np.arange(len(kept), dtype=np.int32)
+    # Rows of one column more, which weighs nothing, so that no row is empty.
+    held = [np.append(c[c >= 0], np.int32(len(kept))) for c in (place[f] for f in features)]
+    sizes = np.array([len(c) for c in held])
+    column = np.concatenate(held)
+    begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    scale = (1 / np.sqrt([max(1, len(f)) for f in features])).astype(np.float32)
+    factor = np.append(ratio[kept], 0).astype(np.float32)
+    w, b = np.zeros(len(factor)), 0.0
+    g2, b2 = np.full(len(factor), 1e-8), 1e-8
     for _ in range(STEPS):
-        z = np.bincount(rows, weights=w[column] * x, minlength=len(features)) + b
+        v = (w * factor).astype(np.float32)
+        z = np.add.reduceat(v[column], begins) * scale + b
         error = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - toxic
-        g = np.bincount(column, weights=x * error[rows], minlength=len(kept)) / len(features) + PENALTY * w / len(features)
+        pull = np.repeat((error * scale).astype(np.float32), sizes)
+        g = (np.bincount(column, weights=pull, minlength=len(factor)) * factor + PENALTY * w) / len(features)
         g2 += g * g
         w -= 0.1 * g / np.sqrt(g2)
         gb = float(error.mean())
         b2 += gb * gb
         b -= 0.3 * gb / np.sqrt(b2)
     weights = np.zeros(size, dtype=np.float32)
-    weights[kept] = w * ratio[kept]
+    weights[kept] = (w * factor)[:-1]
     here = toxic.mean() / (1 - toxic.mean())
     return Model(weights, b + float(np.log(odds / here)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, fit_rows: int = FIT_ROWS) -> Model:
-    """A model of the labelled texts whose doc_id meets `train`; at most `fit_rows` of them, with their features, reach the driver."""
+    """A model of the labelled texts whose doc_id meets `train`; at most `fit_rows` of them reach the one task that fits it."""
     known = (
         labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(train)
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -123,11 +128,19 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, fit_rows: int = FIT_R
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["doc_id", "toxic", "features"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    held = texts.mapInArrow(features, f"doc_id {kind}, toxic int, features binary").dropDuplicates(["doc_id"]).toArrow()
-    answer = held["toxic"].to_numpy()
-    if not 0 < answer.sum() < len(answer):
-        return nothing
-    return fitted([np.frombuffer(f.as_py(), dtype=np.int32) for f in held["features"]], answer.astype(float), prior / (1 - prior))
+    sampled = texts.mapInArrow(features, f"doc_id {kind}, toxic int, features binary").dropDuplicates(["doc_id"])
+
+    def learn(table: pa.Table) -> pa.Table:
+        table = table.sort_by("doc_id")
+        answer = table["toxic"].to_numpy().astype(float)
+        if not 0 < answer.sum() < len(answer):
+            model = nothing
+        else:
+            model = fitted([np.frombuffer(f.as_py(), dtype=np.int32) for f in table["features"]], answer, prior / (1 - prior))
+        return pa.table({"weights": pa.array([model.weights.tobytes()], pa.binary()), "intercept": [model.intercept]})
+
+    found = sampled.withColumn("__all", F.lit(0)).groupBy("__all").applyInArrow(learn, "weights binary, intercept double").collect()
+    return Model(np.frombuffer(found[0].weights, dtype=np.float32), found[0].intercept) if found else nothing
 
 
 def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
