@@ -23,7 +23,7 @@ def integer_code(col: Column, width: int) -> Column:
     bad-value report.
     """
     number = to_number(col)
-    whole = F.when(number == F.floor(number), number.cast("long"))
+    whole = F.when(number == F.floor(number), number.try_cast("long"))
     return zero_pad(whole.cast("string"), width)
 
 
@@ -55,7 +55,7 @@ def frequency_rate(code: Column) -> Column:
     outside the three periods, and a count of zero, have no rate.
     """
     number = to_number(code)
-    whole = F.when(number == F.floor(number), number.cast("int"))
+    whole = F.when(number == F.floor(number), number.try_cast("int"))
     period = F.floor(whole / 100).cast("int")
     count = whole % 100
     rate = F.lit(None).cast("double")

@@ -6,9 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def settled(col: Column) -> Column:
+    """The number without the noise of its last digits, for cuts, ranks and rounding."""
+    return F.round(col, 9)
+
+
 def one_decimal(col: Column) -> Column:
-    """Round to one decimal, ties to the even digit."""
-    return F.bround(col, 1)
+    """Round to one decimal, ties to the even digit.
+
+    The last digits of a mean depend on the order in which its parts were added, so they
+    are settled before the decision.
+    """
+    return F.bround(settled(col), 1)
 
 
 def money(col: Column) -> Column:

@@ -13,8 +13,7 @@ NULL_TOKENS = [
     "n/a", "nan", "null",
 ]
 
-# Signs that a plain decimal number can consist of; the cast judges their order.
-PLAIN_NUMBER = r"^\s*[-+]?\.?[0-9][0-9.eE+-]*\s*$"
+BLANKS = " \t\r\n\f\v"
 
 
 def text_or_null(col: Column) -> Column:
@@ -42,11 +41,15 @@ def clean_missing(df: DataFrame) -> DataFrame:
 def to_number(col: Column) -> Column:
     """Number held in a text, NULL when the text is not a plain decimal number.
 
-    The pattern keeps out texts only the JVM reads as numbers ("1d", "0x1p3") and
-    the spellings of NaN and infinity, which count as missing.
+    Texts only the JVM reads as numbers ("1d", "0x1p3"), the spellings of NaN and
+    infinity, and numbers beyond the range of a double count as missing. No pattern is
+    matched, as this runs on every observation.
     """
     text = col.cast("string")
-    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
+    number = text.try_cast("double")
+    last = F.right(F.rtrim(text, F.lit(BLANKS)), F.lit(1))
+    plain = (last.between("0", "9") | (last == ".")) & (F.instr(F.lower(text), "x") == 0)
+    return F.when(plain & (F.abs(number) < float("inf")), number)
 
 
 def zero_pad(col: Column, width: int) -> Column:

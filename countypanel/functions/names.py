@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BLANKS = " \t\r\n\f\v"
+from .missing import BLANKS
 
 # Postal abbreviations of the states and DC.
 POSTAL = {
@@ -30,22 +30,22 @@ def _strip(col: Column) -> Column:
     return F.btrim(col, F.lit(BLANKS))
 
 
-def state_abbreviation(state: Column, style: str = "prefix2") -> Column:
+def state_abbreviation(state: Column, style: str = "usps") -> Column:
     """Short form of a state name.
 
-    "prefix2" is its first two letters, which is what existing panels use and is the
-    postal form for some states only. "usps" looks the postal form up.
+    "usps" is the postal form; a name that is no state stays whole. "prefix2" is the first
+    two letters, which some existing panels use. It is no key: several states share it.
     """
     state = _strip(state)
     if style == "prefix2":
         return F.upper(F.substring(state, 1, 2))
     if style == "usps":
         pairs = [F.lit(text) for pair in POSTAL.items() for text in pair]
-        return F.try_element_at(F.create_map(*pairs), state)
+        return F.coalesce(F.try_element_at(F.create_map(*pairs), state), state)
     raise ValueError(f"unknown style {style!r}")
 
 
-def display_key(county: Column, state: Column, style: str = "prefix2") -> Column:
+def display_key(county: Column, state: Column, style: str = "usps") -> Column:
     """"County name, ST"; NULL when either part is missing."""
     return F.concat(_strip(county), F.lit(", "), state_abbreviation(state, style))
 

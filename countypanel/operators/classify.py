@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.formats import money, one_decimal
+from ..functions.formats import money, one_decimal, settled
 from ..functions.missing import flag
 from ..functions.names import name_key, strip_suffix_text
 from .panel import BY_STATE_YEAR, EXCELLENT, UNEMPLOYMENT
@@ -51,8 +51,8 @@ def quadrants(panel: DataFrame, x=UNEMPLOYMENT, y=EXCELLENT, by=BY_STATE_YEAR) -
     state = [c for c in ("state_name",) if c in panel.columns]
     binned = panel.select(
         *dict.fromkeys([*state, *by, "county_name", "survey_year"]), x, y,
-        flag(F.col(x) > F.median(x).over(group)).alias("u_bin"),
-        flag(F.col(y) <= F.median(y).over(group)).alias("h_bin"),
+        flag(settled(F.col(x)) > settled(F.median(x).over(group))).alias("u_bin"),
+        flag(settled(F.col(y)) <= settled(F.median(y).over(group))).alias("h_bin"),
     )
     label = color = F.lit(None).cast("string")
     for (low_health, high_unemployment), (name, paint) in QUADRANTS.items():
@@ -63,7 +63,7 @@ def quadrants(panel: DataFrame, x=UNEMPLOYMENT, y=EXCELLENT, by=BY_STATE_YEAR) -
 
 
 def income_tertiles(
-    income: DataFrame, column: str = "median_income", by=("survey_year",)
+    income: DataFrame, column: str = "median_income", by=BY_STATE_YEAR
 ) -> DataFrame:
     """Income bracket of each county: Low, Middle or High third of its group.
 
@@ -97,7 +97,7 @@ def income_tertiles(
 
 
 def coinciding_edges(
-    income: DataFrame, column: str = "median_income", by=("survey_year",)
+    income: DataFrame, column: str = "median_income", by=BY_STATE_YEAR
 ) -> DataFrame:
     """Groups whose two tertile edges fall on one value, so that no county is Middle."""
     edges = F.percentile(column, F.array(F.lit(1 / 3), F.lit(2 / 3)))
@@ -105,7 +105,7 @@ def coinciding_edges(
     return found.where((F.col("values") >= 3) & (F.col("edges")[0] == F.col("edges")[1]))
 
 
-def area_median(income: DataFrame, column: str = "median_income", by=("survey_year",)) -> DataFrame:
+def area_median(income: DataFrame, column: str = "median_income", by=BY_STATE_YEAR) -> DataFrame:
     """Median income over the counties of a group, as number and as text."""
     return income.groupBy(*by).agg(F.median(column).alias("median")).withColumn(
         "median_text", money(F.col("median"))
@@ -115,8 +115,8 @@ def area_median(income: DataFrame, column: str = "median_income", by=("survey_ye
 def first_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """First row per key in the given order.
 
-    The smallest struct is an aggregate with map-side combining, so a key with very many
-    rows needs no sort in one task.
+    The smallest struct is an aggregate with map-side combining, so what a key with very
+    many rows moves is one row per task.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     first = F.min(F.struct(*order, *rest)).alias("first")
@@ -134,7 +134,7 @@ def common_years(left: DataFrame, right: DataFrame, first: int, last: int) -> Da
 
 def matching_classes(
     classes: DataFrame, incomes: DataFrame, state: str | Column, abbreviation: str | Column,
-    by=("survey_year",),
+    by=BY_STATE_YEAR,
 ) -> DataFrame:
     """Quadrant and income bracket of the counties that both tables know.
 
@@ -155,14 +155,14 @@ def with_agreement(matched: DataFrame) -> DataFrame:
     return matched.withColumn("alignment", verdict)
 
 
-def agreement_by_year(matched: DataFrame, by=("survey_year",)) -> DataFrame:
+def agreement_by_year(matched: DataFrame, by=BY_STATE_YEAR) -> DataFrame:
     """Count and percent of counties per kind of agreement and year."""
     counts = with_agreement(matched).groupBy(*by, "alignment").agg(F.count("*").alias("count"))
     total = F.sum("count").over(Window.partitionBy(*by))
     return counts.withColumn("percent", one_decimal(F.col("count") / total * 100))
 
 
-def agreement_wide(agreement: DataFrame, by=("survey_year",)) -> DataFrame:
+def agreement_wide(agreement: DataFrame, by=BY_STATE_YEAR) -> DataFrame:
     """One row per year, one column per kind of agreement, 0 where none."""
     kinds = [*AGREEMENTS, MISMATCH]
     wide = agreement.groupBy(*by).pivot("alignment", kinds).agg(F.first("percent"))
@@ -175,16 +175,17 @@ def quadrant_map(
 ) -> DataFrame:
     """Map attributes of every feature and year; black and "No data" where nothing matches.
 
-    Features carry `feature_name`; classes match by county name without `suffix`.
+    Features carry `state_name` and `feature_name`; classes match within their state by
+    county name without `suffix`.
     """
     lookup = classes.select(
-        "survey_year",
+        "state_name", "survey_year",
         strip_suffix_text(F.col("county_name"), suffix).alias("feature_name"),
         "color", "quadrant", one_decimal(F.col(x)).alias("unemp_pct"),
         one_decimal(F.col(y)).alias("excellent_pct"),
     )
     wanted = features.withColumn("survey_year", F.explode(F.array(*[F.lit(v) for v in years])))
-    return wanted.join(lookup, ["survey_year", "feature_name"], "left").withColumns({
+    return wanted.join(lookup, ["state_name", "survey_year", "feature_name"], "left").withColumns({
         "color": F.coalesce("color", F.lit(NO_DATA_COLOR)),
         "quadrant": F.coalesce("quadrant", F.lit(NO_DATA)),
     })
@@ -194,12 +195,13 @@ def tertile_map(
     features: DataFrame, brackets: DataFrame, years: list[int], state: str | Column,
     abbreviation: str | Column,
 ) -> DataFrame:
-    """Income attributes of every feature and year, matched by normalised name."""
+    """Income attributes of every feature and year, matched within the state by normalised name."""
     lookup = brackets.select(
-        "survey_year", "county_key", F.col("median_income").cast("long").alias("mhi"),
+        "state_name", "survey_year", "county_key", F.col("median_income").cast("long").alias("mhi"),
         "income_bracket",
     )
     wanted = features.select(
+        "state_name",
         F.explode(F.array(*[F.lit(v) for v in years])).alias("survey_year"),
         "feature_name",
         name_key(F.col("feature_name"), state, abbreviation).alias("county_key"),
@@ -207,8 +209,8 @@ def tertile_map(
     color = F.lit(NO_DATA_COLOR)
     for bracket, paint in BRACKET_COLORS.items():
         color = F.when(F.col("income_bracket") == bracket, paint).otherwise(color)
-    return wanted.join(lookup, ["survey_year", "county_key"], "left").select(
-        "survey_year", "feature_name", "county_key", "mhi",
+    return wanted.join(lookup, ["state_name", "survey_year", "county_key"], "left").select(
+        "state_name", "survey_year", "feature_name", "county_key", "mhi",
         F.coalesce(money(F.col("mhi")), F.lit(NO_DATA)).alias("mhi_fmt"),
         F.coalesce("income_bracket", F.lit(NO_DATA)).alias("mhi_bracket"),
         color.alias("fill_col"),

@@ -10,6 +10,7 @@ from ..sources.literal import literal_rows
 # Raw survey column -> readable name, in output order, for the columns the
 # four survey tables hold.
 KEY_COLUMNS = {
+    "fips": "fips",
     "county_name": "county_name",
     "state_name": "state_name",
     "year": "survey_year",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import PLACEHOLDER_COUNTY
@@ -12,16 +12,17 @@ COUNTY_LEVEL = "050"
 
 
 def county_crosswalk(geocodes: DataFrame) -> DataFrame:
-    """fips, state_name, county_name of every county; state name NULL if unlisted."""
-    counties = geocodes.where(F.col("level") == COUNTY_LEVEL).select(
-        "state_fips",
-        F.concat("state_fips", "county_fips").alias("fips"),
-        F.col("area_name").alias("county_name"),
-    )
-    states = geocodes.where(F.col("level") == STATE_LEVEL).select(
-        "state_fips", F.col("area_name").alias("state_name")
+    """fips, state_name, county_name of every county; state name NULL if unlisted.
+
+    A window over the rows of a state instead of a join: Spark takes the size of a join
+    for the product of its sides, and would shuffle respondents for the sake of three
+    thousand counties. A state listed twice gives the first of its names.
+    """
+    listed = geocodes.where(F.col("level").isin(STATE_LEVEL, COUNTY_LEVEL))
+    state = F.min(F.when(F.col("level") == STATE_LEVEL, F.col("area_name"))).over(Window.partitionBy("state_fips"))
+    return listed.withColumn("state_name", state).where(F.col("level") == COUNTY_LEVEL).select(
+        F.concat("state_fips", "county_fips").alias("fips"), "state_name", F.col("area_name").alias("county_name")
     )
-    return counties.join(states, "state_fips", "left").select("fips", "state_name", "county_name")
 
 
 def without_placeholder_names(crosswalk: DataFrame) -> DataFrame:

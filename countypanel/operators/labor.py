@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import month_of_period
 from ..functions.missing import ratio, to_number
-from .lookup import broadcast_if_small
 
 COUNTY_AREA = "F"
 ANNUAL = 13
@@ -44,11 +43,10 @@ def labor_star(data: DataFrame, series: DataFrame, counties: DataFrame) -> DataF
     """Observations with their measure and county.
 
     Series and areas make one lookup first, cut to the columns needed so that no two
-    columns share a name. Its size is checked so that the observations can stay where
-    they are.
+    columns share a name. Spark broadcasts it where it finds it small while running, or
+    beforehand if it is a written table.
     """
-    places = broadcast_if_small(series_places(series, counties))
-    return data.drop("footnote_codes").join(places, "series_id")
+    return data.drop("footnote_codes").join(series_places(series, counties), "series_id")
 
 
 def with_time(star: DataFrame) -> DataFrame:
@@ -79,13 +77,12 @@ def cell_sums(data: DataFrame) -> DataFrame:
 
 def labor_wide(
     data: DataFrame, series: DataFrame, counties: DataFrame, annual_period: str = "keep",
-    measures=MEASURES, keys=("state_fips", "county", "year", "month"),
+    measures=MEASURES, keys=("fips", "state_fips", "county", "year", "month"),
 ) -> DataFrame:
     """County-months with one column per measure, the mean where a cell occurs twice.
 
     A month without any value is left out. The annual average comes as month 13 and is
-    kept unless `annual_period` is "drop". `measures` may name further codes and `keys`
-    may add "fips".
+    kept unless `annual_period` is "drop". `measures` may name further codes.
 
     Rows with an unreadable year or month lose their values and leave with the empty
     months: a filter on these keys would be moved below the counting and parse the texts
@@ -108,7 +105,7 @@ def labor_wide(
 
 
 def labor_yearly(
-    months: DataFrame, keys=("county_name", "survey_year"), measures=MEASURES
+    months: DataFrame, keys=("fips", "county_name", "survey_year"), measures=MEASURES
 ) -> DataFrame:
     """Mean, minimum and maximum of each measure per county and year."""
     named = months.withColumnsRenamed({"county": "county_name", "year": "survey_year"})

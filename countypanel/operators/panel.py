@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import frequency_rate
+from ..functions.formats import settled
 
+COUNTY_YEAR = ("fips", "survey_year")
 PLACE_TIME = ("county_name", "survey_year")
 BY_STATE_YEAR = ("state_name", "survey_year")
 UNEMPLOYMENT = "unemployment_rate_mean"
@@ -24,11 +26,10 @@ SMOKING_GROUPS = {
 }
 
 
-def merge_panel(shares: DataFrame, labor: DataFrame, on=PLACE_TIME) -> DataFrame:
-    """County-years that have both survey shares and labour figures.
+def merge_panel(shares: DataFrame, labor: DataFrame, on=COUNTY_YEAR) -> DataFrame:
+    """County-years that have both survey shares and labour figures, by county code and year.
 
-    By name and year as published panels do it; `on` takes ("fips", "survey_year") where
-    both sides carry the code, which is the sounder key.
+    County names are no key over several states. `on` takes PLACE_TIME for tables of one state without codes.
     """
     twice = [c for c in labor.columns if c in shares.columns and c not in on]
     return shares.join(labor.drop(*twice), list(on), "inner")
@@ -71,33 +72,27 @@ def frequency_shares(shares: DataFrame, variable: str = "eats_fruit") -> DataFra
 
 def expected_rate(
     shares: DataFrame, labor: DataFrame, variable: str = "eats_fruit",
-    percent: str = "weighted_percent", area=("state_name",),
+    percent: str = "weighted_percent", area=("state_name",), on=COUNTY_YEAR,
 ) -> DataFrame:
     """Expected times per day by year: mean share of each code times its rate, summed.
 
     Works on the long table, over the county-years that also have labour figures. A code
     nobody gave counts as 0 there, so the mean divides by all these counties and not by
-    the rows present; counting them beside the shares saves a second pass. Shares are
-    taken as percent if any yearly mean of the area exceeds 1. A result of 0 means
+    the rows present. Shares are taken as percent if any yearly mean of the area exceeds 1. A result of 0 means
     nothing was asked and becomes NULL.
     """
     by = [*area, "survey_year"]
-    county_years = labor.select(*PLACE_TIME)
-    place = F.dense_rank().over(Window.partitionBy(*by).orderBy("county_name"))
-    rate = F.when(F.col("variable") == variable, frequency_rate(F.col("category")))
-    rated = (
-        shares.join(county_years, list(PLACE_TIME), "left_semi")
-        .select(*by, "category", percent, rate.alias("rate"), place.alias("place"))
-        .withColumn("counties", F.max("place").over(Window.partitionBy(*by)))
+    matched = shares.join(labor.select(*on), list(on), "left_semi")
+    place = [c for c in on if c not in by]
+    counties = matched.select(*by, *place).distinct().groupBy(*by).agg(F.count("*").alias("counties"))
+    rate = frequency_rate(F.col("category"))
+    totals = (
+        matched.where((F.col("variable") == variable) & rate.isNotNull())
+        .groupBy(*by, "category").agg(F.sum(percent).alias("total"))
     )
-    code = F.when(F.col("rate").isNotNull(), F.col("category"))
-    means = (
-        rated.groupBy(*by, "counties", "rate", code.alias("code"))
-        .agg(F.sum(percent).alias("total"))
-        .withColumn("mean", F.when(F.col("code").isNotNull(), F.col("total") / F.col("counties")))
-    )
-    yearly = means.groupBy(*by).agg(
-        F.sum(F.col("mean") * F.col("rate")).alias("rate"), F.max("mean").alias("peak")
+    mean = F.col("total") / F.col("counties")
+    yearly = counties.join(totals, by, "left").groupBy(*by).agg(
+        F.sum(mean * rate).alias("rate"), F.max(mean).alias("peak")
     )
     peak = F.max("peak").over(Window.partitionBy(*area))
     scaled = F.col("rate") / F.when(peak > 1, 100.0).otherwise(1.0)
@@ -109,7 +104,7 @@ def expected_rate(
 def county_order(panel: DataFrame, column: str = UNEMPLOYMENT, area=("state_name",)) -> DataFrame:
     """Counties of an area ranked by their mean over the years, highest first."""
     means = panel.groupBy(*area, "county_name").agg(F.avg(column).alias("mean"))
-    order = Window.partitionBy(*area).orderBy(F.col("mean").desc_nulls_last(), "county_name")
+    order = Window.partitionBy(*area).orderBy(settled(F.col("mean")).desc_nulls_last(), "county_name")
     return means.withColumn("position", F.row_number().over(order))
 
 
@@ -129,7 +124,7 @@ def county_year_matrix(
         F.avg(F.when(F.col("survey_year") == year, F.col(column))).alias(name)
         for year, name in zip(years, names)
     ]
-    order = Window.partitionBy(*area).orderBy(F.col("mean").desc_nulls_last(), "county_name")
+    order = Window.partitionBy(*area).orderBy(settled(F.col("mean")).desc_nulls_last(), "county_name")
     return (
         panel.groupBy(*area, "county_name")
         .agg(F.avg(order_by).alias("mean"), *cells)
@@ -161,8 +156,8 @@ def extreme_counties(
     marks = {}
     for column, label in ((x, "x"), (y, "y")):
         for prefix, order in (
-            ("top", F.col(column).desc_nulls_last()),
-            ("low", F.col(column).asc_nulls_last()),
+            ("top", settled(F.col(column)).desc_nulls_last()),
+            ("low", settled(F.col(column)).asc_nulls_last()),
         ):
             place = Window.partitionBy(*by).orderBy(order, "county_name")
             marks[f"{prefix}_{label}"] = F.row_number().over(place) <= k

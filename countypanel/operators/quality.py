@@ -65,30 +65,30 @@ def map_match_rate(mapped: DataFrame, by=("survey_year",)) -> DataFrame:
 
 
 def run_summary(
-    requested: DataFrame, available: DataFrame, done: DataFrame, columns: int
+    requested: DataFrame, available: DataFrame, done: DataFrame
 ) -> DataFrame:
     """Result per requested year: "not_found", "skipped_existing", or "ok" with its size.
 
-    `available` has a row count per year, `done` the years written earlier.
+    `available` has rows and columns of each year, `done` the years written earlier.
     """
     marked = done.select("survey_year", F.lit(True).alias("written"))
     status = (
-        F.when(F.col("available_rows").isNull(), "not_found")
+        F.when(F.col("found").isNull(), "not_found")
         .when(F.col("written"), "skipped_existing")
         .otherwise("ok")
     )
     sized = F.col("status") == "ok"
     return (
         requested.join(
-            available.select("survey_year", F.col("rows").alias("available_rows")),
+            available.select("survey_year", F.lit(True).alias("found"), "rows", "cols"),
             "survey_year", "left",
         )
         .join(marked, "survey_year", "left")
         .withColumn("status", status)
         .select(
             "survey_year", "status",
-            F.when(sized, F.col("available_rows")).alias("rows"),
-            F.when(sized, F.lit(columns)).alias("cols"),
+            F.when(sized, F.col("rows")).alias("rows"),
+            F.when(sized, F.col("cols")).alias("cols"),
         )
     )
 
@@ -121,10 +121,11 @@ def empty_partitions(
 
 
 def coverage_gaps(crosswalk: DataFrame, panel: DataFrame, first: int, last: int) -> DataFrame:
-    """County-years of the range that the panel does not have. Counties by display key."""
-    counties = crosswalk.select("state_name", "county_name")
-    keys = ["state_name", "county_name", "survey_year"]
-    return expected_years(counties, first, last).join(panel.select(*keys), keys, "left_anti")
+    """County-years of the range that the panel does not have. Counties by code."""
+    counties = crosswalk.select("fips", "state_name", "county_name")
+    keys = ["fips", "survey_year"]
+    missing = expected_years(counties, first, last).join(panel.select(*keys), keys, "left_anti")
+    return missing.select("fips", "state_name", "county_name", "survey_year")
 
 
 def bad_values(df: DataFrame, columns: list[str]) -> DataFrame:

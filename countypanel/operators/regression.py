@@ -4,11 +4,8 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .panel import UNEMPLOYMENT
 
@@ -77,38 +74,39 @@ def fit_summary(fits: DataFrame) -> DataFrame:
     )
 
 
-def _two_sided_p(t: float, free: float) -> float:
-    """P(|T| > |t|) for Student's t with whole degrees of freedom, by its finite series."""
-    if not (math.isfinite(t) and free > 0):
-        return math.nan
-    free = int(free)
-    angle = math.atan2(abs(t), math.sqrt(free))
-    sin, cos = math.sin(angle), math.cos(angle)
-    first = free % 2
-    term = cos if first else 1.0
-    total = term if free > 1 else 0.0
-    for step in range(2 + first, free - 1, 2):
-        term *= cos * cos * (step - 1) / step
-        total += term
-    inside = 2 / math.pi * (angle + sin * total) if first else sin * total
-    return max(0.0, 1.0 - inside)
+def two_sided_p(t: Column, free: Column) -> Column:
+    """P(|T| > |t|) for Student's t with whole degrees of freedom.
 
-
-@F.pandas_udf(T.DoubleType())
-def two_sided_p(t: pd.Series, free: pd.Series) -> pd.Series:
-    pairs = zip(t.astype("float64"), free.astype("float64"))
-    return pd.Series(np.fromiter((_two_sided_p(a, b) for a, b in pairs), float, len(t)))
+    With x = free / (free + t * t) the probability is a series of positive terms, each
+    the last one times x * (2 j - 1 + odd) / (2 j + odd). Its first free / 2 terms sum to the inside,
+    the rest to the tail; the larger part of the two is not computed by subtraction, so that small
+    tails keep their digits. The tail ends where its terms no longer count.
+    """
+    free = F.when(free > 0, free).cast("long")
+    size = F.abs(t)
+    odd = free % 2
+    half = F.floor(free / 2)
+    x = free / (free + size * size)
+    angle = F.atan2(size, F.sqrt(free))
+    scale = F.when(odd == 1, F.lit(2 / math.pi) * F.sin(angle) * F.cos(angle)).otherwise(F.sin(angle))
+
+    def summed(first: Column, last: Column, term: Column) -> Column:
+        """`term` and the terms after it, for j from `first` to `last`; (sum, term after the last)."""
+        start = F.struct(F.lit(0.0).alias("total"), term.alias("term"))
+        steps = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+        return F.aggregate(steps, start, lambda s, j: F.struct(
+            (s["total"] + s["term"]).alias("total"),
+            (s["term"] * x * (2 * j + 1 + odd) / (2 * j + 2 + odd)).alias("term")))
+
+    head = summed(F.lit(0).cast("long"), half - 1, F.lit(1.0))
+    inside = scale * head["total"] + F.when(odd == 1, F.lit(2 / math.pi) * angle).otherwise(0.0)
+    length = F.ceil(F.lit(45.0) / -F.log(x)).cast("long")
+    tail = scale * summed(half, half + length, head["term"])["total"]
+    return F.when(size.isNotNull() & ~F.isnan(size) & free.isNotNull(), F.when(inside < 0.5, 1 - inside).otherwise(tail))
 
 
 def p_values(fits: DataFrame) -> DataFrame:
-    """Two-sided p-values of slope and intercept, added to `fit_summary`.
-
-    The only step outside the JVM: a number per fit, after all rows are aggregated.
-    """
-    summary = fit_summary(fits)
-    free = F.when(F.col("n") > 2, F.col("n") - 2).cast("double")
-    out = [
-        F.when(F.col(f"t_{c}").isNotNull(), two_sided_p(F.col(f"t_{c}"), free)).alias(f"p_{c}")
-        for c in ("slope", "intercept")
-    ]
-    return summary.select("*", *out)
+    """Two-sided p-values of slope and intercept, added to `fit_summary`."""
+    free = F.when(F.col("n") > 2, F.col("n") - 2)
+    return fit_summary(fits).select(
+        "*", *[two_sided_p(F.col(f"t_{c}"), free).alias(f"p_{c}") for c in ("slope", "intercept")])

@@ -11,7 +11,7 @@ from .codebook import share_columns, with_labels
 from .geography import without_placeholder_names
 from .survey import county_codes, with_county_names, with_display_key
 
-KEYS = ("state_name", "county_name", "survey_year")
+KEYS = ("fips", "state_name", "county_name", "survey_year")
 ANSWERED = "answered_any"
 MEASURES = ["unweighted_count", "unweighted_percent", "weighted_count", "weighted_percent"]
 
@@ -88,13 +88,13 @@ def share_long(df: DataFrame, variables: list[str], keys=KEYS, weight="final_wei
 
 def county_shares(
     raw: DataFrame, crosswalk: DataFrame, variables: list[str], weight="final_weight",
-    style: str = "prefix2", present: list[str] | None = None, keys=KEYS,
+    style: str = "usps", present: list[str] | None = None, keys=KEYS,
 ) -> DataFrame:
     """Shares from rows with raw county codes.
 
     Counts first by the codes as written, then cleans codes, looks names up and merges:
     the text work and the join run on counts, not on respondents. Adding counts is exact
-    whichever comes first. `keys` may add "fips". The placeholder county leaves for want of a name, because a
+    whichever comes first. The placeholder county leaves for want of a name, because a
     filter on the cleaned codes would be moved below the counting and run per
     respondent. `present` are questions that only make a county-year appear, see
     `with_answered`.
@@ -104,7 +104,7 @@ def county_shares(
         variables = [*variables, ANSWERED]
     counts = answer_counts(raw, variables, ("_state", "ctycode", "survey_year"), weight)
     named = with_county_names(county_codes(counts), without_placeholder_names(crosswalk))
-    return shares_of_counts(with_display_key(named, style), keys)
+    return shares_of_counts(with_display_key(named, style).where(F.col("county_name").isNotNull()), keys)
 
 
 def share_long_two_sided(
@@ -124,13 +124,23 @@ def share_long_two_sided(
     return unweighted.join(weighted, on, "full").select(*on, *MEASURES)
 
 
+def answer_columns(shares: DataFrame, variables=None) -> list[str]:
+    """Names of the wide table's columns: the codebook's, and every further answer in the shares.
+
+    One aggregate; what reaches the driver are distinct answers, a few thousand at most. `shares`
+    should be a written table, as it is read here and again for the wide table.
+    """
+    listed = share_columns(variables)
+    found = with_labels(shares).where(F.col("variable") != ANSWERED).select(F.concat_ws("_", "variable", "label")).distinct()
+    return [*listed, *sorted({r[0] for r in found.collect()} - set(listed))]
+
+
 def share_wide(shares: DataFrame, variables=None, columns=None, keys=KEYS) -> DataFrame:
     """One row per (keys), one column per answer: "<variable>_<label>_uw" and "..._w".
 
-    Columns are those of the codebook, for all or some variables, or the list given.
-    The list is fixed up front because coded amounts have hundreds of answers; the long
-    table stays the complete one. An answer nobody gave is 0, also where the variable
-    was not asked that year.
+    Columns are those of the codebook, for all or some variables, or the list given;
+    `answer_columns` lists every answer there is, so that none is left out. An answer nobody
+    gave is 0, also where the variable was not asked that year.
     """
     names = columns or share_columns(variables)
     both = F.array(

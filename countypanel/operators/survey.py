@@ -52,7 +52,7 @@ def with_county_names(df: DataFrame, crosswalk: DataFrame) -> DataFrame:
     return df.join(crosswalk, "fips", "left")
 
 
-def with_display_key(df: DataFrame, style: str = "prefix2") -> DataFrame:
+def with_display_key(df: DataFrame, style: str = "usps") -> DataFrame:
     """`county_name` as "County, ST"; NULL for unmatched rows."""
     return df.withColumn("county_name", display_key(F.col("county_name"), F.col("state_name"), style))
 
@@ -99,8 +99,10 @@ def in_state(df: DataFrame, name: str, code: int) -> DataFrame:
     return df
 
 
-def in_years(df: DataFrame, first: int = 1993, last: int = 2010) -> DataFrame:
-    """Rows of the closed year range, if the table has years; prunes partitions."""
+def in_years(df: DataFrame, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Rows of the closed year range, if the table has years; prunes partitions. None is open."""
     if "survey_year" not in df.columns:
         return df
-    return df.where(F.col("survey_year").between(first, last))
+    if first is not None:
+        df = df.where(F.col("survey_year") >= first)
+    return df if last is None else df.where(F.col("survey_year") <= last)

@@ -16,14 +16,16 @@ from ..functions.names import name_key
 from ..operators import classify, labor, panel, quality, regression, shares, survey
 from ..operators.codebook import share_columns, with_labels
 from ..operators.geography import county_crosswalk
-from ..sources import documents, manifest, yearly
-from ..sources.delimited import geocode_rows
+from ..sources import documents, manifest, sinks, yearly
+from ..sources.delimited import DATA_COLUMNS, geocode_rows, read_without_header
+from ..sources.scratch import scratch_folder, written
+from . import jobs
 from .standins import FIRST_YEAR, LAST_YEAR, YEARS, Tables
 
 CODES = ("_state", "ctycode")
 VARIABLES = [
     "general_health_status", "current_smoking_frequency", "ever_told_high_bp",
-    "any_alcohol_past_month", "eats_fruit",
+    "any_alcohol_past_month", "eats_fruit", "ever_told_asthma",
 ]
 HEALTH_W = [c + "_w" for c in share_columns(["general_health_status"])[:5]]
 HEALTH_UW = [c + "_uw" for c in share_columns(["general_health_status"])[:5]]
@@ -90,14 +92,16 @@ def yearly_labor(t: Tables) -> DataFrame:
 
 
 def merged(t: Tables, variables=None) -> DataFrame:
-    """The county-year panel, with the answers of some variables or of all."""
-    wide = shares.share_wide(
-        long_shares(t, variables or VARIABLES, present=VARIABLES if variables else None),
-        variables or VARIABLES,
-    )
+    """The county-year panel, with the codebook's answers of some variables, or every answer of all."""
+    long = long_shares(t, variables or VARIABLES, present=VARIABLES if variables else None)
+    wide = shares.share_wide(long, variables) if variables else all_answers(long)
     return panel.merge_panel(wide, yearly_labor(t))
 
 
+def all_answers(long: DataFrame) -> DataFrame:
+    return shares.share_wide(long, columns=shares.answer_columns(long, VARIABLES))
+
+
 def health_panel(t: Tables) -> DataFrame:
     return merged(t, ["general_health_status"])
 
@@ -143,6 +147,12 @@ def county_display_key(t):
     return survey.with_display_key(named_rows(t)).select("respondent_id", "county_name")
 
 
+@query
+def county_display_key_prefix(t):
+    """The form of some existing panels, by the state's first two letters."""
+    return survey.with_display_key(named_rows(t), "prefix2").select("respondent_id", "county_name")
+
+
 @query
 def normalized_name(t):
     name = F.col("area_text")
@@ -176,7 +186,7 @@ def share_labeled(t):
 
 @query
 def share_wide(t):
-    return shares.share_wide(long_shares(t), VARIABLES)
+    return all_answers(long_shares(t))
 
 
 # --- labour ---
@@ -227,15 +237,13 @@ def county_year_panel(t):
 
 @query
 def county_year_panel_fips(t):
-    wide_keys = ("fips", *shares.KEYS)
-    long = shares.county_shares(respondents(t), crosswalk(t), VARIABLES, keys=wide_keys)
-    wide = shares.share_wide(long, VARIABLES, keys=wide_keys)
+    keys = ("fips", "survey_year")
+    wide = shares.share_wide(long_shares(t), VARIABLES)
     counties = labor.county_areas(t.area())
     by_month = labor.labor_wide(
         t.la_data(), labor.series_of(t.series(), counties), counties,
-        keys=("fips", "county", "year", "month"))
-    yearly = labor.labor_yearly(by_month, ("fips", "county_name", "survey_year"))
-    return panel.merge_panel(wide, yearly, ("fips", "survey_year"))
+        keys=("fips", "year", "month"))
+    return panel.merge_panel(wide, labor.labor_yearly(by_month, keys), keys)
 
 
 @query
@@ -343,12 +351,12 @@ def ols_pvalues(t):
 
 @query
 def yearly_cutoffs(t):
-    return classify.cutoffs(health_panel(t), by=POOLED)
+    return classify.cutoffs(health_panel(t))
 
 
 @query
 def quadrants(t):
-    return classify.quadrants(health_panel(t), by=POOLED)
+    return classify.quadrants(health_panel(t))
 
 
 @query
@@ -363,7 +371,7 @@ def income_tertiles_fallback(t):
 
 @query
 def tertile_edge_ties(t):
-    return classify.coinciding_edges(t.income_few()).select("survey_year", "values")
+    return classify.coinciding_edges(t.income_few()).select("state_name", "survey_year", "values")
 
 
 @query
@@ -392,7 +400,7 @@ def dedup_by_name_key(t):
 def matched_classes(t: Tables) -> DataFrame:
     state = F.col("state_name")
     return classify.matching_classes(
-        classify.quadrants(health_panel(t), by=POOLED), classify.income_tertiles(t.income()),
+        classify.quadrants(health_panel(t)), classify.income_tertiles(t.income()),
         state, F.substring(state, 1, 2),
     )
 
@@ -409,19 +417,19 @@ def alignment_wide(t):
 
 def map_features(t: Tables) -> DataFrame:
     return documents.feature_names(t.feature_documents(), "document").select(
-        "feature_name").distinct()
+        "state_name", "feature_name").distinct()
 
 
 @query
 def quadrant_map_table(t):
-    suffix = F.concat(F.lit(" County, "), F.upper(F.substring("state_name", 1, 2)))
-    classes = classify.quadrants(health_panel(t), by=POOLED)
+    suffix = F.concat(F.lit(" County, "), F.col("state_name"))
+    classes = classify.quadrants(health_panel(t))
     return classify.quadrant_map(map_features(t), classes, YEARS, suffix)
 
 
 def income_map(t: Tables) -> DataFrame:
     brackets = classify.income_tertiles(t.income())
-    return classify.tertile_map(map_features(t), brackets, YEARS, "California", "CA")
+    return classify.tertile_map(map_features(t), brackets, YEARS, F.col("state_name"), F.substring("state_name", 1, 2))
 
 
 @query
@@ -454,9 +462,7 @@ def union_years_by_name(t):
 @query
 def json_matrix_decode(t):
     replies = t.income_replies()
-    table = documents.income_table(
-        replies, "reply", F.col("r_name"), F.substring("r_name", 1, 2))
-    return table.drop("r_name")
+    return documents.income_table(replies, "reply", F.col("state_name"), F.substring("state_name", 1, 2))
 
 
 @query
@@ -571,8 +577,10 @@ def empty_partitions(t):
 @query
 def run_summary(t):
     raw = t.survey_raw()
-    available = raw.groupBy(F.col("year").alias("survey_year")).agg(F.count("*").alias("rows"))
-    return quality.run_summary(t.requested_years(), available, t.done_years(), len(raw.columns))
+    years = raw.groupBy(F.col("year").alias("survey_year")).agg(F.count("*").alias("rows"))
+    early = len(raw.columns) - 1  # as if the files before 1999 lacked a column
+    cols = F.when(F.col("survey_year") < 1999, early).otherwise(len(raw.columns))
+    return quality.run_summary(t.requested_years(), years.withColumn("cols", cols), t.done_years())
 
 
 @query
@@ -603,3 +611,114 @@ def corr_matrix(t):
 @query
 def yearly_change(t):
     return panel.yearly_change(health_panel(t), X)
+
+
+# --- round trips through written files ---
+
+
+def one_file_per_year(t: Tables, folder: str) -> None:
+    """The number of orders of each year as survey_<year>.csv, beside files that are none."""
+    counts = t.read("orders").groupBy(F.year("o_orderdate").alias("survey_year")).agg(F.count("*").alias("rows"))
+    parts = f"{folder}/parts"
+    counts.select("survey_year", F.col("survey_year").alias("year"), "rows").repartition("survey_year").write.partitionBy(
+        "survey_year").option("header", True).csv(parts)
+    path = t.spark._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    store.mkdirs(path(f"{folder}/files"))
+    for year in store.listStatus(path(parts)):
+        name = year.getPath().getName()
+        if name.startswith("survey_year="):
+            for file in store.listStatus(year.getPath()):
+                if file.getPath().getName().endswith(".csv"):
+                    store.rename(file.getPath(), path(f"{folder}/files/survey_{name[-4:]}.csv"))
+    store.create(path(f"{folder}/files/notes_99.csv")).close()
+
+
+@query
+def discovered_files(t):
+    folder = scratch_folder(t.spark, "yearly")
+    one_file_per_year(t, folder)
+    files = yearly.discover_files(t.spark, f"{folder}/files")
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "survey_year")
+
+
+@query
+def yearly_files_read(t):
+    folder = scratch_folder(t.spark, "yearly")
+    one_file_per_year(t, folder)
+    files = yearly.discover_files(t.spark, f"{folder}/files").collect()
+    return yearly.read_years(t.spark, {r.survey_year: r.path for r in files})
+
+
+@query
+def headerless_read(t):
+    folder = scratch_folder(t.spark, "labour")
+    lines = t.la_data().select("series_id", "year", "period", "value", F.lit("").alias("footnote_codes"))
+    lines.write.option("sep", "\t").option("ignoreLeadingWhiteSpace", False).option("emptyValue", "").csv(folder)
+    return read_without_header(t.spark, folder, DATA_COLUMNS)
+
+
+@query
+def written_years(t):
+    folder = scratch_folder(t.spark, "years")
+    rows = respondents(t).select("respondent_id", "survey_year", "general_health_status")
+    sinks.write_partitioned(rows, folder, "survey_year")
+    sinks.write_partitioned(rows.where("survey_year >= 1999"), folder, "survey_year")
+    return yearly.read_landed(t.spark, folder)
+
+
+def landed_survey(t: Tables, folder: str) -> str:
+    raw = t.survey_raw().withColumn("survey_year", F.col("year"))
+    sinks.write_partitioned(survey.normalise(raw).drop("year"), f"{folder}/landed", "survey_year")
+    return f"{folder}/landed"
+
+
+@query
+def written_survey_table(t):
+    folder = scratch_folder(t.spark, "survey")
+    jobs.survey_tables(t.spark, landed_survey(t, folder), crosswalk(t), f"{folder}/tables")
+    return t.spark.read.parquet(f"{folder}/tables/health_core")
+
+
+@query
+def months_by_state_folder(t):
+    folder = scratch_folder(t.spark, "months")
+    sinks.write_partitioned(months(t), folder, "state_fips")
+    return t.spark.read.schema(jobs.months_schema()).parquet(folder)
+
+
+@query
+def written_panel(t):
+    folder = scratch_folder(t.spark, "panel")
+    long = long_shares(t, ["ever_told_high_bp", "ever_told_asthma"], VARIABLES)
+    sinks.write_partitioned(long, f"{folder}/shares", "survey_year")
+    written(yearly_labor(t), f"{folder}/yearly")
+    out = jobs.panel_table(t.spark, f"{folder}/shares", f"{folder}/yearly", f"{folder}/panel")
+    return out.select("fips", "state_name", "county_name", "survey_year", X, *[
+        f"`{c}`" for c in out.columns if c.startswith(("ever_told_high_bp", "ever_told_asthma"))])
+
+
+@query
+def run_log_entries(t):
+    folder = scratch_folder(t.spark, "log")
+    sinks.append_run_log(run_summary(t), folder)
+    sinks.append_run_log(run_summary(t).where("status = 'ok'"), folder)
+    return sinks.read_run_log(t.spark, folder)
+
+
+@query
+def lower_column_names(t):
+    raw = t.survey_raw().select("respondent_id", "_state", "genhlth", "year")
+    return survey.lower_names(raw.toDF(*[f" {c.upper()} " for c in raw.columns]))
+
+
+@query
+def dropped_columns(t):
+    raw = survey.normalise(t.survey_raw().select("respondent_id", "_state", "_cnty", "year", "age"))
+    return raw.drop("year", "_state", "_cnty", "not_there")
+
+
+@query
+def state_of_file_name(t):
+    name = F.concat(F.lit("x.data."), F.col("n_nationkey").cast("string"), F.lit("."), "r_name")
+    return t.counties().select("n_nationkey", sinks.state_of_file(name).alias("state"))

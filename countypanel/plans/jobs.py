@@ -31,11 +31,14 @@ def build_crosswalk(spark: SparkSession, geocodes: str, target: str) -> DataFram
     return spark.read.parquet(target)
 
 
-def landed_years(spark: SparkSession, target: str) -> DataFrame:
-    """Years that a landed table already holds, from its folder names alone."""
-    if not _exists(spark, target):
+def landed_years(spark: SparkSession, log: str) -> DataFrame:
+    """Years that were landed in whole, from the run log alone.
+
+    The log is written after the commit of the years, so a year whose write broke off is not in it.
+    """
+    if not _exists(spark, log):
         return spark.createDataFrame([], YEAR_ROW)
-    return yearly.read_landed(spark, target).select("survey_year").distinct()
+    return sinks.read_run_log(spark, log).where("status = 'ok'").select("survey_year").distinct()
 
 
 def land_survey(
@@ -45,54 +48,73 @@ def land_survey(
     """Land the yearly survey files that are not landed yet; returns the run summary.
 
     The driver handles one entry per requested year: its path, or that it is missing.
-    All pending years are written by one job, each into its own partition.
+    All pending years are written by one job, each in place of what its partition may
+    hold from a broken run. Only these years are counted, each with its own columns.
     """
     requested = spark.createDataFrame([(int(y),) for y in years], YEAR_ROW)
     files = yearly.resolve_years(requested, yearly.discover_files(spark, folder))
-    done = [r[0] for r in landed_years(spark, target).collect()]
+    done = {r[0] for r in landed_years(spark, log).collect()}
     found = {r["survey_year"]: r["path"] for r in files.collect() if r["path"]}
     pending = {year: path for year, path in found.items() if year not in done}
-    columns = 0
+    widths = {}
     if pending:
-        raw = yearly.read_years(spark, pending)
+        tables = {year: read_with_header(spark, path) for year, path in sorted(pending.items())}
+        widths = {year: len(table.columns) for year, table in tables.items()}
+        raw = yearly.stack_years(tables)
         rows = survey.normalise(raw) if fips else survey.lower_names(raw)
-        rows = rows.drop("year")
-        columns = len(rows.columns)
-        sinks.write_partitioned(rows, target, "survey_year", mode="append")
-    available = requested.where(F.col("survey_year").isin([int(y) for y in found]))
-    if found and _exists(spark, target):
-        landed = yearly.read_landed(spark, target)
+        sinks.write_partitioned(rows.drop("year"), target, "survey_year")
+        landed = spark.read.parquet(target).where(F.col("survey_year").isin(list(pending)))
         sizes = landed.groupBy("survey_year").agg(F.count("*").alias("rows"))
-        available = available.join(sizes, "survey_year", "left")
     else:
-        available = available.withColumn("rows", F.lit(None).cast("long"))
-    written = spark.createDataFrame([(int(y),) for y in done], YEAR_ROW)
-    summary = quality.run_summary(requested, available, written, columns)
+        sizes = spark.createDataFrame([], "survey_year int, rows long")
+    available = spark.createDataFrame([(y, widths.get(y)) for y in found], "survey_year int, cols int")
+    written = spark.createDataFrame([(y,) for y in done], YEAR_ROW)
+    summary = quality.run_summary(requested, available.join(sizes, "survey_year", "left"), written)
+    # Written first: the summary must not count again, and the log decides what is done.
+    rows = [tuple(r) for r in summary.collect()]
+    summary = spark.createDataFrame(rows, sinks.RUN_LOG_SCHEMA)
     sinks.append_run_log(summary, log)
     return summary
 
 
 def survey_tables(spark: SparkSession, landed: str, crosswalk: DataFrame, target: str) -> None:
-    """The four survey tables by year. Each write reads only its own columns of the survey."""
+    """The four survey tables by year, in two passes over the survey.
+
+    The core tables hold a part of the expanded tables' columns and are taken from these.
+    """
     rows = survey.prepare(yearly.read_landed(spark, landed), crosswalk)
-    for name in codebook.SURVEY_TABLES:
-        sinks.write_partitioned(survey.survey_table(rows, name), f"{target}/{name}", "survey_year")
+    for subject in ("socioeconomics", "health"):
+        expanded = f"{target}/{subject}_expanded"
+        sinks.write_partitioned(survey.survey_table(rows, f"{subject}_expanded"), expanded, "survey_year")
+        core = survey.survey_table(spark.read.parquet(expanded), f"{subject}_core")
+        sinks.write_partitioned(core, f"{target}/{subject}_core", "survey_year")
 
 
 def labor_tables(
     spark: SparkSession, data: str, series: str, area: str, target: str,
-    annual_period: str = "keep",
+    annual_period: str = "keep", form: str = "text",
 ) -> None:
     """County-month table by state, and the yearly summary.
 
-    `data` is a folder of headerless files, or a landed table of the same columns.
+    `data` is a folder of headerless text files, or with `form="parquet"` a landed table. Data
+    without any observation of a county's series stop the job: they are of another form or place.
     """
     counties = labor.county_areas(read_with_header(spark, area, sep="\t"))
     known = labor.series_of(read_without_header(spark, series, SERIES_COLUMNS), counties)
-    facts = read_without_header(spark, data, DATA_COLUMNS)
-    months = labor.labor_wide(facts, known, counties, annual_period)
+    if form == "text":
+        facts = read_without_header(spark, data, DATA_COLUMNS)
+    elif form == "parquet":
+        facts = spark.read.parquet(data).select(*DATA_COLUMNS)
+    else:
+        raise ValueError(f"form is 'text' or 'parquet', not {form!r}")
+    # The lookup as a table, so that Spark knows its bytes when it plans the join.
+    lookup = f"{target}/series"
+    known.write.mode("overwrite").parquet(lookup)
+    months = labor.labor_wide(facts, spark.read.schema(known.schema).parquet(lookup), counties, annual_period)
     sinks.write_partitioned(months, f"{target}/months", "state_fips")
     landed = spark.read.schema(months_schema()).parquet(f"{target}/months")
+    if landed.isEmpty():
+        raise ValueError(f"no observation in {data} belongs to a series of the counties")
     labor.labor_yearly(landed).write.mode("overwrite").parquet(f"{target}/yearly")
 
 
@@ -100,6 +122,7 @@ def months_schema() -> T.StructType:
     """Schema of the county-month table; the state code must not be read as a number."""
     measures = [T.StructField(name, T.DoubleType()) for name in labor.MEASURES.values()]
     return T.StructType([
+        T.StructField("fips", T.StringType()),
         T.StructField("state_fips", T.StringType()),
         T.StructField("county", T.StringType()),
         T.StructField("year", T.IntegerType()),
@@ -109,23 +132,39 @@ def months_schema() -> T.StructType:
 
 
 def share_table(
-    spark: SparkSession, health: str, target: str, variables=None, first: int = 1993,
-    last: int = 2010, state: tuple[str, int] | None = None, style: str = "prefix2",
+    spark: SparkSession, health: str, target: str, variables=None, first: int | None = None,
+    last: int | None = None, state: tuple[str, int] | None = None, style: str = "usps",
 ) -> DataFrame:
-    """Shares of the categorical answers from a written survey table, as a long table."""
-    rows = survey.in_years(yearly.read_landed(spark, health), first, last)
+    """Shares of the categorical answers from a written survey table, as a long table.
+
+    All years unless a range is given. Counted under the names as stored; the display key
+    is made on the counts.
+    """
+    rows = survey.in_years(spark.read.parquet(health), first, last)
     if state:
         rows = survey.in_state(rows, *state)
     asked = survey.present(rows, variables or codebook.CATEGORICAL)
-    long = shares.share_long(survey.with_display_key(rows, style), asked)
+    counts = shares.answer_counts(rows, asked)
+    long = shares.shares_of_counts(survey.with_display_key(counts, style))
     sinks.write_partitioned(long, target, "survey_year")
-    return spark.read.parquet(target)
+    return spark.read.schema(share_schema()).parquet(target)
+
+
+def share_schema() -> T.StructType:
+    """Schema of the long share table, as codes must not be read as numbers."""
+    counts = [T.StructField(name, T.LongType() if name == "unweighted_count" else T.DoubleType()) for name in shares.MEASURES]
+    return T.StructType([
+        *[T.StructField(key, T.IntegerType() if key == "survey_year" else T.StringType()) for key in shares.KEYS],
+        T.StructField("variable", T.StringType()),
+        T.StructField("category", T.StringType()),
+        *counts,
+    ])
 
 
 def panel_table(spark: SparkSession, shares_path: str, yearly_path: str, target: str) -> DataFrame:
-    """Wide shares joined to the yearly labour summary, written as a table."""
-    long = spark.read.parquet(shares_path)
-    wide = shares.share_wide(long)
+    """Wide shares, one column for every answer there is, joined to the yearly labour summary."""
+    long = spark.read.schema(share_schema()).parquet(shares_path)
+    wide = shares.share_wide(long, columns=shares.answer_columns(long))
     merged = panel.merge_panel(wide, spark.read.parquet(yearly_path))
     # Column names carry answer labels with blanks, which Parquet keeps as they are.
     merged.write.mode("overwrite").parquet(target)

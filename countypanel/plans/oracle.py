@@ -11,7 +11,7 @@ from .standins import FIRST_YEAR, LAST_YEAR, YEARS
 
 STANDIN_VARIABLES = [
     "general_health_status", "current_smoking_frequency", "ever_told_high_bp",
-    "any_alcohol_past_month", "eats_fruit",
+    "any_alcohol_past_month", "eats_fruit", "ever_told_asthma",
 ]
 
 
@@ -23,32 +23,29 @@ def r6(expression: str, name: str) -> str:
     return f'round({expression}, 6) AS "{name}"'
 
 
-NAME_STEPS = [
-    (r"\bcity and county of\b", ""), (r"\bcounty\b", ""), (r"\bst[.]?\b", "saint"),
-    (r"[^a-z0-9\s]", " "), (r"\s+", " "),
-]
-
-
 def name_key(text: str, state: str, abbreviation: str) -> str:
+    """The words of a name without its state, one by one."""
     key = f"replace(lower({text}), '&', ' and ')"
     for name in (state, abbreviation):
         tail = f"', ' || lower({name})"
         key = f"(CASE WHEN suffix({key}, {tail}) THEN left({key}, length({key}) - length({tail})) ELSE {key} END)"
-    for pattern, replacement in NAME_STEPS:
-        key = f"regexp_replace({key}, '{pattern}', '{replacement}', 'g')"
-    return f"coalesce(trim({key}), '')"
+    words = f"list_filter(regexp_split_to_array({key}, '[^a-z0-9]+'), lambda x: x <> '')"
+    plain = f"replace(' ' || array_to_string({words}, ' ') || ' ', ' city and county of ', ' ')"
+    kept = f"list_filter(string_split({plain}, ' '), lambda x: x <> '' AND x <> 'county')"
+    spelled = f"list_transform({kept}, lambda x: CASE WHEN x = 'st' THEN 'saint' ELSE x END)"
+    return f"coalesce(array_to_string({spelled}, ' '), '')"
 
 
 CTES = {}
 
 CTES["counties"] = f"""
-SELECT n_nationkey, n_regionkey, n_name, r_name,
+SELECT n_nationkey, n_regionkey, 'NATION_' || (n_nationkey // 5)::VARCHAR AS n_name, 'New ' || r_name AS r_name,
   {pad("n_regionkey::VARCHAR", 2)} AS state_fips, {pad("n_nationkey::VARCHAR", 3)} AS county_fips
 FROM nation JOIN region ON n_regionkey = r_regionkey"""
 
 CTES["geocodes"] = f"""
 SELECT '010' AS level, '00' AS state_fips, '000' AS county_fips, 'United States' AS area_name
-UNION ALL SELECT '040', {pad("r_regionkey::VARCHAR", 2)}, '000', r_name FROM region
+UNION ALL SELECT '040', {pad("r_regionkey::VARCHAR", 2)}, '000', 'New ' || r_name FROM region
 UNION ALL SELECT '050', state_fips, county_fips, n_name || ' County' FROM counties
 UNION ALL SELECT '162', state_fips, '000', s_name
   FROM supplier JOIN counties ON s_nationkey = n_nationkey"""
@@ -67,7 +64,8 @@ SELECT o_orderkey AS respondent_id, n_regionkey::VARCHAR || '.0' AS _state,
        ELSE n_nationkey::VARCHAR || '.0' END AS _cnty,
   year(o_orderdate)::INTEGER AS survey_year,
   CASE WHEN o_orderkey % 31 <> 0 THEN o_totalprice END AS final_weight,
-  CASE WHEN o_orderkey % 11 <> 0 THEN left(o_orderpriority, 1)::DOUBLE END AS general_health_status,
+  CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 17 = 0 THEN 8.0::DOUBLE
+    ELSE left(o_orderpriority, 1)::DOUBLE END AS general_health_status,
   CASE o_orderstatus WHEN 'F' THEN 1.0::DOUBLE WHEN 'O' THEN 2.0::DOUBLE WHEN 'P' THEN 3.0::DOUBLE END
     AS current_smoking_frequency,
   CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 1.0::DOUBLE WHEN 'BUILDING' THEN 2.0::DOUBLE
@@ -78,7 +76,7 @@ SELECT o_orderkey AS respondent_id, n_regionkey::VARCHAR || '.0' AS _state,
   (o_custkey % 70 + 18)::INTEGER AS respondent_age, (o_custkey % 2 + 1)::INTEGER AS respondent_sex,
   floor(c_acctbal / 1000)::INTEGER AS household_income_category,
   (o_custkey % 5 + 1)::INTEGER AS num_adults_in_household,
-  (o_custkey % 6 + 1)::INTEGER AS age_category, (o_orderkey % 3 + 1)::INTEGER AS ever_told_asthma,
+  (o_custkey % 6 + 1)::INTEGER AS age_category, (o_orderkey % 3 + 1)::DOUBLE AS ever_told_asthma,
   CASE WHEN o_totalprice > 200000 THEN 2 ELSE 1 END AS obesity_flag
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
 
@@ -91,19 +89,19 @@ FROM survey_raw"""
 
 CTES["named"] = """
 SELECT c.*, w.state_name, w.county_name,
-  w.county_name || ', ' || upper(left(w.state_name, 2)) AS display_name
+  w.county_name || ', ' || w.state_name AS display_name
 FROM coded c LEFT JOIN crosswalk w ON c.fips = w.fips
 WHERE ctycode <> '000'"""
 
 CTES["answers"] = "\nUNION ALL\n".join(
-    f"SELECT state_name, display_name AS county_name, survey_year, '{v}' AS variable, "
+    f"SELECT fips, state_name, display_name AS county_name, survey_year, '{v}' AS variable, "
     f"{v}::VARCHAR AS category, final_weight FROM named "
     f"WHERE {v} IS NOT NULL AND display_name IS NOT NULL"
     for v in STANDIN_VARIABLES
 )
 
 CTES["counted"] = """
-SELECT state_name, county_name, survey_year, variable, category, count(*)::BIGINT AS unweighted_count,
+SELECT fips, state_name, county_name, survey_year, variable, category, count(*)::BIGINT AS unweighted_count,
   coalesce(sum(final_weight), 0) AS weighted_count
 FROM answers GROUP BY ALL"""
 
@@ -111,7 +109,7 @@ CTES["shares"] = """
 SELECT *,
   100.0 * unweighted_count / nullif(sum(unweighted_count) OVER g, 0) AS unweighted_percent,
   100.0 * weighted_count / nullif(sum(weighted_count) OVER g, 0) AS weighted_percent
-FROM counted WINDOW g AS (PARTITION BY state_name, county_name, survey_year, variable)"""
+FROM counted WINDOW g AS (PARTITION BY fips, survey_year, variable)"""
 
 CTES["codebook"] = "SELECT * FROM (VALUES " + ", ".join(
     f"('{v}', '{code}', '{label}')" for v, codes in CODEBOOK.items() for code, label in codes.items()
@@ -121,7 +119,10 @@ CTES["labeled"] = """
 SELECT s.*, coalesce(b.label, s.category) AS label
 FROM shares s LEFT JOIN codebook b ON s.variable = b.variable AND s.category = b.category"""
 
-WIDE = [f"{v}_{label}" for v in CODEBOOK if v in STANDIN_VARIABLES for label in CODEBOOK[v].values()]
+LISTED = [f"{v}_{label}" for v in CODEBOOK if v in STANDIN_VARIABLES for label in CODEBOOK[v].values()]
+FRUIT = [100 + 100 * period + count for period in range(3) for count in range(40)] + [555]
+WIDE = LISTED + [f"eats_fruit_{code}.0" for code in FRUIT] + ["general_health_status_8.0"] + [
+    f"ever_told_asthma_{code}.0" for code in (1, 2, 3)]
 
 
 def _cell(name: str, kind: str) -> str:
@@ -131,14 +132,14 @@ def _cell(name: str, kind: str) -> str:
 
 
 CTES["wide"] = (
-    "SELECT state_name, county_name, survey_year, "
+    "SELECT fips, state_name, county_name, survey_year, "
     + ", ".join(_cell(name, kind) for kind in ("uw", "w") for name in WIDE)
-    + " FROM labeled GROUP BY state_name, county_name, survey_year"
+    + " FROM labeled GROUP BY fips, state_name, county_name, survey_year"
 )
 
 CTES["area"] = f"""
 SELECT 'A' AS area_type_code, 'ST' || ({pad("r_regionkey::VARCHAR", 2)}) || '00000000000' AS area_code,
-  r_name AS area_text FROM region
+  'New ' || r_name AS area_text FROM region
 UNION ALL SELECT 'F', 'CN' || state_fips || county_fips || '0000000',
   n_name || ' County, ' || upper(left(r_name, 2)) FROM counties
 UNION ALL SELECT 'G', 'CT' || state_fips || ({pad("s_suppkey::VARCHAR", 11)}), s_name
@@ -169,7 +170,7 @@ SELECT a.area_code, d.series_id, d.year, d.period, d.value, s.measure_code, a.ar
 FROM la_data d JOIN series s ON d.series_id = s.series_id JOIN county_area a ON s.area_code = a.area_code"""
 
 CTES["typed"] = """
-SELECT state_fips, area_code, area_text AS county, measure_code, year::INTEGER AS year,
+SELECT substr(area_code, 3, 5) AS fips, state_fips, area_code, area_text AS county, measure_code, year::INTEGER AS year,
   substr(period, 2)::INTEGER AS month, try_cast(trim(value) AS DOUBLE) AS value FROM star"""
 
 MEASURE_NAMES = {
@@ -182,8 +183,8 @@ def _months(source: str) -> str:
         f"avg(value) FILTER (WHERE measure_code = '{code}') AS {name}"
         for name, code in MEASURE_NAMES.items()
     )
-    return (f"SELECT state_fips, county, year, month, {cells} FROM {source} "
-            "GROUP BY state_fips, county, year, month HAVING count(value) > 0")
+    return (f"SELECT fips, state_fips, county, year, month, {cells} FROM {source} "
+            "GROUP BY fips, state_fips, county, year, month HAVING count(value) > 0")
 
 
 def _yearly(source: str) -> str:
@@ -192,7 +193,7 @@ def _yearly(source: str) -> str:
         for name in MEASURE_NAMES
         for label, fn in (("mean", "avg"), ("min", "min"), ("max", "max"))
     )
-    return f"SELECT county AS county_name, year AS survey_year, {cells} FROM {source} GROUP BY 1, 2"
+    return f"SELECT fips, county AS county_name, year AS survey_year, {cells} FROM {source} GROUP BY 1, 2, 3"
 
 
 CTES["months"] = _months("typed")
@@ -201,14 +202,14 @@ CTES["months_only"] = _months("(SELECT * FROM typed WHERE month <> 13)")
 CTES["yearly_months_only"] = _yearly("months_only")
 
 CTES["panel"] = """
-SELECT w.*, y.* EXCLUDE (county_name, survey_year)
-FROM wide w JOIN yearly y ON w.county_name = y.county_name AND w.survey_year = y.survey_year"""
+SELECT w.*, y.* EXCLUDE (fips, county_name, survey_year)
+FROM wide w JOIN yearly y ON w.fips = y.fips AND w.survey_year = y.survey_year"""
 
 X = "unemployment_rate_mean"
 Y = '"general_health_status_Excellent_w"'
 
 CTES["income"] = f"""
-SELECT survey_year, state_fips || county_fips AS county_fips,
+SELECT r_name AS state_name, survey_year, state_fips || county_fips AS county_fips,
   n_name || ' County, ' || r_name AS county_name_full,
   lower(replace(n_name, '_', ' ')) AS county_key, median_income
 FROM (SELECT c_nationkey, year(o_orderdate)::INTEGER AS survey_year, round(avg(o_totalprice)) AS median_income
@@ -218,6 +219,9 @@ JOIN counties ON c_nationkey = n_nationkey"""
 CTES["income_few"] = """
 SELECT * REPLACE (CASE WHEN survey_year = 1996 AND suffix(county_key, '1') THEN 1000.0::DOUBLE
   WHEN survey_year = 1996 THEN 2000.0::DOUBLE WHEN survey_year = 1997 THEN 3000.0::DOUBLE
+  WHEN survey_year = 1998 AND suffix(county_key, '0') THEN 1000.0::DOUBLE
+  WHEN survey_year = 1998 AND suffix(county_key, '4') THEN 3000.0::DOUBLE
+  WHEN survey_year = 1998 THEN 2000.0::DOUBLE
   ELSE median_income END AS median_income) FROM income"""
 
 
@@ -227,17 +231,18 @@ SELECT i.*, CASE WHEN n_values >= 3 THEN
     CASE WHEN median_income <= q1 THEN 'Low' WHEN median_income <= q2 THEN 'Middle' ELSE 'High' END
   WHEN lo = hi THEN 'Middle' WHEN median_income = lo THEN 'Low' ELSE 'High' END AS income_bracket
 FROM {source} i JOIN (
-  SELECT survey_year, count(DISTINCT median_income) AS n_values, min(median_income) AS lo,
+  SELECT state_name, survey_year, count(DISTINCT median_income) AS n_values, min(median_income) AS lo,
     max(median_income) AS hi, quantile_cont(median_income, 1.0::DOUBLE / 3.0::DOUBLE) AS q1,
     quantile_cont(median_income, 2.0::DOUBLE / 3.0::DOUBLE) AS q2
-  FROM {source} GROUP BY survey_year) e USING (survey_year)"""
+  FROM {source} GROUP BY state_name, survey_year) e USING (state_name, survey_year)"""
 
 
-TERTILE_COLUMNS = ("survey_year, county_fips, county_name_full, county_key, median_income, "
+TERTILE_COLUMNS = ("state_name, survey_year, county_fips, county_name_full, county_key, median_income, "
                    "income_bracket")
 CTES["tertiles"] = f"SELECT {TERTILE_COLUMNS} FROM ({_tertiles('income')})"
 
-CTES["cuts"] = f"SELECT survey_year, median({X}) AS x_cut, median({Y}) AS y_cut FROM panel GROUP BY 1"
+CTES["cuts"] = f"""SELECT state_name, survey_year, median({X}) AS x_cut, median({Y}) AS y_cut
+FROM panel GROUP BY 1, 2"""
 
 CTES["quads"] = f"""
 SELECT state_name, survey_year, county_name, {X}, {Y}, u_bin, h_bin,
@@ -245,42 +250,43 @@ SELECT state_name, survey_year, county_name, {X}, {Y}, u_bin, h_bin,
   CASE WHEN h_bin = 0 THEN 'High' ELSE 'Low' END || ' % Excellent Health' AS quadrant,
   CASE WHEN h_bin = 0 AND u_bin = 0 THEN '#2ca25f' WHEN h_bin = 0 THEN '#1f9fb5'
     WHEN u_bin = 0 THEN '#fdae61' ELSE '#d73027' END AS color
-FROM (SELECT p.*, coalesce(({X} > x_cut)::INTEGER, 0) AS u_bin, coalesce(({Y} <= y_cut)::INTEGER, 0) AS h_bin
-      FROM panel p JOIN cuts USING (survey_year))"""
+FROM (SELECT p.*, coalesce((round({X}, 9) > round(x_cut, 9))::INTEGER, 0) AS u_bin,
+        coalesce((round({Y}, 9) <= round(y_cut, 9))::INTEGER, 0) AS h_bin
+      FROM panel p JOIN cuts USING (state_name, survey_year))"""
 
 CTES["matched"] = """
-SELECT q.survey_year, q.quadrant, t.income_bracket,
+SELECT q.state_name, q.survey_year, q.quadrant, t.income_bracket,
   CASE WHEN income_bracket = 'High' AND quadrant LIKE 'Low%High%' THEN 'Green ↔ Green'
     WHEN income_bracket = 'Low' AND quadrant LIKE 'High%Low%' THEN 'Red ↔ Red'
     WHEN income_bracket = 'Middle' AND quadrant LIKE 'High%+ High%' THEN 'Middle ↔ Teal'
     WHEN income_bracket = 'Middle' AND quadrant LIKE 'Low%+ Low%' THEN 'Middle ↔ Yellow'
     ELSE 'Mismatch' END AS alignment
-FROM quads q JOIN tertiles t ON q.survey_year = t.survey_year
+FROM quads q JOIN tertiles t ON q.state_name = t.state_name AND q.survey_year = t.survey_year
   AND lower(replace(split_part(q.county_name, ' County', 1), '_', ' ')) = t.county_key"""
 
 CTES["agreement"] = """
-SELECT survey_year, alignment, count(*)::BIGINT AS count,
-  round_even(count(*) / sum(count(*)) OVER (PARTITION BY survey_year) * 100, 1) AS percent
-FROM matched GROUP BY survey_year, alignment"""
+SELECT state_name, survey_year, alignment, count(*)::BIGINT AS count,
+  round_even(round(count(*) / sum(count(*)) OVER (PARTITION BY state_name, survey_year) * 100, 9), 1) AS percent
+FROM matched GROUP BY state_name, survey_year, alignment"""
 
 CTES["order_years"] = "SELECT DISTINCT year(o_orderdate)::INTEGER AS survey_year FROM orders"
 CTES["requested"] = "SELECT survey_year FROM order_years UNION SELECT survey_year + 1 FROM order_years"
 
 CTES["features"] = """
-SELECT n_name AS feature_name FROM customer JOIN counties ON c_nationkey = n_nationkey
-UNION SELECT r_name FROM customer JOIN counties ON c_nationkey = n_nationkey"""
+SELECT r_name AS state_name, n_name AS feature_name FROM customer JOIN counties ON c_nationkey = n_nationkey
+UNION SELECT r_name, r_name FROM customer JOIN counties ON c_nationkey = n_nationkey"""
 
 _YEAR_ROWS = "(VALUES " + ", ".join(f"({y})" for y in YEARS) + ") y(survey_year)"
 
 CTES["income_map"] = f"""
-SELECT y.survey_year::INTEGER AS survey_year, feature_name,
+SELECT f.state_name, y.survey_year::INTEGER AS survey_year, feature_name,
   lower(replace(feature_name, '_', ' ')) AS county_key, median_income::BIGINT AS mhi,
   coalesce('$' || format('{{:,}}', median_income::BIGINT), 'No data') AS mhi_fmt,
   coalesce(income_bracket, 'No data') AS mhi_bracket,
   CASE income_bracket WHEN 'Low' THEN '#d73027' WHEN 'Middle' THEN '#fee08b'
     WHEN 'High' THEN '#1a9850' ELSE '#000000' END AS fill_col
-FROM features CROSS JOIN {_YEAR_ROWS}
-LEFT JOIN tertiles t ON t.survey_year = y.survey_year
+FROM features f CROSS JOIN {_YEAR_ROWS}
+LEFT JOIN tertiles t ON t.state_name = f.state_name AND t.survey_year = y.survey_year
   AND t.county_key = lower(replace(feature_name, '_', ' '))"""
 
 ORDER = list(CTES)
@@ -292,7 +298,7 @@ def with_inputs(body: str) -> str:
 
 
 def _share_columns(extra: str = "") -> str:
-    return (f"state_name, county_name, survey_year, variable, category, {extra} unweighted_count, "
+    return (f"fips, state_name, county_name, survey_year, variable, category, {extra} unweighted_count, "
             + ", ".join([r6("unweighted_percent", "unweighted_percent"),
                          r6("weighted_count", "weighted_count"),
                          r6("weighted_percent", "weighted_percent")]))
@@ -319,12 +325,13 @@ def _matrix(column: str) -> str:
     cells = ", ".join(
         r6(f"avg({column}) FILTER (WHERE survey_year = {y})", f"y{y}") for y in YEARS)
     return f"""SELECT state_name, row_number() OVER (PARTITION BY state_name
-  ORDER BY avg({X}) DESC NULLS LAST, county_name)::INTEGER AS position, county_name, {cells}
+  ORDER BY round(avg({X}), 9) DESC NULLS LAST, county_name)::INTEGER AS position, county_name, {cells}
 FROM panel GROUP BY state_name, county_name"""
 
 
 def _extremes(where: str) -> str:
-    marks = {"top_x": f"{X} DESC", "low_x": f"{X} ASC", "top_y": f"{Y} DESC", "low_y": f"{Y} ASC"}
+    x, y = f"round({X}, 9)", f"round({Y}, 9)"
+    marks = {"top_x": f"{x} DESC", "low_x": f"{x} ASC", "top_y": f"{y} DESC", "low_y": f"{y} ASC"}
     ranks = ", ".join(
         f"row_number() OVER (PARTITION BY survey_year ORDER BY {order} NULLS LAST, county_name) <= 3 AS {m}"
         for m, order in marks.items())
@@ -361,6 +368,18 @@ SELECT state_name, outcome, n, {_fit_columns()},
 FROM (SELECT *, -n / 2.0 * (ln(2 * pi()) + ln(mse * (n - 2) / n) + 1) AS ll
       FROM (SELECT *, (syy - sxy * sxy / sxx) / (n - 2) AS mse FROM ({_fits("state_name", OUTCOMES)})))"""
 
+
+
+def _tail(t: str, name: str) -> str:
+    """Two-sided p-value by Simpson's rule over Student's density from 0 to |t|."""
+    free, steps = "(n - 2)", 4000
+    density = f"pow(1 + pow(abs({t}) * i / {steps}, 2) / {free}, -({free} + 1) / 2.0)"
+    weight = f"CASE WHEN i = 0 OR i = {steps} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    area = f"list_sum(list_transform(range(0, {steps + 1}), lambda i: {weight} * {density})) * abs({t}) / {3 * steps}"
+    constant = f"exp(lgamma(({free} + 1) / 2.0) - lgamma({free} / 2.0)) / sqrt({free} * pi())"
+    return r6(f"1 - 2 * {constant} * {area}", name)
+
+
 RATE = """CASE WHEN category::DOUBLE BETWEEN 101 AND 199 THEN category::DOUBLE - 100
   WHEN category::DOUBLE BETWEEN 201 AND 299 THEN (category::DOUBLE - 200) / 7
   WHEN category::DOUBLE BETWEEN 301 AND 399 THEN (category::DOUBLE - 300) / 30 END"""
@@ -375,20 +394,20 @@ LEFT JOIN (
     SELECT s.state_name, s.survey_year, {RATE} AS rate, s.category,
       sum(s.weighted_percent) / any_value(k.n) AS mean
     FROM shares s
-    JOIN (SELECT county_name, survey_year, count(*) OVER (PARTITION BY state_name, survey_year) AS n
-          FROM panel) k ON s.county_name = k.county_name AND s.survey_year = k.survey_year
+    JOIN (SELECT fips, survey_year, count(*) OVER (PARTITION BY state_name, survey_year) AS n
+          FROM panel) k ON s.fips = k.fips AND s.survey_year = k.survey_year
     WHERE s.variable = 'eats_fruit' AND {RATE} IS NOT NULL GROUP BY 1, 2, 3, 4)
   GROUP BY 1, 2) e ON p.state_name = e.state_name AND p.survey_year = e.survey_year"""
 
 
 def _matched_text(matched: str, total: str) -> str:
     return (f"{matched}::VARCHAR || '/' || {total}::VARCHAR || ' (' || "
-            f"printf('%.1f', round_even(100.0 * {matched} / nullif({total}, 0), 1)) || '%)' AS match_text")
+            f"printf('%.1f', round_even(round(100.0 * {matched} / nullif({total}, 0), 9), 1)) || '%)' AS match_text")
 
 
-SOCIO = ("county_name, state_name, survey_year, round(final_weight, 6) AS final_weight, respondent_age, "
+SOCIO = ("fips, county_name, state_name, survey_year, round(final_weight, 6) AS final_weight, respondent_age, "
          "respondent_sex, household_income_category, num_adults_in_household")
-HEALTH = ("county_name, state_name, survey_year, round(final_weight, 6) AS final_weight, "
+HEALTH = ("fips, county_name, state_name, survey_year, round(final_weight, 6) AS final_weight, "
           "general_health_status, ever_told_high_bp, current_smoking_frequency, "
           "any_alcohol_past_month, eats_fruit")
 _STRICT = "CASE WHEN try_cast({0} AS DOUBLE) = floor(try_cast({0} AS DOUBLE)) THEN {1} END"
@@ -408,40 +427,41 @@ def _bodies() -> dict[str, str]:
     q["county_crosswalk"] = "SELECT * FROM crosswalk"
     q["survey_geo_left"] = "SELECT respondent_id, fips, state_name, county_name FROM named"
     q["county_display_key"] = "SELECT respondent_id, display_name AS county_name FROM named"
+    q["county_display_key_prefix"] = """SELECT respondent_id,
+      county_name || ', ' || upper(left(state_name, 2)) AS county_name FROM named"""
     key = name_key("area_text", "r_name", "left(r_name, 2)")
     q["normalized_name"] = f"""SELECT area_code, area_text, {key} AS name_key
       FROM area JOIN (SELECT DISTINCT state_fips, r_name FROM counties)
         ON substr(area_code, 3, 2) = state_fips"""
 
     q["share_long"] = f"SELECT {_share_columns()} FROM shares"
-    unweighted = """SELECT state_name, county_name, survey_year, variable, category, n AS unweighted_count,
-      100.0 * n / sum(n) OVER (PARTITION BY county_name, survey_year, variable) AS unweighted_percent
-      FROM (SELECT state_name, county_name, survey_year, variable, category, count(*)::BIGINT AS n
+    unweighted = """SELECT fips, state_name, county_name, survey_year, variable, category, n AS unweighted_count,
+      100.0 * n / sum(n) OVER (PARTITION BY fips, survey_year, variable) AS unweighted_percent
+      FROM (SELECT fips, state_name, county_name, survey_year, variable, category, count(*)::BIGINT AS n
             FROM answers GROUP BY ALL)"""
-    weighted = """SELECT state_name, county_name, survey_year, variable, category, w AS weighted_count,
-      100.0 * w / nullif(sum(w) OVER (PARTITION BY county_name, survey_year, variable), 0) AS weighted_percent
-      FROM (SELECT state_name, county_name, survey_year, variable, category,
+    weighted = """SELECT fips, state_name, county_name, survey_year, variable, category, w AS weighted_count,
+      100.0 * w / nullif(sum(w) OVER (PARTITION BY fips, survey_year, variable), 0) AS weighted_percent
+      FROM (SELECT fips, state_name, county_name, survey_year, variable, category,
             coalesce(sum(final_weight), 0) AS w FROM answers GROUP BY ALL)"""
     q["share_outer_form"] = f"""SELECT {_share_columns()} FROM ({unweighted}) u
-      FULL JOIN ({weighted}) w USING (state_name, county_name, survey_year, variable, category)"""
+      FULL JOIN ({weighted}) w USING (fips, state_name, county_name, survey_year, variable, category)"""
     q["share_labeled"] = f"SELECT {_share_columns('label,')} FROM labeled"
-    q["share_wide"] = f"SELECT state_name, county_name, survey_year, {_rounded(WIDE_NAMES)} FROM wide"
+    q["share_wide"] = f"SELECT fips, state_name, county_name, survey_year, {_rounded(WIDE_NAMES)} FROM wide"
 
     q["county_areas"] = "SELECT * FROM county_area"
     q["series_of_counties"] = """SELECT * FROM series
       WHERE area_code IN (SELECT area_code FROM county_area)"""
     q["labor_star"] = "SELECT * FROM star"
-    q["labor_long_typed"] = "SELECT * FROM typed"
-    q["labor_wide"] = f"SELECT state_fips, county, year, month, {_rounded(MEASURE_NAMES)} FROM months"
-    q["labor_yearly"] = f"SELECT county_name, survey_year, {_rounded(YEARLY_NAMES)} FROM yearly"
+    q["labor_long_typed"] = "SELECT * EXCLUDE (fips) FROM typed"
+    q["labor_wide"] = f"SELECT fips, state_fips, county, year, month, {_rounded(MEASURE_NAMES)} FROM months"
+    q["labor_yearly"] = f"SELECT fips, county_name, survey_year, {_rounded(YEARLY_NAMES)} FROM yearly"
     q["labor_yearly_no_annual"] = (
-        f"SELECT county_name, survey_year, {_rounded(YEARLY_NAMES)} FROM yearly_months_only")
+        f"SELECT fips, county_name, survey_year, {_rounded(YEARLY_NAMES)} FROM yearly_months_only")
 
     q["county_year_panel"] = (
-        f"SELECT state_name, county_name, survey_year, {_rounded(WIDE_NAMES + YEARLY_NAMES)} FROM panel")
-    q["county_year_panel_fips"] = f"""SELECT fips, p.state_name, p.county_name, survey_year,
-      {_rounded(WIDE_NAMES + YEARLY_NAMES)} FROM panel p JOIN crosswalk c
-      ON p.county_name = c.county_name || ', ' || upper(left(c.state_name, 2))"""
+        f"SELECT fips, state_name, county_name, survey_year, {_rounded(WIDE_NAMES + YEARLY_NAMES)} FROM panel")
+    q["county_year_panel_fips"] = f"""SELECT fips, state_name, county_name, survey_year,
+      {_rounded([f"{n}_{k}" for k in ("uw", "w") for n in LISTED] + YEARLY_NAMES)} FROM panel"""
     q["statewide_trend_uw"] = _trend([X, *HEALTH_UW])
     q["statewide_trend_w"] = _trend([X, *HEALTH_W])
     q["alcohol_trend"] = _trend([X, *ALCOHOL])
@@ -453,12 +473,12 @@ def _bodies() -> dict[str, str]:
     q["smoking_trend"] = f"""SELECT state_name, survey_year,
       {r6(f"avg({smoke[0]} + {smoke[1]})", "current_smoker")}, {r6(f"avg({smoke[2]})", "never_smoker")},
       {r6(f"avg({X})", X)} FROM panel GROUP BY state_name, survey_year"""
-    q["frequency_rate"] = f"""SELECT state_name, county_name, survey_year, category,
+    q["frequency_rate"] = f"""SELECT fips, state_name, county_name, survey_year, category,
       {r6("weighted_percent", "weighted_percent")}, {r6(RATE, "daily_rate")}
       FROM shares WHERE variable = 'eats_fruit'"""
     q["expected_rate"] = EXPECTED
     q["county_order"] = f"""SELECT state_name, county_name, {r6(f"avg({X})", "mean")},
-      row_number() OVER (PARTITION BY state_name ORDER BY avg({X}) DESC NULLS LAST, county_name)::INTEGER
+      row_number() OVER (PARTITION BY state_name ORDER BY round(avg({X}), 9) DESC NULLS LAST, county_name)::INTEGER
         AS position FROM panel GROUP BY state_name, county_name"""
     q["county_year_matrix_x"] = _matrix(X)
     q["county_year_matrix_y"] = _matrix(Y)
@@ -475,18 +495,18 @@ def _bodies() -> dict[str, str]:
     q["ols_by_year"] = f"""SELECT survey_year, outcome, n, {_fit_columns()}
       FROM ({_fits("survey_year", OUTCOMES[:1])})"""
 
-    q["yearly_cutoffs"] = f"SELECT survey_year, {_rounded(['x_cut', 'y_cut'])} FROM cuts"
+    q["yearly_cutoffs"] = f"SELECT state_name, survey_year, {_rounded(['x_cut', 'y_cut'])} FROM cuts"
     q["quadrants"] = f"""SELECT state_name, survey_year, county_name, {r6(X, X)},
       {r6(Y, Y.strip('"'))}, u_bin, h_bin, quadrant, color FROM quads"""
     q["income_tertiles"] = "SELECT * FROM tertiles"
     q["income_tertiles_fallback"] = f"SELECT {TERTILE_COLUMNS} FROM ({_tertiles('income_few')})"
-    q["tertile_edge_ties"] = """SELECT survey_year, count(DISTINCT median_income)::BIGINT AS values
-      FROM income_few GROUP BY survey_year HAVING count(DISTINCT median_income) >= 3
+    q["tertile_edge_ties"] = """SELECT state_name, survey_year, count(DISTINCT median_income)::BIGINT AS values
+      FROM income_few GROUP BY state_name, survey_year HAVING count(DISTINCT median_income) >= 3
         AND quantile_cont(median_income, 1.0::DOUBLE / 3.0::DOUBLE)
           = quantile_cont(median_income, 2.0::DOUBLE / 3.0::DOUBLE)"""
-    q["statewide_median"] = f"""SELECT survey_year, {r6("median(median_income)", "median")},
+    q["statewide_median"] = f"""SELECT state_name, survey_year, {r6("median(median_income)", "median")},
       '$' || format('{{:,}}', round_even(median(median_income), 0)::BIGINT) AS median_text
-      FROM income GROUP BY survey_year"""
+      FROM income GROUP BY state_name, survey_year"""
     q["common_years"] = """SELECT survey_year FROM survey_raw WHERE survey_year BETWEEN 1997 AND 2000
       INTERSECT SELECT survey_year FROM income"""
     bare = name_key("regexp_replace(area_text, '[0-9]+', '', 'g')", "r_name", "left(r_name, 2)")
@@ -497,14 +517,14 @@ def _bodies() -> dict[str, str]:
           ON substr(area_code, 3, 2) = state_fips)) WHERE place = 1"""
     q["income_alignment"] = "SELECT * FROM agreement"
     kinds = ["Green ↔ Green", "Middle ↔ Teal", "Middle ↔ Yellow", "Red ↔ Red", "Mismatch"]
-    q["alignment_wide"] = "SELECT survey_year, " + ", ".join(
+    q["alignment_wide"] = "SELECT state_name, survey_year, " + ", ".join(
         f"""coalesce(max(percent) FILTER (WHERE alignment = '{k}'), 0) AS "{k}\"""" for k in kinds
-    ) + " FROM agreement GROUP BY survey_year"
-    q["quadrant_map_table"] = f"""SELECT y.survey_year::INTEGER AS survey_year, feature_name,
+    ) + " FROM agreement GROUP BY state_name, survey_year"
+    q["quadrant_map_table"] = f"""SELECT f.state_name, y.survey_year::INTEGER AS survey_year, feature_name,
       coalesce(color, '#000000') AS color, coalesce(quadrant, 'No data') AS quadrant,
-      round_even({X}, 1) AS unemp_pct, round_even({Y}, 1) AS excellent_pct
-      FROM features CROSS JOIN {_YEAR_ROWS}
-      LEFT JOIN quads q ON q.survey_year = y.survey_year
+      round_even(round({X}, 9), 1) AS unemp_pct, round_even(round({Y}, 9), 1) AS excellent_pct
+      FROM features f CROSS JOIN {_YEAR_ROWS}
+      LEFT JOIN quads q ON q.state_name = f.state_name AND q.survey_year = y.survey_year
         AND split_part(q.county_name, ' County', 1) = feature_name"""
     q["tertile_map_table"] = "SELECT * FROM income_map"
     q["tertile_match_count"] = f"""SELECT survey_year, count(mhi)::BIGINT AS matched, count(*)::BIGINT AS total,
@@ -516,7 +536,7 @@ def _bodies() -> dict[str, str]:
       CASE WHEN survey_year >= 1998 THEN any_alcohol_past_month END AS any_alcohol_past_month
       FROM survey_raw"""
     q["json_matrix_decode"] = "SELECT * FROM income"
-    q["feature_explode"] = """SELECT c_custkey, unnest([n_name, r_name]) AS feature_name
+    q["feature_explode"] = """SELECT c_custkey, r_name AS state_name, unnest([n_name, r_name]) AS feature_name
       FROM customer JOIN counties ON c_nationkey = n_nationkey"""
     q["year_resolution"] = """SELECT r.survey_year, CASE WHEN o.survey_year IS NOT NULL
         THEN 'landed/survey_' || r.survey_year || '.csv' END AS path,
@@ -557,7 +577,7 @@ def _bodies() -> dict[str, str]:
       CASE WHEN coalesce(s.n, 0) = 0 AND coalesce(l.n, 0) = 0 THEN 'empty'
         WHEN coalesce(s.n, 0) = 0 THEN 'no survey rows'
         WHEN coalesce(l.n, 0) = 0 THEN 'no labor rows' ELSE 'ok' END AS status
-      FROM (SELECT r_name AS state_name, unnest({grid})::INTEGER AS survey_year FROM region) g
+      FROM (SELECT 'New ' || r_name AS state_name, unnest({grid})::INTEGER AS survey_year FROM region) g
       LEFT JOIN (SELECT w.state_name, survey_year, count(*) AS n FROM coded c
                  JOIN crosswalk w ON c.fips = w.fips GROUP BY 1, 2) s
         ON g.state_name = s.state_name AND g.survey_year = s.survey_year
@@ -569,20 +589,44 @@ def _bodies() -> dict[str, str]:
       CASE WHEN a.n IS NULL THEN 'not_found' WHEN r.survey_year <= 1997 THEN 'skipped_existing'
         ELSE 'ok' END AS status,
       CASE WHEN r.survey_year > 1997 THEN a.n END AS rows,
-      CASE WHEN a.n IS NOT NULL AND r.survey_year > 1997 THEN 18 END AS cols
+      CASE WHEN a.n IS NOT NULL AND r.survey_year > 1997
+        THEN CASE WHEN r.survey_year < 1999 THEN 17 ELSE 18 END END AS cols
       FROM requested r LEFT JOIN (SELECT survey_year, count(*)::BIGINT AS n FROM survey_raw GROUP BY 1) a
         ON r.survey_year = a.survey_year"""
-    q["coverage_gaps"] = f"""SELECT state_name, county_name || ', ' || upper(left(state_name, 2)) AS county_name,
+    q["coverage_gaps"] = f"""SELECT fips, state_name, county_name || ', ' || state_name AS county_name,
       survey_year FROM (SELECT *, unnest(range({FIRST_YEAR}, {LAST_YEAR + 1}))::INTEGER AS survey_year
                         FROM crosswalk) g
-      WHERE NOT EXISTS (SELECT 1 FROM panel p WHERE p.survey_year = g.survey_year
-        AND p.county_name = g.county_name || ', ' || upper(left(g.state_name, 2)))"""
+      WHERE NOT EXISTS (SELECT 1 FROM panel p WHERE p.survey_year = g.survey_year AND p.fips = g.fips)"""
     q["bad_values"] = " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count({c})::BIGINT AS present,
         count(*) FILTER (WHERE {c} IS NOT NULL AND try_cast(trim({c}) AS DOUBLE) IS NULL)::BIGINT AS bad
         FROM {t}""" for c, t in (("_state", "survey_raw"), ("_cnty", "survey_raw"),
                                  ("ctycode", "survey_raw"), ("year", "la_data"), ("value", "la_data")))
 
+    q["ols_pvalues"] = f"""SELECT state_name, outcome, n, {r6("ts", "t_slope")}, {_tail("ts", "p_slope")},
+      {r6("ti", "t_intercept")}, {_tail("ti", "p_intercept")}
+      FROM (SELECT *, sxy / sxx / sqrt(mse / sxx) AS ts,
+              (my - sxy / sxx * mx) / sqrt(mse * (1.0 / n + mx * mx / sxx)) AS ti
+            FROM (SELECT *, (syy - sxy * sxy / sxx) / (n - 2) AS mse FROM ({_fits("state_name", OUTCOMES)})))"""
+    q["discovered_files"] = "SELECT 'survey_' || survey_year || '.csv' AS name, survey_year FROM order_years"
+    q["yearly_files_read"] = """SELECT year(o_orderdate)::VARCHAR AS year, count(*)::VARCHAR AS rows,
+      year(o_orderdate)::INTEGER AS survey_year FROM orders GROUP BY year(o_orderdate)"""
+    q["headerless_read"] = "SELECT *, NULL::VARCHAR AS footnote_codes FROM la_data"
+    q["written_years"] = "SELECT respondent_id, survey_year, general_health_status FROM survey_raw"
+    q["written_survey_table"] = f"SELECT {HEALTH} FROM named"
+    q["months_by_state_folder"] = q["labor_wide"]
+    some = [n for n in WIDE_NAMES if n.startswith(("ever_told_high_bp", "ever_told_asthma"))]
+    q["written_panel"] = f"""SELECT fips, state_name, county_name, survey_year, {r6(X, X)}, {_rounded(some)}
+      FROM panel"""
+    q["run_log_entries"] = f"""SELECT * FROM ({q["run_summary"]}) UNION ALL
+      SELECT * FROM ({q["run_summary"]}) WHERE status = 'ok'"""
+    q["lower_column_names"] = """SELECT respondent_id, _state, general_health_status AS genhlth, survey_year AS year
+      FROM survey_raw"""
+    q["dropped_columns"] = f"""SELECT respondent_id, respondent_age AS age, {_STRICT_STATE} AS state_fips,
+      {_STRICT_COUNTY} AS county_fips3,
+      coalesce({_STRICT_STATE}, '') || coalesce({_STRICT_COUNTY}, '') AS fips FROM survey_raw"""
+    q["state_of_file_name"] = "SELECT n_nationkey, r_name AS state FROM counties"
+
     measures = [X, *HEALTH_W]
     q["describe_panel"] = " UNION ALL ".join(
         f"""SELECT '{m}' AS measure, count("{m}")::BIGINT AS n, {r6(f'avg("{m}")', "mean")},

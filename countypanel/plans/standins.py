@@ -42,6 +42,10 @@ def pick(texts, index: Column) -> Column:
     return F.array(*[F.lit(t) for t in texts])[index]
 
 
+def state_name(region: Column) -> Column:
+    return F.concat(F.lit("New "), region)
+
+
 class Tables:
     """The given tables of one folder and the views on them.
 
@@ -65,10 +69,15 @@ class Tables:
         return self.spark.read.schema(SCHEMAS[path]).parquet(path)
 
     def counties(self) -> DataFrame:
-        """Nations with their region: codes, names and the region's name."""
+        """Nations with their region: codes, names and the region's name.
+
+        As in the real tables, counties of different states share a name, and states
+        share their first two letters: nation 7 of region 2 is county "NATION_1" of "New ASIA".
+        """
         nation, region = self.read("nation"), self.read("region")
+        name = F.concat(F.lit("NATION_"), F.floor(F.col("n_nationkey") / 5).cast("string"))
         return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-            "n_nationkey", "n_regionkey", "n_name", "r_name",
+            "n_nationkey", "n_regionkey", name.alias("n_name"), state_name(F.col("r_name")).alias("r_name"),
             zero_pad(F.col("n_regionkey").cast("string"), 2).alias("state_fips"),
             zero_pad(F.col("n_nationkey").cast("string"), 3).alias("county_fips"),
         )
@@ -89,12 +98,13 @@ class Tables:
         )
         nation, region, supplier = self.read("nation"), self.read("region"), self.read("supplier")
         states = region.select(
-            F.lit("040"), zero_pad(F.col("r_regionkey").cast("string"), 2), F.lit("000"), "r_name"
+            F.lit("040"), zero_pad(F.col("r_regionkey").cast("string"), 2), F.lit("000"),
+            state_name(F.col("r_name")),
         )
         state_of = zero_pad(F.col("n_regionkey").cast("string"), 2)
         counties = nation.select(
             F.lit("050"), state_of, zero_pad(F.col("n_nationkey").cast("string"), 3),
-            F.concat("n_name", F.lit(" County")),
+            F.concat(F.lit("NATION_"), F.floor(F.col("n_nationkey") / 5).cast("string"), F.lit(" County")),
         )
         places = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
             F.lit("162"), state_of, F.lit("000"), "s_name"
@@ -123,8 +133,8 @@ class Tables:
             .alias("_cnty"),
             year.alias("year"),
             F.when(key % 31 != 0, F.col("o_totalprice")).alias("_finalwt"),
-            F.when(key % 11 != 0, F.substring("o_orderpriority", 1, 1).cast("double"))
-            .alias("genhlth"),
+            F.when(key % 11 == 0, None).when(key % 17 == 0, 8.0)
+            .otherwise(F.substring("o_orderpriority", 1, 1).cast("double")).alias("genhlth"),
             choose(F.col("o_orderstatus"), {"F": 1.0, "O": 2.0, "P": 3.0}).alias("smokeday"),
             choose(
                 F.col("c_mktsegment"),
@@ -139,7 +149,7 @@ class Tables:
             F.floor(F.col("c_acctbal") / 1000).cast("int").alias("income2"),
             (F.col("o_custkey") % 5 + 1).cast("int").alias("numadult"),
             (F.col("o_custkey") % 6 + 1).cast("int").alias("_ageg"),
-            (key % 3 + 1).cast("int").alias("asthma"),
+            (key % 3 + 1).cast("double").alias("asthma"),
             F.when(F.col("o_totalprice") > 200000, 2).otherwise(1).alias("_rfobese"),
         )
 
@@ -150,7 +160,7 @@ class Tables:
                          F.lit("00000000000"))
         states = self.read("region").select(
             F.lit("A").alias("area_type_code"), state.alias("area_code"),
-            F.col("r_name").alias("area_text"),
+            state_name(F.col("r_name")).alias("area_text"),
         )
         county_rows = counties.select(
             F.lit("F"),
@@ -219,7 +229,7 @@ class Tables:
     def income(self) -> DataFrame:
         full_name = F.concat("n_name", F.lit(" County, "), "r_name")
         return self.income_cells().select(
-            "survey_year",
+            F.col("r_name").alias("state_name"), "survey_year",
             F.concat("state_fips", "county_fips").alias("county_fips"),
             full_name.alias("county_name_full"),
             name_key(full_name, F.col("r_name"), F.substring("r_name", 1, 2)).alias("county_key"),
@@ -227,11 +237,14 @@ class Tables:
         )
 
     def income_few(self) -> DataFrame:
-        """Incomes where one year keeps two different values and another only one."""
+        """Incomes where one year keeps two different values, one only one, and one three whose edges coincide."""
         few = (
             F.when((F.col("survey_year") == 1996) & F.col("county_key").endswith("1"), 1000.0)
             .when(F.col("survey_year") == 1996, 2000.0)
             .when(F.col("survey_year") == 1997, 3000.0)
+            .when((F.col("survey_year") == 1998) & F.col("county_key").endswith("0"), 1000.0)
+            .when((F.col("survey_year") == 1998) & F.col("county_key").endswith("4"), 3000.0)
+            .when(F.col("survey_year") == 1998, 2000.0)
             .otherwise(F.col("median_income"))
         )
         return self.income().withColumn("median_income", few)
@@ -250,7 +263,7 @@ class Tables:
             .groupBy("r_name", "survey_year")
             .agg(F.collect_list(row).alias("rows"))
             .select(
-                "r_name", "survey_year",
+                F.col("r_name").alias("state_name"), "survey_year",
                 F.to_json(F.concat(F.array(header), "rows")).alias("reply"),
             )
         )
@@ -269,7 +282,7 @@ class Tables:
             F.lit("]}"),
         )
         return customer.join(counties, customer.c_nationkey == counties.n_nationkey).select(
-            "c_custkey", document.alias("document")
+            "c_custkey", F.col("r_name").alias("state_name"), document.alias("document")
         )
 
     def event_texts(self) -> DataFrame:

@@ -48,6 +48,11 @@ def stack_by_name(tables: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
+def stack_years(tables: dict[int, DataFrame]) -> DataFrame:
+    """Tables by year as one table with a `survey_year` column, columns matched by name."""
+    return stack_by_name([t.withColumn("survey_year", F.lit(int(year))) for year, t in sorted(tables.items())])
+
+
 def read_years(spark: SparkSession, path_by_year: dict[int, str], sep: str = ",") -> DataFrame:
     """Yearly files with their own headers as one table with a `survey_year` column.
 
@@ -55,11 +60,7 @@ def read_years(spark: SparkSession, path_by_year: dict[int, str], sep: str = ","
     headers would line the columns up by position. Only the header line of each file
     is looked at here; the rows stay in the plan.
     """
-    tables = [
-        read_with_header(spark, path, sep).withColumn("survey_year", F.lit(int(year)))
-        for year, path in sorted(path_by_year.items())
-    ]
-    return stack_by_name(tables)
+    return stack_years({year: read_with_header(spark, path, sep) for year, path in path_by_year.items()})
 
 
 def read_landed(spark: SparkSession, folder: str) -> DataFrame:

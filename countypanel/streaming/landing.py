@@ -18,11 +18,13 @@ from ..sources.sinks import state_of_file
 def checkpoint_folder(spark: SparkSession, name: str, fallback: str | None = None) -> str:
     """Folder for a stream's progress inside the cluster's shared checkpoint folder.
 
-    `fallback` serves sessions that set none, such as tests.
+    `fallback` serves sessions on one machine that set none, such as tests.
     """
-    base = spark.conf.get("spark.checkpoint.dir", fallback)
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and spark.sparkContext.master.startswith("local"):
+        base = fallback
     if not base:
-        raise ValueError("spark.checkpoint.dir is not set and no fallback was given")
+        raise ValueError("spark.checkpoint.dir is not set")
     return f"{base.rstrip('/')}/{name}"
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from countypanel.operators import classify, quality
 
 PANEL = "state_name string, county_name string, survey_year int, x double, y double"
-INCOME = "survey_year int, county_key string, median_income double"
+INCOME = "state_name string, survey_year int, county_key string, median_income double"
 
 
 def test_quadrants(rows):
@@ -28,27 +28,28 @@ def test_quadrants(rows):
     list(range(58)), [5, 5, 5, 1, 2, 9, 9], list(range(83)), [1, 2, 3], [3, 1, 2, 2, 2, 2, 8, 9, 10, 11],
 ])
 def test_tertiles_follow_interpolated_edges(rows, values):
-    df = rows([(2000, str(i), float(v)) for i, v in enumerate(values)], INCOME)
+    df = rows([("S", 2000, str(i), float(v)) for i, v in enumerate(values)] + [("T", 2000, "0", 1e9)], INCOME)
     low, high = np.quantile(np.array(values, dtype=float), [1 / 3, 2 / 3])
     expected = ["Low" if v <= low else "Middle" if v <= high else "High" for v in values]
-    got = {int(r.county_key): r.income_bracket for r in classify.income_tertiles(df).collect()}
+    got = {int(r.county_key): r.income_bracket for r in classify.income_tertiles(df).where("state_name = 'S'").collect()}
     assert [got[i] for i in range(len(values))] == expected
 
 
 def test_tertiles_of_few_values(rows):
-    df = rows([(1, "a", 1.0), (1, "b", 2.0), (1, "c", 1.0), (2, "a", 7.0), (2, "b", 7.0),
-               (3, "a", None), (4, "a", 1.0), (4, "b", 1.0), (4, "c", 2.0), (4, "d", 9.0)], INCOME)
+    df = rows([("S", *row) for row in (
+        (1, "a", 1.0), (1, "b", 2.0), (1, "c", 1.0), (2, "a", 7.0), (2, "b", 7.0),
+        (3, "a", None), (4, "a", 1.0), (4, "b", 1.0), (4, "c", 2.0), (4, "d", 9.0))], INCOME)
     got = {(r.survey_year, r.county_key): r.income_bracket for r in classify.income_tertiles(df).collect()}
     assert [got[(1, c)] for c in "abc"] == ["Low", "High", "Low"]
     assert got[(2, "a")] == got[(2, "b")] == "Middle"
     assert (3, "a") not in got
-    ties = rows([(5, c, v) for c, v in zip("abcdefg", [1.0, 2.0, 2.0, 2.0, 2.0, 2.0, 3.0])], INCOME)
+    ties = rows([("S", 5, c, v) for c, v in zip("abcdefg", [1.0, 2.0, 2.0, 2.0, 2.0, 2.0, 3.0])], INCOME)
     assert [r.survey_year for r in classify.coinciding_edges(df.union(ties)).collect()] == [5]
 
 
 def test_median_text(rows):
-    df = rows([(1, "a", 1000.0), (1, "b", 2000.0), (1, "c", None)], INCOME)
-    assert tuple(classify.area_median(df).first()) == (1, 1500.0, "$1,500")
+    df = rows([("S", 1, "a", 1000.0), ("S", 1, "b", 2000.0), ("S", 1, "c", None)], INCOME)
+    assert tuple(classify.area_median(df).first()) == ("S", 1, 1500.0, "$1,500")
 
 
 def test_first_by_key(rows):
@@ -62,25 +63,40 @@ def test_agreement(rows):
     cases = [("High", (0, 0), "Green ↔ Green"), ("Low", (1, 1), "Red ↔ Red"),
              ("Middle", (0, 1), "Middle ↔ Teal"), ("Middle", (1, 0), "Middle ↔ Yellow"),
              ("Low", (0, 0), "Mismatch"), ("High", (1, 1), "Mismatch"), ("Middle", (0, 0), "Mismatch")]
-    df = rows([(2005, b, q[p], e) for b, p, e in cases],
-              "survey_year int, income_bracket string, quadrant string, expected string")
+    df = rows([("S", 2005, b, q[p], e) for b, p, e in cases],
+              "state_name string, survey_year int, income_bracket string, quadrant string, expected string")
     assert all(r.alignment == r.expected for r in classify.with_agreement(df).collect())
     by_year = {r.alignment: (r["count"], r.percent) for r in classify.agreement_by_year(df).collect()}
     assert by_year["Mismatch"] == (3, 42.9) and by_year["Red ↔ Red"] == (1, 14.3)
     wide = classify.agreement_wide(classify.agreement_by_year(df.where("expected = 'Mismatch'"))).first()
-    assert wide.asDict() == {"survey_year": 2005, "Green ↔ Green": 0.0, "Middle ↔ Teal": 0.0,
+    assert wide.asDict() == {"state_name": "S", "survey_year": 2005, "Green ↔ Green": 0.0, "Middle ↔ Teal": 0.0,
                              "Middle ↔ Yellow": 0.0, "Red ↔ Red": 0.0, "Mismatch": 100.0}
 
 
 def test_matching_by_name_key(rows):
-    classes = rows([(2005, "St. Clair County, CA", "first"), (2005, "St Clair, CA", "second"),
-                    (2005, "Kern County, CA", "k")], "survey_year int, county_name string, quadrant string")
-    incomes = rows([(2005, "saint clair", "Low"), (2006, "kern", "High")],
-                   "survey_year int, county_key string, income_bracket string")
-    got = classify.matching_classes(classes, incomes, "California", "CA").collect()
+    classes = rows([("California", 2005, "St. Clair County, CA", "first"), ("California", 2005, "St Clair, CA", "second"),
+                    ("California", 2005, "Kern County, CA", "k")],
+                   "state_name string, survey_year int, county_name string, quadrant string")
+    incomes = rows([("California", 2005, "saint clair", "Low"), ("California", 2006, "kern", "High")],
+                   "state_name string, survey_year int, county_key string, income_bracket string")
+    got = classify.matching_classes(classes, incomes, F.col("state_name"), "CA").collect()
     assert [(r.county_key, r.quadrant, r.income_bracket) for r in got] == [("saint clair", "second", "Low")]
 
 
+def test_counties_of_one_name_keep_their_state(rows):
+    classes = rows([("Michigan", 2005, "Jackson County, MI", "m"), ("Ohio", 2005, "Jackson County, OH", "o")],
+                   "state_name string, survey_year int, county_name string, quadrant string")
+    incomes = rows([("Michigan", 2005, "jackson", "Low"), ("Ohio", 2005, "jackson", "High")],
+                   "state_name string, survey_year int, county_key string, income_bracket string")
+    short = F.when(F.col("state_name") == "Ohio", "OH").otherwise("MI")
+    got = classify.matching_classes(classes, incomes, F.col("state_name"), short).collect()
+    assert {(r.state_name, r.quadrant, r.income_bracket) for r in got} == {("Michigan", "m", "Low"), ("Ohio", "o", "High")}
+    features = rows([("Michigan", "Jackson"), ("Ohio", "Jackson")], "state_name string, feature_name string")
+    mapped = classify.tertile_map(
+        features, incomes.withColumn("median_income", F.lit(1.0)), [2005], F.col("state_name"), short).collect()
+    assert {(r.state_name, r.mhi_bracket) for r in mapped} == {("Michigan", "Low"), ("Ohio", "High")}
+
+
 def test_common_years(rows):
     a = rows([(2004,), (2005,), (2006,), (2006,)], "survey_year int")
     b = rows([(2004,), (2006,), (2011,)], "survey_year int")
@@ -88,9 +104,9 @@ def test_common_years(rows):
 
 
 def test_quadrant_map(rows):
-    classes = rows([("Kern County, CA", 2010, 9.25, 20.04, "q", "#1")],
-                   "county_name string, survey_year int, x double, y double, quadrant string, color string")
-    features = rows([("Kern",), ("Inyo",)], "feature_name string")
+    classes = rows([("California", "Kern County, CA", 2010, 9.250000000000002, 20.04, "q", "#1")],
+                   "state_name string, county_name string, survey_year int, x double, y double, quadrant string, color string")
+    features = rows([("California", "Kern"), ("California", "Inyo")], "state_name string, feature_name string")
     got = {(r.feature_name, r.survey_year): r for r in classify.quadrant_map(
         features, classes, [2010, 2011], x="x", y="y").collect()}
     assert len(got) == 4
@@ -100,13 +116,13 @@ def test_quadrant_map(rows):
 
 
 def test_tertile_map_and_its_match_count(rows):
-    brackets = rows([(2010, "kern", 45678.9, "Low")],
-                    "survey_year int, county_key string, median_income double, income_bracket string")
-    features = rows([("Kern County",), ("Inyo",)], "feature_name string")
+    brackets = rows([("California", 2010, "kern", 45678.9, "Low")],
+                    "state_name string, survey_year int, county_key string, median_income double, income_bracket string")
+    features = rows([("California", "Kern County"), ("California", "Inyo")], "state_name string, feature_name string")
     mapped = classify.tertile_map(features, brackets, [2010], "California", "CA")
     got = {r.feature_name: r for r in mapped.collect()}
-    assert tuple(got["Kern County"])[3:] == (45678, "$45,678", "Low", "#d73027")
-    assert tuple(got["Inyo"])[3:] == (None, "No data", "No data", "#000000")
+    assert tuple(got["Kern County"])[4:] == (45678, "$45,678", "Low", "#d73027")
+    assert tuple(got["Inyo"])[4:] == (None, "No data", "No data", "#000000")
     assert quality.map_match_rate(mapped).first().match_text == "1/2 (50.0%)"
 
 
@@ -127,9 +143,9 @@ def test_match_rate_and_profile(rows):
 
 def test_run_summary(rows):
     years = lambda *y: rows([(v,) for v in y], "survey_year int")
-    available = rows([(2000, 5), (2001, 6)], "survey_year int, rows long")
+    available = rows([(2000, None, 9), (2001, 6, 7)], "survey_year int, rows long, cols int")
     got = {r.survey_year: tuple(r)[1:] for r in quality.run_summary(
-        years(1999, 2000, 2001), available, years(2000), 7).collect()}
+        years(1999, 2000, 2001), available, years(2000)).collect()}
     assert got == {1999: ("not_found", None, None), 2000: ("skipped_existing", None, None),
                    2001: ("ok", 6, 7)}
 
@@ -142,9 +158,9 @@ def test_empty_partitions_and_gaps(rows):
         2000, 2003).collect()}
     assert got == {2000: "ok", 2001: "no labor rows", 2002: "no survey rows", 2003: "empty"}
     counties = rows([("x", "CA", "A, CA")], CROSSWALK)
-    panel = rows([("CA", "A, CA", 2000)], "state_name string, county_name string, survey_year int")
+    panel = rows([("x", 2000), ("y", 2001)], "fips string, survey_year int")
     gaps = quality.coverage_gaps(counties, panel, 2000, 2001).collect()
-    assert [tuple(r) for r in gaps] == [("CA", "A, CA", 2001)]
+    assert [tuple(r) for r in gaps] == [("x", "CA", "A, CA", 2001)]
 
 
 def test_bad_values(rows):

@@ -94,9 +94,11 @@ def test_display_key(rows):
     df = rows([(" Alameda County", "California "), ("Juneau", "Alaska"), (None, "Ohio")],
               "c string, s string")
     key = names.display_key(F.col("c"), F.col("s"))
-    assert column(df, key) == ["Alameda County, CA", "Juneau, AL", None]
-    postal = names.display_key(F.col("c"), F.col("s"), "usps")
-    assert column(df, postal) == ["Alameda County, CA", "Juneau, AK", None]
+    assert column(df, key) == ["Alameda County, CA", "Juneau, AK", None]
+    prefix = names.display_key(F.col("c"), F.col("s"), "prefix2")
+    assert column(df, prefix) == ["Alameda County, CA", "Juneau, AL", None]
+    elsewhere = rows([("Kent", "Old England")], "c string, s string")
+    assert column(elsewhere, names.display_key(F.col("c"), F.col("s"))) == ["Kent, Old England"]
     with pytest.raises(ValueError):
         names.state_abbreviation(F.col("s"), "other")
 
@@ -141,3 +143,17 @@ def test_texts_of_numbers(rows):
     df = rows([(12345, 3, 8), (1234567, 0, 0)], "m long, a long, b long")
     assert column(df, formats.money(F.col("m"))) == ["$12,345", "$1,234,567"]
     assert df.limit(1).select(formats.matched_of_total(F.col("a"), F.col("b"))).first()[0] == "3/8 (37.5%)"
+
+
+def test_odd_numbers_stop_nothing(rows):
+    texts = ["9999999999", "1e999", "-1e999", "1d", "0x1p3", "5.", ".5", " 7 ", "1e5", "nan", "Infinity", "", "12f", "1e30"]
+    df = rows([(t,) for t in texts], "t string")
+    assert column(df, missing.to_number(F.col("t"))) == [
+        9999999999.0, None, None, None, None, 5.0, 0.5, 7.0, 100000.0, None, None, None, None, 1e30]
+    assert column(df, codes.frequency_rate(F.col("t"))) == [None] * len(texts)
+    assert column(df, codes.integer_code(F.col("t"), 3))[-1] is None
+
+
+def test_ties_of_noisy_means(rows):
+    df = rows([(22.65,), (22.650000000000002,), (22.649999999999995,), (22.75,), (None,)], "m double")
+    assert column(df, formats.one_decimal(F.col("m"))) == [22.6, 22.6, 22.6, 22.8, None]

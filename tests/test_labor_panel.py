@@ -1,5 +1,7 @@
 """Labour tables, the merged panel and what is drawn from it."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,13 +156,13 @@ def test_grouped_answers(rows):
     assert (got.above_good, got.good, got.below_good) == (15.0, 65.0, 20.0)
 
 
-LONG = ("state_name string, county_name string, survey_year int, variable string, category string, "
+LONG = ("state_name string, fips string, survey_year int, variable string, category string, "
         "weighted_percent double")
 
 
 def test_expected_rate(rows):
     labor_years = rows([("a", 2000), ("b", 2000), ("a", 2001), ("a", 2002)],
-                       "county_name string, survey_year int")
+                       "fips string, survey_year int")
     long = rows([
         ("S", "a", 2000, "eats_fruit", "101.0", 50.0), ("S", "a", 2000, "eats_fruit", "207.0", 50.0),
         ("S", "b", 2000, "eats_fruit", "102.0", 40.0), ("S", "b", 2000, "eats_fruit", "555.0", 60.0),
@@ -175,15 +177,17 @@ def test_expected_rate(rows):
 
 
 def test_expected_rate_of_proportions(rows):
-    labor_years = rows([("a", 2000)], "county_name string, survey_year int")
+    labor_years = rows([("a", 2000)], "fips string, survey_year int")
     long = rows([("S", "a", 2000, "eats_fruit", "103.0", 0.5)], LONG)
     assert panel.expected_rate(long, labor_years).first().expected_per_day == pytest.approx(1.5)
 
 
 def test_merge_keeps_common_county_years(rows):
-    shares = rows([("a", 2000, 1.0), ("b", 2000, 2.0)], "county_name string, survey_year int, s double")
-    yearly = rows([("a", 2000, 3.0), ("a", 2001, 4.0)], "county_name string, survey_year int, l double")
+    shares = rows([("a", 2000, 1.0), ("b", 2000, 2.0)], "fips string, survey_year int, s double")
+    yearly = rows([("a", 2000, 3.0), ("a", 2001, 4.0)], "fips string, survey_year int, l double")
     assert [tuple(r) for r in panel.merge_panel(shares, yearly).collect()] == [("a", 2000, 1.0, 3.0)]
+    named = [t.withColumnRenamed("fips", "county_name") for t in (shares, yearly)]
+    assert panel.merge_panel(*named, panel.PLACE_TIME).count() == 1
 
 
 def test_change_and_correlations(small_panel):
@@ -240,15 +244,17 @@ def test_p_values_agree_with_the_ml_library(rows):
     (12.706204736, 1, 0.05), (4.302652730, 2, 0.05), (3.182446305, 3, 0.05), (2.776445105, 4, 0.05),
     (2.228138852, 10, 0.05), (2.042272456, 30, 0.05), (0.0, 7, 1.0), (-2.570581836, 5, 0.05),
 ])
-def test_student_tail(t, free, p):
-    assert regression._two_sided_p(t, free) == pytest.approx(p, abs=1e-9)
-
-
-def test_broadcast_only_when_small(spark):
-    from countypanel.operators.lookup import broadcast_if_small
-
-    facts, lookup = spark.range(100), spark.range(10)
-    plan = lambda limit: facts.join(
-        broadcast_if_small(lookup, limit), "id")._jdf.queryExecution().logical().toString()
-    assert "ResolvedHint (strategy=broadcast)" in plan(10) or "UnresolvedHint" in plan(10)
-    assert "Hint" not in plan(9)
+def test_student_tail(spark, t, free, p):
+    got = spark.range(1).select(regression.two_sided_p(F.lit(t), F.lit(free))).first()[0]
+    assert got == pytest.approx(p, abs=1e-9)
+
+
+def test_small_tails_keep_their_digits(spark):
+    """Against the closed forms for one and two degrees of freedom."""
+    got = spark.range(1).select(
+        regression.two_sided_p(F.lit(1e6), F.lit(1)), regression.two_sided_p(F.lit(1e5), F.lit(2)),
+        regression.two_sided_p(F.lit(30.0), F.lit(40)), regression.two_sided_p(F.lit(None).cast("double"), F.lit(4)),
+        regression.two_sided_p(F.lit(1.0), F.lit(0))).first()
+    assert got[0] == pytest.approx(2 / math.pi * math.atan(1e-6), rel=1e-9)
+    assert got[1] == pytest.approx(1e-10, rel=1e-6)
+    assert 0 < got[2] < 1e-25 and got[3] is None and got[4] is None

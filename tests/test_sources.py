@@ -156,10 +156,18 @@ def test_stream_lands_each_file_once(spark, tmp_path):
 
 
 class Settings(dict):
+    """A session's settings and master."""
+
+    master = "local[4]"
+
     @property
     def conf(self):
         return self
 
+    @property
+    def sparkContext(self):
+        return self
+
 
 def test_progress_goes_to_the_shared_folder():
     shared = Settings({"spark.checkpoint.dir": "hdfs://shared/progress/"})
@@ -167,3 +175,7 @@ def test_progress_goes_to_the_shared_folder():
     assert landing.checkpoint_folder(Settings(), "x", "/elsewhere") == "/elsewhere/x"
     with pytest.raises(ValueError):
         landing.checkpoint_folder(Settings(), "x")
+    cluster = Settings()
+    cluster.master = "yarn"
+    with pytest.raises(ValueError):
+        landing.checkpoint_folder(cluster, "x", "/elsewhere")

@@ -8,7 +8,7 @@ from countypanel.operators.geography import county_crosswalk
 from countypanel.sources.delimited import geocode_rows
 
 KEYS = ("state_name", "county_name", "survey_year")
-RESPONDENT = "state_name string, county_name string, survey_year int, q double, r double, final_weight double"
+RESPONDENT = "fips string, state_name string, county_name string, survey_year int, q double, r double, final_weight double"
 
 
 @pytest.fixture
@@ -23,13 +23,13 @@ def crosswalk(rows):
 @pytest.fixture
 def people(rows):
     return rows([
-        ("CA", "A, CA", 2000, 1.0, 1.0, 10.0),
-        ("CA", "A, CA", 2000, 1.0, None, 30.0),
-        ("CA", "A, CA", 2000, 2.0, None, None),
-        ("CA", "A, CA", 2000, None, 2.0, 5.0),
-        ("CA", "B, CA", 2000, 1.0, None, None),
-        ("CA", "C, CA", 2000, 1.0, None, 0.0),
-        ("CA", None, 2000, 1.0, 1.0, 9.0),
+        ("06001", "CA", "A, CA", 2000, 1.0, 1.0, 10.0),
+        ("06001", "CA", "A, CA", 2000, 1.0, None, 30.0),
+        ("06001", "CA", "A, CA", 2000, 2.0, None, None),
+        ("06001", "CA", "A, CA", 2000, None, 2.0, 5.0),
+        ("06002", "CA", "B, CA", 2000, 1.0, None, None),
+        ("06003", "CA", "C, CA", 2000, 1.0, None, 0.0),
+        ("06999", "CA", None, 2000, 1.0, 1.0, 9.0),
     ], RESPONDENT)
 
 
@@ -115,7 +115,9 @@ def test_state_filter_takes_the_column_there_is(rows):
 
 def test_year_filter_is_closed(rows):
     df = rows([(1992,), (1993,), (2010,), (2011,), (None,)], "survey_year int")
-    assert sorted(r[0] for r in survey.in_years(df).collect()) == [1993, 2010]
+    assert survey.in_years(df).count() == 5
+    assert sorted(r[0] for r in survey.in_years(df, 1993, 2010).collect()) == [1993, 2010]
+    assert sorted(r[0] for r in survey.in_years(df, first=1993).collect()) == [1993, 2010, 2011]
     assert survey.in_years(rows([(1,)], "other int")).count() == 1
 
 
@@ -147,8 +149,8 @@ def test_two_sided_form_agrees(people):
 
 
 def test_variables_of_different_types(rows):
-    df = rows([("s", "c", 2000, 1.0, "1", 1.0), ("s", "c", 2000, 2.0, "No", 1.0)],
-              "state_name string, county_name string, survey_year int, q double, t string, final_weight double")
+    df = rows([("f", "s", "c", 2000, 1.0, "1", 1.0), ("f", "s", "c", 2000, 2.0, "No", 1.0)],
+              "fips string, state_name string, county_name string, survey_year int, q double, t string, final_weight double")
     got = {(r.variable, r.category) for r in shares.share_long(df, ["q", "t"]).collect()}
     assert got == {("q", "1.0"), ("q", "2.0"), ("t", "1.0"), ("t", "No")}
 
@@ -189,10 +191,10 @@ def test_presence_of_other_answers(rows, crosswalk):
 
 def test_labels_and_wide_table(rows):
     long = rows([
-        ("s", "c", 2000, "general_health_status", "1.0", 1, 25.0, 1.0, 40.0),
-        ("s", "c", 2000, "general_health_status", "8.0", 1, 75.0, 1.0, None),
-        ("s", "d", 2000, "eats_fruit", "101.0", 1, 100.0, 1.0, 100.0),
-    ], "state_name string, county_name string, survey_year int, variable string, category string, "
+        ("f", "s", "c", 2000, "general_health_status", "1.0", 1, 25.0, 1.0, 40.0),
+        ("f", "s", "c", 2000, "general_health_status", "8.0", 1, 75.0, 1.0, None),
+        ("g", "s", "d", 2000, "eats_fruit", "101.0", 1, 100.0, 1.0, 100.0),
+    ], "fips string, state_name string, county_name string, survey_year int, variable string, category string, "
        "unweighted_count long, unweighted_percent double, weighted_count double, weighted_percent double")
     assert {r.label for r in codebook.with_labels(long).collect()} == {"Excellent", "8.0", "101.0"}
     wide = table(shares.share_wide(long, ["general_health_status"]), "county_name")
@@ -207,6 +209,20 @@ def test_labels_and_wide_table(rows):
     assert (one["general_health_status_8.0_uw"], one["general_health_status_8.0_w"]) == (75.0, 0.0)
 
 
+def test_the_wide_table_can_hold_every_answer(rows):
+    """An unlisted code, a frequency code and a variable without codebook."""
+    long = rows([
+        ("f", "s", "c", 2000, v, code, 1, 50.0, 1.0, 40.0)
+        for v, code in (("general_health_status", "8.0"), ("eats_fruit", "101.0"), ("ever_told_asthma", "1.0"), ("ever_told_high_bp", "1.0"))
+    ], "fips string, state_name string, county_name string, survey_year int, variable string, category string, "
+       "unweighted_count long, unweighted_percent double, weighted_count double, weighted_percent double")
+    names = shares.answer_columns(long)
+    assert {"general_health_status_8.0", "eats_fruit_101.0", "ever_told_asthma_1.0"} == set(names) - set(codebook.share_columns())
+    row = shares.share_wide(long, columns=names).first().asDict()
+    assert sum(v for k, v in row.items() if k.endswith("_uw")) == 200.0
+    assert sum(v for k, v in row.items() if k.endswith("_w")) == 160.0
+
+
 def test_percents_add_up(people):
     totals = shares.share_long(people, ["q", "r"]).groupBy(*KEYS, "variable").agg(
         F.sum("unweighted_percent").alias("u"), F.sum("weighted_percent").alias("w")).collect()
