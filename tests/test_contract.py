@@ -56,17 +56,19 @@ def test_entry(spark):
 
 
 def test_flagship_numbers(spark):
-    three = ["general_health_status", "current_smoking_frequency", "ever_told_high_bp"]
-    df = entry_points.queries()["share_long"](spark, SF_SMALL).where(F.col("variable").isin(three)).cache()
+    """Counted by hand over orders, customers and nations."""
+    two = ["current_smoking_frequency", "ever_told_high_bp"]
+    df = entry_points.queries()["share_long"](spark, SF_SMALL).where(F.col("variable").isin(two)).cache()
     totals = df.agg(F.count("*"), F.sum("unweighted_count"), F.sum("weighted_count"),
                     F.sum("unweighted_percent")).first()
-    assert totals[0] == 2016 and totals[1] == 38011
-    assert totals[2] == pytest.approx(9238066091.23) and totals[3] == pytest.approx(50400, abs=1e-2)
-    county = df.where("county_name = 'NATION_7 County, AS' and survey_year = 1999 "
-                      "and variable = 'general_health_status'").orderBy("category").collect()
-    assert [(r.category, r.unweighted_count, r.weighted_percent) for r in county] == [
-        ("1.0", 18, 12.08788), ("2.0", 20, 15.29801), ("3.0", 22, 23.577665), ("4.0", 22, 23.790694),
-        ("5.0", 25, 25.245752)]
+    assert totals[0] == 1176 and totals[1] == 25237
+    assert totals[2] == pytest.approx(6127117120.24) and totals[3] == pytest.approx(33600, abs=1e-2)
+    county = df.where("fips = '02007' and survey_year = 1999 "
+                      "and variable = 'current_smoking_frequency'").orderBy("category").collect()
+    weights = [8388747.12, 13416249.46, 8082125.05]
+    assert [(r.county_name, r.category, r.unweighted_count) for r in county] == [
+        ("NATION_1 County, New ASIA", c, n) for c, n in (("1.0", 32), ("2.0", 55), ("3.0", 35))]
+    assert [r.weighted_percent for r in county] == pytest.approx([100 * w / sum(weights) for w in weights], abs=1e-6)
 
 
 def test_labour_numbers(spark):
