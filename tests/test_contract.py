@@ -76,4 +76,4 @@ def test_labour_numbers(spark):
     assert months.count() == 2245
     assert months.where("month = 13").count() == 175
     brackets = entry_points.queries()["income_tertiles"](spark, SF_SMALL).groupBy("income_bracket").count()
-    assert {r[0]: r[1] for r in brackets.collect()} == {"Low": 63, "Middle": 56, "High": 56}
+    assert {r[0]: r[1] for r in brackets.collect()} == {"Low": 70, "Middle": 35, "High": 70}
