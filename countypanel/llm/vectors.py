@@ -34,6 +34,7 @@ CHUNK_ROWS = 20_000
 TILE = 512
 PAIRS = 65_536
 SLACK = 1e-9
+ROUNDING = 1e-5
 CELL = "class long, weight long, len int, x array<{kind}>, block int, cell long, home boolean"
 
 
@@ -99,28 +100,31 @@ def merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
 
 def cell_links(x: np.ndarray, weight: np.ndarray, home: np.ndarray, chunk: np.ndarray, block: int, cosine: float,
                dims: int) -> tuple[np.ndarray, np.ndarray]:
-    """For rows that meet in a cell: weight of the rows linked to each, and labels of a spanning forest.
+    """For rows that meet in a cell, home rows first: weight of the rows linked to each, and labels of a spanning forest.
 
     Of the pairs with at least one home row, and from both chunks where there are two, those count whose
     first block within its share is this one.
     """
     z = rotated(unit_rows(x))
-    blocks = -(-z.shape[1] // dims)
-    share = share_of(cosine, blocks)
+    share = share_of(cosine, -(-z.shape[1] // dims))
     mine = z[:, block * dims : (block + 1) * dims]
-    norm, squares = np.sqrt((x * x).sum(1)), (mine * mine).sum(1)
+    norm = np.sqrt((x * x).sum(1))
     linked, label = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
-    two = chunk.min() != chunk.max()
     edges = np.arange(0, z.shape[1], dims)
-    for low in range(0, len(x), TILE):
-        part = slice(low, min(low + TILE, len(x)))
-        near = squares[part, None] + squares[None, low:] - 2 * mine[part] @ mine[low:].T <= share + 1e-7
-        near &= home[part, None] | home[None, low:]
-        if two:
-            near &= chunk[part, None] != chunk[None, low:]
-        i, j = np.nonzero(near)
+    # |a - b|^2 <= share is a.b - b.b / 2 >= (a.a - share) / 2: one product in single precision finds the pairs to look at
+    half = (mine * mine).sum(1) / 2
+    ours = np.concatenate([mine, np.ones((len(x), 1))], axis=1).astype(np.float32)
+    theirs = np.concatenate([mine, -half[:, None]], axis=1).astype(np.float32)
+    bound = (half - share / 2 - ROUNDING).astype(np.float32)
+    homes, two = int(home.sum()), chunk.min() != chunk.max()
+    for low in range(0, homes, TILE):
+        high = min(low + TILE, homes)
+        i, j = np.nonzero(ours[low:high] @ theirs[low:].T >= bound[low:high, None])
         once = j > i
         i, j = i[once] + low, j[once] + low
+        if two:
+            apart = chunk[i] != chunk[j]
+            i, j = i[apart], j[apart]
         for at in range(0, len(i), PAIRS):
             a, b = i[at : at + PAIRS], j[at : at + PAIRS]
             apart = z[a] - z[b]
@@ -197,6 +201,7 @@ def linked_vectors(df: DataFrame, cosine: float = 0.95, key: str = "vec_id", vec
 
     def solve(table: pa.Table) -> pa.Table:
         length, block = table["len"][0].as_py(), table["block"][0].as_py()
+        table = table.sort_by([("home", "descending")])
         chunk = table["chunk"].to_numpy()
         names = table["class"].to_numpy()
         if table["one"][0].as_py() != table["two"][0].as_py() and chunk.min() == chunk.max():
