@@ -34,8 +34,8 @@ from .text import mixed, text_slices, word_bounds, word_hashes
 ORDER = 2
 ADD = 0.1
 MU = 16.0
-BLOCK_BYTES = 12 << 20
-SHARD_KEYS = 2_000_000
+BLOCK_BYTES = 8 << 20
+SHARD_BYTES = 8 << 20
 END = np.uint64(0x656E64206F662074)
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 BLOCK = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.large_string())])
@@ -253,7 +253,7 @@ def scored_documents(docs: DataFrame, held_out, order: int = ORDER, add: float =
     folder = scratch_folder(docs.sparkSession, "lm")
     blocks = written(text_blocks(docs, held_out), f"{folder}/blocks")
     size = blocks.agg(F.sum("bytes")).first()[0] or 0
-    shards = max(1, size // (6 * SHARD_KEYS))
+    shards = max(1, size // SHARD_BYTES)
     sums = written(summed_lists(block_lists(blocks.repartition(max(1, size // BLOCK_BYTES), "block"), order, shards)), f"{folder}/sums")
     known, tokens = (n or 0 for n in sums.where("gram = 1").agg(F.sum("known"), F.sum("total")).first())
 

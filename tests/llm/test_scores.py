@@ -53,7 +53,7 @@ def test_scores_equal_dictionaries(spark, monkeypatch, order, block):
     texts = [" ".join(r.choice("The the a b c d e f g h".split()) for _ in range(r.randrange(0, 40))) for _ in range(150)]
     texts += [None, "", " ", texts[0], "Z" * 5000 + " unknown ü"]
     monkeypatch.setattr(lm, "BLOCK_BYTES", block)
-    monkeypatch.setattr(lm, "SHARD_KEYS", 200)
+    monkeypatch.setattr(lm, "SHARD_BYTES", 900)
     df = spark.createDataFrame([(i, t, 0.5) for i, t in enumerate(texts)] + [(3, texts[3], 0.5)], "doc_id long, text string, score double").repartition(4)
     training = [zlib.crc32(str(i).encode()) % 10 != 0 for i in range(len(texts))]
     want = model_scores(texts + [texts[3]], training + [training[3]], order, 0.1, 16.0)
