@@ -25,6 +25,7 @@ from .scratch import scratch_folder, written
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 BASE, SPANS, TERMS = "__base", "__spans", "__terms"
+SAME = "doc_id <=> __id AND __key = __mark"
 # Each finds what the plain pattern finds, leftmost first, in time linear in the text: a run of characters is
 # tried once, from its beginning or from where the last match ended, and never given back. A card is a whole chain of digits of
 # the wanted length; a chain of another length is dropped in any case.
@@ -119,14 +120,22 @@ def text_mark(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
 
 
-def entity_contexts(marked: DataFrame, text: str, reach: int) -> DataFrame:
-    """(doc_id, mark, entity, context, terms): per document and entity its surrounding words."""
-    mentions = (
-        marked.where(F.size(BASE) > 0)
-        .select("doc_id", text_mark(text).alias("mark"), F.transform(BASE, lambda s: F.struct(
-            entity(s).alias("entity"), words_around(F.col(f"`{text}`"), s, reach).alias("words"))).alias("mentions"))
-        .select("doc_id", "mark", F.explode("mentions").alias("m"))
+def base_table(docs: DataFrame, text: str = "text", reach: int = CONTEXT) -> DataFrame:
+    """(doc_id, mark, base, mentions) of the documents with base spans: the one pass of the patterns over all texts.
+
+    `mentions` are the spans' entities with the words around them.
+    """
+    mentions = F.transform(BASE, lambda s: F.struct(
+        entity(s).alias("entity"), words_around(F.col(f"`{text}`"), s, reach).alias("words")))
+    return (
+        with_base_spans(docs.select("doc_id", f"`{text}`"), text).where(F.size(BASE) > 0)
+        .select("doc_id", text_mark(text).alias("mark"), F.col(BASE).alias("base"), mentions.alias("mentions"))
     )
+
+
+def entity_contexts(marked: DataFrame) -> DataFrame:
+    """(doc_id, mark, entity, terms, context): per document and entity its surrounding words."""
+    mentions = marked.select("doc_id", "mark", F.explode("mentions").alias("m"))
     return mentions.groupBy("doc_id", "mark", F.col("m.entity").alias("entity")).agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("m.words")))).alias("terms")).withColumn("context", F.xxhash64("terms"))
 
@@ -156,29 +165,44 @@ def disclosing_terms(docs: DataFrame, contexts: DataFrame, text: str = "text", s
     )
 
 
-def with_spans(docs: DataFrame, text: str = "text", reach: int = CONTEXT, share: float = SHARE, support: int = SUPPORT) -> DataFrame:
-    """`docs` with BASE (spans of the patterns) and SPANS (these and disclosing terms), by start, then kind."""
+def found_spans(docs: DataFrame, text: str = "text", reach: int = CONTEXT, share: float = SHARE, support: int = SUPPORT) -> DataFrame:
+    """(__id, __mark, BASE, SPANS, TERMS) of the documents with spans, one row for each doc_id and text.
+
+    BASE are the spans of the patterns, SPANS these and the disclosing terms, by start, then kind; TERMS are the terms with
+    the share that they reveal. Texts are read again only where a term was found.
+    """
     folder = scratch_folder(docs.sparkSession, "pii")
-    marked = with_base_spans(docs, text)
-    contexts = written(entity_contexts(marked, text, reach), f"{folder}/contexts")
+    marked = written(base_table(docs, text, reach), f"{folder}/base")
+    contexts = written(entity_contexts(marked), f"{folder}/contexts")
     disclosing = written(disclosing_terms(docs, contexts, text, share, support), f"{folder}/terms")
-    of_document = (
+    terms = (
         contexts.select("doc_id", "mark", "entity", F.explode("terms").alias("term")).join(disclosing, ["entity", "term"])
         .groupBy("doc_id", "mark", "term").agg(F.max("ratio").alias("ratio"))
-        .groupBy("doc_id", "mark").agg(F.array_sort(F.collect_list(F.struct("term", "ratio"))).alias("terms"))
-        .select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.col("terms").alias(TERMS))
+        .groupBy("doc_id", "mark").agg(F.array_sort(F.collect_list(F.struct("term", "ratio"))).alias(TERMS))
+        .select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), TERMS)
     )
-    of_document = written(of_document, f"{folder}/documents")
-    here = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_mark(text) == F.col("__mark"))
-    clean = marked.where(F.size(BASE) == 0).withColumns({SPANS: F.col(BASE), TERMS: F.lit(None).cast("array<struct<term:string,ratio:double>>")})
-    held = marked.where(F.size(BASE) > 0).join(of_document, same, "left").drop("__id", "__mark")
+    terms = written(terms, f"{folder}/documents")
+    here = F.coalesce(F.col("__text"), F.lit(""))
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.transform(TERMS, lambda t: t["term"]), "|"), F.lit(r")(?!\p{L})"))
-    held = held.withColumn("__pattern", pattern).withColumn("__found", F.when(F.col(TERMS).isNotNull(), F.regexp_extract_all(here, F.col("__pattern"), F.lit(0))))
-    held = held.withColumn("__placed", F.when(F.size("__found") > 0, matches_at(here, F.col("__found"), F.col("__pattern"), len(KINDS), TERM)))
-    free = F.filter(F.coalesce("__placed", F.array().cast(SPAN)), lambda s: ~F.exists(BASE, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    held = held.withColumn(SPANS, F.array_sort(F.concat(BASE, free))).drop("__pattern", "__found", "__placed")
-    return clean.unionByName(held)
+    texts = docs.select("doc_id", F.col(f"`{text}`").alias("__text"), text_mark(text).alias("__key"))
+    placed = (
+        texts.join(terms, F.expr(SAME)).withColumn("__pattern", pattern)
+        .withColumn("__found", F.regexp_extract_all(here, F.col("__pattern"), F.lit(0)))
+        .select("__id", "__mark", TERMS, matches_at(here, F.col("__found"), F.col("__pattern"), len(KINDS), TERM).alias("placed"))
+        .dropDuplicates(["__id", "__mark"])
+    )
+    base = marked.dropDuplicates(["doc_id", "mark"]).select("doc_id", F.col("mark").alias("__key"), F.col("base").alias(BASE))
+    free = F.filter(F.coalesce("placed", F.array().cast(SPAN)), lambda s: ~F.exists(BASE, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    joined = base.join(placed, F.expr(SAME), "left").select("doc_id", "__key", BASE, TERMS, F.array_sort(F.concat(BASE, free)).alias(SPANS))
+    return written(joined.select(F.col("doc_id").alias("__id"), F.col("__key").alias("__mark"), BASE, SPANS, TERMS), f"{folder}/found")
+
+
+def with_spans(docs: DataFrame, text: str = "text", keep_text: bool = True, **options) -> DataFrame:
+    """`docs` with BASE, SPANS and TERMS; without the texts where these are not wanted any more."""
+    found = found_spans(docs, text, **options)
+    rows = docs.withColumn("__key", text_mark(text))
+    joined = (rows if keep_text else rows.drop(text)).join(found, F.expr(SAME), "left").drop("__id", "__mark", "__key")
+    return joined.withColumns({c: F.coalesce(c, F.array().cast(SPAN)) for c in (BASE, SPANS)})
 
 
 def spans_text(spans: Column) -> Column:

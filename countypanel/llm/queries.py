@@ -28,7 +28,7 @@ def op1_warc_members(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_disclosure_spans(spark: SparkSession, folder: str) -> DataFrame:
-    found = with_spans(table(spark, folder, "documents").select("doc_id", "text"))
+    found = with_spans(table(spark, folder, "documents").select("doc_id", "text"), keep_text=False)
     counts = [F.size(of_kind(F.col(BASE), k)).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(spans_text(F.col(BASE)), 256).alias("base_sha256"),
                         spans_text(F.col(SPANS)).alias("spans"))
@@ -98,16 +98,16 @@ STATEMENTS = {
             CASE WHEN payload_bytes >= 1000 AND page_id < first THEN first END AS refers_to
         FROM f""",
     "op4_voronoi_top_k": """
-        WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
-                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         s AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.v, d.v) AS BIGINT) AS score
               FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20""",
     "op5_vector_near_dedup": """
         WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-                   AND len(list_filter(embedding, x -> x <> 0)) > 0),
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                   AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
         e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
               WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
         r(vec_id, c) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, e.b FROM r JOIN e ON r.c = e.a),
@@ -126,6 +126,20 @@ STATEMENTS = {
         SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM f WHERE n = 1""",
 }
 
+STATEMENTS["op8_lsh_forest"] = r"""
+    WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
+    x AS (SELECT doc_id, unnest(s) AS g FROM s),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    e AS (SELECT p.a, p.b FROM p JOIN s m ON p.a = m.doc_id JOIN s n ON p.b = n.doc_id
+          WHERE 100 * p.c >= 85 * (len(m.s) + len(n.s) - p.c)),
+    r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.c = e.a),
+    m AS (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id)
+    SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, m.c AS component_id, s.doc_id = m.c AS kept
+    FROM s JOIN m USING (doc_id)"""
+
 
 def statements() -> dict[str, str]:
     return dict(STATEMENTS)

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from countypanel.llm.pii import BASE, SPANS, disclosing_terms, entity_contexts, sanitised, spans_text, with_base_spans, with_spans
+from countypanel.llm.pii import BASE, SPANS, base_table, disclosing_terms, entity_contexts, sanitised, spans_text, with_base_spans, with_spans
 
 PLAIN = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
@@ -69,7 +69,7 @@ def words_near(text, start, end, reach=80):
 def test_disclosing_terms_follow_from_counts(spark):
     docs = secret_corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string, spans string").repartition(4)
-    contexts = entity_contexts(with_base_spans(df), "text", 80)
+    contexts = entity_contexts(base_table(df, "text", 80))
     got = {(r.entity, r.term): r.ratio for r in disclosing_terms(df, contexts).collect()}
     near, held = {}, {}
     for place, (i, text, _) in enumerate(docs):
