@@ -22,7 +22,7 @@ HEADLINE = [
     "share_long", "share_wide", "labor_wide", "labor_yearly", "county_year_panel",
     "statewide_trend_w", "expected_rate", "county_year_matrix_x", "extreme_counties_by_year",
     "ols_health", "income_tertiles", "income_alignment", "survey_health_expanded", "match_rate",
-    "json_matrix_decode", "feature_explode",
+    "json_matrix_decode", "feature_explode", "labor_star", "written_survey_table", "written_panel",
 ]
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 

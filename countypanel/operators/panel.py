@@ -84,16 +84,19 @@ def expected_rate(
     by = [*area, "survey_year"]
     matched = shares.join(labor.select(*on), list(on), "left_semi")
     place = [c for c in on if c not in by]
-    counties = matched.select(*by, *place).distinct().groupBy(*by).agg(F.count("*").alias("counties"))
     rate = frequency_rate(F.col("category"))
-    totals = (
-        matched.where((F.col("variable") == variable) & rate.isNotNull())
-        .groupBy(*by, "category").agg(F.sum(percent).alias("total"))
+    code = F.when((F.col("variable") == variable) & rate.isNotNull(), F.struct("category", F.col(percent).alias("share")))
+    # The counties of a state and year with their codes: a few thousand entries, so that one pass both counts and sums.
+    years = (
+        matched.groupBy(*by, *place).agg(F.collect_list(code).alias("codes"))
+        .groupBy(*by).agg(F.count("*").alias("counties"), F.flatten(F.collect_list("codes")).alias("codes"))
     )
-    mean = F.col("total") / F.col("counties")
-    yearly = counties.join(totals, by, "left").groupBy(*by).agg(
-        F.sum(mean * rate).alias("rate"), F.max(mean).alias("peak")
+    means = (
+        years.select(*by, "counties", F.inline_outer("codes"))
+        .groupBy(*by, "counties", "category").agg(F.sum("share").alias("total"))
+        .withColumn("mean", F.col("total") / F.col("counties"))
     )
+    yearly = means.groupBy(*by).agg(F.sum(F.col("mean") * rate).alias("rate"), F.max("mean").alias("peak"))
     peak = F.max("peak").over(Window.partitionBy(*area))
     scaled = F.col("rate") / F.when(peak > 1, 100.0).otherwise(1.0)
     return yearly.withColumn("rate", scaled).select(
