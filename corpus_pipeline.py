@@ -12,7 +12,7 @@ from countypanel.llm.mixing import mixed_documents
 from countypanel.llm.packing import pack
 from countypanel.llm.pii import sanitised
 from countypanel.llm.queries import packing_items
-from countypanel.llm.scratch import scratch_folder, written
+from countypanel.sources.scratch import scratch_folder, written
 from countypanel.llm.texts import without_near_duplicates
 from countypanel.llm.toxicity import fit, scored
 

@@ -6,9 +6,10 @@ a few values, those whose whole signatures agree enough are candidates. A neighb
 a short common prefix is enough to stand side by side, in crowded regions only long ones do.
 
 Documents with equal sets are one class from the start. Orders are range-partitioned, so that no
-prefix, however common, has to fit one task. Within a run of rows, sure candidates are reduced to a spanning forest and doubtful ones
-kept where they join different trees of it. Candidates are confirmed on full sets: each text is sent
+prefix, however common, has to fit one task. Within a run of rows, sure candidates are reduced to a spanning forest, and doubtful ones
+between its trees are all kept, or in crowded regions as two forests. Candidates are confirmed on full sets: each text is sent
 once to each bucket that holds a candidate pair of it; crowded groups are spread over buckets. Confirmed links form components.
+Documents with pairs left out are then searched once more, and all their pairs between different components confirmed.
 
 Defined results: null, empty and blank texts have an empty set, n_shingles 0, and link with nothing; a text
 of fewer words than a shingle is one shingle; rows that share a doc_id are one document in links; a null doc_id
@@ -24,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch_folder, written
 from .components import components
-from .scratch import scratch_folder, written
 from .text import mixed, shingles, text_slices, word_bounds, word_hashes
 
 TREES = 12
@@ -34,6 +35,7 @@ DEPTH = 3
 NEIGHBOURS = 64
 RANGE_ROWS = 150_000
 BUCKET_EDGES = 1_500
+FEW = 16
 SIGNED = "doc_id long, n_shingles long, h1 long, h2 long, signature binary"
 
 
@@ -113,58 +115,93 @@ def neighbour_pairs(order: np.ndarray, tree: np.ndarray, seen: int) -> Iterator[
             yield new, new + step, (order[new] == order[new + step]).mean(axis=1)
 
 
-def candidate_links(classes: DataFrame, similarity: float, partitions: int) -> DataFrame:
-    """(a, b, root): pairs of representatives whose signatures agree, with a local group's smallest member."""
+def reduced(a: np.ndarray, b: np.ndarray, agreement: np.ndarray, sure: float, few: float) -> tuple[list[int], list[int], "Forest"]:
+    """Which candidates (a, b) to confirm, which to leave for later, and the sets that all of them join.
+
+    Sure ones only as far as they join sets. Doubtful ones between such sets all, where they hang at most `few` sets together; else as two
+    spanning forests that share no pair, the best and an arbitrary one.
+    """
+    strong, whole, kept, later = Forest(), Forest(), [], []
+    at = np.argsort(-agreement, kind="stable")
+    x, y = a.tolist(), b.tolist()
+    doubtful = []
+    for i in at.tolist():
+        if agreement[i] >= sure:
+            if strong.join(x[i], y[i]):
+                kept.append(i)
+        elif strong.root(x[i]) != strong.root(y[i]):
+            doubtful.append(i)
+    for i in kept:
+        whole.join(x[i], y[i])
+    members: dict[int, set[int]] = {}
+    for i in doubtful:
+        whole.join(x[i], y[i])
+    for i in doubtful:
+        members.setdefault(whole.root(x[i]), set()).update((strong.root(x[i]), strong.root(y[i])))
+    crowded = []
+    for i in doubtful:
+        (kept if len(members[whole.root(x[i])]) <= few else crowded).append(i)
+    for turn in range(2):
+        forest, left = Forest(), []
+        order = crowded if not turn else sorted(crowded, key=lambda i: (x[i] * 0x9E3779B1 ^ y[i] * 0x85EBCA6B) & 0xFFFFFFFF)
+        for i in order:
+            (kept if forest.join(strong.root(x[i]), strong.root(y[i])) else left).append(i)
+        crowded = left
+    return kept, crowded, whole
+
+
+def candidate_links(members: DataFrame, similarity: float, partitions: int, few: float) -> DataFrame:
+    """(a, b, root): pairs of documents of different groups whose signatures agree, with the smallest group that they hang together with.
+
+    `members` are (rep, label, signature), `label` the group that a document is known to belong to. A row without
+    b says that a is in pairs which were left for later.
+    """
     agree = similarity + (1 - similarity) / 256
     spread = float(np.sqrt(agree * (1 - agree) / HASHES))
     doubtful, sure = agree - 4 * spread, min(agree + 2.2 * spread, 1.0)
     step = HASHES // TREES
     trees = (
-        classes.select("rep", F.col("signature"), F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-        .select("tree", "rep", F.concat(F.expr(f"substring(signature, tree * {step} + 1, {HASHES})"),
-                                        F.expr(f"substring(signature, 1, tree * {step})")).alias("place"))
+        members.select("rep", "label", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+        .select("tree", "rep", "label", F.concat(F.expr(f"substring(signature, tree * {step} + 1, {HASHES})"),
+                                                 F.expr(f"substring(signature, 1, tree * {step})")).alias("place"))
     )
     ordered = trees.repartitionByRange(partitions, "tree", "place", "rep").sortWithinPartitions("tree", "place", "rep")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_tree, held_rep = np.zeros(0, np.int32), np.zeros(0, np.int64)
-        held_order = np.zeros((0, HASHES), np.uint8)
+        tree, rep, label = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        order = np.zeros((0, HASHES), np.uint8)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            place = batch.column(2)
+            place = batch.column(3)
             data = np.frombuffer(place.buffers()[2], dtype=np.uint8)
             first = np.frombuffer(place.buffers()[1], dtype=np.int32 if pa.types.is_binary(place.type) else np.int64)[place.offset]
             fresh = data[first : first + HASHES * len(place)].reshape(len(place), HASHES)
-            seen = len(held_tree)
-            tree = np.concatenate([held_tree, batch.column(0).to_numpy()])
-            rep = np.concatenate([held_rep, batch.column(1).to_numpy()])
-            order = np.concatenate([held_order, fresh])
-            found = [(i[ok], j[ok], e[ok]) for i, j, e in neighbour_pairs(order, tree, seen) if (ok := e >= doubtful).any()]
-            if found:
-                i, j, e = (np.concatenate(x) for x in zip(*found))
-                a, b = np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])
-                forest, kept = Forest(), []
-                at = np.flatnonzero(e >= sure)
-                at = at[np.argsort(-e[at], kind="stable")]
-                kept = [(x, y) for x, y in zip(a[at].tolist(), b[at].tolist()) if forest.join(x, y)]
-                rest = np.flatnonzero(e < sure)
-                apart = {(x, y) for x, y in zip(a[rest].tolist(), b[rest].tolist()) if forest.root(x) != forest.root(y)}
-                for x, y in apart:
-                    forest.join(x, y)
-                kept += apart
-                yield pa.RecordBatch.from_pydict({"a": [x for x, _ in kept], "b": [y for _, y in kept],
-                                                  "root": [forest.root(x) for x, _ in kept]},
-                                                 schema=pa.schema([("a", pa.int64()), ("b", pa.int64()), ("root", pa.int64())]))
-            held_tree, held_rep, held_order = tree[-NEIGHBOURS:], rep[-NEIGHBOURS:], order[-NEIGHBOURS:].copy()
+            seen = min(len(tree), NEIGHBOURS)
+            tree = np.concatenate([tree[len(tree) - seen :], batch.column(0).to_numpy()])
+            rep = np.concatenate([rep[len(rep) - seen :], batch.column(1).to_numpy()])
+            label = np.concatenate([label[len(label) - seen :], batch.column(2).to_numpy()])
+            order = np.concatenate([order[len(order) - seen :], fresh])
+            found = [(i, j, e) for i, j, e in neighbour_pairs(order, tree, seen)]
+            i, j, e = (np.concatenate([np.zeros(0, t), *x]) for t, x in zip((int, int, float), zip(*found) if found else ((), (), ())))
+            ok = (e >= doubtful) & (label[i] != label[j])
+            i, j, e = i[ok], j[ok], e[ok]
+            if not len(i):
+                continue
+            kept, later, whole = reduced(label[i], label[j], e, sure, few)
+            waiting = np.unique(np.concatenate([rep[i[later]], rep[j[later]]])) if later else np.zeros(0, np.int64)
+            a, b = np.minimum(rep[i], rep[j])[kept], np.maximum(rep[i], rep[j])[kept]
+            root = [whole.root(x) for x in label[i[kept]].tolist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([a, waiting])), pa.array([*b.tolist(), *[None] * len(waiting)], pa.int64()),
+                 pa.array([*root, *[None] * len(waiting)], pa.int64())], names=["a", "b", "root"])
 
     return ordered.mapInArrow(search, "a long, b long, root long").groupBy("a", "b").agg(F.min("root").alias("root"))
 
 
-def confirmed_links(docs: DataFrame, links: DataFrame, length: int, percent: int, folder: str) -> DataFrame:
-    """The pairs (a, b) of `links` with 100 * intersection >= percent * union on full sets."""
-    total = links.count()
-    buckets = max(1, -(-total // BUCKET_EDGES))
+def confirmed_links(texts: DataFrame, links: DataFrame, length: int, percent: int, folder: str) -> DataFrame:
+    """The pairs (a, b) of `links` with 100 * intersection >= percent * union on full sets; `texts` are (id, text)."""
+    buckets = max(1, -(-links.count() // BUCKET_EDGES))
     crowded = written(
         links.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET_EDGES // 4)
         .select("root", F.ceil(F.col("n") / (BUCKET_EDGES // 4)).alias("parts")), f"{folder}/crowded")
@@ -174,10 +211,7 @@ def confirmed_links(docs: DataFrame, links: DataFrame, length: int, percent: int
         .select("a", "b", "bucket"), f"{folder}/dealt")
     ends = F.explode(F.array("a", "b")).alias("id")
     needed = dealt.select(ends, F.col("bucket").alias("place")).distinct()
-    texts = (
-        docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id is not null")
-        .join(needed, "id").select("place", "id", "text")
-    )
+    sent = texts.join(needed.hint("merge"), "id").select("place", "id", "text")
 
     def confirm(pairs: pa.Table, held: pa.Table) -> pa.Table:
         sets: dict[int, np.ndarray] = {}
@@ -193,7 +227,7 @@ def confirmed_links(docs: DataFrame, links: DataFrame, length: int, percent: int
                 kept.append((a, b))
         return pa.table({"a": pa.array([x for x, _ in kept], pa.int64()), "b": pa.array([y for _, y in kept], pa.int64())})
 
-    return dealt.groupBy("bucket").cogroup(texts.groupBy("place")).applyInArrow(confirm, "a long, b long")
+    return dealt.groupBy("bucket").cogroup(sent.groupBy("place")).applyInArrow(confirm, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
@@ -210,8 +244,23 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> Data
         f"{folder}/classes")
     rows = classes.count()
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows * TREES // RANGE_ROWS))
-    links = written(candidate_links(classes.where("rep is not null"), percent / 100, partitions), f"{folder}/links")
-    confirmed = confirmed_links(docs, links, length, percent, folder)
+    groups_of = classes.where("rep is not null").select("rep", F.col("rep").alias("label"), "signature")
+    found = written(candidate_links(groups_of, percent / 100, partitions, FEW), f"{folder}/links")
+    ends = F.explode(F.array("a", "b")).alias("id")
+    needed = found.select(ends).where("id is not null").distinct()
+    # The texts of all that may have to be compared, read and moved once. Merged at any size, so that it costs alike at any size.
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id is not null").join(needed.hint("merge"), "id")
+    texts = written(texts, f"{folder}/candidates")
+    confirmed = written(confirmed_links(texts, found.where("b is not null"), length, percent, f"{folder}/first"), f"{folder}/confirmed")
+    # Pairs were left for later in crowded groups: all that join different components now.
+    waiting = found.where("b is null").select(F.col("a").alias("rep"))
+    members = written(
+        classes.select("rep", "signature").join(waiting, "rep")
+        .join(components(confirmed).withColumnRenamed("node", "rep"), "rep", "left")
+        .select("rep", F.coalesce("component", "rep").alias("label"), "signature"), f"{folder}/members")
+    rest = written(candidate_links(members, percent / 100, partitions, float("inf")), f"{folder}/rest")
+    confirmed = written(
+        confirmed.unionByName(confirmed_links(texts, rest.where("b is not null"), length, percent, f"{folder}/second")), f"{folder}/all")
     groups = classes.select(*same, "rep").join(components(confirmed), F.col("rep") == F.col("node"), "left").select(
         *[F.col(c).alias("__" + c) for c in same], F.coalesce("component", "rep").alias("component_id"))
     match = [F.col(c) == F.col("__" + c) for c in same]
