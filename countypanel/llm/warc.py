@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import scratch_folder, written
+from ..sources.scratch import scratch_folder, written
 
 DATE = "2024-01-01T00:00:00Z"
 CHUNK = 1 << 20
@@ -100,6 +100,9 @@ class Shared:
     def publish(self, temporary: str, name: str) -> None:
         self.store.move(temporary, f"{self.path}/{name}")
 
+    def has(self, name: str) -> bool:
+        return self.store.get_file_info(f"{self.path}/{name}").type == fs.FileType.File
+
     def open(self, name: str):
         return self.store.open_input_file(f"{self.path}/{name}")
 
@@ -169,30 +172,35 @@ def put(sink, data: bytes) -> int:
     return len(data)
 
 
-def normalise_archives(archives: DataFrame, source: str, target: str) -> DataFrame:
+def normalise_archives(archives: DataFrame, source: str, target: str, drop_source: bool = False) -> DataFrame:
     """Rewrite each archive record by record into `target`, with an index file beside it.
 
-    Returns the index: (number, archive, offset, length, record_id, record_type).
+    Returns the index: (number, archive, offset, length, record_id, record_type). An archive whose index is there is
+    done: a task that runs again takes it from the index, so that sources may go as soon as they are rewritten.
     """
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 came, goes, name = Shared(source), Shared(target), row["archive"]
-                temporary, out = goes.create(name)
-                with came.open(name) as stream:
-                    index = list(normalised(stream, out))
-                out.close()
-                goes.publish(temporary, name)
-                side, out = goes.create(name + ".index")
-                for offset, length, fields in index:
-                    out.write((json.dumps({"offset": offset, "length": length, "id": fields["WARC-Record-ID"],
-                                           "type": fields["WARC-Type"]}) + "\n").encode())
-                out.close()
-                goes.publish(side, name + ".index")
+                if not goes.has(name + ".index"):
+                    temporary, out = goes.create(name)
+                    side, lines = goes.create(name + ".index")
+                    with came.open(name) as stream:
+                        for offset, length, fields in normalised(stream, out):
+                            line = {"offset": offset, "length": length, "id": fields["WARC-Record-ID"], "type": fields["WARC-Type"]}
+                            lines.write((json.dumps(line) + "\n").encode())
+                    out.close()
+                    lines.close()
+                    goes.publish(temporary, name)
+                    goes.publish(side, name + ".index")
+                if drop_source and came.has(name):
+                    came.store.delete_file(f"{came.path}/{name}")
+                with goes.open(name + ".index") as lines:
+                    index = [json.loads(line) for line in lines.read().decode().splitlines()]
                 yield pa.RecordBatch.from_pydict({
                     "number": [row["number"]] * len(index), "archive": [name] * len(index),
-                    "offset": [x[0] for x in index], "length": [x[1] for x in index],
-                    "record_id": [x[2]["WARC-Record-ID"] for x in index], "record_type": [x[2]["WARC-Type"] for x in index]})
+                    "offset": [x["offset"] for x in index], "length": [x["length"] for x in index],
+                    "record_id": [x["id"] for x in index], "record_type": [x["type"] for x in index]})
 
     Shared(target).store.create_dir(Shared(target).path, recursive=True)
     parts = max(1, archives.count())
@@ -242,5 +250,5 @@ def archive_round_trip(pages: DataFrame, min_shared: int = MIN_SHARED) -> DataFr
     """Write `pages` as archives, normalise them, and return what their records hold."""
     folder = scratch_folder(pages.sparkSession, "warc")
     archives = write_archives(planned_records(pages, min_shared), f"{folder}/whole")
-    index = normalise_archives(archives, f"{folder}/whole", f"{folder}/members")
+    index = normalise_archives(archives, f"{folder}/whole", f"{folder}/members", drop_source=True)
     return read_records(index, f"{folder}/members")

@@ -54,6 +54,16 @@ def test_whole_streams_become_members_with_an_index(spark, tmp_path):
         assert all(gzip.decompress(data[s["offset"] : s["offset"] + s["length"]]).startswith(b"WARC/1.1\r\nWARC-Type: " + s["type"].encode()) for s in side)
 
 
+def test_archives_that_are_done_are_taken_from_their_index(spark, tmp_path):
+    df = spark.createDataFrame(PAGES, "page_id long, url string, html string").coalesce(2)
+    whole, members = f"file://{tmp_path}/whole", f"file://{tmp_path}/members"
+    archives = write_archives(planned_records(df), whole)
+    first = normalise_archives(archives, whole, members, drop_source=True).collect()
+    assert not list((tmp_path / "whole").glob("*.warc.gz"))
+    again = normalise_archives(archives, whole, members, drop_source=True).collect()
+    assert sorted(first) == sorted(again) and len(first) == len(PAGES)
+
+
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
          ("example.org", "/fr", "block"), ("net", "/", "block"), (None, "/", "block"), ("a.b", "/", "nonsense")]
 URLS = [None, "", "no scheme", "http://example.net", "http://example.net/", "HTTP://WWW.Example.NET/en/x?y#z", "http://example.net/en", "x://y.net?/a", "http://net/",
