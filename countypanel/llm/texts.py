@@ -1,15 +1,15 @@
 """Near-duplicate texts by an LSH forest over MinHash signatures.
 
 A document's set are its distinct word shingles. Each of a number of trees sorts all documents by the signature,
-begun at another place; neighbours in an order share the longest prefixes. Of neighbours that share at least
-a few values, those whose whole signatures agree enough are candidates. A neighbour's depth follows the region: where documents are sparse,
-a short common prefix is enough to stand side by side, in crowded regions only long ones do.
+begun at another place; documents that share the first few values of an order are a run. Of all pairs of a run, those whose
+whole signatures agree enough are candidates.
 
-Documents with equal sets are one class from the start. Orders are range-partitioned, so that no
-prefix, however common, has to fit one task. Within a run of rows, sure candidates are reduced to a spanning forest, and doubtful ones
-between its trees are all kept, or in crowded regions as two forests. Candidates are confirmed on full sets: each text is sent
-once to each bucket that holds a candidate pair of it; crowded groups are spread over buckets. Confirmed links form components.
-Documents with pairs left out are then searched once more, and all their pairs between different components confirmed.
+Documents with equal sets are one class from the start. A long run is cut into parts, and each pair of parts is compared on its own, so that no
+prefix, however common, has to fit one task; the comparisons grow with the square of a run. Within a task, sure candidates are reduced to a
+spanning forest, and doubtful ones between its trees are all kept, or in crowded regions as a forest. Candidates are confirmed on full sets: each
+text is sent once to each bucket that holds a candidate pair of it; crowded groups are spread over buckets. Confirmed links form components.
+Documents with pairs left out are then searched twice more: all their doubtful pairs between different components are confirmed, and
+at last every pair whose ends are still in different components, so that no candidate is dropped for a link that was not confirmed.
 
 Defined results: null, empty and blank texts have an empty set, n_shingles 0, and link with nothing; a text
 of fewer words than a shingle is one shingle; rows that share a doc_id are one document in links; a null doc_id
@@ -32,7 +32,9 @@ from .text import mixed, shingles, text_slices, word_bounds, word_hashes
 TREES = 12
 HASHES = 96
 DEPTH = 3
-NEIGHBOURS = 64
+PART_ROWS = 1_024
+BATCH_ROWS = 4_096
+FOREST_PAIRS = 4_096
 RANGE_ROWS = 150_000
 BUCKET_EDGES = 1_500
 FEW = 16
@@ -78,127 +80,129 @@ def signed_documents(docs: DataFrame, length: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sign, SIGNED)
 
 
-class Forest:
-    """A union-find over small numbers."""
-
-    def __init__(self):
-        self.up: dict[int, int] = {}
-
-    def root(self, x: int) -> int:
-        up = self.up
-        while (parent := up.get(x, x)) != x:
-            up[x] = x = up.get(parent, parent)
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.root(a), self.root(b)
-        if a != b:
-            self.up[max(a, b)] = min(a, b)
-        return a != b
-
-
-def neighbour_pairs(order: np.ndarray, tree: np.ndarray, seen: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Pairs of rows at most NEIGHBOURS apart with a common prefix of DEPTH values, and their share of equal values.
-
-    Pairs among the first `seen` rows are left out.
+def forest(x: np.ndarray, y: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs (x, y) of numbers below n join two sets, taken in the given order, and the smallest number of each number's set."""
+    up, joins = np.arange(n), np.zeros(len(x), dtype=bool)
+    for low in range(0, len(x), FOREST_PAIRS):
+        a, b = up[x[low : low + FOREST_PAIRS]], up[y[low : low + FOREST_PAIRS]]
+        for i in np.flatnonzero(a != b).tolist():
+            r, s = int(a[i]), int(b[i])
+            while up[r] != r:
+                r = int(up[r])
+            while up[s] != s:
+                s = int(up[s])
+            if r != s:
+                up[max(r, s)] = min(r, s)
+                joins[low + i] = True
+        while (up != up[up]).any():
+            up = up[up]
+    return joins, up
+
+
+def run_pairs(run: np.ndarray, part: np.ndarray, whole: np.ndarray, label: np.ndarray, order: np.ndarray, least: float) -> Iterator[tuple]:
+    """All pairs of rows of one run and different labels whose share of equal values is `least` or more, with that share.
+
+    Where a run is not `whole`, pairs of one part are left to the cell of this part.
     """
-    same = (tree[1:] == tree[:-1]) & (order[1:, :DEPTH] == order[:-1, :DEPTH]).all(axis=1)
-    alive = np.flatnonzero(same)
-    for step in range(1, NEIGHBOURS + 1):
-        alive = alive[alive + step < len(order)]
-        if step > 1:
-            alive = alive[same[alive + step - 1]]
+    alive, step = np.arange(len(run)), 0
+    while True:
+        step += 1
+        alive = alive[alive + step < len(run)]
+        alive = alive[run[alive] == run[alive + step]]
         if not len(alive):
             return
-        new = alive[alive + step >= seen]
-        if len(new):
-            yield new, new + step, (order[new] == order[new + step]).mean(axis=1)
+        new = alive[(label[alive] != label[alive + step]) & (whole[alive] | (part[alive] != part[alive + step]))]
+        share = np.count_nonzero(order[new] == order[new + step], axis=1) / HASHES
+        ok = share >= least
+        if ok.any():
+            yield new[ok], new[ok] + step, share[ok]
 
 
-def reduced(a: np.ndarray, b: np.ndarray, agreement: np.ndarray, sure: float, few: float) -> tuple[list[int], list[int], "Forest"]:
-    """Which candidates (a, b) to confirm, which to leave for later, and the sets that all of them join.
+def reduced(a: np.ndarray, b: np.ndarray, agreement: np.ndarray, sure: float, few: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which candidates (a, b) to confirm now, the others being left for later, and the smallest label of all that each hangs together with.
 
-    Sure ones only as far as they join sets. Doubtful ones between such sets all, where they hang at most `few` sets together; else as two
-    spanning forests that share no pair, the best and an arbitrary one.
+    Sure ones only as far as they join sets. Doubtful ones between such sets all, where they hang at most `few` sets together; else as a
+    spanning forest. The best come first, equal ones in an order that is the same in every task.
     """
-    strong, whole, kept, later = Forest(), Forest(), [], []
-    at = np.argsort(-agreement, kind="stable")
-    x, y = a.tolist(), b.tolist()
-    doubtful = []
-    for i in at.tolist():
-        if agreement[i] >= sure:
-            if strong.join(x[i], y[i]):
-                kept.append(i)
-        elif strong.root(x[i]) != strong.root(y[i]):
-            doubtful.append(i)
-    for i in kept:
-        whole.join(x[i], y[i])
-    members: dict[int, set[int]] = {}
-    for i in doubtful:
-        whole.join(x[i], y[i])
-    for i in doubtful:
-        members.setdefault(whole.root(x[i]), set()).update((strong.root(x[i]), strong.root(y[i])))
-    crowded = []
-    for i in doubtful:
-        (kept if len(members[whole.root(x[i])]) <= few else crowded).append(i)
-    for turn in range(2):
-        forest, left = Forest(), []
-        order = crowded if not turn else sorted(crowded, key=lambda i: (x[i] * 0x9E3779B1 ^ y[i] * 0x85EBCA6B) & 0xFFFFFFFF)
-        for i in order:
-            (kept if forest.join(strong.root(x[i]), strong.root(y[i])) else left).append(i)
-        crowded = left
-    return kept, crowded, whole
-
-
-def candidate_links(members: DataFrame, similarity: float, partitions: int, few: float) -> DataFrame:
+    names, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = flat[: len(a)], flat[len(a) :]
+    tie = mixed(np.minimum(a, b).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.maximum(a, b).astype(np.uint64))
+    at = np.lexsort((tie, -agreement))
+    first, rest = at[agreement[at] >= sure], at[agreement[at] < sure]
+    joins, strong = forest(x[first], y[first], len(names))
+    rest = rest[strong[x[rest]] != strong[y[rest]]]
+    joining, whole = forest(strong[x[rest]], strong[y[rest]], len(names))
+    sets = np.bincount(whole[np.unique(strong)], minlength=len(names))
+    kept = np.zeros(len(a), dtype=bool)
+    kept[first[joins]] = True
+    kept[rest[joining | (sets[whole[strong[x[rest]]]] <= few)]] = True
+    return kept, names[whole[strong[x]]]
+
+
+def candidate_links(members: DataFrame, similarity: float, partitions: int, few: float, folder: str, everything: bool = False) -> DataFrame:
     """(a, b, root): pairs of documents of different groups whose signatures agree, with the smallest group that they hang together with.
 
-    `members` are (rep, label, signature), `label` the group that a document is known to belong to. A row without
-    b says that a is in pairs which were left for later.
+    `members` are (rep, label, signature), `label` the group that a document is known to belong to. Rows of a tree with a common prefix
+    of DEPTH values are a run, and all pairs of a run are compared; a long run is cut into parts, whose pairs are
+    cells of their own. A row without b says that a is in pairs which were left for later; with `everything` none is.
     """
     agree = similarity + (1 - similarity) / 256
     spread = float(np.sqrt(agree * (1 - agree) / HASHES))
     doubtful, sure = agree - 4 * spread, min(agree + 2.2 * spread, 1.0)
-    step = HASHES // TREES
-    trees = (
-        members.select("rep", "label", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-        .select("tree", "rep", "label", F.concat(F.expr(f"substring(signature, tree * {step} + 1, {HASHES})"),
-                                                 F.expr(f"substring(signature, 1, tree * {step})")).alias("place"))
+    trees = members.select("rep", "label", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).withColumn(
+        "prefix", F.expr(f"substring(signature, tree * {HASHES // TREES} + 1, {DEPTH})"))
+    runs = written(
+        trees.groupBy("tree", "prefix").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low <> high").select("tree", "prefix", F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts")), f"{folder}/runs")
+    cells = (
+        trees.join(runs, ["tree", "prefix"]).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select("tree", "prefix", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "part", "rep", "label", "signature")
     )
-    ordered = trees.repartitionByRange(partitions, "tree", "place", "rep").sortWithinPartitions("tree", "place", "rep")
+    keys = ["tree", "prefix", "x", "y"]
+    ordered = cells.repartition(partitions, *keys).sortWithinPartitions(*keys)
+
+    def pairs_of(table: pa.Table, run: np.ndarray) -> Iterator[pa.RecordBatch]:
+        part, x, y, rep, label = (table[c].to_numpy() for c in ("part", "x", "y", "rep", "label"))
+        order = np.frombuffer(b"".join(table["signature"].to_pylist()), dtype=np.uint8).reshape(-1, HASHES)
+        found = list(run_pairs(run, part, x == y, label, order, doubtful))
+        if not found:
+            return
+        i, j, e = (np.concatenate(c) for c in zip(*found))
+        kept, root = (np.ones(len(i), dtype=bool), np.minimum(label[i], label[j])) if everything else reduced(label[i], label[j], e, sure, few)
+        waiting = np.unique(np.concatenate([rep[i[~kept]], rep[j[~kept]]]))
+        a, b = np.minimum(rep[i], rep[j])[kept], np.maximum(rep[i], rep[j])[kept]
+        none = pa.nulls(len(waiting), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([a, waiting])), pa.concat_arrays([pa.array(b), none]), pa.concat_arrays([pa.array(root[kept]), none])],
+            names=["a", "b", "root"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, rep, label = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        order = np.zeros((0, HASHES), np.uint8)
+        held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            place = batch.column(3)
-            data = np.frombuffer(place.buffers()[2], dtype=np.uint8)
-            first = np.frombuffer(place.buffers()[1], dtype=np.int32 if pa.types.is_binary(place.type) else np.int64)[place.offset]
-            fresh = data[first : first + HASHES * len(place)].reshape(len(place), HASHES)
-            seen = min(len(tree), NEIGHBOURS)
-            tree = np.concatenate([tree[len(tree) - seen :], batch.column(0).to_numpy()])
-            rep = np.concatenate([rep[len(rep) - seen :], batch.column(1).to_numpy()])
-            label = np.concatenate([label[len(label) - seen :], batch.column(2).to_numpy()])
-            order = np.concatenate([order[len(order) - seen :], fresh])
-            found = [(i, j, e) for i, j, e in neighbour_pairs(order, tree, seen)]
-            i, j, e = (np.concatenate([np.zeros(0, t), *x]) for t, x in zip((int, int, float), zip(*found) if found else ((), (), ())))
-            ok = (e >= doubtful) & (label[i] != label[j])
-            i, j, e = i[ok], j[ok], e[ok]
-            if not len(i):
-                continue
-            kept, later, whole = reduced(label[i], label[j], e, sure, few)
-            waiting = np.unique(np.concatenate([rep[i[later]], rep[j[later]]])) if later else np.zeros(0, np.int64)
-            a, b = np.minimum(rep[i], rep[j])[kept], np.maximum(rep[i], rep[j])[kept]
-            root = [whole.root(x) for x in label[i[kept]].tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([a, waiting])), pa.array([*b.tolist(), *[None] * len(waiting)], pa.int64()),
-                 pa.array([*root, *[None] * len(waiting)], pa.int64())], names=["a", "b", "root"])
+            fresh = pa.Table.from_batches([batch])
+            held = fresh if held is None else pa.concat_tables([held, fresh])
+            if held.num_rows >= BATCH_ROWS:
+                run = run_numbers(held)
+                done = int(np.searchsorted(run, run[-1]))  # the last run may go on
+                if done:
+                    yield from pairs_of(held.slice(0, done), run[:done])
+                    held = held.slice(done)
+        if held is not None:
+            yield from pairs_of(held, run_numbers(held))
 
     return ordered.mapInArrow(search, "a long, b long, root long").groupBy("a", "b").agg(F.min("root").alias("root"))
 
 
+def run_numbers(table: pa.Table) -> np.ndarray:
+    """Ascending numbers of the runs of rows with one tree, prefix and cell."""
+    prefix = np.frombuffer(b"".join(table["prefix"].to_pylist()), dtype=np.uint8).reshape(-1, DEPTH)
+    key = np.column_stack([*(table[c].to_numpy() for c in ("tree", "x", "y")), prefix])
+    return np.concatenate([[0], np.cumsum((key[1:] != key[:-1]).any(axis=1))])
+
+
 def confirmed_links(texts: DataFrame, links: DataFrame, length: int, percent: int, folder: str) -> DataFrame:
     """The pairs (a, b) of `links` with 100 * intersection >= percent * union on full sets; `texts` are (id, text)."""
     buckets = max(1, -(-links.count() // BUCKET_EDGES))
@@ -245,22 +249,25 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> Data
     rows = classes.count()
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows * TREES // RANGE_ROWS))
     groups_of = classes.where("rep is not null").select("rep", F.col("rep").alias("label"), "signature")
-    found = written(candidate_links(groups_of, percent / 100, partitions, FEW), f"{folder}/links")
+    found = written(candidate_links(groups_of, percent / 100, partitions, FEW, f"{folder}/first"), f"{folder}/links")
     ends = F.explode(F.array("a", "b")).alias("id")
     needed = found.select(ends).where("id is not null").distinct()
     # The texts of all that may have to be compared, read and moved once. Merged at any size, so that it costs alike at any size.
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id is not null").join(needed.hint("merge"), "id")
     texts = written(texts, f"{folder}/candidates")
     confirmed = written(confirmed_links(texts, found.where("b is not null"), length, percent, f"{folder}/first"), f"{folder}/confirmed")
-    # Pairs were left for later in crowded groups: all that join different components now.
-    waiting = found.where("b is null").select(F.col("a").alias("rep"))
-    members = written(
-        classes.select("rep", "signature").join(waiting, "rep")
-        .join(components(confirmed).withColumnRenamed("node", "rep"), "rep", "left")
-        .select("rep", F.coalesce("component", "rep").alias("label"), "signature"), f"{folder}/members")
-    rest = written(candidate_links(members, percent / 100, partitions, float("inf")), f"{folder}/rest")
-    confirmed = written(
-        confirmed.unionByName(confirmed_links(texts, rest.where("b is not null"), length, percent, f"{folder}/second")), f"{folder}/all")
+    # Pairs left for later that still join different components: the sure ones reduced once more, and at last all of them.
+    for step, everything in (("second", False),):
+        waiting = found.where("b is null").select(F.col("a").alias("rep"))
+        if waiting.isEmpty():
+            break
+        members = written(
+            classes.select("rep", "signature").join(waiting, "rep")
+            .join(components(confirmed).withColumnRenamed("node", "rep"), "rep", "left")
+            .select("rep", F.coalesce("component", "rep").alias("label"), "signature"), f"{folder}/{step}/members")
+        found = written(candidate_links(members, percent / 100, partitions, float("inf"), f"{folder}/{step}", everything), f"{folder}/{step}/links")
+        more = confirmed_links(texts, found.where("b is not null"), length, percent, f"{folder}/{step}")
+        confirmed = written(confirmed.unionByName(more), f"{folder}/{step}/confirmed")
     groups = classes.select(*same, "rep").join(components(confirmed), F.col("rep") == F.col("node"), "left").select(
         *[F.col(c).alias("__" + c) for c in same], F.coalesce("component", "rep").alias("component_id"))
     match = [F.col(c) == F.col("__" + c) for c in same]

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from countypanel.llm import texts
 from countypanel.llm.components import components
 from countypanel.llm.knn import integer_vectors, top_k
 from countypanel.llm.text import shingles, text_buffers, text_slices, word_bounds, word_hashes
@@ -191,3 +192,16 @@ def test_top_k_of_few_rows(spark):
     assert got == [(0, 1, 1, 2048), (0, 2, 20, -2048), (20, 1, 0, -2048), (20, 2, 1, -4096)]
     assert top_k(df.limit(0), df).count() == 0
     assert integer_vectors(df.select("vec_id", F.lit(None).cast("array<double>").alias("embedding")), 64).count() == 0
+
+
+def test_partners_far_apart_in_a_crowded_run_are_candidates(spark, tmp_path):
+    g = np.random.default_rng(5)
+    x = g.integers(1, 255, (3000, texts.HASHES), dtype=np.uint8)
+    step = texts.HASHES // texts.TREES
+    for k in range(3):
+        x[:, k::step] = 0
+    x[1] = x[0]
+    x[0, 3::step], x[1, 3::step] = 0, 255
+    members = spark.createDataFrame([(i, i, bytearray(v.tobytes())) for i, v in enumerate(x)], "rep long, label long, signature binary")
+    got = texts.candidate_links(members, 0.85, 4, texts.FEW, str(tmp_path)).collect()
+    assert [(r.a, r.b) for r in got] == [(0, 1)]
