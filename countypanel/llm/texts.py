@@ -257,7 +257,7 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> Data
     texts = written(texts, f"{folder}/candidates")
     confirmed = written(confirmed_links(texts, found.where("b is not null"), length, percent, f"{folder}/first"), f"{folder}/confirmed")
     # Pairs left for later that still join different components: the sure ones reduced once more, and at last all of them.
-    for step, everything in (("second", False),):
+    for step, everything in (("second", False), ("third", True)):
         waiting = found.where("b is null").select(F.col("a").alias("rep"))
         if waiting.isEmpty():
             break

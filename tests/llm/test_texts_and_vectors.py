@@ -205,3 +205,13 @@ def test_partners_far_apart_in_a_crowded_run_are_candidates(spark, tmp_path):
     members = spark.createDataFrame([(i, i, bytearray(v.tobytes())) for i, v in enumerate(x)], "rep long, label long, signature binary")
     got = texts.candidate_links(members, 0.85, 4, texts.FEW, str(tmp_path)).collect()
     assert [(r.a, r.b) for r in got] == [(0, 1)]
+
+
+def test_pairs_displaced_by_a_link_that_fails_are_confirmed(spark, monkeypatch):
+    line = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(line)), (2, " ".join("b" + w for w in line)), (3, " ".join([*line, "end"])), (4, " ".join("d" + w for w in line))]
+    honest = texts.signed_documents
+    monkeypatch.setattr(texts, "signed_documents", lambda docs, length: honest(docs, length).withColumn(
+        "signature", F.lit(bytes(texts.HASHES))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_duplicates(df, 3, 85).collect()} == {1: 1, 2: 2, 3: 1, 4: 4}
