@@ -176,7 +176,7 @@ def found_spans(docs: DataFrame, text: str = "text", reach: int = CONTEXT, share
     contexts = written(entity_contexts(marked), f"{folder}/contexts")
     disclosing = written(disclosing_terms(docs, contexts, text, share, support), f"{folder}/terms")
     terms = (
-        contexts.select("doc_id", "mark", "entity", F.explode("terms").alias("term")).join(disclosing, ["entity", "term"])
+        contexts.select("doc_id", "mark", "entity").join(disclosing, "entity")
         .groupBy("doc_id", "mark", "term").agg(F.max("ratio").alias("ratio"))
         .groupBy("doc_id", "mark").agg(F.array_sort(F.collect_list(F.struct("term", "ratio"))).alias(TERMS))
         .select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), TERMS)

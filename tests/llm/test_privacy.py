@@ -114,3 +114,12 @@ def test_no_python_in_the_plan(spark, capsys):
     df = spark.createDataFrame([(1, "a@b.cd")], "doc_id long, text string")
     sanitised(df).explain()
     assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out.split("Scan ExistingRDD")[0])
+
+
+def test_disclosing_terms_are_marked_far_from_the_entity_too(spark):
+    far = "Quorblix wrote this. " + "plain words go here " * 20 + "mail anna@example.org"
+    df = spark.createDataFrame([*secret_corpus(), (400, far, "s")], "doc_id long, text string, spans string").repartition(3)
+    spans = {r.doc_id: r[1] for r in with_spans(df).select("doc_id", spans_text(F.col(SPANS))).collect()}
+    assert "term:0:8" in spans[400].split(",")
+    text = {r.doc_id: r.text for r in sanitised(df).collect()}[400]
+    assert "Quorblix" not in text and "anna" not in text
