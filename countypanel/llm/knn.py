@@ -5,7 +5,7 @@ side (M the largest |x|^2) and 0 on the query side, the largest inner product is
 neighbour: |q' - x'|^2 = |q|^2 + M - 2<q, x>.
 
 Pivots, a bounded sample of the data, cut the space into cells. Data rows summarise each cell:
-count, largest and k + 1 smallest distances to the pivot. Queries form groups of near cells, a larger cell split
+count, largest distance to the pivot and the k + 1 smallest of different vec_ids. Queries form groups of near cells, a larger cell split
 by hash to a bounded number of queries; a cell's summary is the largest distance of a query from its
 pivot. From the summaries alone follows, for each of its cells, a distance within which every
 query has k neighbours. A data row goes only to groups that it can serve by the triangle
@@ -34,6 +34,7 @@ BLOCK_ROWS = 16_384
 SLACK = 1e-5
 LARGEST = float(2**31)
 EXACT = 2.0**53
+NEAREST = "array<struct<distance:double,vec_id:long>>"
 
 
 def integer_vectors(df: DataFrame, scale: int, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -177,19 +178,23 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, pivot
         asks.join(plan, "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
         .select("vec_id", "v", "first", "part"), f"{folder}/asks")
 
-    # summaries of the data cells: count, reach, and the k + 1 smallest distances (one of them may be the query's own row)
-    summary = (
-        cells.mapInArrow(cell_summary(k), "cell int, n long, reach double, nearest array<double>")
-        .groupBy("cell").agg(F.sum("n").alias("n"), F.max("reach").alias("reach"), F.flatten(F.collect_list("nearest")).alias("nearest"))
-        .select("cell", "n", "reach", F.slice(F.array_sort("nearest"), 1, k + 1).alias("nearest")).collect()
+    # summaries of the data cells: count, reach, and the k + 1 smallest distances of different vec_ids (one of them may be the query's own)
+    parts = written(cells.mapInArrow(cell_summary(k), f"cell int, n long, reach double, nearest {NEAREST}"), f"{folder}/summary")
+    nearest = (
+        parts.select("cell", F.explode("nearest").alias("x")).groupBy("cell", "x.vec_id").agg(F.min("x.distance").alias("distance"))
+        .groupBy("cell").agg(F.slice(F.array_sort(F.collect_list(F.struct("distance", "vec_id"))), 1, k + 1).alias("nearest"))
     )
+    summary = parts.groupBy("cell").agg(F.sum("n").alias("n"), F.max("reach").alias("reach")).join(nearest, "cell").collect()
     held = {r.cell: r for r in summary}
 
     # every query of a cell has k other rows within its bound
     bounds = {}
     for c, r in sizes.items():
-        away = np.sort(np.concatenate([between[c, s.cell] + np.array(s.nearest) for s in held.values()]))
-        bounds[c] = r.reach + (float(away[k]) if len(away) > k else float("inf"))
+        away: dict[int, float] = {}
+        for s in held.values():
+            for x in s.nearest:
+                away[x.vec_id] = min(away.get(x.vec_id, float("inf")), float(between[c, s.cell]) + x.distance)
+        bounds[c] = r.reach + (sorted(away.values())[k] if len(away) > k else float("inf"))
 
     def serves(cells: list[int], apart, distance) -> np.ndarray:
         """Whether rows at a distance from their pivot, which is `apart` from the cells' pivots, can be near enough to a query."""
@@ -247,22 +252,28 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, pivot
 
 
 def cell_summary(k: int):
-    """Per task and cell: count, largest and k + 1 smallest distances."""
+    """Per task and cell: count, largest distance and the k + 1 smallest ones of different vec_ids."""
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: dict[int, int] = {}
         reach: dict[int, float] = {}
-        least: dict[int, np.ndarray] = {}
+        least: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             cell = batch.column(batch.schema.get_field_index("cell")).to_numpy()
             distance = batch.column(batch.schema.get_field_index("distance")).to_numpy()
+            ids = batch.column(batch.schema.get_field_index("vec_id")).to_numpy()
             for c in np.unique(cell).tolist():
-                d = distance[cell == c]
+                d, v = distance[cell == c], ids[cell == c]
                 n[c] = n.get(c, 0) + len(d)
                 reach[c] = max(reach.get(c, 0.0), float(d.max()))
-                least[c] = np.sort(np.concatenate([least.get(c, np.zeros(0)), d]))[: k + 1]
+                if c in least:
+                    d, v = np.concatenate([least[c][0], d]), np.concatenate([least[c][1], v])
+                order = np.argsort(d, kind="stable")
+                first = np.sort(np.unique(v[order], return_index=True)[1])[: k + 1]
+                least[c] = d[order][first], v[order][first]
         if n:
+            nearest = [[{"distance": d, "vec_id": v} for d, v in zip(least[c][0].tolist(), least[c][1].tolist())] for c in n]
             yield pa.RecordBatch.from_pydict({
                 "cell": pa.array(list(n), pa.int32()), "n": pa.array(list(n.values()), pa.int64()),
                 "reach": pa.array(list(reach.values()), pa.float64()),
-                "nearest": pa.array([least[c].tolist() for c in n], pa.list_(pa.float64()))})
+                "nearest": pa.array(nearest, pa.list_(pa.struct([("distance", pa.float64()), ("vec_id", pa.int64())])))})
     return summarise

@@ -215,3 +215,14 @@ def test_pairs_displaced_by_a_link_that_fails_are_confirmed(spark, monkeypatch):
         "signature", F.lit(bytes(texts.HASHES))))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in near_duplicates(df, 3, 85).collect()} == {1: 1, 2: 2, 3: 1, 4: 4}
+
+
+def test_top_k_of_a_query_whose_copies_outnumber_k(spark):
+    g = np.random.default_rng(9)
+    x = g.normal(size=(200, 6))
+    long = [9.0, 9.0, 9.0, 9.0, 9.0, 9.0]
+    rows = [(1000, long)] * 30 + [(i + 1, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = [(r["rank"], r.vec_id, r.score) for r in top_k(df, df.where("vec_id = 1000"), k=20, pivots=300).orderBy("rank").collect()]
+    scores = sorted((-sum(576 * int(np.floor(64 * c)) for c in v), i + 1) for i, v in enumerate(x))[:20]
+    assert got == [(n + 1, i, -s) for n, (s, i) in enumerate(scores)]
