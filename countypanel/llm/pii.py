@@ -4,7 +4,7 @@ Patterns find the base spans: mail addresses, IP numbers, payment cards, phone n
 entity. Words that stand near an entity are its terms; over the whole corpus, the information that a term
 reveals about an entity is their pointwise mutual information, log2(N n(c, t) / (n(c) n(t))), with counts of documents.
 A term whose information reaches a share of the entity's own, log2(N / n(c)), and is seen with it in
-enough distinct contexts, discloses it: in every document that holds the entity, it becomes a span too. When the text is rewritten, base spans
+enough distinct contexts, or in each document of an entity that fewer documents hold, discloses it: in every document that holds the entity, it becomes a span too. When the text is rewritten, base spans
 become the name of their kind, disclosing terms a general word, and terms that reveal an entity
 altogether are removed.
 
@@ -154,12 +154,12 @@ def disclosing_terms(docs: DataFrame, contexts: DataFrame, text: str = "text", s
         contexts.select("entity", "context", F.explode("terms").alias("term"))
         .groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
         .groupBy("entity", "term").agg(F.sum("n").alias("n_ct"), F.count("*").alias("contexts"))
-        .where(F.col("contexts") >= support)
+        .join(n_c, "entity").where(F.col("contexts") >= F.least(F.lit(support), "n_c"))
     )
     pmi = F.log2(F.lit(float(total)) * F.col("n_ct") / (F.col("n_c") * F.col("n_t")))
     own = F.log2(F.lit(float(total)) / F.col("n_c"))
     return (
-        together.join(n_c, "entity").join(term_documents(docs, text), "term")
+        together.join(term_documents(docs, text), "term")
         .where(own > 0).withColumn("ratio", pmi / own).where(F.col("ratio") >= share)
         .select("entity", "term", "ratio")
     )
@@ -184,7 +184,9 @@ def found_spans(docs: DataFrame, text: str = "text", reach: int = CONTEXT, share
     terms = written(terms, f"{folder}/documents")
     here = F.coalesce(F.col("__text"), F.lit(""))
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.transform(TERMS, lambda t: t["term"]), "|"), F.lit(r")(?!\p{L})"))
-    texts = docs.select("doc_id", F.col(f"`{text}`").alias("__text"), text_mark(text).alias("__key"))
+    # Only texts that can have an entity are moved.
+    hinted = docs.where(F.col(f"`{text}`").rlike("|".join(HINTS.values())))
+    texts = hinted.select("doc_id", F.col(f"`{text}`").alias("__text"), text_mark(text).alias("__key"))
     placed = (
         texts.join(terms, F.expr(SAME)).withColumn("__pattern", pattern)
         .withColumn("__found", F.regexp_extract_all(here, F.col("__pattern"), F.lit(0)))

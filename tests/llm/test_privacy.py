@@ -123,3 +123,11 @@ def test_disclosing_terms_are_marked_far_from_the_entity_too(spark):
     assert "term:0:8" in spans[400].split(",")
     text = {r.doc_id: r.text for r in sanitised(df).collect()}[400]
     assert "Quorblix" not in text and "anna" not in text
+
+
+def test_rare_names_beside_an_entity_of_one_document_disclose_it(spark):
+    docs = [*secret_corpus(), (500, "Met Vexitron today, write bob@example.org for the rest of it", "s")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, spans string").repartition(3)
+    got = {(r.entity, r.term) for r in disclosing_terms(df, entity_contexts(base_table(df, "text", 80))).collect()}
+    assert {t for e, t in got if e == "email:bob@example.org"} == {"vexitron"}
+    assert "Vexitron" not in {r.doc_id: r.text for r in sanitised(df).collect()}[500]
