@@ -4,9 +4,9 @@ A number of random projections map unit vectors to a line each; on a line, a blo
 array. Two vectors s apart collide in a window of half-width h around the query with probability 2 * Phi(h / s) - 1,
 so that rows within a radius R collide in most windows of half-width WIDTH * R / 2, and far ones in fewer. The search
 starts at a small radius and rehashes virtually: a larger radius widens the windows in the same arrays, and only the
-rows that enter are counted. A row whose collisions reach the threshold is verified by its exact cosine. The search of
-a block ends at the radius that covers the k-th best cosine found, for then every row that is at least as
-near has reached the threshold with probability 1 - MISS or more; nothing caps the rows to verify. Beyond the
+rows that enter are counted. A row whose collisions reach the threshold is verified by its exact cosine. Once k are
+found, the windows widen a last time, to the distance of the k-th; the search of a block ends there, for every row that is at least as
+near has then reached the threshold with probability 1 - MISS or more. Nothing caps the rows to verify. Beyond the
 largest distance of unit vectors all rows that are left are verified, so that a block is never answered in part.
 
 Rows are dealt over blocks and queries over groups by a number of their own, whatever their ids and vectors; each
@@ -35,7 +35,7 @@ PROJECTIONS = 192
 WIDTH = 2.719
 MISS = 0.002
 FIRST_RADIUS = 0.05
-GROWTH = 1.05
+GROWTH = 1.15
 GROUP_QUERIES = 2_048
 BLOCK_ROWS = 16_384
 TILE = 128
@@ -106,25 +106,34 @@ class Windows:
                 end[:, :, i] = np.searchsorted(line, centre[i][:, None] + half, side="right")
                 start[:, i] = np.searchsorted(line, centre[i])
             for j, q in enumerate(part):
-                yield (low + j, *self.nearest(q, own[low + j], k, steps, start[j], begin[j], end[j]))
+                yield (low + j, *self.nearest(q, own[low + j], k, steps, centre[:, j], start[j], begin[j], end[j]))
 
-    def nearest(self, q: np.ndarray, own: int, k: int, steps: np.ndarray, start: np.ndarray, begin: np.ndarray,
+    def nearest(self, q: np.ndarray, own: int, k: int, steps: np.ndarray, centre: np.ndarray, start: np.ndarray, begin: np.ndarray,
                 end: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-        counts = np.zeros(len(self.ids), dtype=np.int32)
+        counts = np.zeros(len(self.ids), dtype=np.int64)
         waiting = self.ids != own
         found, scores = np.zeros(0, dtype=np.int64), np.zeros(0)
-        a, b = start, start
-        for step, radius in enumerate(steps):
-            fresh = [self.order[i, s:e] for i, (s, e) in enumerate(zip(begin[step].tolist(), a.tolist())) if s < e]
-            fresh += [self.order[i, s:e] for i, (s, e) in enumerate(zip(b.tolist(), end[step].tolist())) if s < e]
-            a, b = begin[step], end[step]
+        a = b = start
+
+        def widened(low: np.ndarray, high: np.ndarray) -> None:
+            nonlocal a, b, found, scores
+            low, high = np.minimum(low, a), np.maximum(high, b)
+            fresh = [self.order[i, s:e] for i, (s, e) in enumerate(zip(low.tolist(), a.tolist())) if s < e]
+            fresh += [self.order[i, s:e] for i, (s, e) in enumerate(zip(b.tolist(), high.tolist())) if s < e]
+            a, b = low, high
             if fresh:
-                counts += np.bincount(np.concatenate(fresh), minlength=len(counts))
+                counts[:] += np.bincount(np.concatenate(fresh), minlength=len(counts))
                 found, scores = self.verified(q, np.flatnonzero(waiting & (counts >= self.least)), waiting, found, scores)
+
+        for step, radius in enumerate(steps):
+            widened(begin[step], end[step])
             if len(scores) >= k:
-                kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-                if sqrt(max(0.0, 2 - 2 * kth)) <= radius:
-                    break
+                kth = sqrt(max(0.0, 2 - 2 * np.partition(scores, len(scores) - k)[len(scores) - k]))
+                if kth > radius:
+                    half = WIDTH * kth / 2
+                    widened(*(np.array([np.searchsorted(line, c, side=side) for line, c in zip(self.line, centre + move)])
+                              for side, move in (("left", -half), ("right", half))))
+                break
         else:
             found, scores = self.verified(q, np.flatnonzero(waiting), waiting, found, scores)
         best = np.lexsort((self.ids[found], -scores))[:k]
