@@ -9,7 +9,8 @@ found, the windows widen a last time, to the distance of the k-th; the search of
 near has then reached the threshold with probability 1 - MISS or more. Nothing caps the rows to verify. Beyond the
 largest distance of unit vectors all rows that are left are verified, so that a block is never answered in part.
 
-Rows are dealt over blocks and queries over groups by a number of their own, whatever their ids and vectors; each
+Rows are dealt over blocks and queries over groups by a number of their own, whatever their ids and vectors. Each query first searches
+one block; the distance of the k-th row found there is the radius at which it looks into every other block, by one widening. Each
 block of rows meets each group of queries in a task of bounded size, and leaves k rows a query.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part, nor rows without an id; a
@@ -25,7 +26,7 @@ from math import comb, erf, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_folder, written
@@ -35,11 +36,13 @@ PROJECTIONS = 192
 WIDTH = 2.719
 MISS = 0.002
 FIRST_RADIUS = 0.05
-GROWTH = 1.15
+GROWTH = 1.3
 GROUP_QUERIES = 2_048
 BLOCK_ROWS = 16_384
 TILE = 128
 LONGEST = 2.0
+NEAR = 1e-7
+SINGLE = 1e-4
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -84,64 +87,101 @@ class Windows:
         self.x, self.ids = x, ids
         self.least = threshold(projections, miss)
         self.lines = directions(x.shape[1], projections)
+        self.short = self.units(x).astype(np.float32)
         at = self.projected(x)
-        self.order = np.ascontiguousarray(np.argsort(at, axis=0, kind="stable").T.astype(np.int32))
+        self.order = np.ascontiguousarray(np.argsort(at, axis=0, kind="stable").T)
         self.line = np.ascontiguousarray(np.sort(at, axis=0).T)
 
+    def units(self, x: np.ndarray) -> np.ndarray:
+        return x / np.sqrt((x * x).sum(axis=1))[:, None]
+
     def projected(self, x: np.ndarray) -> np.ndarray:
-        unit = x / np.sqrt((x * x).sum(axis=1))[:, None]
-        return np.einsum("ij,jk->ik", unit, self.lines)  # the same sums for equal rows, unlike a blocked product
+        return np.einsum("ij,jk->ik", self.units(x), self.lines)  # the same sums for equal rows, unlike a blocked product
+
+    def bounds(self, centre: np.ndarray, half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the windows begin and end: for each projection (a row of `centre`) and query, of the half-widths given."""
+        begin = [np.searchsorted(line, c - half, side="left") for line, c in zip(self.line, centre)]
+        end = [np.searchsorted(line, c + half, side="right") for line, c in zip(self.line, centre)]
+        return np.stack(begin, axis=-1), np.stack(end, axis=-1)
+
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int, reach: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+        """Per query its number, the positions of its k best rows, their cosines, and how many rows were verified.
 
-    def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
-        """Per query its number, the positions of its k best rows, their cosines, and how many rows were verified."""
+        `reach` has for each query the distance within which k rows are known elsewhere, infinite if there are none.
+        """
         steps = radii()
-        half = WIDTH * steps / 2
+        known = np.full(len(queries), np.inf) if reach is None else reach * (1 + NEAR) + NEAR
         for low in range(0, len(queries), TILE):
-            part = queries[low : low + TILE]
-            centre = self.projected(part).T  # a row for each projection
-            begin = np.empty((len(part), len(steps), len(centre)), dtype=np.int32)
-            end, start = np.empty_like(begin), np.empty((len(part), len(centre)), dtype=np.int32)
-            for i, line in enumerate(self.line):
-                begin[:, :, i] = np.searchsorted(line, centre[i][:, None] - half, side="left")
-                end[:, :, i] = np.searchsorted(line, centre[i][:, None] + half, side="right")
-                start[:, i] = np.searchsorted(line, centre[i])
-            for j, q in enumerate(part):
-                yield (low + j, *self.nearest(q, own[low + j], k, steps, centre[:, j], start[j], begin[j], end[j]))
-
-    def nearest(self, q: np.ndarray, own: int, k: int, steps: np.ndarray, centre: np.ndarray, start: np.ndarray, begin: np.ndarray,
-                end: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+            part, rows = queries[low : low + TILE], np.arange(low, min(low + TILE, len(queries)))
+            centre = self.projected(part).T
+            near = np.flatnonzero(np.isfinite(known[rows]))
+            begin, end = self.bounds(centre[:, near], WIDTH * known[rows[near]] / 2)
+            for j, i in enumerate(near.tolist()):
+                at = self.within(own[rows[i]], begin[j], end[j])
+                yield (int(rows[i]), *self.best(part[i], at, self.similar(part[i], at), k))
+            far = np.setdiff1d(np.arange(len(part)), near)
+            begin, end = self.bounds(centre[:, far, None], WIDTH * steps / 2)
+            for j, i in enumerate(far.tolist()):
+                yield (int(rows[i]), *self.widening(part[i], own[rows[i]], k, steps, centre[:, i], begin[j], end[j]))
+
+    def within(self, own: int, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Rows whose collisions in these windows reach the threshold. Of each array the smaller side of the edges is counted."""
+        n = len(self.ids)
+        spans = list(zip(begin.tolist(), end.tolist()))
+        inside = [self.order[i, s:e] for i, (s, e) in enumerate(spans) if 2 * (e - s) <= n]
+        outside = [x for i, (s, e) in enumerate(spans) if 2 * (e - s) > n for x in (self.order[i, :s], self.order[i, e:])]
+        counts = np.full(n, len(outside) // 2)
+        for sign, held in ((1, inside), (-1, outside)):
+            if held:
+                counts += sign * np.bincount(np.concatenate(held), minlength=n)
+        return np.flatnonzero((counts >= self.least) & (self.ids != own))
+
+    def widening(self, q: np.ndarray, own: int, k: int, steps: np.ndarray, centre: np.ndarray, begin: np.ndarray,
+                 end: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         counts = np.zeros(len(self.ids), dtype=np.int64)
         waiting = self.ids != own
-        found, scores = np.zeros(0, dtype=np.int64), np.zeros(0)
-        a = b = start
+        found, scores = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.float32)
+        a = b = np.array([np.searchsorted(line, c) for line, c in zip(self.line, centre)])
 
-        def widened(low: np.ndarray, high: np.ndarray) -> None:
-            nonlocal a, b, found, scores
+        def take(rows: np.ndarray) -> None:
+            nonlocal found, scores
+            waiting[rows] = False
+            found, scores = np.concatenate([found, rows]), np.concatenate([scores, self.similar(q, rows)])
+
+        def widen(low: np.ndarray, high: np.ndarray) -> None:
+            nonlocal a, b
             low, high = np.minimum(low, a), np.maximum(high, b)
             fresh = [self.order[i, s:e] for i, (s, e) in enumerate(zip(low.tolist(), a.tolist())) if s < e]
             fresh += [self.order[i, s:e] for i, (s, e) in enumerate(zip(b.tolist(), high.tolist())) if s < e]
             a, b = low, high
             if fresh:
                 counts[:] += np.bincount(np.concatenate(fresh), minlength=len(counts))
-                found, scores = self.verified(q, np.flatnonzero(waiting & (counts >= self.least)), waiting, found, scores)
+                take(np.flatnonzero(waiting & (counts >= self.least)))
 
         for step, radius in enumerate(steps):
-            widened(begin[step], end[step])
+            widen(begin[step], end[step])
             if len(scores) >= k:
-                kth = sqrt(max(0.0, 2 - 2 * np.partition(scores, len(scores) - k)[len(scores) - k]))
-                if kth > radius:
-                    half = WIDTH * kth / 2
-                    widened(*(np.array([np.searchsorted(line, c, side=side) for line, c in zip(self.line, centre + move)])
-                              for side, move in (("left", -half), ("right", half))))
+                kth = self.best(q, found, scores, k)[1][-1]
+                last = sqrt(max(0.0, 2 - 2 * kth)) * (1 + NEAR) + NEAR
+                if last > radius:
+                    low, high = self.bounds(centre[:, None], np.array([WIDTH * last / 2]))
+                    widen(low[0], high[0])
                 break
         else:
-            found, scores = self.verified(q, np.flatnonzero(waiting), waiting, found, scores)
-        best = np.lexsort((self.ids[found], -scores))[:k]
-        return found[best], scores[best], len(found)
+            take(np.flatnonzero(waiting))
+        return self.best(q, found, scores, k)
+
+    def similar(self, q: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Cosines in single precision, to choose the rows whose exact cosines decide."""
+        return self.short[rows] @ self.units(q[None])[0].astype(np.float32)
 
-    def verified(self, q: np.ndarray, rows: np.ndarray, waiting: np.ndarray, found: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        waiting[rows] = False
-        return np.concatenate([found, rows]), np.concatenate([scores, cosines(q, self.x[rows])])
+    def best(self, q: np.ndarray, rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        verified = len(rows)
+        if verified > k:
+            rows = rows[scores >= np.partition(scores, verified - k)[verified - k] - SINGLE]
+        exact = cosines(q, self.x[rows])
+        order = np.lexsort((self.ids[rows], -exact))[:k]
+        return rows[order], exact[order], verified
 
 
 def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -170,28 +210,42 @@ def nearest_neighbours(df: DataFrame, queries: DataFrame, k: int = 5, key: str =
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     width = max(longest, q_longest)
     blocks, groups = -(-rows // block_rows), -(-asks // group_queries)
+    shares = -(-asks // (blocks * group_queries))
 
-    def each(n: int, name: str):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+    def numbers(n: int) -> Column:
+        return F.sequence(F.lit(0), F.lit(n - 1))
 
-    held = data.select("vec_id", "v", F.pmod("own", F.lit(blocks)).cast("int").alias("block"), each(groups, "part"))
-    sent = asked.select("query_id", "v", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int").alias("part"), each(blocks, "block"))
+    def dealt(name: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(name), "query_id"), F.lit(n)).cast("int")
 
     def solve(asks: pa.Table, rows: pa.Table) -> pa.Table:
         out = {"query_id": [], "vec_id": [], "score": []}
         if asks.num_rows and rows.num_rows:
             ids, names = rows["vec_id"].to_numpy(), asks["query_id"].to_numpy()
             index = Windows(scaled(matrix(rows["v"], width)), ids, projections, miss)
-            for j, at, scores, _ in index.search(scaled(matrix(asks["v"], width)), names, k):
+            reach = asks["reach"].to_numpy() if "reach" in asks.column_names else None
+            for j, at, scores, _ in index.search(scaled(matrix(asks["v"], width)), names, k, reach):
                 out["query_id"].append(np.full(len(at), names[j]))
                 out["vec_id"].append(ids[at])
                 out["score"].append(scores)
         return pa.table({c: pa.array(np.concatenate(x) if x else [], t) for (c, x), t in
                          zip(out.items(), (pa.int64(), pa.int64(), pa.float64()))})
 
-    found = sent.groupBy("part", "block").cogroup(held.groupBy("part", "block")).applyInArrow(solve, FOUND)
+    keys = ["part", "block"]
+    held = data.select("vec_id", "v", F.pmod("own", F.lit(blocks)).cast("int").alias("block"))
+    asked = asked.withColumn("home", dealt("home", blocks))
+    # Each query widens its windows in one block, whose k-th distance is how far it has to look in the others.
+    first = asked.select("query_id", "v", dealt("share", shares).alias("part"), F.col("home").alias("block")).groupBy(*keys).cogroup(
+        held.withColumn("part", F.explode(numbers(shares))).groupBy(*keys)).applyInArrow(solve, FOUND)
+    first = written(first, f"{folder}/first")
+    least = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("kth"))
+    known = least.where(F.col("n") >= k).select("query_id", F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("kth"))).alias("reach"))
+    sent = asked.join(known, "query_id", "left").select(
+        "query_id", "v", F.coalesce("reach", F.lit(float("inf"))).alias("reach"), dealt("part", groups).alias("part"),
+        F.explode(F.array_remove(numbers(blocks), F.col("home"))).alias("block"))
+    others = sent.groupBy(*keys).cogroup(held.withColumn("part", F.explode(numbers(groups))).groupBy(*keys)).applyInArrow(solve, FOUND)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (
-        found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        first.unionByName(others).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         .select("query_id", F.col("rank").cast("int"), "vec_id", "score")
     )
