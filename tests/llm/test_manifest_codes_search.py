@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 from hashlib import sha256
 from zlib import crc32
 
@@ -250,7 +251,7 @@ def recall_of(spark, rows, queries, k=5, schema="vec_id long, embedding array<do
     assert {q: len(x) for q, x in got.items()} == {q: len(x) for q, x in want.items() if x}
     for line in got.values():
         assert line == sorted(line)
-    return sum(len(set(got.get(q, [])) & set(x)) for q, x in want.items()) / max(1, sum(map(len, want.values())))
+    return sum((Counter(got.get(q, [])) & Counter(x)).total() for q, x in want.items()) / max(1, sum(map(len, want.values())))
 
 
 @pytest.mark.parametrize("spread", [0.2, 1.0, 5.0])
