@@ -3,10 +3,11 @@
 Features are the distinct n-grams of a text's code points (A-Z lower-cased, hashed to 2**BITS numbers). On labelled texts, each
 feature's ratio is log(share of toxic texts that hold it / share of clean ones), smoothed; a logistic regression is
 fitted on the features times their ratios, each text scaled to length one. A text's score is that
-regression's probability; the intercept allows for the classes' true shares.
+regression's probability.
 
 The classifier is fitted on a bounded sample of labelled texts, `fit_rows` at most, half of each class,
-those with the smallest hashes of doc_id. Every text is scored in whole.
+those with the smallest hashes of doc_id. In the regression the texts of a class weigh together what the class
+has among all labels, so that 0.5 means the same however the sample is made up. Every text is scored in whole.
 
 Defined results: null and empty texts, and those shorter than an n-gram, score by the intercept alone; several labels of one
 doc_id count as the largest; null or other labels are ignored; without labels of both classes every
@@ -29,7 +30,7 @@ ORDERS = (3, 4, 5)
 BITS = 20
 FIT_ROWS = 5_000
 SMOOTHING = 1.0
-PENALTY = 0.3
+PENALTY = 4e-4  # for each text, so that a score means the same whatever the size of the sample
 STEPS = 60
 MIN_TEXTS = 3
 
@@ -69,7 +70,8 @@ def text_scores(text: pa.Array, model: Model) -> np.ndarray:
 
 
 def fitted(features: list[np.ndarray], toxic: np.ndarray, odds: float) -> Model:
-    """Ratios, then the regression by gradient steps of adapted length. `odds` are those of the toxic class at large."""
+    """Ratios, then the regression by gradient steps of adapted length. `odds` are those of the toxic class at large,
+    and so the weights of the two classes in it, whatever their numbers here."""
     size = 1 << BITS
     counts = np.zeros((2, size), dtype=np.int32)
     for f, t in zip(features, toxic):
@@ -86,14 +88,16 @@ def fitted(features: list[np.ndarray], toxic: np.ndarray, odds: float) -> Model:
     begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     scale = (1 / np.sqrt([max(1, len(f)) for f in features])).astype(np.float32)
     factor = np.append(ratio[kept], 0).astype(np.float32)
+    large = odds / (1 + odds)
+    weight = np.where(toxic > 0, large / toxic.mean(), (1 - large) / (1 - toxic.mean()))
     w, b = np.zeros(len(factor)), 0.0
     g2, b2 = np.full(len(factor), 1e-8), 1e-8
     for _ in range(STEPS):
         v = (w * factor).astype(np.float32)
         z = np.add.reduceat(v[column], begins) * scale + b
-        error = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - toxic
+        error = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - toxic) * weight
         pull = np.repeat((error * scale).astype(np.float32), sizes)
-        g = (np.bincount(column, weights=pull, minlength=len(factor)) * factor + PENALTY * w) / len(features)
+        g = (np.bincount(column, weights=pull, minlength=len(factor)) * factor) / len(features) + PENALTY * w
         g2 += g * g
         w -= 0.1 * g / np.sqrt(g2)
         gb = float(error.mean())
@@ -101,8 +105,7 @@ def fitted(features: list[np.ndarray], toxic: np.ndarray, odds: float) -> Model:
         b -= 0.3 * gb / np.sqrt(b2)
     weights = np.zeros(size, dtype=np.float32)
     weights[kept] = (w * factor)[:-1]
-    here = toxic.mean() / (1 - toxic.mean())
-    return Model(weights, b + float(np.log(odds / here)))
+    return Model(weights, b)
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, fit_rows: int = FIT_ROWS) -> Model:

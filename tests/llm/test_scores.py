@@ -9,9 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from countypanel.llm import lm
+from countypanel.llm import lm, toxicity
 from countypanel.llm.lm import packed_counts, packed_keys, scored_documents, unpacked_counts, unpacked_keys
-from countypanel.llm.toxicity import fit, held_out, scored, text_features
+from countypanel.llm.toxicity import fit, fitted, held_out, scored, text_features, text_scores
 
 
 def tokens_of(text):
@@ -119,3 +119,69 @@ def test_scores_without_labels(spark):
     assert [x.score for x in scored(docs, fit(docs, labels, F.lit(True))).collect()] == [pytest.approx(1 / 3)] * 2
     assert [x.score for x in scored(docs, fit(docs, labels.limit(0), F.lit(True))).collect()] == [pytest.approx(0.5)] * 2
     assert scored(docs.limit(0), fit(docs.limit(0), labels, F.lit(True))).count() == 0
+
+
+def made_up(n, share, seed):
+    """Texts of which `share` hold a few of some rare words, and whether they do."""
+    r = random.Random(seed)
+    plain = ["ba" + r.choice("bcdfg") + r.choice("aeiou") + r.choice("lmnrst") for _ in range(200)]
+    texts, bad = [], []
+    for _ in range(n):
+        w = [r.choice(plain) for _ in range(r.randrange(10, 80))]
+        bad.append(r.random() < share)
+        for _ in range(bad[-1] * r.randrange(1, 4)):
+            w.insert(r.randrange(len(w)), r.choice(["zounds", "knave", "varlet", "caitiff"]))
+        texts.append(" ".join(w))
+    return texts, np.array(bad, dtype=float)
+
+
+def test_balanced_and_proportional_samples_catch_alike():
+    import pyarrow as pa
+    texts, bad = made_up(16_000, 0.05, 5)
+    train = 12_000
+    features = list(text_features(pa.array(texts[:train])))
+    toxic, clean = np.flatnonzero(bad[:train]), np.flatnonzero(bad[:train] == 0)
+    odds = bad[:train].mean() / (1 - bad[:train].mean())
+    recalls, false = [], []
+    for rows in (np.concatenate([toxic, clean[: len(toxic)]]), np.arange(4_000)):
+        model = fitted([features[i] for i in rows], bad[rows], odds)
+        caught = text_scores(pa.array(texts[train:]), model) >= 0.5
+        recalls.append(caught[bad[train:] == 1].mean())
+        false.append(caught[bad[train:] == 0].mean())
+    assert min(recalls) >= 0.95 and abs(recalls[0] - recalls[1]) <= 0.03 and max(false) <= 0.005, (recalls, false)
+
+
+def test_fit_equals_a_plain_regression():
+    """Features as sets of hashed n-grams in plain Python, ratios by counting, the penalised regression by Newton's method."""
+    import pyarrow as pa
+    texts, bad = made_up(300, 0.2, 6)
+
+    def hashed(gram):
+        h = (len(gram) * 0x9E3779B1) & 0xFFFFFFFF
+        for c in gram:
+            h = ((h ^ ord(c)) * 0x85EBCA6B) & 0xFFFFFFFF
+            h ^= h >> 15
+        return ((h * 0xC2B2AE35) & 0xFFFFFFFF) >> (32 - toxicity.BITS)
+
+    sets = [{hashed(t[i : i + n].lower()) for n in toxicity.ORDERS for i in range(len(t) - n + 1)} for t in texts]
+    features = list(text_features(pa.array(texts)))
+    assert [set(f.tolist()) for f in features] == sets
+    held = sorted({g for s in sets for g in s if sum(g in o for o in sets) >= toxicity.MIN_TEXTS})
+    x = np.array([[(g in s) / math.sqrt(len(s)) for g in held] for s in sets])
+    there = np.array([[g in s for g in held] for s in sets])
+    ratio = np.log(((there[bad == 1].sum(0) + 1) / (bad.sum() + 2)) / ((there[bad == 0].sum(0) + 1) / ((1 - bad).sum() + 2)))
+    model = fitted(features, bad, 0.1 / 0.9)
+    inside = np.flatnonzero(ratio != 0)
+    assert set(np.flatnonzero(model.weights)) <= {held[i] for i in inside}
+    weight = np.where(bad == 1, 0.1 / bad.mean(), 0.9 / (1 - bad.mean())) / len(bad)
+    kernel = (x * ratio) @ (x * ratio).T  # the regression in its dual form, as there are fewer texts than features
+    a, b = np.zeros(len(bad)), 0.0
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-(kernel @ a + b)))
+        pull, bend = weight * (p - bad) + toxicity.PENALTY * a, weight * p * (1 - p)
+        jacobian = np.block([[bend[:, None] * kernel + toxicity.PENALTY * np.eye(len(bad)), bend[:, None]], [(bend @ kernel)[None], np.array([[bend.sum()]])]])
+        step = np.linalg.solve(jacobian, np.append(pull, (weight * (p - bad)).sum()))
+        a, b = a - step[:-1], b - step[-1]
+    best = 1 / (1 + np.exp(-(kernel @ a + b)))
+    found = text_scores(pa.array(texts), model)
+    assert np.corrcoef(best, found)[0, 1] > 0.97 and ((best >= 0.5) == (found >= 0.5)).mean() > 0.97
