@@ -198,8 +198,8 @@ def correlations(panel: DataFrame, columns: list[str]) -> DataFrame:
     return one_row.select(F.inline(entries))
 
 
-def yearly_change(panel: DataFrame, column: str, area=("state_name",)) -> DataFrame:
-    """Change of a measure against the county's previous year in the panel."""
-    history = Window.partitionBy(*area, "county_name").orderBy("survey_year")
-    before = F.lag(column).over(history)
-    return panel.select(*area, *PLACE_TIME, column, (F.col(column) - before).alias("change"))
+def yearly_change(panel: DataFrame, column: str, place=("fips",), area=("state_name",)) -> DataFrame:
+    """Change of a measure against the year before; NULL where the place lacks that year or its value."""
+    year_before = Window.partitionBy(*place).orderBy("survey_year").rangeBetween(-1, -1)
+    before = F.avg(column).over(year_before)
+    return panel.select(*dict.fromkeys([*place, *area, *PLACE_TIME]), column, (F.col(column) - before).alias("change"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.missing import clean_missing
 from ..functions.names import name_key
-from ..operators import classify, labor, panel, quality, regression, shares, survey
+from ..operators import alignment, classify, labor, linear, panel, phases, quality, regression, shares, survey
 from ..operators.codebook import share_columns, with_labels
 from ..operators.geography import county_crosswalk
 from ..sources import documents, manifest, sinks, yearly
@@ -99,6 +99,8 @@ def merged(t: Tables, variables=None) -> DataFrame:
 
 
 def all_answers(long: DataFrame) -> DataFrame:
+    """Shares of every answer, from a written table, as it is read for its columns and again for the rows."""
+    long = written(long, scratch_folder(long.sparkSession, "shares"))
     return shares.share_wide(long, columns=shares.answer_columns(long, VARIABLES))
 
 
@@ -610,7 +612,46 @@ def corr_matrix(t):
 
 @query
 def yearly_change(t):
-    return panel.yearly_change(health_panel(t), X)
+    return panel.yearly_change(health_panel(t), X).select("state_name", "county_name", "survey_year", X, "change")
+
+
+PLANE = [X, "labor_force_mean", "survey_year"]
+
+
+@query
+def lagged_correlation(t):
+    return alignment.lagged_correlation(health_panel(t), HEALTH_W)
+
+
+@query
+def best_lag(t):
+    return alignment.best_lag(alignment.lagged_correlation(health_panel(t), HEALTH_W)).select("state_name", "outcome", "lag", "n", "r")
+
+
+@query
+def difference_map_table(t):
+    """From the year before the first to the year after the last, which no county has, so that near years stand in."""
+    changes = alignment.changes_between(health_panel(t), Y, FIRST_YEAR - 1, LAST_YEAR + 1)
+    return alignment.difference_map(map_features(t), changes, F.concat(F.lit(" County, "), F.col("state_name")))
+
+
+@query
+def ols_multi(t):
+    return linear.fit_planes(health_panel(t), HEALTH_W, PLANE, by=()).drop("p")
+
+
+@query
+def ols_fixed_effects(t):
+    fits = linear.fit_with_effects(health_panel(t), Y, PLANE[:2])
+    return fits.drop("p")
+
+
+@query
+def downturn_phases(t):
+    counties = months(t)
+    names = crosswalk(t).select(F.substring("fips", 1, 2).alias("state_fips"), "state_name").distinct()
+    rates = phases.county_rates(counties).unionByName(phases.state_rates(counties, names))
+    return phases.downturn_phases(rates)
 
 
 # --- round trips through written files ---

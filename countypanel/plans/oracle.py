@@ -380,6 +380,124 @@ def _tail(t: str, name: str) -> str:
     return r6(f"1 - 2 * {constant} * {area}", name)
 
 
+def _lagged() -> str:
+    """Every pair of years `lag` apart by a join for each, as the definition says."""
+    pairs = " UNION ALL ".join(
+        f"""SELECT a.state_name, '{h}' AS outcome, l.lag, a.{X} AS x, b."{h}" AS y FROM panel a
+        CROSS JOIN (VALUES (-3), (-2), (-1), (0), (1), (2), (3)) l(lag)
+        LEFT JOIN panel b ON b.fips = a.fips AND b.survey_year = a.survey_year + l.lag""" for h in HEALTH_W)
+    return f"""SELECT *, CASE WHEN n > 2 AND round(1 - r * r, 9) > 0 THEN r * sqrt((n - 2) / (1 - r * r)) END AS t FROM (
+      SELECT state_name, outcome, lag, regr_count(y, x)::BIGINT AS n,
+        CASE WHEN regr_count(y, x) > 1 AND regr_sxx(y, x) > 0 AND regr_syy(y, x) > 0
+          THEN regr_sxy(y, x) / sqrt(regr_sxx(y, x) * regr_syy(y, x)) END AS r
+      FROM ({pairs}) GROUP BY state_name, outcome, lag)"""
+
+
+def _difference_map() -> str:
+    hits = f"""SELECT fips, w.target, survey_year, {Y} AS v FROM panel
+      JOIN (VALUES ({FIRST_YEAR - 1}), ({LAST_YEAR + 1})) w(target) ON abs(survey_year - w.target) <= 1 AND {Y} IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY fips, w.target ORDER BY abs(survey_year - w.target), survey_year) = 1"""
+    return f"""SELECT f.state_name, f.feature_name, from_year, to_year, {_rounded(["from_value", "to_value", "change"])},
+      {r6("change / (to_year - from_year)", "yearly")}, {r6("100 * change / nullif(abs(from_value), 0)", "percent")},
+      CASE WHEN change IS NULL THEN 'No data' WHEN round(change, 9) > 0 THEN 'increase'
+        WHEN round(change, 9) < 0 THEN 'decrease' ELSE 'no change' END AS class,
+      CASE WHEN change IS NULL THEN '#000000' WHEN round(change, 9) > 0 THEN '#b2182b'
+        WHEN round(change, 9) < 0 THEN '#2166ac' ELSE '#f7f7f7' END AS color
+      FROM features f LEFT JOIN (
+        SELECT *, CASE WHEN to_year > from_year THEN to_value - from_value END AS change FROM (
+          SELECT p.state_name, split_part(p.county_name, ' County', 1) AS feature_name,
+            a.survey_year AS from_year, b.survey_year AS to_year, a.v AS from_value, b.v AS to_value
+          FROM (SELECT DISTINCT fips, state_name, county_name FROM panel) p
+          LEFT JOIN (SELECT * FROM ({hits}) WHERE target < {FIRST_YEAR}) a ON a.fips = p.fips
+          LEFT JOIN (SELECT * FROM ({hits}) WHERE target > {LAST_YEAR}) b ON b.fips = p.fips)) c
+      ON c.state_name = f.state_name AND c.feature_name = f.feature_name"""
+
+
+def _planes() -> str:
+    """Three regressors yb Cramer's rule."""
+    names = [X, "labor_force_mean", "survey_year"]
+    x = dict(zip("abc", names))
+    sums = ", ".join(f"covar_pop({u}, {v}) * count(*) AS {u}{v}" for u, v in ("aa", "ab", "ac", "bb", "bc", "cc", "ya", "yb", "yc", "yy"))
+    rows = " UNION ALL ".join(
+        f"""SELECT '{h}' AS outcome, {", ".join(f"{c}::DOUBLE AS {k}" for k, c in x.items())}, "{h}" AS y FROM panel
+        WHERE {" AND ".join(f"{c} IS NOT NULL" for c in names)} AND "{h}" IS NOT NULL""" for h in HEALTH_W)
+    inverse = {
+        "ia": "(bb * cc - bc * bc) / d", "ib": "(aa * cc - ac * ac) / d", "ic": "(aa * bb - ab * ab) / d",
+        "iab": "(ac * bc - ab * cc) / d", "iac": "(ab * bc - ac * bb) / d", "ibc": "(ab * ac - aa * bc) / d"}
+    terms = [("'intercept'", "my - ea * ma - eb * mb - ec * mc",
+              "1.0 / n + ia * ma * ma + ib * mb * mb + ic * mc * mc + 2 * (iab * ma * mb + iac * ma * mc + ibc * mb * mc)")]
+    terms += [(f"'{c}'", f"e{k}", f"i{k}") for k, c in x.items()]
+    out = " UNION ALL ".join(
+        f"""SELECT outcome, {name} AS term, n, {coef} AS coef, sqrt(mse * ({part})) AS se, r2, adj_r2, f FROM fit""" for name, coef, part in terms)
+    return f"""SELECT outcome, term, n, {_rounded(["coef", "se"])}, {r6("coef / se", "t")}, {_rounded(["r2", "adj_r2", "f"])} FROM (
+      WITH m AS (SELECT outcome, count(*)::BIGINT AS n, avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, avg(y) AS my, {sums} FROM ({rows}) GROUP BY outcome),
+      det AS (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS d FROM m),
+      inv AS (SELECT *, {", ".join(f"{v} AS {k}" for k, v in inverse.items())} FROM det),
+      sol AS (SELECT *, ia * ya + iab * yb + iac * yc AS ea, iab * ya + ib * yb + ibc * yc AS eb, iac * ya + ibc * yb + ic * yc AS ec FROM inv),
+      fit AS (SELECT *, (yy - ex) / (n - 4) AS mse, ex / yy AS r2, 1 - (1 - ex / yy) * (n - 1) / (n - 4) AS adj_r2,
+          ex / 3 / ((yy - ex) / (n - 4)) AS f FROM (SELECT *, ea * ya + eb * yb + ec * yc AS ex FROM sol))
+      {out})"""
+
+
+def _with_effects() -> str:
+    """Means yb county and year taken out in turn, a hundred times, then two regressors yb Cramer's rule."""
+    out = ", ".join(f"{c} - avg({c}) OVER (PARTITION BY {{0}}) AS {c}" for c in "yab")
+    return f"""SELECT 'general_health_status_Excellent_w' AS outcome, term, n, places, years, {_rounded(["coef", "se"])},
+      {r6("coef / se", "t")}, {r6("within_r2", "within_r2")} FROM (
+      WITH RECURSIVE it(step, fips, survey_year, y, a, b) AS (
+        SELECT 0, fips, survey_year, {Y}::DOUBLE, {X}::DOUBLE, labor_force_mean::DOUBLE FROM panel
+          WHERE {Y} IS NOT NULL AND {X} IS NOT NULL AND labor_force_mean IS NOT NULL
+        UNION ALL SELECT step + 1, fips, survey_year, {out.format("survey_year")}
+          FROM (SELECT step, fips, survey_year, {out.format("fips")} FROM it WHERE step < 100)),
+      w AS (SELECT * FROM it WHERE step = 100),
+      s AS (SELECT count(*)::BIGINT AS n, count(DISTINCT fips)::BIGINT AS places, count(DISTINCT survey_year)::BIGINT AS years,
+          sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb, sum(a * y) AS ya, sum(b * y) AS yb, sum(y * y) AS yy FROM w),
+      e AS (SELECT *, (bb * ya - ab * yb) / (aa * bb - ab * ab) AS ea, (aa * yb - ab * ya) / (aa * bb - ab * ab) AS eb FROM s),
+      c AS (SELECT sum(a * (y - a * ea - b * eb)) AS sa, sum(b * (y - a * ea - b * eb)) AS sb FROM w, e GROUP BY fips),
+      g AS (SELECT *, places * (n - 1) / ((places - 1) * (n - 1 - places - years)::DOUBLE) / ((aa * bb - ab * ab) * (aa * bb - ab * ab)) AS q
+        FROM e, (SELECT sum(sa * sa) AS maa, sum(sa * sb) AS mab, sum(sb * sb) AS mbb FROM c))
+      SELECT '{X}' AS term, n, places, years, ea AS coef, sqrt(q * (bb * bb * maa - 2 * bb * ab * mab + ab * ab * mbb)) AS se,
+        (ea * ya + eb * yb) / yy AS within_r2 FROM g
+      UNION ALL SELECT 'labor_force_mean', n, places, years, eb, sqrt(q * (ab * ab * maa - 2 * ab * aa * mab + aa * aa * mbb)),
+        (ea * ya + eb * yb) / yy FROM g)"""
+
+
+def _phases() -> str:
+    """The same search over rows: of all that end alike at a month, the best goes on."""
+    best = "score DESC, len(turns), turns DESC"
+    return f"""SELECT level, place, phase::INTEGER AS phase, direction, turning_point, from_month, to_month, months::INTEGER AS months,
+      {_rounded(["from_rate", "to_rate", "change"])} FROM (
+      WITH RECURSIVE r AS (
+        SELECT 'county' AS level, fips AS place, year * 100 + month AS ym, unemployment_rate AS rate FROM months WHERE month <= 12
+        UNION ALL SELECT 'state', state_name, ym, rate FROM (
+          SELECT state_fips, year * 100 + month AS ym, 100.0 * sum(unemployment) / nullif(sum(labor_force), 0) AS rate FROM months
+          WHERE month <= 12 AND unemployment IS NOT NULL AND labor_force IS NOT NULL GROUP BY 1, 2)
+          JOIN (SELECT DISTINCT left(fips, 2) AS state_fips, state_name FROM crosswalk) USING (state_fips)),
+      p AS (SELECT level, place, ym::INTEGER AS ym, round(rate * 1000000)::BIGINT AS v,
+          row_number() OVER o - 1 AS i, count(*) OVER (PARTITION BY level, place) AS n,
+          round(rate * 1000000)::BIGINT - lag(round(rate * 1000000)::BIGINT) OVER o AS d
+        FROM r WHERE rate IS NOT NULL WINDOW o AS (PARTITION BY level, place ORDER BY ym)),
+      dp(level, place, i, dir, steps, score, turns) AS (
+        SELECT level, place, i, k.dir, 1, k.dir * d, []::BIGINT[] FROM p, (VALUES (1), (-1)) k(dir) WHERE i = 1
+        UNION ALL SELECT * FROM (
+          SELECT p.level, p.place, p.i, CASE WHEN turn THEN -dir ELSE dir END AS dir, CASE WHEN turn THEN 1 ELSE least(steps + 1, 6) END AS steps,
+            score + CASE WHEN turn THEN -dir ELSE dir END * d AS score, CASE WHEN turn THEN list_append(turns, dp.i) ELSE turns END AS turns
+          FROM dp JOIN p ON p.level = dp.level AND p.place = dp.place AND p.i = dp.i + 1, (VALUES (true), (false)) k(turn)
+          WHERE NOT turn OR steps = 6)
+        QUALIFY row_number() OVER (PARTITION BY level, place, i, dir, steps ORDER BY {best}) = 1),
+      f AS (SELECT dp.* FROM dp JOIN (SELECT DISTINCT level, place, n FROM p) z
+          ON z.level = dp.level AND z.place = dp.place AND dp.i = z.n - 1
+        QUALIFY row_number() OVER (PARTITION BY dp.level, dp.place ORDER BY steps = 6 DESC, {best}, dir DESC) = 1),
+      s AS (SELECT level, place, dir, len(turns) AS t, unnest(range(0, len(turns) + 1)) AS k, list_prepend(0, turns) AS a,
+          list_append(turns, i) AS b FROM f),
+      y AS (SELECT *, (t - k) % 2 = 0 AND dir = 1 OR (t - k) % 2 = 1 AND dir = -1 AS up FROM s)
+      SELECT y.level, y.place, k + 1 AS phase, CASE WHEN up THEN 'rise' ELSE 'fall' END AS direction,
+        CASE WHEN k < t THEN CASE WHEN up THEN 'peak' ELSE 'trough' END END AS turning_point, g.ym AS from_month, h.ym AS to_month,
+        h.i - g.i AS months, g.v / 1000000.0 AS from_rate, h.v / 1000000.0 AS to_rate, (h.v - g.v) / 1000000.0 AS change
+      FROM y JOIN p g ON g.level = y.level AND g.place = y.place AND g.i = a[k + 1]
+        JOIN p h ON h.level = y.level AND h.place = y.place AND h.i = b[k + 1])"""
+
+
 RATE = """CASE WHEN category::DOUBLE BETWEEN 101 AND 199 THEN category::DOUBLE - 100
   WHEN category::DOUBLE BETWEEN 201 AND 299 THEN (category::DOUBLE - 200) / 7
   WHEN category::DOUBLE BETWEEN 301 AND 399 THEN (category::DOUBLE - 300) / 30 END"""
@@ -635,8 +753,17 @@ def _bodies() -> dict[str, str]:
     q["corr_matrix"] = " UNION ALL ".join(
         f"""SELECT '{a}' AS a, '{b}' AS b, {r6(f'corr("{a}", "{b}")', "r")} FROM panel"""
         for i, a in enumerate(measures) for b in measures[i + 1:])
-    q["yearly_change"] = f"""SELECT state_name, county_name, survey_year, {r6(X, X)},
-      {r6(f"{X} - lag({X}) OVER (PARTITION BY county_name ORDER BY survey_year)", "change")} FROM panel"""
+    q["yearly_change"] = f"""SELECT a.state_name, a.county_name, a.survey_year, {r6(f"a.{X}", X)}, {r6(f"a.{X} - b.{X}", "change")}
+      FROM panel a LEFT JOIN panel b ON b.fips = a.fips AND b.survey_year = a.survey_year - 1"""
+    q["lagged_correlation"] = f"""SELECT state_name, outcome, lag, n, {r6("r", "r")}, {r6("t", "t")}, {_tail("t", "p")}
+      FROM ({_lagged()})"""
+    q["best_lag"] = f"""SELECT state_name, outcome, lag, n, {r6("r", "r")} FROM ({_lagged()})
+      WHERE n >= 3 AND r IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY state_name, outcome ORDER BY round(abs(r), 9) DESC, abs(lag), lag DESC) = 1"""
+    q["difference_map_table"] = _difference_map()
+    q["ols_multi"] = _planes()
+    q["ols_fixed_effects"] = _with_effects()
+    q["downturn_phases"] = _phases()
     return q
 
 
