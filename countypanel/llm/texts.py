@@ -1,19 +1,20 @@
 """Near-duplicate texts by an LSH forest over MinHash signatures.
 
-A document's set are its distinct word shingles. Each of a number of trees sorts all documents by the signature,
-begun at another place; documents that share the first few values of an order are a run. Of all pairs of a run, those whose
-whole signatures agree enough are candidates.
-
-Documents with equal sets are one class from the start. A long run is cut into parts, and each pair of parts is compared on its own, so that no
-prefix, however common, has to fit one task; the comparisons grow with the square of a run. Within a task, sure candidates are reduced to a
-spanning forest, and doubtful ones between its trees are all kept, or in crowded regions as a forest. Candidates are confirmed on full sets: each
-text is sent once to each bucket that holds a candidate pair of it; crowded groups are spread over buckets. Confirmed links form components.
-Documents with pairs left out are then searched twice more: all their doubtful pairs between different components are confirmed, and
-at last every pair whose ends are still in different components, so that no candidate is dropped for a link that was not confirmed.
+A document's set are its distinct word shingles. Each of a number of trees orders all documents by eight values of their
+signatures, begun at another place. Documents with a common prefix are neighbours; how long it has to be is decided for each region
+on its own: three values, and where more than REGION_ROWS documents share them, five, and then all eight; documents of such regions
+enter as many trees again, which make up for the longer prefix. Of the pairs of a region, those
+whose whole signatures agree enough are candidates. A region that is crowded even at eight values is cut, and all of it hangs together.
+
+Documents with equal sets are one class from the start. Within a task, sure candidates are reduced to a spanning forest, whose edges are
+confirmed on full sets, and so are doubtful ones of few documents. What hangs together by the other candidates is a cluster: where its
+documents are not one component yet, every pair of it from different components is confirmed. For that a cluster is cut into parts; a task
+gets two parts with their texts, counts the shingles that its documents share, and returns a spanning forest of the links. So no row stands
+for a pair that is not confirmed to be a link, and documents already joined do not meet again.
 
 Defined results: null, empty and blank texts have an empty set, n_shingles 0, and link with nothing; a text
-of fewer words than a shingle is one shingle; rows that share a doc_id are one document in links; a null doc_id
-is kept and names no component; an empty table gives no rows.
+of fewer words than a shingle is one shingle; very long texts are handled whole, one at a time while they are signed; rows that share a doc_id
+are one document in links; a null doc_id is kept and names no component; an empty table gives no rows; other columns take no part.
 """
 
 from __future__ import annotations
@@ -31,13 +32,16 @@ from .text import mixed, shingles, text_slices, word_bounds, word_hashes
 
 TREES = 12
 HASHES = 96
-DEPTH = 3
-PART_ROWS = 1_024
+DEPTHS = (3, 5, 8)
+REGION_ROWS = 1_024
 BATCH_ROWS = 4_096
 FOREST_PAIRS = 4_096
 RANGE_ROWS = 150_000
 BUCKET_EDGES = 1_500
-FEW = 16
+FEW = 4
+PART_ROWS = 512
+PART_SHINGLES = 500_000
+GATHERED = 1 << 20
 SIGNED = "doc_id long, n_shingles long, h1 long, h2 long, signature binary"
 
 
@@ -99,11 +103,8 @@ def forest(x: np.ndarray, y: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray
     return joins, up
 
 
-def run_pairs(run: np.ndarray, part: np.ndarray, whole: np.ndarray, label: np.ndarray, order: np.ndarray, least: float) -> Iterator[tuple]:
-    """All pairs of rows of one run and different labels whose share of equal values is `least` or more, with that share.
-
-    Where a run is not `whole`, pairs of one part are left to the cell of this part.
-    """
+def run_pairs(run: np.ndarray, label: np.ndarray, order: np.ndarray, least: float) -> Iterator[tuple]:
+    """All pairs of rows of one run and different labels whose share of equal values is `least` or more, with that share."""
     alive, step = np.arange(len(run)), 0
     while True:
         step += 1
@@ -111,7 +112,7 @@ def run_pairs(run: np.ndarray, part: np.ndarray, whole: np.ndarray, label: np.nd
         alive = alive[run[alive] == run[alive + step]]
         if not len(alive):
             return
-        new = alive[(label[alive] != label[alive + step]) & (whole[alive] | (part[alive] != part[alive + step]))]
+        new = alive[label[alive] != label[alive + step]]
         share = np.count_nonzero(order[new] == order[new + step], axis=1) / HASHES
         ok = share >= least
         if ok.any():
@@ -139,43 +140,76 @@ def reduced(a: np.ndarray, b: np.ndarray, agreement: np.ndarray, sure: float, fe
     return kept, names[whole[strong[x]]]
 
 
-def candidate_links(members: DataFrame, similarity: float, partitions: int, few: float, folder: str, everything: bool = False) -> DataFrame:
-    """(a, b, root): pairs of documents of different groups whose signatures agree, with the smallest group that they hang together with.
+def in_trees(members: DataFrame, first: int, last: int) -> DataFrame:
+    """`members` with the value order of each tree from `first` to `last`: the first TREES take values that stand together,
+    the others values that stand TREES apart."""
+    together = F.expr(f"substring(signature, tree * {HASHES // TREES} + 1, {HASHES // TREES})")
+    apart = F.concat(*[F.expr(f"substring(signature, tree - {TREES} + {k * TREES + 1}, 1)") for k in range(HASHES // TREES)])
+    return members.select("rep", "label", "signature", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("tree")).withColumn(
+        "order", F.when(F.col("tree") < TREES, together).otherwise(apart))
 
-    `members` are (rep, label, signature), `label` the group that a document is known to belong to. Rows of a tree with a common prefix
-    of DEPTH values are a run, and all pairs of a run are compared; a long run is cut into parts, whose pairs are
-    cells of their own. A row without b says that a is in pairs which were left for later; with `everything` none is.
+
+def regions(members: DataFrame, folder: str) -> DataFrame:
+    """(rep, label, signature, cell, crowd): every row with a neighbour, in the cells where it has any.
+
+    A prefix that too many rows share makes no cell; its rows enter as many trees again, and all of these are looked at with the next
+    depth. At the last depth a crowded region is cut into cells by hash, and `crowd` names it by its smallest label.
+    """
+    found, rows = [], in_trees(members, 0, TREES - 1)
+    for depth in DEPTHS:
+        rows = rows.withColumn("prefix", F.substring("order", 1, depth))
+        runs = written(
+            rows.groupBy("tree", "prefix").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+            .where("low <> high").select("tree", "prefix", "n", "low"), f"{folder}/runs-{depth}")
+        last = depth == DEPTHS[-1]
+        kept = runs if last else runs.where(F.col("n") <= REGION_ROWS)
+        parts = F.ceil(F.col("n") / REGION_ROWS)
+        found.append(rows.join(kept, ["tree", "prefix"]).select(
+            "rep", "label", "signature", F.xxhash64("tree", "prefix", F.pmod(F.xxhash64("rep"), parts)).alias("cell"),
+            F.when(F.col("n") > REGION_ROWS, F.col("low")).alias("crowd")))
+        crowded = runs.where(F.col("n") > REGION_ROWS).select("tree", "prefix")
+        if last or crowded.isEmpty():
+            break
+        rows = rows.join(crowded, ["tree", "prefix"], "left_semi")
+        if depth == DEPTHS[0]:
+            again = members.join(rows.select("rep").distinct(), "rep", "left_semi")
+            rows = rows.drop("prefix").unionByName(in_trees(again, TREES, 2 * TREES - 1))
+        rows = written(rows.drop("prefix"), f"{folder}/crowded-{depth}")
+    cells = found[0]
+    for more in found[1:]:
+        cells = cells.unionByName(more)
+    return cells
+
+
+def candidate_links(members: DataFrame, similarity: float, partitions: int, folder: str) -> DataFrame:
+    """(a, b, root): pairs of documents whose signatures agree, to be confirmed, with the smallest label that they hang together with.
+
+    `members` are (rep, label, signature). A row without b says that a hangs together with root by candidates that are not
+    among the pairs.
     """
     agree = similarity + (1 - similarity) / 256
     spread = float(np.sqrt(agree * (1 - agree) / HASHES))
     doubtful, sure = agree - 4 * spread, min(agree + 2.2 * spread, 1.0)
-    trees = members.select("rep", "label", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).withColumn(
-        "prefix", F.expr(f"substring(signature, tree * {HASHES // TREES} + 1, {DEPTH})"))
-    runs = written(
-        trees.groupBy("tree", "prefix").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low <> high").select("tree", "prefix", F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts")), f"{folder}/runs")
-    cells = (
-        trees.join(runs, ["tree", "prefix"]).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("tree", "prefix", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "part", "rep", "label", "signature")
-    )
-    keys = ["tree", "prefix", "x", "y"]
-    ordered = cells.repartition(partitions, *keys).sortWithinPartitions(*keys)
+    ordered = regions(members, folder).repartition(partitions, "cell").sortWithinPartitions("cell")
 
     def pairs_of(table: pa.Table, run: np.ndarray) -> Iterator[pa.RecordBatch]:
-        part, x, y, rep, label = (table[c].to_numpy() for c in ("part", "x", "y", "rep", "label"))
+        rep, label = (table[c].to_numpy() for c in ("rep", "label"))
+        cut, crowd = table["crowd"].is_valid().to_numpy(), table["crowd"].fill_null(0).to_numpy()
         order = np.frombuffer(b"".join(table["signature"].to_pylist()), dtype=np.uint8).reshape(-1, HASHES)
-        found = list(run_pairs(run, part, x == y, label, order, doubtful))
-        if not found:
-            return
-        i, j, e = (np.concatenate(c) for c in zip(*found))
-        kept, root = (np.ones(len(i), dtype=bool), np.minimum(label[i], label[j])) if everything else reduced(label[i], label[j], e, sure, few)
-        waiting = np.unique(np.concatenate([rep[i[~kept]], rep[j[~kept]]]))
-        a, b = np.minimum(rep[i], rep[j])[kept], np.maximum(rep[i], rep[j])[kept]
-        none = pa.nulls(len(waiting), pa.int64())
+        # what is left for later, as rows (document, root)
+        late = [(rep[cut], crowd[cut])]
+        pairs = [(np.zeros(0, np.int64),) * 3]
+        found = list(run_pairs(run, label, order, doubtful))
+        if found:
+            i, j, e = (np.concatenate(c) for c in zip(*found))
+            kept, root = reduced(label[i], label[j], e, sure, FEW)
+            late += [(rep[ends[~kept]], root[~kept]) for ends in (i, j)]
+            pairs.append((np.minimum(rep[i], rep[j])[kept], np.maximum(rep[i], rep[j])[kept], root[kept]))
+        a, b, root = (np.concatenate(c) for c in zip(*pairs))
+        waiting = np.unique(np.column_stack([np.concatenate(c) for c in zip(*late)]), axis=0)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([a, waiting])), pa.concat_arrays([pa.array(b), none]), pa.concat_arrays([pa.array(root[kept]), none])],
-            names=["a", "b", "root"])
+            [pa.array(np.concatenate([a, waiting[:, 0]])), pa.concat_arrays([pa.array(b), pa.nulls(len(waiting), pa.int64())]),
+             pa.array(np.concatenate([root, waiting[:, 1]]))], names=["a", "b", "root"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -185,22 +219,16 @@ def candidate_links(members: DataFrame, similarity: float, partitions: int, few:
             fresh = pa.Table.from_batches([batch])
             held = fresh if held is None else pa.concat_tables([held, fresh])
             if held.num_rows >= BATCH_ROWS:
-                run = run_numbers(held)
-                done = int(np.searchsorted(run, run[-1]))  # the last run may go on
+                run = held["cell"].to_numpy()
+                done = int(np.flatnonzero(run == run[-1])[0])  # the last run may go on
                 if done:
                     yield from pairs_of(held.slice(0, done), run[:done])
                     held = held.slice(done)
         if held is not None:
-            yield from pairs_of(held, run_numbers(held))
-
-    return ordered.mapInArrow(search, "a long, b long, root long").groupBy("a", "b").agg(F.min("root").alias("root"))
-
+            yield from pairs_of(held, held["cell"].to_numpy())
 
-def run_numbers(table: pa.Table) -> np.ndarray:
-    """Ascending numbers of the runs of rows with one tree, prefix and cell."""
-    prefix = np.frombuffer(b"".join(table["prefix"].to_pylist()), dtype=np.uint8).reshape(-1, DEPTH)
-    key = np.column_stack([*(table[c].to_numpy() for c in ("tree", "x", "y")), prefix])
-    return np.concatenate([[0], np.cumsum((key[1:] != key[:-1]).any(axis=1))])
+    links = ordered.select("rep", "label", "signature", "cell", "crowd").mapInArrow(search, "a long, b long, root long")
+    return links.groupBy("a", "b", F.when(F.col("b").isNull(), F.col("root")).alias("late")).agg(F.min("root").alias("root")).drop("late")
 
 
 def confirmed_links(texts: DataFrame, links: DataFrame, length: int, percent: int, folder: str) -> DataFrame:
@@ -218,22 +246,115 @@ def confirmed_links(texts: DataFrame, links: DataFrame, length: int, percent: in
     sent = texts.join(needed.hint("merge"), "id").select("place", "id", "text")
 
     def confirm(pairs: pa.Table, held: pa.Table) -> pa.Table:
-        sets: dict[int, np.ndarray] = {}
+        sets: dict[int, list[np.ndarray]] = {}
         ids = held["id"].to_pylist()
         for low, high, hashes, offsets in text_sets(held["text"].combine_chunks() if held.num_rows else pa.array([], pa.string()), length):
             for k in range(high - low):
-                sets[ids[low + k]] = hashes[offsets[k] : offsets[k + 1]]
-        kept = []
-        for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
-            x, y = sets[a], sets[b]
+                sets.setdefault(ids[low + k], []).append(hashes[offsets[k] : offsets[k + 1]])
+
+        def linked(x: np.ndarray, y: np.ndarray) -> bool:
             both = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * both >= percent * (len(x) + len(y) - both):
-                kept.append((a, b))
+            return 100 * both >= percent * (len(x) + len(y) - both) > 0
+
+        kept = [(a, b) for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()) if any(linked(x, y) for x in sets[a] for y in sets[b])]
         return pa.table({"a": pa.array([x for x, _ in kept], pa.int64()), "b": pa.array([y for _, y in kept], pa.int64())})
 
     return dealt.groupBy("bucket").cogroup(sent.groupBy("place")).applyInArrow(confirm, "a long, b long")
 
 
+def shared_links(sets: list[np.ndarray], label: np.ndarray, part: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """Links (i, j) with 100 * intersection >= percent * union that join different labels, as a spanning forest of the labels.
+
+    Where there are two parts, pairs of one part are left to other tasks. Of every document the shingles shared with all others are
+    counted at once, through the documents that hold each shingle.
+    """
+    size = np.array([len(x) for x in sets])
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    _, number, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    holder = np.repeat(np.arange(len(sets)), size)[np.argsort(number, kind="stable")]
+    first = np.cumsum(holders) - holders
+    label, across = label.copy(), len(np.unique(part)) > 1
+    for i in range(len(sets)):
+        other = label != label[i]
+        if not other.any():
+            return
+        other[: i + 1] = False
+        if across:
+            other &= part != part[i]
+        mine = number[offsets[i] : offsets[i + 1]]
+        mine = mine[holders[mine] > 1]
+        if not len(mine) or not other.any():
+            continue
+        ends = np.cumsum(holders[mine])
+        shared = np.zeros(len(sets), dtype=np.int64)
+        for low, high in slices(ends):
+            n = holders[mine[low:high]]
+            at = np.repeat(first[mine[low:high]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            shared += np.bincount(holder[at], minlength=len(sets))
+        for j in np.flatnonzero(other & (100 * shared >= percent * (size[i] + size - shared))).tolist():
+            if label[j] != label[i]:
+                label[label == label[j]] = label[i]
+                yield i, j
+
+
+def slices(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of entries whose sums, `ends` being the running one, are about GATHERED."""
+    low = 0
+    while low < len(ends):
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + GATHERED, side="right")))
+        yield low, high
+        low = high
+
+
+def cluster_links(waiting: DataFrame, known: DataFrame, classes: DataFrame, texts: DataFrame, length: int, percent: int, folder: str) -> DataFrame:
+    """Links (a, b) that join different components of `known` inside a cluster; clusters are what hangs together by `waiting` (a, root).
+
+    A component with many documents in a cluster has parts of its own, which do not meet each other; the others
+    share parts by hash. Each pair of parts is a task of bounded size.
+    """
+    nodes = written(components(waiting.select("a", F.col("root").alias("b"))), f"{folder}/clusters")
+    members = (
+        nodes.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+        .join(classes.groupBy("rep").agg(F.max("n_shingles").alias("n_shingles")), "rep").join(known.withColumnRenamed("node", "rep"), "rep", "left")
+        .select("cluster", "rep", "n_shingles", F.coalesce("component", "rep").alias("label")))
+    members = written(members, f"{folder}/members")
+    per_label = members.groupBy("cluster", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    parts = F.greatest(F.ceil(F.col("n") / PART_ROWS), F.ceil(F.col("s") / PART_SHINGLES)).cast("int")
+    large = F.greatest(2 * F.col("n") / PART_ROWS, 2 * F.col("s") / PART_SHINGLES) > 1
+    per_label = per_label.withColumn("own", F.when(large, F.col("label"))).withColumn("alone", F.when(large, parts))
+    mixed = per_label.groupBy("cluster").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"),
+        F.sum(F.when(~large, F.col("n"))).alias("n"), F.sum(F.when(~large, F.col("s"))).alias("s"))
+    mixed = written(mixed.where("low <> high").select("cluster", F.coalesce(parts, F.lit(0)).alias("shared")), f"{folder}/mixed")
+    own = written(per_label.where(large).select("cluster", "label", "alone"), f"{folder}/own")
+    # the parts of each cluster: of components with many documents, and shared ones
+    numbers = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    listed = own.join(mixed, "cluster").select("cluster", F.col("label").alias("of"), F.col("alone").alias("parts")).unionByName(
+        mixed.where("shared > 0").select("cluster", F.lit(None).cast("long").alias("of"), F.col("shared").alias("parts")))
+    listed = written(listed.select("cluster", "of", numbers), f"{folder}/parts")
+    placed = members.join(mixed, "cluster").join(own, ["cluster", "label"], "left").select(
+        "cluster", "rep", "label", F.when(F.col("alone").isNotNull(), F.col("label")).alias("of"),
+        F.when(F.col("alone").isNotNull(), F.pmod(F.xxhash64("rep"), F.col("alone"))).otherwise(
+            F.pmod(F.xxhash64("label"), F.col("shared"))).cast("int").alias("part"))
+    others = listed.select("cluster", F.col("of").alias("other_of"), F.col("part").alias("other_part"))
+    meets = F.col("of").isNull() | ~F.col("of").eqNullSafe(F.col("other_of"))
+    mine, theirs = F.struct("of", "part"), F.struct(F.col("other_of").alias("of"), F.col("other_part").alias("part"))
+    cells = placed.join(others, "cluster").where(meets).select(
+        "cluster", F.least(mine, theirs).alias("x"), F.greatest(mine, theirs).alias("y"), F.xxhash64(mine).alias("part"), "rep", "label")
+    sent = texts.join(cells, F.col("id") == F.col("rep")).select("cluster", "x", "y", "part", "rep", "label", "text")
+
+    def confirm(table: pa.Table) -> pa.Table:
+        rep, label, part = (table[c].to_numpy() for c in ("rep", "label", "part"))
+        sets: list[np.ndarray] = []
+        for low, high, hashes, offsets in text_sets(table["text"].combine_chunks(), length):
+            sets += [hashes[offsets[k] : offsets[k + 1]] for k in range(high - low)]
+        links = list(shared_links(sets, label, part, percent))
+        return pa.table({"a": pa.array([rep[i] for i, _ in links], pa.int64()), "b": pa.array([rep[j] for _, j in links], pa.int64())})
+
+    return sent.groupBy("cluster", "x", "y").applyInArrow(confirm, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
     """Every document's doc_id with n_shingles, component_id and kept.
 
@@ -249,25 +370,18 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> Data
     rows = classes.count()
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows * TREES // RANGE_ROWS))
     groups_of = classes.where("rep is not null").select("rep", F.col("rep").alias("label"), "signature")
-    found = written(candidate_links(groups_of, percent / 100, partitions, FEW, f"{folder}/first"), f"{folder}/links")
-    ends = F.explode(F.array("a", "b")).alias("id")
-    needed = found.select(ends).where("id is not null").distinct()
+    found = written(candidate_links(groups_of, percent / 100, partitions, f"{folder}/first"), f"{folder}/links")
+    pairs, waiting = found.where("b is not null"), found.where("b is null")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(waiting.select(F.col("a").alias("id"))).distinct()
     # The texts of all that may have to be compared, read and moved once. Merged at any size, so that it costs alike at any size.
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id is not null").join(needed.hint("merge"), "id")
+    texts = texts.withColumn("mark", F.md5(F.col("text").cast("binary"))).dropDuplicates(["id", "mark"]).drop("mark")
     texts = written(texts, f"{folder}/candidates")
-    confirmed = written(confirmed_links(texts, found.where("b is not null"), length, percent, f"{folder}/first"), f"{folder}/confirmed")
-    # Pairs left for later that still join different components: the sure ones reduced once more, and at last all of them.
-    for step, everything in (("second", False), ("third", True)):
-        waiting = found.where("b is null").select(F.col("a").alias("rep"))
-        if waiting.isEmpty():
-            break
-        members = written(
-            classes.select("rep", "signature").join(waiting, "rep")
-            .join(components(confirmed).withColumnRenamed("node", "rep"), "rep", "left")
-            .select("rep", F.coalesce("component", "rep").alias("label"), "signature"), f"{folder}/{step}/members")
-        found = written(candidate_links(members, percent / 100, partitions, float("inf"), f"{folder}/{step}", everything), f"{folder}/{step}/links")
-        more = confirmed_links(texts, found.where("b is not null"), length, percent, f"{folder}/{step}")
-        confirmed = written(confirmed.unionByName(more), f"{folder}/{step}/confirmed")
+    confirmed = written(confirmed_links(texts, pairs, length, percent, f"{folder}/first"), f"{folder}/confirmed")
+    if not waiting.isEmpty():
+        known = written(components(confirmed), f"{folder}/known")
+        more = cluster_links(waiting, known, classes, texts, length, percent, f"{folder}/clusters")
+        confirmed = written(confirmed.unionByName(more), f"{folder}/all")
     groups = classes.select(*same, "rep").join(components(confirmed), F.col("rep") == F.col("node"), "left").select(
         *[F.col(c).alias("__" + c) for c in same], F.coalesce("component", "rep").alias("component_id"))
     match = [F.col(c) == F.col("__" + c) for c in same]

@@ -203,7 +203,7 @@ def test_partners_far_apart_in_a_crowded_run_are_candidates(spark, tmp_path):
     x[1] = x[0]
     x[0, 3::step], x[1, 3::step] = 0, 255
     members = spark.createDataFrame([(i, i, bytearray(v.tobytes())) for i, v in enumerate(x)], "rep long, label long, signature binary")
-    got = texts.candidate_links(members, 0.85, 4, texts.FEW, str(tmp_path)).collect()
+    got = texts.candidate_links(members, 0.85, 4, str(tmp_path)).collect()
     assert [(r.a, r.b) for r in got] == [(0, 1)]
 
 
@@ -226,3 +226,65 @@ def test_top_k_of_a_query_whose_copies_outnumber_k(spark):
     got = [(r["rank"], r.vec_id, r.score) for r in top_k(df, df.where("vec_id = 1000"), k=20, pivots=300).orderBy("rank").collect()]
     scores = sorted((-sum(576 * int(np.floor(64 * c)) for c in v), i + 1) for i, v in enumerate(x))[:20]
     assert got == [(n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+
+
+def links_of(sets, percent):
+    return [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]) > 0]
+
+
+@pytest.mark.parametrize("parts", [1, 2])
+def test_links_of_a_cell_equal_brute_force(parts, monkeypatch):
+    r = random.Random(parts)
+    monkeypatch.setattr(texts, "GATHERED", 50)
+    base = [r.randrange(1 << 40) for _ in range(60)]
+    sets = [{x if r.random() < 0.93 else r.randrange(1 << 40) for x in base[: r.randrange(20, 60)]} for _ in range(70)] + [{1}, {1}, {2, 3}]
+    label, part = np.array([i // 2 for i in range(73)]), np.array([i % parts for i in range(73)])
+    found = list(texts.shared_links([np.array(sorted(s), dtype=np.uint64) for s in sets], label, part, 80))
+    true = {(b, a) for a, b in links_of(sets, 80) if part[a] != part[b] or parts == 1}
+    assert set(found) <= true and len(found) < 73
+    same = [(i, i + 1) for i in range(0, 72, 2)]
+    assert component_of(range(73), found + same) == component_of(range(73), list(true) + same)
+
+
+def test_a_crowded_region_near_the_threshold_equals_brute_force(spark, monkeypatch):
+    """One template; most documents are just below the threshold to each other, planted ones just above."""
+    monkeypatch.setattr(texts, "REGION_ROWS", 16)
+    monkeypatch.setattr(texts, "PART_ROWS", 24)
+    r = random.Random(12)
+    line = [f"t{i}" for i in range(160)]
+
+    def varied(base, changes):
+        out = list(base)
+        for i in r.sample(range(len(base)), changes):
+            out[i] = f"x{r.randrange(1 << 30)}"
+        return out
+
+    written = [varied(line, r.randrange(3, 7)) for _ in range(260)]
+    written += [varied(w, 3) for w in written[:60]] + [varied(w, 1) for w in written[60:80]]
+    rows = [(i, " ".join(w)) for i, w in enumerate(written)]
+    got = {x.doc_id: x.component_id for x in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, 85).collect()}
+    sets = [{tuple(w[k : k + 3]) for k in range(len(w) - 2)} for w in written]
+    links = links_of(sets, 85)
+    assert len(links) > 60 and got == component_of(range(len(sets)), links)
+    assert 50 < len(set(got.values()))
+
+
+def test_a_component_of_many_does_not_meet_itself(spark, monkeypatch):
+    monkeypatch.setattr(texts, "PART_ROWS", 8)
+    r = random.Random(13)
+    line = [f"t{i}" for i in range(200)]
+    near = [[*line[:i], f"n{i}", *line[i + 1 :]] for i in range(0, 120)]
+    far = [[w if k % 14 else f"f{j}-{k}" for k, w in enumerate(line)] for j in range(12)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(near + far)]
+    r.shuffle(rows)
+    got = {x.doc_id: x.component_id for x in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, 85).collect()}
+    sets = [{tuple(w[k : k + 3]) for k in range(len(w) - 2)} for w in near + far]
+    assert got == component_of(range(len(sets)), links_of(sets, 85))
+
+
+def test_rows_of_one_id_link_by_any_of_their_texts(spark):
+    line = " ".join(f"w{i}" for i in range(50))
+    other = " ".join(f"v{i}" for i in range(50))
+    rows = [(1, line), (2, line + " end"), (2, other), (3, other + " end"), (2, other)]
+    got = {(x.doc_id, x.component_id) for x in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1)}
