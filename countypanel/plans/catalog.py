@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.missing import clean_missing
 from ..functions.names import name_key
-from ..operators import alignment, classify, labor, linear, panel, phases, quality, regression, shares, survey
+from ..operators import alignment, classify, labor, linear, panel, phases, quality, quantiles, regression, shares, survey
 from ..operators.codebook import share_columns, with_labels
 from ..operators.geography import county_crosswalk
 from ..sources import documents, manifest, sinks, yearly
@@ -654,6 +654,12 @@ def downturn_phases(t):
     return phases.downturn_phases(rates)
 
 
+@query
+def respondent_quantiles(t):
+    """Of the respondents themselves; each group is half of them."""
+    return quantiles.exact_quantiles(respondents(t), "final_weight", [0.05, 0.25, 0.5, 0.75, 0.95], ("respondent_sex",))
+
+
 # --- round trips through written files ---
 
 
