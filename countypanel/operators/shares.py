@@ -103,6 +103,11 @@ def county_shares(
         raw = with_answered(raw, variables, present)
         variables = [*variables, ANSWERED]
     counts = answer_counts(raw, variables, ("_state", "ctycode", "survey_year"), weight)
+    return shares_of_codes(counts, crosswalk, style, keys)
+
+
+def shares_of_codes(counts: DataFrame, crosswalk: DataFrame, style: str = "usps", keys=KEYS) -> DataFrame:
+    """Shares from counts by raw county codes; counts of several batches are added."""
     named = with_county_names(county_codes(counts), without_placeholder_names(crosswalk))
     return shares_of_counts(with_display_key(named, style).where(F.col("county_name").isNotNull()), keys)
 

@@ -19,6 +19,7 @@ from ..operators.geography import county_crosswalk
 from ..sources import documents, manifest, sinks, yearly
 from ..sources.delimited import DATA_COLUMNS, geocode_rows, read_without_header
 from ..sources.scratch import scratch_folder, written
+from ..streaming import counts as landed_counts
 from . import jobs
 from .standins import FIRST_YEAR, LAST_YEAR, YEARS, Tables
 
@@ -745,6 +746,17 @@ def written_panel(t):
         f"`{c}`" for c in out.columns if c.startswith(("ever_told_high_bp", "ever_told_asthma"))])
 
 
+@query
+def shares_after_landing(t):
+    """Shares from counts of batches of files, as they would land year by year."""
+    folder = scratch_folder(t.spark, "landing")
+    rows = respondents(t).select("_state", "ctycode", "survey_year", "final_weight", *VARIABLES)
+    rows.repartition("survey_year").write.parquet(f"{folder}/files")
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3).parquet(f"{folder}/files")
+    landed_counts.count_landed(stream, f"{folder}/counts", VARIABLES, f"{folder}/progress").awaitTermination()
+    return shares.shares_of_codes(landed_counts.counted(t.spark, f"{folder}/counts"), crosswalk(t))
+
+
 @query
 def run_log_entries(t):
     folder = scratch_folder(t.spark, "log")

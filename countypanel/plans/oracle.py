@@ -764,6 +764,7 @@ def _bodies() -> dict[str, str]:
     q["ols_multi"] = _planes()
     q["ols_fixed_effects"] = _with_effects()
     q["downturn_phases"] = _phases()
+    q["shares_after_landing"] = q["share_long"]
     q["respondent_quantiles"] = " UNION ALL ".join(
         f"""SELECT respondent_sex, {p}::DOUBLE AS p, count(final_weight)::BIGINT AS n, {r6(f"quantile_cont(final_weight, {p}::DOUBLE)", "value")}
         FROM survey_raw GROUP BY respondent_sex""" for p in (0.05, 0.25, 0.5, 0.75, 0.95))
