@@ -1,4 +1,5 @@
 """Counts of landed batches: repeated, broken and new ones."""
+
 from countypanel.operators import shares
 from countypanel.streaming import counts
 
