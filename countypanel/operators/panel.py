@@ -188,9 +188,15 @@ def describe_panel(panel: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def correlations(panel: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of each pair of columns, all in one aggregate."""
+    """Pearson correlation of each pair of columns, all in one aggregate; NULL for a column without spread."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    one_row = panel.agg(*[F.corr(a, b).alias(str(i)) for i, (a, b) in enumerate(pairs)])
+
+    def correlation(a: str, b: str):
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    one_row = panel.agg(*[correlation(a, b).alias(str(i)) for i, (a, b) in enumerate(pairs)])
     entries = F.array(*[
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(str(i)).alias("r"))
         for i, (a, b) in enumerate(pairs)

@@ -196,6 +196,8 @@ def test_change_and_correlations(small_panel):
     assert change[("a", 2000)] is None and change[("a", 2001)] == 3.0
     pairs = panel.correlations(small_panel.withColumn("z", -F.col("x")), ["x", "z"]).collect()
     assert [(r.a, r.b) for r in pairs] == [("x", "z")] and pairs[0].r == pytest.approx(-1.0)
+    flat = panel.correlations(small_panel.withColumn("z", F.lit(1.0)), ["x", "z"]).collect()
+    assert flat[0].r is None
 
 
 def line(rows):
