@@ -12,7 +12,11 @@ query has k neighbours. A data row goes only to groups that it can serve by the
 inequality, and there to one of a number of salted blocks; each block is solved
 locally, and the best k of a query's blocks are its result. Scores are exact integers.
 
-Defined results: vectors that are null or hold null or non-finite components, or whole ones beyond 31 bits, take no part; a query meets
+Whole numbers of any size are exact: where a product of doubles is not, numbers are cut into limbs whose products are.
+Distances are taken in units of the largest component, so that none overflows.
+
+Defined results: vectors that are null or hold null or non-finite components take no part; a component beyond +-1e300 counts as that; scores
+that a long does not hold become its largest or smallest value, and tie there; a query meets
 every other row, rows that share its vec_id excepted; vectors of different lengths are filled up with zeros; fewer than k
 candidates give as many rows; ties go to the smaller vec_id; a query id that repeats is answered once, by its largest vector; rows that repeat are candidates each; an empty table gives no rows.
 """
@@ -32,24 +36,38 @@ PIVOTS = 32
 GROUP_QUERIES = 1_024
 BLOCK_ROWS = 16_384
 SLACK = 1e-5
-LARGEST = float(2**31)
+LARGEST = 1e300
 EXACT = 2.0**53
 NEAREST = "array<struct<distance:double,vec_id:long>>"
 
 
 def integer_vectors(df: DataFrame, scale: int, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(vec_id, v array<double> of whole numbers, norm2) of the valid rows."""
+    """(vec_id, v array<double> of whole numbers) of the valid rows."""
     x = F.col(f"`{vector}`")
     number = lambda c: c.cast("double")
-    bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(number(c)) * float(scale) >= LARGEST))
-    whole = F.transform(x, lambda c: F.floor(number(c) * F.lit(float(scale))).cast("double"))
+    bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(number(c)) == float("inf")))
+
+    def whole(c):
+        scaled = F.greatest(F.least(number(c) * F.lit(float(scale)), F.lit(LARGEST)), F.lit(-LARGEST))
+        return F.when(F.abs(scaled) < EXACT, F.floor(scaled).cast("double")).otherwise(scaled)
+
     return (
         df.where(x.isNotNull() & F.col(f"`{key}`").isNotNull()).where(~bad)
-        .select(F.col(f"`{key}`").cast("long").alias("vec_id"), whole.alias("v"))
-        .withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c))
+        .select(F.col(f"`{key}`").cast("long").alias("vec_id"), F.transform(x, whole).alias("v"))
     )
 
 
+def largest_component(df: DataFrame) -> float:
+    """The smallest power of two that no component exceeds; 1 without any."""
+    top = df.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0]
+    return float(2.0 ** np.ceil(np.log2(top))) if top else 1.0
+
+
+def largest_norm2(df: DataFrame, unit: float) -> float:
+    """The largest squared length in units of `unit`."""
+    return df.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, c: s + (c / unit) * (c / unit)))).first()[0] or 0.0
+
+
 def matrix(column: pa.Array, width: int) -> np.ndarray:
     """A list column as rows of `width`, filled up with zeros."""
     if isinstance(column, pa.ChunkedArray):
@@ -73,19 +91,51 @@ def distances(x: np.ndarray, extra: np.ndarray, pivots: np.ndarray) -> np.ndarra
     return np.sqrt(np.maximum(d2, 0.0))
 
 
+def limbs(x: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Whole numbers as sums of limbs times powers of 2**bits, signs in the limbs."""
+    out, rest, sign = [], np.abs(x), np.sign(x)
+    while rest.any():
+        low = np.fmod(rest, 2.0**bits)
+        out.append(sign * low)
+        rest = (rest - low) / 2.0**bits
+    return out
+
+
+def long_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers of any size, cut off at what a long holds."""
+    bits = (53 - int(np.ceil(np.log2(max(2, q.shape[1]))))) // 2
+    sums: dict[int, np.ndarray] = {}
+    right = limbs(x, bits)
+    for i, a in enumerate(limbs(q, bits)):
+        for j, b in enumerate(right):
+            if a.any() and b.any():
+                sums[i + j] = sums.get(i + j, 0) + (a @ b.T).astype(np.int64)
+    total = np.zeros((len(q), len(x)), dtype=object)
+    for power, part in sums.items():
+        total += part.astype(object) * (1 << (bits * power))
+    info = np.iinfo(np.int64)
+    return np.clip(total, info.min, info.max).astype(np.int64)
+
+
 def scores_of(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole numbers as 64-bit integers, or objects where these do not hold them."""
-    bound = (np.abs(q).max(initial=0.0) * np.abs(x).max(initial=0.0)) * max(1, q.shape[1])
-    if bound < EXACT:
+    """Exact inner products of whole numbers; only rows too large for products of doubles take the longer way."""
+    width = max(1, q.shape[1])
+    side = np.sqrt(EXACT / width)
+    large_q, large_x = np.abs(q).max(axis=1, initial=0.0) >= side, np.abs(x).max(axis=1, initial=0.0) >= side
+    if not large_q.any() and not large_x.any():
         return (q @ x.T).astype(np.int64)
-    return np.array([[sum(int(a) * int(b) for a, b in zip(r, s)) for s in x] for r in q], dtype=object).reshape(len(q), len(x))
+    out = np.empty((len(q), len(x)), dtype=np.int64)
+    out[np.ix_(~large_q, ~large_x)] = (q[~large_q] @ x[~large_x].T).astype(np.int64)
+    out[:, large_x] = long_scores(q, x[large_x])
+    out[np.ix_(large_q, ~large_x)] = long_scores(q[large_q], x[~large_x])
+    return out
 
 
 def best_rows(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray]]:
     """For each query the positions of its k best rows, its own excepted."""
     for i in range(len(scores)):
         line = scores[i]
-        if len(line) > 4 * k and line.dtype != object:
+        if len(line) > 4 * k:
             edge = np.partition(line, len(line) - k - 1)[len(line) - k - 1]
             at = np.flatnonzero(line >= edge)
             if len(at) < 2 * k + 2:
@@ -100,17 +150,13 @@ def best_rows(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> I
                     at = np.flatnonzero(ids != own[i])
         else:
             at = np.flatnonzero(ids != own[i])
-        order = sorted(at.tolist(), key=lambda j: (-line[j], ids[j]))[:k] if line.dtype == object else at[np.lexsort((ids[at], -line[at]))[:k]]
-        yield i, np.asarray(order, dtype=np.int64)
+        yield i, at[np.lexsort((ids[at], ~line[at]))[:k]]
 
 
 def choose_pivots(data: DataFrame, n: int) -> list[list[float]]:
     """Vectors of the rows with the smallest hashes: a sample whose size is fixed."""
-    rows = data.orderBy(F.xxhash64("vec_id", F.lit(11)), "vec_id").limit(n).select("v", "norm2").collect()
-    seen: dict[tuple, list[float]] = {}
-    for r in rows:
-        seen.setdefault(tuple(r.v), [*r.v, r.norm2])
-    return list(seen.values())
+    rows = data.orderBy(F.xxhash64("vec_id", F.lit(11)), "vec_id").limit(n).select("v").collect()
+    return [list(v) for v in dict.fromkeys(tuple(r.v) for r in rows)]
 
 
 def grouped_cells(counts: dict[int, int], between: np.ndarray, most: int) -> list[tuple[list[int], int]]:
@@ -138,28 +184,29 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, pivot
     spark = df.sparkSession
     folder = scratch_folder(spark, "knn")
     data = written(integer_vectors(df, scale), f"{folder}/data")
-    asked = integer_vectors(queries, scale).groupBy("vec_id").agg(F.max(F.struct("v", "norm2")).alias("x"))
-    asked = written(asked.select("vec_id", "x.v", "x.norm2"), f"{folder}/queries")
+    asked = integer_vectors(queries, scale).groupBy("vec_id").agg(F.max("v").alias("v"))
+    asked = written(asked, f"{folder}/queries")
     result = "query_id long, rank int, vec_id long, score long"
-    top, longest, rows = data.agg(F.max("norm2"), F.max(F.size("v")), F.count("*")).first()
+    longest, rows = data.agg(F.max(F.size("v")), F.count("*")).first()
     q_longest, q_rows = asked.agg(F.max(F.size("v")), F.count("*")).first()
     if not rows or not q_rows:
         return spark.createDataFrame([], result)
-    width, ceiling = max(longest, q_longest, 1), float(top)
-    slack = SLACK * (1 + np.sqrt(ceiling))
+    width, unit = max(longest, q_longest, 1), max(largest_component(data), largest_component(asked))
+    ceiling = largest_norm2(data, unit)
+    slack = SLACK * np.sqrt(max(ceiling, largest_norm2(asked, unit)))
     chosen = choose_pivots(data, pivots)
     centre = np.zeros((len(chosen), width + 1))
-    for i, (*v, n2) in enumerate(chosen):
-        centre[i, : len(v)] = v
-        centre[i, width] = np.sqrt(max(0.0, ceiling - n2))
+    for i, v in enumerate(chosen):
+        centre[i, : len(v)] = np.array(v) / unit
+        centre[i, width] = np.sqrt(max(0.0, ceiling - (centre[i] ** 2).sum()))
     between = np.sqrt(np.maximum(((centre[:, None] - centre[None]) ** 2).sum(-1), 0.0))
 
     def placed(side: str):
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                n2 = batch.column(batch.schema.get_field_index("norm2")).to_numpy()
-                extra = np.sqrt(np.maximum(ceiling - n2, 0.0)) if side == "data" else np.zeros(len(n2))
-                d = distances(matrix(batch.column(batch.schema.get_field_index("v")), width), extra, centre)
+                x = matrix(batch.column(batch.schema.get_field_index("v")), width) / unit
+                extra = np.sqrt(np.maximum(ceiling - (x * x).sum(1), 0.0)) if side == "data" else np.zeros(len(x))
+                d = distances(x, extra, centre)
                 cell = d.argmin(1)
                 ids = batch.column(batch.schema.get_field_index("vec_id"))
                 yield pa.RecordBatch.from_arrays(

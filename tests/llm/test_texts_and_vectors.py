@@ -194,6 +194,22 @@ def test_top_k_of_few_rows(spark):
     assert integer_vectors(df.select("vec_id", F.lit(None).cast("array<double>").alias("embedding")), 64).count() == 0
 
 
+@pytest.mark.parametrize("options", [{}, {"pivots": 3, "group_queries": 5, "block_rows": 20}])
+def test_top_k_of_numbers_of_any_size(spark, options):
+    x = vectors(4, 90, 5).astype(np.float64)
+    x[3], x[7], x[11, 0], x[13, 1], x[20, 2], x[31] = 2.0e7, 4.0e7, 4.0e7, -3.4e7, 1e160, -1e7
+    x[40:50] *= 2.0**28
+    x[50, 4], x[60, 4] = 1e308, -1e308
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = [tuple(r) for r in top_k(df, df.where("vec_id % 10 = 0 or vec_id in (3, 7, 11)"), k=6, **options).orderBy("query_id", "rank").collect()]
+    held = [[int(np.floor(max(-1e300, min(1e300, 64 * float(c))))) for c in v] for v in x]
+    want = []
+    for q in sorted({*range(0, 90, 10), 3, 7, 11}):
+        scores = [(max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(held[q], v)))), i) for i, v in enumerate(held) if i != q]
+        want += [(q, k + 1, i, s) for k, (s, i) in enumerate(sorted(scores, key=lambda r: (-r[0], r[1]))[:6])]
+    assert got == want
+
+
 def test_partners_far_apart_in_a_crowded_run_are_candidates(spark, tmp_path):
     g = np.random.default_rng(5)
     x = g.integers(1, 255, (3000, texts.HASHES), dtype=np.uint8)
