@@ -16,10 +16,11 @@ from ..functions.names import name_key
 from ..operators import alignment, classify, labor, linear, panel, phases, quality, quantiles, regression, shares, survey
 from ..operators.codebook import share_columns, with_labels
 from ..operators.geography import county_crosswalk
-from ..sources import documents, manifest, sinks, yearly
+from ..sources import documents, drifting, manifest, sinks, yearly
 from ..sources.delimited import DATA_COLUMNS, geocode_rows, read_without_header
 from ..sources.scratch import scratch_folder, written
 from ..streaming import counts as landed_counts
+from ..streaming import restated
 from . import jobs
 from .standins import FIRST_YEAR, LAST_YEAR, YEARS, Tables
 
@@ -698,6 +699,33 @@ def yearly_files_read(t):
     return yearly.read_years(t.spark, {r.survey_year: r.path for r in files})
 
 
+@query
+def years_at_once(t):
+    """Orders in files by year whose columns stand in another order, and partly are others, in every second year."""
+    folder = scratch_folder(t.spark, "drifting")
+    orders = t.read("orders").withColumn("survey_year", F.year("o_orderdate"))
+    kinds = {0: ["o_orderkey", "o_orderstatus", "o_custkey"], 1: ["o_orderpriority", "o_custkey", "o_orderkey"]}
+    for kind, columns in kinds.items():
+        rows = orders.where(F.col("survey_year") % 2 == kind).select("survey_year", *columns)
+        rows.write.partitionBy("survey_year").option("header", True).csv(f"{folder}/{kind}")
+    read = drifting.read_years_at_once(t.spark, folder, pattern=r"survey_year=(\d{4})/")
+    return read.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "survey_year")
+
+
+@query
+def restated_figures(t):
+    """Labour figures of which the first half of each year is issued again; the new issue lands first, and twice."""
+    folder = scratch_folder(t.spark, "restated")
+    first = t.la_data().withColumn("footnote_codes", F.lit(""))
+    second = first.where("period <= 'M06'").withColumn("value", F.concat(F.lit("2"), "value"))
+    for name, rows in (("a/issue=2", second), ("b/issue=1", first), ("c/issue=2", second)):
+        out = rows.select(*DATA_COLUMNS).write.option("sep", "\t").option("ignoreLeadingWhiteSpace", False).option("emptyValue", "")
+        out.csv(f"{folder}/files/{name}")
+    stream = restated.issued_figures(t.spark, f"{folder}/files", files_per_batch=8)
+    restated.keep_latest(stream, f"{folder}/figures", f"{folder}/progress").awaitTermination()
+    return restated.latest_figures(t.spark, f"{folder}/figures")
+
+
 @query
 def headerless_read(t):
     folder = scratch_folder(t.spark, "labour")
@@ -746,6 +774,18 @@ def written_panel(t):
         f"`{c}`" for c in out.columns if c.startswith(("ever_told_high_bp", "ever_told_asthma"))])
 
 
+@query
+def clustered_panel(t):
+    folder = scratch_folder(t.spark, "clustered")
+    long = long_shares(t, ["ever_told_high_bp", "ever_told_asthma"], VARIABLES)
+    sinks.write_partitioned(long, f"{folder}/shares", "survey_year")
+    written(yearly_labor(t), f"{folder}/yearly")
+    name = "clustered_" + folder[-32:]
+    out = jobs.clustered_panel(t.spark, f"{folder}/shares", f"{folder}/yearly", f"{folder}/tables", name, buckets=8)
+    return out.select("fips", "state_name", "county_name", "survey_year", X, *[
+        f"`{c}`" for c in out.columns if c.startswith(("ever_told_high_bp", "ever_told_asthma"))])
+
+
 @query
 def shares_after_landing(t):
     """Shares from counts of batches of files, as they would land year by year."""

@@ -169,3 +169,16 @@ def panel_table(spark: SparkSession, shares_path: str, yearly_path: str, target:
     # Column names carry answer labels with blanks, which Parquet keeps as they are.
     merged.write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
+
+
+def clustered_panel(spark: SparkSession, shares_path: str, yearly_path: str, target: str, name: str, buckets: int) -> DataFrame:
+    """The panel from tables in buckets by county and year: `name`_shares, `name`_yearly and `name`_panel, files below `target`.
+
+    Each side is shuffled once, when it is written; the join, and later joins and summaries by county and year, need no exchange.
+    """
+    long = spark.read.schema(share_schema()).parquet(shares_path)
+    wide = shares.share_wide(long, columns=shares.answer_columns(long))
+    left = sinks.write_bucketed(wide, f"{name}_shares", f"{target}/shares", *panel.COUNTY_YEAR, buckets=buckets)
+    right = sinks.write_bucketed(
+        spark.read.parquet(yearly_path), f"{name}_yearly", f"{target}/yearly", *panel.COUNTY_YEAR, buckets=buckets)
+    return sinks.write_bucketed(panel.merge_panel(left, right), f"{name}_panel", f"{target}/panel", *panel.COUNTY_YEAR, buckets=buckets)

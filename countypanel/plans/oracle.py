@@ -729,6 +729,13 @@ def _bodies() -> dict[str, str]:
     q["discovered_files"] = "SELECT 'survey_' || survey_year || '.csv' AS name, survey_year FROM order_years"
     q["yearly_files_read"] = """SELECT year(o_orderdate)::VARCHAR AS year, count(*)::VARCHAR AS rows,
       year(o_orderdate)::INTEGER AS survey_year FROM orders GROUP BY year(o_orderdate)"""
+    q["years_at_once"] = """SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey,
+      CASE WHEN year(o_orderdate) % 2 = 0 THEN o_orderstatus END AS o_orderstatus,
+      CASE WHEN year(o_orderdate) % 2 = 1 THEN o_orderpriority END AS o_orderpriority,
+      year(o_orderdate)::INTEGER AS survey_year FROM orders"""
+    q["restated_figures"] = """SELECT series_id, year, period, max(CASE WHEN period <= 'M06' THEN '2' || value ELSE value END) AS value,
+      NULL::VARCHAR AS footnote_codes, CASE WHEN period <= 'M06' THEN 2 ELSE 1 END::BIGINT AS issue
+      FROM la_data GROUP BY series_id, year, period"""
     q["headerless_read"] = "SELECT *, NULL::VARCHAR AS footnote_codes FROM la_data"
     q["written_years"] = "SELECT respondent_id, survey_year, general_health_status FROM survey_raw"
     q["written_survey_table"] = f"SELECT {HEALTH} FROM named"
@@ -736,6 +743,7 @@ def _bodies() -> dict[str, str]:
     some = [n for n in WIDE_NAMES if n.startswith(("ever_told_high_bp", "ever_told_asthma"))]
     q["written_panel"] = f"""SELECT fips, state_name, county_name, survey_year, {r6(X, X)}, {_rounded(some)}
       FROM panel"""
+    q["clustered_panel"] = q["written_panel"]
     q["run_log_entries"] = f"""SELECT * FROM ({q["run_summary"]}) UNION ALL
       SELECT * FROM ({q["run_summary"]}) WHERE status = 'ok'"""
     q["lower_column_names"] = """SELECT respondent_id, _state, general_health_status AS genhlth, survey_year AS year
