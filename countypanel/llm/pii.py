@@ -8,7 +8,7 @@ enough distinct contexts, or in each document of an entity that fewer documents
 become the name of their kind, disclosing terms a general word, and terms that reveal an entity
 altogether are removed.
 
-Only DataFrame functions are used. Spans count code points, their end is exclusive. Copies of a context count as one
+Only DataFrame functions are used; their work is linear in a text and its matches, but for the length of its terms' pattern. Spans count code points, their end is exclusive. Copies of a context count as one
 context, so copied documents alone disclose nothing.
 
 Defined results: a null or blank text has no spans; spans of different kinds may overlap, those of one kind don't; terms that overlap base spans are not
@@ -17,6 +17,8 @@ reported; rows that repeat are judged alike; a null doc_id is a value like any o
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +45,9 @@ CONTEXT = 80
 SHARE = 0.8
 REMOVE = 0.999
 SUPPORT = 3
+WIDTH = 128
+PART = 1024
+LAST = 2**31 - 1
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 
 
@@ -76,19 +81,70 @@ def of_kind(spans: Column, kind: str) -> Column:
     return F.filter(spans, lambda s: s["kind"] == kind)
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def scan(values: Column, start: int, step: Callable[[Column, Column], Column], levels: int = 3) -> Column:
+    """At each place of an array of ints what `step` makes of all values before it; `start` must change nothing under `step`.
+
+    An array that grows by one element is copied each time, so it is cut into parts whose totals are scanned first.
+    """
+    def inside(part: Column, first: Column) -> Column:
+        state = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(part, state, lambda s, v: F.struct(
+            step(s["at"], v).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")))["out"]
+
+    def in_parts(x: Column) -> Column:
+        last = F.floor(F.greatest(F.size(x) - 1, F.lit(0)) / WIDTH).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(x, i * WIDTH + 1, F.lit(WIDTH)))
+        totals = lambda p: F.transform(p, lambda part: F.aggregate(part, F.lit(start), step))
+        return bound(parts, lambda p: F.flatten(F.zip_with(p, scan(totals(p), start, step, levels - 1), inside)))
+
+    return bound(values, in_parts) if levels > 1 else inside(values, F.lit(start))
+
+
+def parts_of(text: Column) -> Column:
+    """A text in parts of PART characters, so that a place in it is found without reading all before it."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PART}}}"), F.lit(0))
+
+
+def cut(parts: Column, first: Column, last: Column) -> Column:
+    """The characters from `first` to `last`, exclusive, of a text in parts."""
+    low = F.floor(first / PART).cast("int")
+    joined = F.array_join(F.slice(parts, low + 1, F.floor(last / PART).cast("int") - low + 1), "")
+    return F.substring(joined, first - low * PART + 1, last - first)
+
+
 def matches_at(text: Column, found: Column, pattern: Column, rank: int, kind: str) -> Column:
     """Spans of the matches `found`: their places follow from the lengths of what lies between."""
     between = F.slice(F.split(text, pattern, -1), 1, F.size(found))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
 
-    def put(done: Column, piece: Column) -> Column:
-        first = done["at"] + piece["gap"]
-        last = first + F.length(piece["value"])
-        span = F.struct(first.alias("start"), F.lit(rank).alias("rank"), last.alias("end"), F.lit(kind).alias("kind"), piece["value"].alias("value"))
-        return F.struct(last.alias("at"), F.concat(done["spans"], F.array(span)).cast(SPAN).alias("spans"))
+    def placed(pieces: Column) -> Column:
+        ahead = scan(F.transform(pieces, lambda p: p["gap"] + F.length(p["value"])), 0, lambda s, n: s + n)
+        return F.zip_with(pieces, ahead, lambda p, at: F.struct(
+            (at + p["gap"]).alias("start"), F.lit(rank).alias("rank"), (at + p["gap"] + F.length(p["value"])).alias("end"),
+            F.lit(kind).alias("kind"), p["value"].alias("value")))
 
     pieces = F.zip_with(between, found, lambda gap, value: F.struct(F.length(gap).alias("gap"), value.alias("value")))
-    return F.when(F.size(found) > 0, F.aggregate(pieces, start, put)["spans"]).otherwise(F.array().cast(SPAN))
+    return F.when(F.size(found) > 0, bound(pieces, placed).cast(SPAN)).otherwise(F.array().cast(SPAN))
+
+
+def apart_from_base(base: Column, terms: Column) -> Column:
+    """The base spans and those of `terms` that overlap none of them, by start, then kind."""
+    furthest = lambda s, v: F.greatest(s, v)
+    nearest = lambda s, v: F.least(s, v)
+    is_base = lambda s: s["kind"] != TERM
+
+    def kept(spans: Column) -> Column:
+        ended = scan(F.transform(spans, lambda s: F.when(is_base(s), s["end"]).otherwise(0)), 0, furthest)
+        begins = F.reverse(scan(F.reverse(F.transform(spans, lambda s: F.when(is_base(s), s["start"]).otherwise(LAST))), LAST, nearest))
+        room = F.zip_with(ended, begins, lambda low, high: F.struct(low.alias("low"), high.alias("high")))
+        judged = F.zip_with(spans, room, lambda s, r: F.when(is_base(s) | ((r["low"] <= s["start"]) & (s["end"] <= r["high"])), s))
+        return F.filter(judged, lambda s: s.isNotNull())
+
+    return bound(F.array_sort(F.concat(base, terms)), kept)
 
 
 def with_base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -107,12 +163,12 @@ def entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), value)
 
 
-def words_around(text: Column, span: Column, reach: int) -> Column:
-    """Distinct words within `reach` characters of a span, without cut ones."""
+def words_around(parts: Column, span: Column, reach: int) -> Column:
+    """Distinct words within `reach` characters of a span of a text in parts, without cut ones."""
     low = F.greatest(span["start"] - reach, F.lit(0))
-    left = F.substring(text, low + 1, span["start"] - low)
+    left = cut(parts, low, span["start"])
     left = F.when(low > 0, F.regexp_replace(left, rf"^.*?{SPACES}", "")).otherwise(left)
-    right = F.regexp_replace(F.substring(text, span["end"] + 1, F.lit(reach)), rf"{SPACES}\S*$", "")
+    right = F.regexp_replace(cut(parts, span["end"], span["end"] + reach), rf"{SPACES}\S*$", "")
     return F.array_distinct(F.regexp_extract_all(F.lower(F.concat(left, F.lit(" "), right)), F.lit(WORD), F.lit(0)))
 
 
@@ -125,8 +181,8 @@ def base_table(docs: DataFrame, text: str = "text", reach: int = CONTEXT) -> Dat
 
     `mentions` are the spans' entities with the words around them.
     """
-    mentions = F.transform(BASE, lambda s: F.struct(
-        entity(s).alias("entity"), words_around(F.col(f"`{text}`"), s, reach).alias("words")))
+    mentions = bound(parts_of(F.col(f"`{text}`")), lambda parts: F.transform(BASE, lambda s: F.struct(
+        entity(s).alias("entity"), words_around(parts, s, reach).alias("words"))))
     return (
         with_base_spans(docs.select("doc_id", f"`{text}`"), text).where(F.size(BASE) > 0)
         .select("doc_id", text_mark(text).alias("mark"), F.col(BASE).alias("base"), mentions.alias("mentions"))
@@ -194,8 +250,8 @@ def found_spans(docs: DataFrame, text: str = "text", reach: int = CONTEXT, share
         .dropDuplicates(["__id", "__mark"])
     )
     base = marked.dropDuplicates(["doc_id", "mark"]).select("doc_id", F.col("mark").alias("__key"), F.col("base").alias(BASE))
-    free = F.filter(F.coalesce("placed", F.array().cast(SPAN)), lambda s: ~F.exists(BASE, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    joined = base.join(placed, F.expr(SAME), "left").select("doc_id", "__key", BASE, TERMS, F.array_sort(F.concat(BASE, free)).alias(SPANS))
+    spans = F.when(F.size("placed") > 0, apart_from_base(F.col(BASE), F.col("placed"))).otherwise(F.col(BASE))
+    joined = base.join(placed, F.expr(SAME), "left").select("doc_id", "__key", BASE, TERMS, spans.alias(SPANS))
     return written(joined.select(F.col("doc_id").alias("__id"), F.col("__key").alias("__mark"), BASE, SPANS, TERMS), f"{folder}/found")
 
 
@@ -223,19 +279,17 @@ def sanitised(docs: DataFrame, text: str = "text", remove: float = REMOVE, **opt
     columns = docs.columns
     here = F.col(f"`{text}`")
     found = with_spans(docs, text, **options)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def put(done: Column, span: Column) -> Column:
-        apart = span["start"] >= done["at"]
-        gap = F.substring(here, done["at"] + 1, span["start"] - done["at"])
-        out = F.when(apart, F.concat(done["out"], gap, replacement(span, F.col(TERMS), remove))).otherwise(done["out"])
-        return F.struct(F.greatest(span["end"], done["at"]).alias("at"), out.alias("out"))
+    def rebuilt(parts: Column) -> Column:
+        done = scan(F.transform(SPANS, lambda s: s["end"]), 0, lambda s, end: F.greatest(s, end))
+        pieces = F.zip_with(SPANS, done, lambda s, at: F.when(s["start"] >= at, F.concat(cut(parts, at, s["start"]), replacement(s, F.col(TERMS), remove))))
+        last = F.array_max(F.transform(SPANS, lambda s: s["end"]))
+        return F.concat(F.array_join(pieces, ""), F.substring(here, last + 1, F.length(here)))
 
-    done = found.withColumn("__done", F.when(F.size(SPANS) > 0, F.aggregate(SPANS, start, put)))
-    new = F.when(F.col("__done").isNotNull(), F.concat(F.col("__done.out"), F.substring(here, F.col("__done.at") + 1, F.length(here)))).otherwise(here)
-    done = done.withColumn("__new", new)
+    new = F.when(F.size(SPANS) > 0, bound(parts_of(here), rebuilt)).otherwise(here)
+    done = found.withColumn("__new", new)
     kinds = dict(docs.dtypes)
     return done.select(*[
         F.col("__new").alias(c) if c == text
-        else F.when(F.col("__done").isNotNull(), F.length("__new")).otherwise(F.col("n_chars")).cast(kinds[c]).alias(c) if c == "n_chars"
+        else F.when(F.size(SPANS) > 0, F.length("__new")).otherwise(F.col("n_chars")).cast(kinds[c]).alias(c) if c == "n_chars"
         else F.col(f"`{c}`") for c in columns])

@@ -1,12 +1,18 @@
 """Spans and disclosure against plain regular expressions and counts."""
 
 import math
+import random
 import re
+import time
+from itertools import accumulate
 
 import pytest
 from pyspark.sql import functions as F
 
-from countypanel.llm.pii import BASE, SPANS, base_table, disclosing_terms, entity_contexts, sanitised, spans_text, with_base_spans, with_spans
+from countypanel.llm.pii import (
+    BASE, SPAN, SPANS, apart_from_base, base_table, cut, disclosing_terms, entity_contexts, parts_of, sanitised, scan, spans_text, with_base_spans,
+    with_spans,
+)
 
 PLAIN = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
@@ -131,3 +137,40 @@ def test_rare_names_beside_an_entity_of_one_document_disclose_it(spark):
     got = {(r.entity, r.term) for r in disclosing_terms(df, entity_contexts(base_table(df, "text", 80))).collect()}
     assert {t for e, t in got if e == "email:bob@example.org"} == {"vexitron"}
     assert "Vexitron" not in {r.doc_id: r.text for r in sanitised(df).collect()}[500]
+
+
+def test_a_text_with_many_matches(spark):
+    """Places, words around and the rewritten text of 20,000 addresses, within a time that only work linear in them meets."""
+    text = "é ".join(f"a{i}@b.co" for i in range(20_000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.perf_counter()
+    assert sanitised(df).first().text == "é ".join(["[EMAIL]"] * 20_000)
+    assert time.perf_counter() - began < 60
+    assert with_base_spans(df).select(spans_text(F.col(BASE))).first()[0] == ",".join(
+        f"email:{m.start()}:{m.end()}" for m in re.finditer(r"a\d+@b\.co", text))
+
+
+def test_scans_and_cuts_equal_plain_ones(spark):
+    values = [[], [5], list(range(300)), [(i * 7919) % 1013 for i in range(40_000)]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x array<int>")
+    got = {r.i: (r.s, r.m) for r in df.select("i", scan(F.col("x"), 0, lambda s, v: s + v).alias("s"),
+                                              scan(F.col("x"), 0, lambda s, v: F.greatest(s, v)).alias("m")).collect()}
+    for i, v in enumerate(values):
+        assert got[i] == (list(accumulate(v, initial=0))[: len(v)], list(accumulate(v, max, initial=0))[: len(v)])
+    text = "".join("aé\U0001f600\n"[i % 4] for i in range(5_000))
+    places = [(0, 0), (0, 5), (1020, 1030), (1024, 1024), (1023, 3100), (4990, 5070), (5000, 5080), (6000, 6010)]
+    rows = spark.createDataFrame([(a, b, text) for a, b in places], "a int, b int, t string")
+    assert [r[0] for r in rows.select(cut(parts_of(F.col("t")), F.col("a"), F.col("b"))).collect()] == [text[a:b] for a, b in places]
+
+
+def test_terms_that_overlap_base_spans_are_left_out(spark):
+    draw = random.Random(3)
+    rows = []
+    for i in range(60):
+        base = [(a, k, a + draw.randint(1, 12), kind, "") for k, kind in enumerate(("email", "ip")) for a in sorted(draw.sample(range(0, 300, 13), draw.randint(0, 9)))]
+        terms = [(a, 4, a + draw.randint(1, 6), "term", "") for a in sorted(draw.sample(range(0, 300, 7), draw.randint(0, 20)))]
+        rows.append((i, sorted(base), terms))
+    df = spark.createDataFrame(rows, f"i int, base {SPAN}, terms {SPAN}")
+    got = {r.i: [tuple(s) for s in r.x] for r in df.select("i", apart_from_base(F.col("base"), F.col("terms")).alias("x")).collect()}
+    for i, base, terms in rows:
+        assert got[i] == sorted(base + [t for t in terms if not any(b[0] < t[2] and t[0] < b[2] for b in base)])
