@@ -29,6 +29,7 @@ from .text import text_slices, word_bounds, word_counts
 
 WEIGHTS = (5, 2, 1)
 BUCKET_ROWS = 1_000
+COPIES = 64
 FEISTEL_ROUNDS = 6
 
 
@@ -183,13 +184,24 @@ def draw_slots(targets: DataFrame, block: int, shard_slots: int, seed: int) -> D
     return drawn.join(listed.select("ordinal", "source"), "ordinal").select("source", "ordinal", "shard", "slot", "part", "words")
 
 
+def in_lots(rows: DataFrame, most: int = COPIES) -> DataFrame:
+    """`rows` with a number `lot` that at most `most` equal rows share: they are counted, and made again from the counts."""
+    counted = rows.groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.count("*").alias("__n"))
+    lots = counted.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / F.lit(most)))))
+    copies = F.least(F.lit(most).cast("long"), F.col("__n") - F.col("lot") * most)
+    lots = lots.repartition(*[F.col(f"`{c}`") for c in rows.columns], "lot")  # a row that repeats is not made again by one task
+    return lots.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))).drop("__n", "__copy")
+
+
 def with_positions(sizes: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
     """`sizes` with each document's first word in its source's stream (`begin`).
 
     Documents are ordered by hash within buckets of a source, so that no task holds a whole
-    source; the buckets' totals are summed up first.
+    source; the buckets' totals are summed up first. Rows alike in all columns go to buckets in lots.
     """
-    hashed = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    others = [F.col(f"`{c}`") for c in sizes.columns if c not in ("source", "doc_id", "size")]
+    sizes = in_lots(sizes)
+    hashed = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"), F.col("lot"))
     buckets = F.greatest(F.lit(1), F.ceil(F.col("documents") / F.lit(BUCKET_ROWS))).cast("long")
     rows = (
         sizes.join(targets.select(F.col("source").alias("__s"), "documents", "source_size", "target"),
@@ -203,13 +215,13 @@ def with_positions(sizes: DataFrame, targets: DataFrame, seed: int) -> DataFrame
             Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
         .select(F.col("source").alias("__s"), F.col("bucket").alias("__b"), F.coalesce("base", F.lit(0)).alias("base"))
     )
-    inside = Window.partitionBy("source", "bucket").orderBy("order_hash", F.col("doc_id").asc_nulls_last(), "size")
+    inside = Window.partitionBy("source", "bucket").orderBy("order_hash", F.col("doc_id").asc_nulls_last(), "size", *others)
     before = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return (
         rows.withColumn("ahead", before).withColumn("turn", F.row_number().over(inside))
         .join(totals, F.col("source").eqNullSafe(F.col("__s")) & (F.col("bucket") == F.col("__b")))
         .withColumn("begin", F.col("base") + F.col("ahead"))
-        .drop("__s", "__b", "base", "ahead", "documents", "order_hash")
+        .drop("__s", "__b", "base", "ahead", "documents", "order_hash", "lot")
     )
 
 

@@ -1,7 +1,7 @@
 """Best-fit packing of documents into bins of a fixed number of words, under conflicts.
 
 A document longer than a bin fills whole bins and leaves a rest. Rests are dealt to
-groups of bounded size by hash and packed there from the largest down: a bin may hold no
+groups of bounded size by hash, equal ones counted first and dealt in lots of at most 64, and packed there from the largest down: a bin may hold no
 two pieces of one source and no two of one cluster of copies. Bins are kept in the order
 of what they have left, each with a bitmap of its sources and one of its clusters; the
 search goes on from the smallest room that suffices through its successors until the
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GROUP_ROWS = 2_000
+COPIES = 64
 LOOK = 128
 PIECES = "doc_id long, source string, cluster long, size long, piece long, first long, words long, bin string, place long, room long"
 
@@ -104,9 +105,15 @@ def pack(items: DataFrame, capacity: int = 2048, group_rows: int = GROUP_ROWS) -
         F.lit(0).cast("long").alias("place"), F.lit(0).cast("long").alias("room"))
     rests = pieces.where(F.col("words") < capacity)
     groups = max(1, -(-chosen.where("size > 0").count() // group_rows))
-    dealt = rests.withColumn("group", F.pmod(F.xxhash64("doc_id", "cluster", "size"), F.lit(groups)))
+    lots = (
+        rests.groupBy(*names[:7]).agg(F.count("*").alias("rows"))
+        .withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / F.lit(COPIES)))))
+        .withColumn("copies", F.least(F.lit(COPIES).cast("long"), F.col("rows") - F.col("lot") * COPIES))
+    )
+    dealt = lots.withColumn("group", F.pmod(F.xxhash64("doc_id", "source", "cluster", "size", "lot"), F.lit(groups)))
 
     def packed(table: pa.Table) -> pa.Table:
+        table = table.take(pa.array(np.repeat(np.arange(table.num_rows), table["copies"].to_numpy())))
         table = table.sort_by([("words", "descending"), ("doc_id", "ascending"), ("source", "ascending"), ("cluster", "ascending")])
         source, cluster = table["source"].to_pylist(), table["cluster"].to_pylist()
         words = table["words"].to_numpy()
@@ -120,4 +127,4 @@ def pack(items: DataFrame, capacity: int = 2048, group_rows: int = GROUP_ROWS) -
         return pa.table({**{c: table[c] for c in names[:7]}, "bin": pa.array([f"{group}-{b}" for b in bins], pa.string()),
                          "place": pa.array(place), "room": pa.array(left[bins])})
 
-    return full.unionByName(dealt.select(*names[:7], "group").groupBy("group").applyInArrow(packed, PIECES))
+    return full.unionByName(dealt.select(*names[:7], "copies", "group").groupBy("group").applyInArrow(packed, PIECES))

@@ -4,6 +4,8 @@ import gzip
 import hashlib
 import json
 import re
+from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 import pytest
@@ -185,25 +187,6 @@ def test_shards_share_what_is_owed():
     assert drawn.sum(1).max() - drawn.sum(1).min() <= 1
 
 
-def plain_best_fit(words, sources, clusters, capacity):
-    bins = []
-    out = []
-    for w, s, c in zip(words, sources, clusters):
-        fits = [(b["room"], i) for i, b in enumerate(bins) if b["room"] >= w and s not in b["s"] and (c is None or c not in b["c"])]
-        if fits:
-            room = min(fits)[0]
-            out.append(room)
-            i = next(i for r, i in sorted(fits) if r == room)
-        else:
-            out.append(None)
-            bins.append({"room": capacity, "s": set(), "c": set()})
-            i = len(bins) - 1
-        bins[i]["room"] -= w
-        bins[i]["s"].add(s)
-        bins[i]["c"].add(c)
-    return len(bins)
-
-
 def test_best_fit_takes_the_tightest_compatible_bin():
     r = np.random.default_rng(5)
     words = np.sort(r.integers(1, 60, 400))[::-1]
@@ -243,6 +226,30 @@ def test_packing_keeps_every_word_and_rule(spark):
     assert pack(df.limit(0)).count() == 0
 
 
+def test_equal_rows_are_dealt_to_many_groups(spark):
+    """A third of all rows alike: every piece stays, no group has much more than its rows."""
+    rows = [(None, "a", None, 30)] * 3_000 + [(i, "b", None, 1 + i % 99) for i in range(6_000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, cluster long, size long").repartition(5)
+    out = pack(df, capacity=100, group_rows=300).collect()
+    assert sum(r.doc_id is None for r in out) == 3_000 and len(out) == 9_000
+    groups = Counter(r.bin.split("-")[0] for r in out)
+    assert max(groups.values()) < 3 * 300
+    assert max(Counter((r.bin, r.source) for r in out).values()) == 1
+
+
+def test_equal_documents_are_dealt_to_many_buckets(spark):
+    rows = [(None, "a", "one two three")] * 4_000 + [(i, "a", "four five") for i in range(8_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    mix = Mix(docs, block=64, shard_slots=50)
+    placed = mix.documents.orderBy("begin").collect()
+    assert [r.begin for r in placed] == list(accumulate((r.size for r in placed), initial=0))[:-1]
+    assert Counter(r.doc_id for r in placed)[None] == 4_000 and len(placed) == 12_000
+    assert max(Counter(r.bucket for r in placed).values()) < 2 * 1_000
+    taken = mix.taken().collect()
+    assert len(taken) == 12_000 and all(r.taken <= 2 * r.size for r in taken)
+    assert sum(r.taken for r in taken) == 42_000
+
+
 def test_pipeline_over_given_tables(spark, tmp_path):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
