@@ -7,6 +7,7 @@ Each stage works on all that its predecessor kept. All but the last return the c
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from countypanel.llm.mixing import mixed_documents
 from countypanel.llm.packing import pack
@@ -14,14 +15,18 @@ from countypanel.llm.pii import sanitised
 from countypanel.llm.queries import packing_items
 from countypanel.sources.scratch import scratch_folder, written
 from countypanel.llm.texts import without_near_duplicates
-from countypanel.llm.toxicity import fit, scored
+from countypanel.llm.toxicity import cut, fit, held_out, scored
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on all labelled ones, does not call toxic."""
+    """Documents that the classifier, fitted on all labelled ones, does not call toxic.
+
+    It calls toxic what scores from `cut` on, found with a classifier that leaves a fifth of the labelled ones out for that.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    least = cut(docs, labels, held_out(5), fit(docs, labels, ~held_out(5)))
     model = fit(docs, labels, labels["doc_id"].isNotNull())
-    return scored(docs, model, "__score").where("__score < 0.5").drop("__score")
+    return scored(docs, model, "__score").where(F.col("__score") < least).drop("__score")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,9 @@ The classifier is fitted on a bounded sample of labelled texts, `fit_rows` at mo
 those with the smallest hashes of doc_id. In the regression the texts of a class weigh together what the class
 has among all labels, so that 0.5 means the same however the sample is made up. Every text is scored in whole.
 
+Where toxic labels are rare, scores of texts with few toxic features are low, though they stand apart from those of clean ones. So `cut` finds the
+score that tells the classes apart with the fewest errors, on labelled texts that the classifier has not seen.
+
 Defined results: null and empty texts, and those shorter than an n-gram, score by the intercept alone; several labels of one
 doc_id count as the largest; null or other labels are ignored; without labels of both classes every
 score is the smoothed share of toxic labels; rows that repeat are scored each; an empty table gives no rows.
@@ -33,6 +36,8 @@ SMOOTHING = 1.0
 PENALTY = 4e-4  # for each text, so that a score means the same whatever the size of the sample
 STEPS = 60
 MIN_TEXTS = 3
+MIN_JUDGED = 20  # unseen texts of each class
+CUT_STEPS = 100  # for each unit of log odds
 
 
 @dataclass
@@ -108,12 +113,17 @@ def fitted(features: list[np.ndarray], toxic: np.ndarray, odds: float) -> Model:
     return Model(weights, b)
 
 
-def fit(docs: DataFrame, labels: DataFrame, train: Column, fit_rows: int = FIT_ROWS) -> Model:
-    """A model of the labelled texts whose doc_id meets `train`; at most `fit_rows` of them reach the one task that fits it."""
-    known = (
-        labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(train)
+def known_labels(labels: DataFrame, chosen: Column) -> DataFrame:
+    """(doc_id, toxic) of the doc_ids that meet `chosen`."""
+    return (
+        labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(chosen)
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     )
+
+
+def fit(docs: DataFrame, labels: DataFrame, train: Column, fit_rows: int = FIT_ROWS) -> Model:
+    """A model of the labelled texts whose doc_id meets `train`; at most `fit_rows` of them reach the one task that fits it."""
+    known = known_labels(labels, train)
     shares = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
     toxic, clean = shares.get(1, 0), shares.get(0, 0)
     prior = (toxic + 1) / (toxic + clean + 2)
@@ -161,6 +171,36 @@ def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     return chosen.mapInArrow(score, chosen.select("*").schema.add(name, "double"))
 
 
+def parting(steps: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> float | None:
+    """The step from which on to call texts toxic so that the fewest are called wrongly, as the middle of the widest gap
+    of steps that do the same; none if calling no text toxic is as good. Of each of the ascending `steps` the numbers of clean and toxic texts are given."""
+    gain = np.cumsum((toxic - clean)[::-1])[::-1]
+    if gain.max() <= 0:
+        return None
+    gap = np.diff(steps, prepend=steps[0])  # a cut at a step does the same down to the step before
+    best = np.flatnonzero(gain == gain.max())
+    at = best[np.argmax(gap[best])]
+    return float(steps[at] - max(0.0, gap[at] - 1) / 2)
+
+
+def cut(docs: DataFrame, labels: DataFrame, judged: Column, model: Model) -> float:
+    """The score from which on to call texts toxic so that the fewest of the labelled texts whose doc_id meets `judged`, which `model`
+    has not seen, are called wrongly. 0.5 if these hold less than MIN_JUDGED texts of a class or are not parted by their scores."""
+    known = known_labels(labels, judged).select(F.col("doc_id").alias("__id"), F.col("toxic").alias("__toxic"))
+    texts = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("__id")).select("__toxic", "text")
+    score = F.greatest(F.lit(1e-12), F.least(F.lit(1 - 1e-12), F.col("score")))
+    step = F.floor(F.log(score / (1 - score)) * CUT_STEPS).alias("step")
+    counts = (
+        scored(texts, model).groupBy(step)
+        .agg(F.count_if(F.col("__toxic") == 0).alias("clean"), F.count_if(F.col("__toxic") == 1).alias("toxic")).orderBy("step").collect()
+    )
+    steps, clean, toxic = (np.array([r[k] for r in counts], dtype=float) for k in range(3))
+    if min(clean.sum(), toxic.sum()) < MIN_JUDGED:
+        return 0.5
+    found = parting(steps, clean, toxic)
+    return 0.5 if found is None else 1 / (1 + float(np.exp(-found / CUT_STEPS)))
+
+
 def held_out(share: int = 5) -> Column:
     """Whether a document is kept from training: crc32 of its doc_id as text, modulo `share`, is 0."""
     return F.crc32(F.col("doc_id").cast("string")) % share == 0

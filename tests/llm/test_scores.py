@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from countypanel.llm import lm, toxicity
 from countypanel.llm.lm import packed_counts, packed_keys, scored_documents, unpacked_counts, unpacked_keys
-from countypanel.llm.toxicity import fit, fitted, held_out, scored, text_features, text_scores
+from countypanel.llm.toxicity import cut, fit, fitted, held_out, parting, scored, text_features, text_scores
 
 
 def tokens_of(text):
@@ -135,6 +135,41 @@ def made_up(n, share, seed):
     return texts, np.array(bad, dtype=float)
 
 
+def test_few_toxic_words_are_found_by_a_cut_from_unseen_labels(spark, tmp_path):
+    """Scores of texts with one or two toxic words are low, but apart from those of clean texts."""
+    import corpus_pipeline
+    r = random.Random(3)
+    plain = ["ba" + r.choice("bcdfg") + r.choice("aeiou") + r.choice("lmnrst") for _ in range(200)]
+    rare = ["".join(r.choice("aeioukvwxyz") for _ in range(6)) for _ in range(20)]
+    rows = []
+    for i in range(4_000):
+        w, toxic = [r.choice(plain) for _ in range(r.randrange(80, 300))], r.random() < 0.06
+        for _ in range(toxic * r.randrange(1, 3)):
+            w.insert(r.randrange(len(w)), r.choice(rare))
+        rows.append((i, " ".join(w), int(toxic)))
+    docs = spark.createDataFrame([(i, t, "x") for i, t, _ in rows] + [(None, plain[0], "x"), (9_999, None, "x")], "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(i, k) for i, _, k in rows if i < 3_000] + [(0, rows[0][2]), (None, 1), (4, None)], "doc_id long, toxic int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs, labels = (spark.read.parquet(f"{tmp_path}/{name}.parquet") for name in ("documents", "labels"))
+    out = corpus_pipeline.toxicity(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    kept = {x.doc_id for x in out.collect()}
+    unseen = [rows[i] for i in range(3_000, 4_000)]
+    assert np.mean([i not in kept for i, _, k in unseen if k]) > 0.95  # 0.46 from 0.5 on
+    assert np.mean([i in kept for i, _, k in unseen if not k]) > 0.99
+    model = fit(docs, labels, ~held_out(5))
+    assert cut(docs, labels.where("doc_id < 200"), held_out(5), model) == 0.5  # too few to judge by
+    assert cut(docs, labels.limit(0), held_out(5), model) == cut(docs.limit(0), labels, held_out(5), model) == 0.5
+
+
+def test_cut_between_the_classes():
+    n = np.array
+    assert parting(n([-900, -700, -100, 50]), n([90, 10, 0, 0]), n([0, 0, 2, 3])) == -100 - 599 / 2
+    assert parting(n([-3, -2, -1]), n([9, 1, 1]), n([0, 2, 1])) == -2
+    assert parting(n([-3, -2, -1]), n([9, 5, 5]), n([3, 3, 3])) is None
+
+
 def test_balanced_and_proportional_samples_catch_alike():
     import pyarrow as pa
     texts, bad = made_up(16_000, 0.05, 5)
