@@ -145,8 +145,8 @@ def in_trees(members: DataFrame, first: int, last: int) -> DataFrame:
     the others values that stand TREES apart."""
     together = F.expr(f"substring(signature, tree * {HASHES // TREES} + 1, {HASHES // TREES})")
     apart = F.concat(*[F.expr(f"substring(signature, tree - {TREES} + {k * TREES + 1}, 1)") for k in range(HASHES // TREES)])
-    return members.select("rep", "label", "signature", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("tree")).withColumn(
-        "order", F.when(F.col("tree") < TREES, together).otherwise(apart))
+    return members.select("rep", "label", "signature", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("tree")).select(
+        "rep", "label", F.hash("signature").alias("mark"), "tree", F.when(F.col("tree") < TREES, together).otherwise(apart).alias("order"))
 
 
 def regions(members: DataFrame, folder: str) -> DataFrame:
@@ -154,6 +154,8 @@ def regions(members: DataFrame, folder: str) -> DataFrame:
 
     A prefix that too many rows share makes no cell; its rows enter as many trees again, and all of these are looked at with the next
     depth. At the last depth a crowded region is cut into cells by hash, and `crowd` names it by its smallest label.
+    Signatures join only the rows that are in cells, by rep and `mark`, for rows that share a doc_id may have the same rep. Tables are
+    merged at any size, so that it costs alike at any size.
     """
     found, rows = [], in_trees(members, 0, TREES - 1)
     for depth in DEPTHS:
@@ -164,8 +166,8 @@ def regions(members: DataFrame, folder: str) -> DataFrame:
         last = depth == DEPTHS[-1]
         kept = runs if last else runs.where(F.col("n") <= REGION_ROWS)
         parts = F.ceil(F.col("n") / REGION_ROWS)
-        found.append(rows.join(kept, ["tree", "prefix"]).select(
-            "rep", "label", "signature", F.xxhash64("tree", "prefix", F.pmod(F.xxhash64("rep"), parts)).alias("cell"),
+        found.append(rows.join(kept.hint("merge"), ["tree", "prefix"]).select(
+            "rep", "label", "mark", F.xxhash64("tree", "prefix", F.pmod(F.xxhash64("rep"), parts)).alias("cell"),
             F.when(F.col("n") > REGION_ROWS, F.col("low")).alias("crowd")))
         crowded = runs.where(F.col("n") > REGION_ROWS).select("tree", "prefix")
         if last or crowded.isEmpty():
@@ -178,7 +180,8 @@ def regions(members: DataFrame, folder: str) -> DataFrame:
     cells = found[0]
     for more in found[1:]:
         cells = cells.unionByName(more)
-    return cells
+    signatures = members.select("rep", F.hash("signature").alias("mark"), "signature").repartition("rep", "mark").distinct()
+    return cells.join(signatures.hint("merge"), ["rep", "mark"]).drop("mark")
 
 
 def candidate_links(members: DataFrame, similarity: float, partitions: int, folder: str) -> DataFrame:
