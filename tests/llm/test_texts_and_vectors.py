@@ -14,6 +14,7 @@ from countypanel.llm.knn import integer_vectors, top_k
 from countypanel.llm.text import shingles, text_buffers, text_slices, word_bounds, word_hashes
 from countypanel.llm.texts import near_duplicates, without_near_duplicates
 from countypanel.llm.vectors import linked_vectors, rotated
+from countypanel.sources.scratch import written
 
 WORD = r"[^\x20\x09-\x0D]+"
 TEXTS = [None, "", "  \t ", "One", "one TWO", "a b c\x0bd", "Été été  x", "x" * 3000 + " y", "tail word "]
@@ -84,6 +85,48 @@ def test_components(spark):
     assert components(df.where("a < 0")).count() == 0
 
 
+@pytest.mark.parametrize("task_edges,held_edges,most", [(100_000, 1 << 20, 2), (50, 64, 30)])
+def test_components_of_chains_cost_few_rounds(spark, monkeypatch, task_edges, held_edges, most):
+    """Few edges take no rounds at all; with small bounds the rounds give the same."""
+    from countypanel.llm import components as module
+    folders = []
+    monkeypatch.setattr(module, "TASK_EDGES", task_edges)
+    monkeypatch.setattr(module, "HELD_EDGES", held_edges)
+    monkeypatch.setattr(module, "written", lambda df, folder: (folders.append(folder), written(df, folder))[1])
+    r = random.Random(7)
+    names = r.sample(range(-10**12, 10**12), 600)
+    links = [(names[i], names[i + 1]) for i in range(599) if i % 150 != 149] + [(5, 5), (names[0], names[0])]
+    links += [links[3], (links[4][1], links[4][0])]
+    r.shuffle(links)
+    df = spark.createDataFrame([*links, (None, names[0])], "a long, b long").repartition(7)
+    got = {x.node: x.component for x in module.components(df).collect()}
+    assert got == {n: min(names[i // 150 * 150 : i // 150 * 150 + 150]) for i, n in enumerate(names)}
+    assert len(folders) <= most
+    words_of = df.selectExpr("concat('n', a) as a", "concat('n', b) as b")
+    assert len({x.component for x in module.components(words_of).collect()}) == 4
+
+
+def test_trees_move_no_signatures_and_pair_no_rows_of_one_document(spark, monkeypatch, tmp_path):
+    from countypanel.llm import texts as module
+    tables = {}
+    monkeypatch.setattr(module, "REGION_ROWS", 20)
+    monkeypatch.setattr(module, "written", lambda df, folder: tables.setdefault(folder.rsplit("/", 1)[-1], written(df, folder)))
+    g = np.random.default_rng(4)
+    alike = g.integers(0, 256, 96, dtype=np.uint8)
+    rows = []
+    for i in range(120):
+        x = alike.copy()
+        x[g.integers(0, 96, 2)] = g.integers(0, 256, 2)
+        rows.append((i if i % 2 else 0, bytearray(x.tobytes())))  # half of them share an id
+    members = spark.createDataFrame(rows, "rep long, signature binary").selectExpr("rep", "rep as label", "signature")
+    found = module.regions(members, f"file://{tmp_path}/r")
+    assert set(found.columns) == {"rep", "label", "signature", "cell", "crowd"}
+    assert "crowded-3" in tables and all("signature" not in t.columns for t in tables.values())
+    given = {(i, bytes(x)) for i, x in rows}
+    cells = [(x.rep, bytes(x.signature), x.cell) for x in found.collect()]
+    assert {c[:2] for c in cells} == given and len(cells) <= 24 * len(rows) * 3
+
+
 def corpus(r):
     base = [[f"w{r.randrange(400)}" for _ in range(r.randrange(3, 90))] for _ in range(60)]
     texts = [" ".join(b) for b in base]
