@@ -8,6 +8,8 @@ regression's probability.
 The classifier is fitted on a bounded sample of labelled texts, `fit_rows` at most, half of each class,
 those with the smallest hashes of doc_id. In the regression the texts of a class weigh together what the class
 has among all labels, so that 0.5 means the same however the sample is made up. Every text is scored in whole.
+The sample's feature numbers reach the task that fits in rows of bounded size and lie in a file of that task, which each
+step reads in blocks: its memory depends on the number of features there are, not on the length of the texts.
 
 Where toxic labels are rare, scores of texts with few toxic features are low, though they stand apart from those of clean ones. So `cut` finds the
 score that tells the classes apart with the fewest errors, on labelled texts that the classifier has not seen.
@@ -19,7 +21,8 @@ score is the smoothed share of toxic labels; rows that repeat are scored each; a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +39,10 @@ SMOOTHING = 1.0
 PENALTY = 4e-4  # for each text, so that a score means the same whatever the size of the sample
 STEPS = 60
 MIN_TEXTS = 3
+SLICE_BYTES = 1 << 19  # of texts whose features are found at once
+PIECE = 1 << 9  # feature numbers in a row on the way to the fit
+BATCH_PIECES = 1 << 12
+BLOCK = 1 << 19  # feature numbers that the fit reads at once, or those of one text
 MIN_JUDGED = 20  # unseen texts of each class
 CUT_STEPS = 100  # for each unit of log odds
 
@@ -49,7 +56,7 @@ class Model:
 def text_features(text: pa.Array) -> Iterator[np.ndarray]:
     """The distinct feature numbers of each text, in no order."""
     stamp = np.zeros(1 << BITS, dtype=np.int32)
-    for low, high, data, offsets in text_slices(text):
+    for low, high, data, offsets in text_slices(text, SLICE_BYTES):
         chars = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32)
         begins = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
         chars = np.where((chars >= 65) & (chars <= 90), chars + np.uint32(32), chars).astype(np.uint32)
@@ -74,40 +81,90 @@ def text_scores(text: pa.Array, model: Model) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(np.array(line) + model.intercept, -500, 500)))
 
 
-def fitted(features: list[np.ndarray], toxic: np.ndarray, odds: float) -> Model:
+class Rows:
+    """Feature numbers of texts, in a file that only this task sees and that goes with it."""
+
+    def __init__(self) -> None:
+        self.file = tempfile.TemporaryFile()
+        self.sizes: list[int] = []
+
+    def __enter__(self) -> Rows:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.file.close()
+
+    def add(self, numbers: np.ndarray, begins: bool = True) -> None:
+        """A text's next numbers, its first ones if it begins."""
+        if begins:
+            self.sizes.append(0)
+        self.sizes[-1] += len(numbers)
+        self.file.write(numbers.tobytes())
+
+    def blocks(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Runs of whole texts of BLOCK numbers at most, a longer text alone: first and last text, their sizes, their numbers."""
+        sizes = np.array(self.sizes, dtype=np.int64)
+        ends = np.cumsum(sizes)
+        self.file.seek(0)
+        low = 0
+        while low < len(sizes):
+            before = ends[low] - sizes[low]
+            high = max(int(np.searchsorted(ends, before + BLOCK, side="right")), low + 1)
+            held = self.file.read(4 * int(ends[high - 1] - before))
+            yield low, high, sizes[low:high], np.frombuffer(held, dtype=np.int32)
+            low = high
+
+
+def fitted(features: Iterable[np.ndarray], toxic: np.ndarray, odds: float) -> Model:
+    """The model of texts with these features."""
+    with Rows() as rows:
+        for f in features:
+            rows.add(f)
+        return regression(rows, toxic, odds)
+
+
+def regression(rows: Rows, toxic: np.ndarray, odds: float) -> Model:
     """Ratios, then the regression by gradient steps of adapted length. `odds` are those of the toxic class at large,
-    and so the weights of the two classes in it, whatever their numbers here."""
+    and so the weights of the two classes in it, whatever their numbers here. Sums are added up in the order of texts, so the blocks make no difference."""
     size = 1 << BITS
     counts = np.zeros((2, size), dtype=np.int32)
-    for f, t in zip(features, toxic):
-        counts[0 if t else 1, f] += 1
+    for low, high, sizes, numbers in rows.blocks():
+        bad = np.repeat(toxic[low:high] > 0, sizes)
+        for c, of in zip(counts, (bad, ~bad)):
+            c += np.bincount(numbers[of], minlength=size)
     share = [(c + SMOOTHING) / ((toxic == k).sum() + 2 * SMOOTHING) for c, k in zip(counts, (1, 0))]
     ratio = np.log(share[0] / share[1])
     kept = np.flatnonzero(counts.sum(axis=0) >= MIN_TEXTS)
     place = np.full(size, -1, dtype=np.int32)
     place[kept] = np.arange(len(kept), dtype=np.int32)
-    # Rows of one column more, which weighs nothing, so that no row is empty.
-    held = [np.append(c[c >= 0], np.int32(len(kept))) for c in (place[f] for f in features)]
-    sizes = np.array([len(c) for c in held])
-    column = np.concatenate(held)
-    begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    scale = (1 / np.sqrt([max(1, len(f)) for f in features])).astype(np.float32)
-    factor = np.append(ratio[kept], 0).astype(np.float32)
-    large = odds / (1 + odds)
-    weight = np.where(toxic > 0, large / toxic.mean(), (1 - large) / (1 - toxic.mean()))
-    w, b = np.zeros(len(factor)), 0.0
-    g2, b2 = np.full(len(factor), 1e-8), 1e-8
-    for _ in range(STEPS):
-        v = (w * factor).astype(np.float32)
-        z = np.add.reduceat(v[column], begins) * scale + b
-        error = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - toxic) * weight
-        pull = np.repeat((error * scale).astype(np.float32), sizes)
-        g = (np.bincount(column, weights=pull, minlength=len(factor)) * factor) / len(features) + PENALTY * w
-        g2 += g * g
-        w -= 0.1 * g / np.sqrt(g2)
-        gb = float(error.mean())
-        b2 += gb * gb
-        b -= 0.3 * gb / np.sqrt(b2)
+    del counts, share
+    with Rows() as held:
+        # Rows of one column more, which weighs nothing, so that no row is empty.
+        for _, _, sizes, numbers in rows.blocks():
+            for f in np.split(numbers, np.cumsum(sizes)[:-1]):
+                c = place[f]
+                held.add(np.append(c[c >= 0], np.int32(len(kept))))
+        scale = (1 / np.sqrt(np.maximum(1, rows.sizes))).astype(np.float32)
+        factor = np.append(ratio[kept], 0).astype(np.float32)
+        large = odds / (1 + odds)
+        weight = np.where(toxic > 0, large / toxic.mean(), (1 - large) / (1 - toxic.mean()))
+        w, b = np.zeros(len(factor)), 0.0
+        g2, b2 = np.full(len(factor), 1e-8), 1e-8
+        error = np.empty(len(toxic))
+        for _ in range(STEPS):
+            v = (w * factor).astype(np.float32)
+            g = np.zeros(len(factor))
+            for low, high, sizes, column in held.blocks():
+                z = np.add.reduceat(v[column], np.cumsum(sizes) - sizes) * scale[low:high] + b
+                error[low:high] = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - toxic[low:high]) * weight[low:high]
+                pull = np.repeat((error[low:high] * scale[low:high]).astype(np.float32), sizes)
+                np.add.at(g, column.astype(np.intp), pull.astype(np.float64))
+            g = (g * factor) / len(toxic) + PENALTY * w
+            g2 += g * g
+            w -= 0.1 * g / np.sqrt(g2)
+            gb = float(error.mean())
+            b2 += gb * gb
+            b -= 0.3 * gb / np.sqrt(b2)
     weights = np.zeros(size, dtype=np.float32)
     weights[kept] = (w * factor)[:-1]
     return Model(weights, b)
@@ -121,6 +178,27 @@ def known_labels(labels: DataFrame, chosen: Column) -> DataFrame:
     )
 
 
+def feature_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, toxic, piece from 0, features) of (doc_id, toxic, text): PIECE feature numbers a row, the last or only one of a text may hold less."""
+    for batch in batches:
+        row, piece, found = [], [], []
+
+        def out() -> pa.RecordBatch:
+            at = pa.array(row, pa.int64())
+            columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(piece, pa.int32()), pa.array(found, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "toxic", "piece", "features"])
+
+        for k, f in enumerate(text_features(batch.column(2))):
+            for number, a in enumerate(range(0, max(len(f), 1), PIECE)):
+                row.append(k)
+                piece.append(number)
+                found.append(f[a : a + PIECE].tobytes())
+                if len(row) == BATCH_PIECES:
+                    yield out()
+                    row, piece, found = [], [], []
+        yield out()
+
+
 def fit(docs: DataFrame, labels: DataFrame, train: Column, fit_rows: int = FIT_ROWS) -> Model:
     """A model of the labelled texts whose doc_id meets `train`; at most `fit_rows` of them reach the one task that fits it."""
     known = known_labels(labels, train)
@@ -134,25 +212,24 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, fit_rows: int = FIT_R
     some = [known.where(F.col("toxic") == c).orderBy(*by).limit(fit_rows // 2) for c in (0, 1)]
     sample = some[0].unionByName(some[1]).select(F.col("doc_id").alias("__id"), "toxic")
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("__id")).select("doc_id", "toxic", "text")
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [f.tobytes() for f in text_features(batch.column(2))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["doc_id", "toxic", "features"])
-
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sampled = texts.mapInArrow(features, f"doc_id {kind}, toxic int, features binary").dropDuplicates(["doc_id"])
-
-    def learn(table: pa.Table) -> pa.Table:
-        table = table.sort_by("doc_id")
-        answer = table["toxic"].to_numpy().astype(float)
-        if not 0 < answer.sum() < len(answer):
-            model = nothing
-        else:
-            model = fitted([np.frombuffer(f.as_py(), dtype=np.int32) for f in table["features"]], answer, prior / (1 - prior))
-        return pa.table({"weights": pa.array([model.weights.tobytes()], pa.binary()), "intercept": [model.intercept]})
-
-    found = sampled.withColumn("__all", F.lit(0)).groupBy("__all").applyInArrow(learn, "weights binary, intercept double").collect()
+    schema = f"doc_id {kind}, toxic int, piece int, features binary"
+    sampled = texts.dropDuplicates(["doc_id"]).mapInArrow(feature_pieces, schema)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with Rows() as rows:
+            toxic = []
+            for batch in batches:
+                for t, piece, f in zip(*(batch.column(k) for k in (1, 2, 3))):
+                    if piece.as_py() == 0:
+                        toxic.append(t.as_py())
+                    rows.add(np.frombuffer(f.as_py(), dtype=np.int32), piece.as_py() == 0)
+            if not toxic:
+                return
+            model = regression(rows, np.array(toxic, dtype=float), prior / (1 - prior)) if 0 < sum(toxic) < len(toxic) else nothing
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.intercept], pa.float64())], names=["weights", "intercept"])
+
+    found = sampled.repartition(1).sortWithinPartitions("doc_id", "piece").mapInArrow(learn, "weights binary, intercept double").collect()
     return Model(np.frombuffer(found[0].weights, dtype=np.float32), found[0].intercept) if found else nothing
 
 

@@ -220,3 +220,40 @@ def test_fit_equals_a_plain_regression():
     best = 1 / (1 + np.exp(-(kernel @ a + b)))
     found = text_scores(pa.array(texts), model)
     assert np.corrcoef(best, found)[0, 1] > 0.97 and ((best >= 0.5) == (found >= 0.5)).mean() > 0.97
+
+
+def test_the_fit_holds_neither_all_features_nor_all_of_a_batch_of_texts(monkeypatch):
+    """800 texts of 10,000 features, 32 MB of numbers; then 8 MB of texts."""
+    import tracemalloc
+
+    import pyarrow as pa
+    monkeypatch.setattr(toxicity, "STEPS", 2)
+    draw = np.random.default_rng(4)
+    features = [draw.permutation(20_000)[:10_000].astype(np.int32) for _ in range(800)]
+    text = pa.array([" ".join(map(str, draw.integers(0, 1 << 40, 1_000))) for _ in range(600)])
+    peaks = []
+    for run in (lambda: fitted(features, np.arange(800) % 2.0, 0.1), lambda: text_scores(text, toxicity.Model(np.zeros(1 << toxicity.BITS, np.float32), 0.0))):
+        tracemalloc.start()
+        run()
+        peaks.append(tracemalloc.get_traced_memory()[1] >> 20)
+        tracemalloc.stop()
+    assert peaks[0] < 100 and peaks[1] < 60, peaks  # 250 and 144 when the fit held all and texts came in slices of 4 MB
+
+
+def test_blocks_and_pieces_make_no_difference(spark, monkeypatch):
+    import pyarrow as pa
+    texts, bad = made_up(200, 0.3, 9)
+    texts[3], texts[4], bad[5] = None, "ab", 1
+    whole = fitted(list(text_features(pa.array(texts))), bad, 0.4)
+    monkeypatch.setattr(toxicity, "BLOCK", 1_000)
+    parts = fitted(text_features(pa.array(texts)), bad, 0.4)
+    assert (whole.weights == parts.weights).all() and whole.intercept == parts.intercept and np.count_nonzero(whole.weights) > 100
+    docs = spark.createDataFrame([*enumerate(texts), (7, texts[7])], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(b)) for i, b in enumerate(bad)], "doc_id long, toxic int")
+    prior = (bad.sum() + 1) / (len(bad) + 2)
+    expected = fitted(list(text_features(pa.array(texts))), bad, prior / (1 - prior))
+    for piece, batch in ((7, 5), (1 << 9, 1 << 12)):
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        monkeypatch.setattr(toxicity, "BATCH_PIECES", batch)
+        got = fit(docs, labels, F.lit(True))
+        assert (got.weights == expected.weights).all() and got.intercept == expected.intercept
