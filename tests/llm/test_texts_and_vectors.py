@@ -2,6 +2,8 @@
 
 import random
 import re
+import tempfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +15,7 @@ from countypanel.llm.components import components
 from countypanel.llm.knn import integer_vectors, top_k
 from countypanel.llm.text import shingles, text_buffers, text_slices, word_bounds, word_hashes
 from countypanel.llm.texts import near_duplicates, without_near_duplicates
-from countypanel.llm.vectors import linked_vectors, rotated
+from countypanel.llm.vectors import MISSED, SLICE_BYTES, Near, Tables, exact_links, linked_vectors, merge, planes, rotated, short_copies, sides
 from countypanel.sources.scratch import written
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -212,6 +214,123 @@ def test_rotation_keeps_distances():
     assert np.allclose(((x[:, None] - x[None]) ** 2).sum(-1), ((z[:, None] - z[None]) ** 2).sum(-1))
     assert np.array_equal(rotated(x[3:4])[0], z[3])
 
+def at_cosine(g, x, c):
+    """A unit vector at this cosine to each row."""
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    r = g.normal(size=x.shape)
+    r -= (r * u).sum(1)[:, None] * u
+    return c * u + np.sqrt(1 - c * c) * r / np.linalg.norm(r, axis=1)[:, None]
+
+
+@pytest.mark.parametrize("options", [{"all_pairs": 0}, {"all_pairs": 0, "slice_bytes": 30_000, "chunk_rows": 50}])
+def test_links_found_in_tables_equal_brute_force(spark, options):
+    g = np.random.default_rng(9)
+    x = g.normal(size=(1500, 64))
+    x[800:1000], x[1000:1200] = at_cosine(g, x[:200], 0.9501), at_cosine(g, x[200:400], 0.9499)
+    x[1200:1400] = x[400] + g.normal(size=(200, 64)) * 0.12
+    rows = [(i + 2000, v.tolist()) for i, v in enumerate(x)] + [(i, v) for i, v in ODD]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in linked_vectors(df, **options).collect()}
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    links = [(int(i) + 2000, int(j) + 2000) for i, j in zip(*np.nonzero(u @ u.T >= 0.95)) if i != j] + [(906, 907), (907, 906)]
+    assert sum(j == i + 800 for i, j in links if i < 2200) == 200
+    want = component_of(list(got), links)
+    n = {i: 0 for i in got}
+    for i, _ in links:
+        n[i] += 1
+    assert got == {i: (n[i], want[i], want[i] == i) for i in got}
+
+
+def test_a_null_id_joins_nothing_but_counts(spark):
+    g = np.random.default_rng(14)
+    x = g.normal(size=(3, 16))
+    near = at_cosine(g, x[:1].repeat(3, 0), 0.99)
+    a, b = at_cosine(g, x[1:2].repeat(2, 0), 0.97)  # near the vector without id, perhaps not to each other
+    rows = [(4, near[0]), (34, near[1]), (None, near[2]), (6, a), (7, b), (None, x[1]), (9, x[2])]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>").repartition(3)
+    v = np.array([v / np.linalg.norm(v) for _, v in rows])
+    linked = v @ v.T >= 0.95
+    got = sorted(str((r.vec_id, r.n_links, r.component_id)) for r in linked_vectors(df).collect())
+    n = (linked.sum(1) - 1).tolist()
+    assert n[:3] == [2, 2, 2]
+    want = [(4, 2, 4), (34, 2, 4), (None, 2, None), (6, n[3], 6), (7, n[4], 6 if linked[3, 4] else 7), (None, n[5], None), (9, 0, 9)]
+    assert got == sorted(map(str, want))
+
+
+def test_vectors_are_moved_few_times(spark):
+    """What the steps shuffle doesn't multiply the vectors."""
+    def shuffled():
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().getLocalDiskDirs()
+        return {f: f.stat().st_size for d in folders for f in Path(d).rglob("shuffle_*.data")}
+
+    g = np.random.default_rng(10)
+    x = g.normal(size=(4000, 64)).astype(np.float32)
+    x[:400] = x[400:800] + g.normal(size=(400, 64)).astype(np.float32) * 0.05
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    df = written(df, f"file://{tempfile.mkdtemp()}/vectors")
+    before = shuffled()
+    out = linked_vectors(df)
+    assert out.where("n_links = 1").count() == 800
+    moved = sum(n for f, n in shuffled().items() if before.get(f) != n)
+    assert moved < 4 * x.nbytes
+
+
+def test_rows_of_a_code_are_joined_as_by_brute_force():
+    g = np.random.default_rng(11)
+    x = g.normal(size=(900, 32))
+    x[:500] = x[0] + g.normal(size=(500, 32)) * 0.05  # one group of many, one chain, others alone
+    for i in range(501, 560):
+        x[i] = at_cosine(g, x[i - 1 : i], 0.97)[0]
+    x = x[g.permutation(900)]
+    q, step, off = short_copies(x)
+    reach = np.sqrt(0.1) + 2 * off.max()
+    v = q * step[:, None].astype(float)
+    a, b = np.nonzero(((v[:, None] - v[None]) ** 2).sum(-1) <= reach * reach)
+    want = np.arange(900)
+    merge(want, a, b)
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    assert set(zip(*np.nonzero(u @ u.T >= 0.95))) <= set(zip(a, b))
+    for join in (lambda n: n.same_codes(np.zeros(900, np.uint32)), lambda n: [n.turns(k, 3) for k in range(3)],
+                 lambda n: [n.same_codes(np.full(900, k, np.uint32)) for k in range(2)]):
+        near = Near(q, step, reach)
+        join(near)
+        assert near.roots(np.arange(900)).tolist() == want.tolist()
+    codes = g.integers(0, 40, 900).astype(np.uint32)  # runs too short for blocks
+    near = Near(q, step, reach)
+    near.same_codes(codes)
+    merge(label := np.arange(900), a[codes[a] == codes[b]], b[codes[a] == codes[b]])
+    assert near.roots(np.arange(900)).tolist() == label.tolist()
+
+
+@pytest.mark.parametrize("rows", [70_000, 3_000_000, 200_000_000])
+def test_tables_miss_next_to_nothing(rows):
+    meet = 1 - np.arccos(0.95) / np.pi
+    tables = Tables.chosen(rows, 64, meet, np.full(100, 0.5), SLICE_BYTES)
+    assert tables.missed(meet) <= MISSED and rows * 64 <= SLICE_BYTES << tables.outer
+    g = np.random.default_rng(12)
+    x = g.normal(size=(4000, 64))
+    y = at_cosine(g, x, 0.95)
+    same = (sides(x.astype(np.float32), planes(64, 16 * 5, 0, 1), 5) == sides(y.astype(np.float32), planes(64, 16 * 5, 0, 1), 5)).mean()
+    assert abs(same - meet**5) < 0.02
+
+
+@pytest.mark.parametrize("weights", [False, True])
+def test_exact_links_of_chunks(weights):
+    g = np.random.default_rng(13)
+    x = g.normal(size=(1300, 24))
+    x[:700] = x[0] + g.normal(size=(700, 24)) * 0.2
+    w = g.integers(1, 4, 1300) if weights else np.ones(1300, dtype=np.int64)
+    joins = g.random(1300) > 0.1
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    all_links = np.triu(u @ u.T >= 0.95, 1)
+    for chunk in (np.zeros(1300, dtype=np.int64), g.integers(3, 5, 1300)):
+        some = all_links & (chunk[:, None] != chunk[None]) if chunk.any() else all_links
+        linked, label = exact_links(x, w, joins, chunk, 0.95)
+        assert linked.tolist() == ((some | some.T) @ w).tolist()
+        want = np.arange(1300)
+        merge(want, *np.nonzero(some & joins[:, None] & joins[None]))
+        assert label.tolist() == want.tolist()
+
 
 @pytest.mark.parametrize("options", [{}, {"pivots": 5, "group_queries": 4, "block_rows": 30}])
 def test_top_k_equals_brute_force(spark, options):
